@@ -72,16 +72,14 @@ def history_parts(
     """
     numbered = number_within(
         log_rows(logs).select("job_id", "created_at", "log_id", "line"),
-        ["job_id"], ["created_at", "log_id"], "n", group_rows,
+        ["job_id"], ["created_at", "log_id"], "n", "rows", group_rows,
     ).withColumn("part", F.floor((F.col("n") - 1) / history_rows).cast("int"))
     parts = numbered.groupBy("job_id", "part").agg(
-        F.sort_array(F.collect_list(F.struct("n", "line"))).alias("lines")
+        F.ceil(F.max("rows") / history_rows).cast("int").alias("parts"),
+        F.sort_array(F.collect_list(F.struct("n", "line"))).alias("lines"),
     )
     text = F.array_join(F.transform("lines", lambda x: F.concat(x["line"], F.lit("\n"))), "")
-    counted = logs.groupBy("job_id").agg(
-        F.ceil(F.count("*") / history_rows).cast("int").alias("parts")
-    )
-    return parts.join(counted, "job_id").select("job_id", "part", "parts", text.alias("history"))
+    return parts.select("job_id", "part", "parts", text.alias("history"))
 
 
 def _with_history(docs: DataFrame, history: DataFrame) -> DataFrame:

@@ -98,26 +98,27 @@ def parse_messages(messages: DataFrame) -> DataFrame:
     ``problem`` is null for a sound message.  Unknown fields are ignored,
     absent ones take their blank value.
     """
-    parsed = messages.withColumn(
-        "m", F.from_json("value", MESSAGE_SCHEMA + ", broken string",
-                         {"columnNameOfCorruptRecord": "broken"})
+    decoded = F.from_json(
+        "value", MESSAGE_SCHEMA + ", broken string", {"columnNameOfCorruptRecord": "broken"}
     )
-    job, user, time = F.col("m.job_id"), F.col("m.user_id"), F.col("m.timestamp")
-    malformed = F.col("m").isNull() | F.col("m.broken").isNotNull()
-    keep = [c for c in messages.columns if c != "value"]
-    return parsed.select(
-        *keep,
-        "value",
-        _checked_id(job).alias("job_id"),
-        _checked_id(user).alias("user_id"),
-        F.coalesce("m.original_filename", F.lit("")).alias("original_filename"),
-        F.coalesce("m.file_key", F.lit("")).alias("file_key"),
-        time.alias("timestamp"),
-        F.when(malformed, "json")
-        .when(_checked_id(job).isNull() | _checked_id(user).isNull(), "id")
+    # The generator keeps later filters above the decoding; pushed below it
+    # they would decode the message once per field they look at.
+    fields = messages.select("*", F.inline_outer(F.array(decoded)))
+    fields = fields.withColumns(
+        {
+            "job_id": _checked_id(F.col("job_id")),
+            "user_id": _checked_id(F.col("user_id")),
+            "original_filename": F.coalesce("original_filename", F.lit("")),
+            "file_key": F.coalesce("file_key", F.lit("")),
+        }
+    )
+    time = F.col("timestamp")
+    problem = (
+        F.when(F.col("value").isNull() | F.col("broken").isNotNull(), "json")
+        .when(F.col("job_id").isNull() | F.col("user_id").isNull(), "id")
         .when(time.isNotNull() & ~time.rlike(_TIME_PATTERN), "timestamp")
-        .alias("problem"),
     )
+    return fields.withColumn("problem", problem).drop("broken")
 
 
 def dead_letters(parsed: DataFrame) -> DataFrame:

@@ -119,7 +119,7 @@ def job_trace(
     One row per job, logs empty if it has none.  A job with more than
     ``page_rows`` audit rows gives several rows, numbered by ``trace_page``.
     """
-    numbered = number_within(logs, ["job_id"], ["created_at", "log_id"], "n", group_rows)
+    numbered = number_within(logs, ["job_id"], ["created_at", "log_id"], "n", "rows", group_rows)
     entry = F.struct("n", "log_id", "step", "status", "message", "created_at")
     nested = (
         numbered.withColumn("trace_page", F.floor((F.col("n") - 1) / page_rows).cast("int"))

@@ -39,16 +39,23 @@ def number_within(
     keys: Sequence[str],
     order: Sequence[str],
     out: str,
+    total: str,
     group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
-    """Add the position of each row in its group, from 1; exact for any size."""
+    """Add the position of each row in its group, from 1, and the group's size;
+    exact for groups of any size."""
+    group = Window.partitionBy(*keys)
     if not has_large_group(df, keys, group_rows):
-        return df.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+        return df.withColumns(
+            {out: F.row_number().over(group.orderBy(*order)), total: F.count("*").over(group)}
+        )
     placed = _placed(df, keys, order)
-    before = Window.partitionBy(*keys).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        placed.groupBy(*keys, _PART).agg(F.count("*").alias(_ROWS))
-        .select(*keys, _PART, F.coalesce(F.sum(_ROWS).over(before), F.lit(0)).alias(_OFFSET))
+    before = group.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = placed.groupBy(*keys, _PART).agg(F.count("*").alias(_ROWS)).select(
+        *keys,
+        _PART,
+        F.coalesce(F.sum(_ROWS).over(before), F.lit(0)).alias(_OFFSET),
+        F.sum(_ROWS).over(group).alias(total),
     )
     local = F.row_number().over(Window.partitionBy(*keys, _PART).orderBy(*order))
     return (

@@ -12,13 +12,13 @@ def links(index_md: Column) -> Column:
     return F.regexp_extract_all(index_md, F.lit(fixed.LINK_PATTERN), 1)
 
 
-def dead_links(index_md: Column, paths: Column) -> Column:
+def dead_links(targets: Column, paths: Column) -> Column:
     """Links that are none of ``paths``, in order, with repeats.
 
     The set difference is hashed and nearly always empty; the scan per link
     then looks at nothing.
     """
-    both = F.struct(links(index_md).alias("all"), paths.alias("paths"))
+    both = F.struct(targets.alias("all"), paths.alias("paths"))
     return bind(
         both,
         lambda s: bind(
@@ -73,36 +73,43 @@ def verdict_errors(has_index: Column, has_log: Column, dead: Column) -> Column:
 def validate_bundles(entries: DataFrame) -> DataFrame:
     """Verdict per bundle: is_valid, has_warns, errors, warnings.
 
-    Presence flags and link counts combine before the shuffle.  The list of
-    errors is collected from broken links alone, all of which stood in one
-    index cell.
+    One pass and no join: every entry gives its own name, an index its links
+    too, and names and links meet by (bundle, name), so that a bundle with very
+    many entries spreads over tasks.  The second grouping combines before its
+    shuffle; the only list in it is that of broken links, all of which stood in
+    one index cell.
     """
     is_index = F.col("path") == fixed.INDEX_FILE
-    flags = entries.groupBy("bundle_id").agg(
-        F.max(is_index).alias("has_index"),
-        F.max(F.col("path") == fixed.LOG_FILE).alias("has_log"),
+    linked = F.transform(
+        F.when(is_index, links(F.col("content"))),
+        lambda x, i: F.struct(x.alias("name"), (i + 1).alias("pos")),
     )
-    counts = entries.filter(is_index).select(
-        "bundle_id", F.size(links(F.col("content"))).alias("n")
-    ).groupBy("bundle_id").agg(F.max("n").alias("link_count"))
-    broken = (
-        broken_links(entries)
-        .groupBy("bundle_id")
-        .agg(F.sort_array(F.collect_list(F.struct("pos", "target"))).alias("broken"))
+    own = F.array(F.struct(F.col("path").alias("name"), F.lit(None).cast("int").alias("pos")))
+    names = entries.select(
+        "bundle_id", F.inline_outer(F.when(is_index, F.concat(own, linked)).otherwise(own))
     )
+    met = names.groupBy("bundle_id", "name").agg(
+        F.max(F.col("pos").isNull()).alias("exists"), F.collect_list("pos").alias("links")
+    )
+    name = F.col("name")
+    broken = F.when(
+        ~F.col("exists"), F.transform("links", lambda p: F.struct(p.alias("pos"), name.alias("name")))
+    )
+    bundles = met.groupBy("bundle_id").agg(
+        F.max(F.col("exists") & (name == fixed.INDEX_FILE)).alias("has_index"),
+        F.max(F.col("exists") & (name == fixed.LOG_FILE)).alias("has_log"),
+        F.sum(F.size("links")).alias("link_count"),
+        F.sort_array(F.flatten(F.collect_list(broken))).alias("broken"),
+    )
+    dead = F.transform("broken", lambda b: b["name"])
+    unlinked = F.col("has_index") & F.col("has_log") & (F.col("link_count") == 0)
     no_text = F.expr("cast(array() as array<string>)")
-    dead = F.coalesce(F.transform("broken", lambda b: b["target"]), no_text)
-    complete = F.col("has_index") & F.col("has_log")
-    unlinked = complete & (F.col("link_count") == 0)
-    return (
-        flags.join(counts, "bundle_id", "left")
-        .join(broken, "bundle_id", "left")
-        .withColumn("errors", verdict_errors(F.col("has_index"), F.col("has_log"), dead))
-        .select(
-            "bundle_id",
-            (F.size("errors") == 0).alias("is_valid"),
-            F.coalesce(unlinked, F.lit(False)).alias("has_warns"),
-            "errors",
-            F.when(unlinked, F.array(F.lit(fixed.NO_LINKS))).otherwise(no_text).alias("warnings"),
-        )
+    return bundles.withColumn(
+        "errors", verdict_errors(F.col("has_index"), F.col("has_log"), dead)
+    ).select(
+        "bundle_id",
+        (F.size("errors") == 0).alias("is_valid"),
+        unlinked.alias("has_warns"),
+        "errors",
+        F.when(unlinked, F.array(F.lit(fixed.NO_LINKS))).otherwise(no_text).alias("warnings"),
     )

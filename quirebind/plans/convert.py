@@ -1,12 +1,15 @@
 """Messages and documents to validated bundles.
 
 Shuffles: the messages meet the job history on job id (small rows), then the
-documents on file key.  Spark broadcasts the message side while it is below its
-size threshold, which leaves the texts where they are; otherwise the texts move
-once, by file key, and AQE splits a hot key.  Everything after that join stays
-inside the row.
+documents on file key.  That join is an inner one, so Spark may broadcast the
+message side while it is below its size threshold, which leaves the texts where
+they are; beyond it the texts move once, by file key, and AQE splits a hot key.
+Messages without a document are found on keys alone.  Everything after the join
+stays inside the row.
 """
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,12 +21,6 @@ from quirebind.operators.bundle import (
 from quirebind.operators.segment import with_units
 from quirebind.operators.validate import dead_links, links, verdict_errors
 
-RESULT_COLUMNS = [
-    "job_id", "user_id", "original_filename", "status", "bundle_key", "error_message",
-    "units_count", "warnings", "entries",
-]
-
-
 def _started_line(at: Column) -> Column:
     """History line of the attempt being made."""
     step, severity = fixed.STARTED_STEP
@@ -37,74 +34,80 @@ def convert_corpus(
     logs: DataFrame,
     generated_at: Column,
     history_rows: int = HISTORY_ROWS,
+    keys: Sequence[str] = ("file_key",),
 ) -> DataFrame:
     """Convert the document of every message.
 
     ``messages``: job_id, user_id, original_filename, file_key, one row per job
     (see ``idempotent_intake``).  ``documents``: file_key, text, one row per key.
-    ``logs``: audit rows so far.  Gives one row per message with the final
-    state; ``entries`` is null unless the bundle is valid.  A missing document
-    is a FAILED row, never an exception.
+    ``logs``: audit rows so far.  ``keys`` may add the partition column of a
+    stored document table, so that only the folders asked for are read.
+
+    Gives one row per message with the final state; ``entries`` is null unless
+    the bundle is valid.  A missing document is a FAILED row, never an exception.
     """
     wanted = logs.join(messages.select("job_id"), "job_id", "left_semi")
-    history = history_parts(wanted, history_rows)
-    first = history.filter("part = 0").select("job_id", "parts", "history")
-    asked = messages.select("job_id", "user_id", "original_filename", "file_key").join(
-        first, "job_id", "left"
-    )
-    found = asked.join(documents.select("file_key", "text"), "file_key", "left")
-    units = with_units(found, "text", "original_filename").withColumn(
-        "generated_at", generated_at
+    first = history_parts(wanted, history_rows).filter("part = 0").drop("part")
+    asked = messages.select("job_id", "user_id", "original_filename", *keys)
+    found = asked.join(first, "job_id", "left").join(documents.select(*keys, "text"), [*keys])
+    missing = asked.join(documents.select(*keys), [*keys], "left_anti")
+    return _converted(found, generated_at).unionByName(_failed(missing))
+
+
+def _failed(messages: DataFrame) -> DataFrame:
+    return messages.select(
+        "job_id",
+        "user_id",
+        "original_filename",
+        F.lit(fixed.FAILED).alias("status"),
+        F.lit("").alias("bundle_key"),
+        F.lit(fixed.MISSING_DOCUMENT).alias("error_message"),
+        F.lit(0).alias("units_count"),
+        F.expr("cast(array() as array<string>)").alias("warnings"),
+        F.expr("cast(null as array<struct<path: string, part: int, content: string>>)")
+        .alias("entries"),
     )
 
+
+def _converted(found: DataFrame, generated_at: Column) -> DataFrame:
     job, user, filename = F.col("job_id"), F.col("user_id"), F.col("original_filename")
-    index_md = index_text(job, filename, F.col("units"), F.col("generated_at"))
-    built = units.withColumn("index_md", index_md).withColumn(
-        "log",
-        log_parts(
-            job, filename, F.col("history"), F.col("parts"), F.col("units"),
-            _started_line(F.col("generated_at")),
-        ),
+    built = (
+        with_units(found, "text", "original_filename")
+        .withColumn("generated_at", generated_at)
+        .withColumns(
+            {
+                "index_md": index_text(job, filename, F.col("units"), F.col("generated_at")),
+                "log": log_parts(
+                    job, filename, F.col("history"), F.col("parts"), F.col("units"),
+                    _started_line(F.col("generated_at")),
+                ),
+            }
+        )
     )
     paths = F.concat(
         F.array(F.lit(fixed.INDEX_FILE), F.lit(fixed.LOG_FILE)),
         F.transform("units", lambda u: u["filename"]),
     )
-    checked = built.withColumn("dead", dead_links(F.col("index_md"), paths)).withColumn(
-        "linked", F.size(links(F.col("index_md"))) > 0
+    checked = built.withColumn("targets", links(F.col("index_md"))).withColumn(
+        "dead", dead_links(F.col("targets"), paths)
     )
     errors = verdict_errors(F.lit(True), F.lit(True), F.col("dead"))
-    status = (
-        F.when(F.col("units").isNull(), fixed.FAILED)
-        .when(F.size("dead") > 0, fixed.INVALID)
-        .otherwise(fixed.COMPLETED)
-    )
-    good = F.col("status") == fixed.COMPLETED
-    return (
-        checked.withColumn("status", status)
-        .withColumn(
-            "error_message",
-            F.when(F.col("status") == fixed.FAILED, fixed.MISSING_DOCUMENT)
-            .when(
-                F.col("status") == fixed.INVALID,
-                F.format_string(fixed.REFUSED_MESSAGE, F.array_join(errors, " ")),
-            )
-            .otherwise(""),
-        )
-        .select(
-            "job_id",
-            "user_id",
-            "original_filename",
-            "status",
-            F.when(good, names.bundle_key(user, job)).otherwise("").alias("bundle_key"),
-            "error_message",
-            F.when(F.col("units").isNull(), 0).otherwise(F.size("units")).alias("units_count"),
-            F.when(good & ~F.col("linked"), F.array(F.lit(fixed.NO_LINKS)))
-            .otherwise(F.expr("cast(array() as array<string>)"))
-            .alias("warnings"),
-            F.when(good, entries_column(F.col("index_md"), F.col("log"), F.col("units")))
-            .alias("entries"),
-        )
+    good = F.size("dead") == 0
+    return checked.select(
+        "job_id",
+        "user_id",
+        "original_filename",
+        F.when(good, fixed.COMPLETED).otherwise(fixed.INVALID).alias("status"),
+        F.when(good, names.bundle_key(user, job)).otherwise("").alias("bundle_key"),
+        F.when(good, "")
+        .otherwise(F.format_string(fixed.REFUSED_MESSAGE, F.array_join(errors, " ")))
+        .alias("error_message"),
+        F.size("units").alias("units_count"),
+        F.when(F.size("targets") == 0, F.array(F.lit(fixed.NO_LINKS)))
+        .otherwise(F.expr("cast(array() as array<string>)"))
+        .alias("warnings"),
+        F.when(good, entries_column(F.col("index_md"), F.col("log"), F.col("units")))
+        .alias("entries"),
     )
 
 
