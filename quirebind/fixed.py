@@ -5,6 +5,8 @@ and formats of the bundles, the ledger and the reports.  Operators take the
 limits as parameters with these defaults.
 """
 
+import string
+
 # --- fixed values: white space (trimming) ----------------------------------
 WHITE = "\t\n\x0b\f\r \x85\xa0" + "".join(
     map(chr, [0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
@@ -29,13 +31,17 @@ SECTION_TITLE = "Sección "
 TITLE_BYTES = 60
 LONG_DOCUMENT_BYTES = 1500
 CHUNK_BYTES = 1800
-UNIT_FILE = "capitulo-%02d.md"
-UNTITLED_UNIT = "Capítulo %02d"
+UNIT_FILE = "capitulo-%s.md"
+UNTITLED_UNIT = "Capítulo %s"
 SINGLE_FILE = "documento.md"
 SINGLE_TITLE = "Documento Principal"
 
 # --- fixed values: text cleaning --------------------------------------------
-READABLE_RUNES = "a-zA-Z0-9 .,:;()áéíóúñÁÉÍÓÚÑ-"
+READABLE_RUNES = string.ascii_letters + string.digits + " .,:;-()" + "áéíóúñÁÉÍÓÚÑ"
+# All below U+00C0 but tab, newline and printable ASCII.
+DROPPED_RUNES = "".join(
+    c for c in map(chr, range(192)) if c not in "\t\n" and not " " <= c <= "~"
+)
 READABLE_SHARE = 0.70
 EMPTY_MARKUP = "Contenido de texto vacío en el documento Word."
 EMPTY_SCAN = (
@@ -49,7 +55,7 @@ INDEX_HEAD = "# Bundle OKF - Índice de Navegación\n\n## Metadatos del Bundle\n
 INDEX_JOB = "- **Identificador de Trabajo:** `%s`\n"
 INDEX_SOURCE = "- **Documento Origen:** `%s`\n"
 INDEX_TIME = "- **Fecha de Generación:** %s\n"
-INDEX_COUNT = "- **Total de Unidades Lógicas:** %d\n\n"
+INDEX_COUNT = "- **Total de Unidades Lógicas:** %s\n\n"
 INDEX_CONTENTS = "## Estructura de Contenidos\n\n"
 INDEX_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss 'UTC'"
 LOG_HEAD = "# Trazabilidad de Conversión - log.md\n\n"
@@ -60,7 +66,7 @@ LOG_HISTORY = (
     "| :--- | :--- | :--- | :--- |\n"
 )
 LOG_UNITS = "\n## Resumen de Unidades Detectadas\n\n"
-LOG_UNIT = "- Archivo: `%s` | Título: **%s** | Tamaño: %d bytes\n"
+LOG_UNIT = "- Archivo: `%s` | Título: **%s** | Tamaño: %s bytes\n"
 LOG_CHECKS = (
     "\n## Estado de Validaciones\n"
     "- [x] Estructura mínima OKF verificada\n"
@@ -90,7 +96,7 @@ STARTED_MESSAGE = "Inicio de descarga y parsing del documento en segundo plano."
 REFUSED_STEP = ("VALIDACION", "ERROR")
 REFUSED_MESSAGE = "Validación de Bundle fallida: [%s]"
 PUBLISHED_STEP = ("PUBLICACION", "SUCCESS")
-PUBLISHED_MESSAGE = "Bundle OKF validado exitosamente con %d unidades. Publicado en %s"
+PUBLISHED_MESSAGE = "Bundle OKF validado exitosamente con %s unidades. Publicado en %s"
 MISSING_DOCUMENT = "Error descargando archivo original: objeto no encontrado"
 
 # --- fixed values: access answers and reports -------------------------------

@@ -7,34 +7,50 @@ from quirebind import fixed
 from quirebind.functions.text import extension
 
 
+def fill(template: str, *values: Column) -> Column:
+    """``template`` with its ``%s`` places taken by ``values``.
+
+    A plain concatenation: ``format_string`` runs Java's formatter per row.
+    """
+    first, *rest = template.split("%s")
+    if len(rest) != len(values):
+        raise ValueError(f"{len(values)} values for {len(rest)} places")
+    pieces = [F.lit(first)]
+    for value, piece in zip(values, rest):
+        pieces += [value.cast("string"), F.lit(piece)]
+    return F.concat(*pieces)
+
+
+def two_digits(n: Column) -> Column:
+    """At least two digits, wider from 100 on (``lpad`` would cut those)."""
+    digits = n.cast("string")
+    return F.when(n < 10, F.concat(F.lit("0"), digits)).otherwise(digits)
+
+
 def unit_filename(n: Column) -> Column:
-    """Zero padded to two digits, wider from 100 on."""
-    return F.format_string(fixed.UNIT_FILE, n)
+    return fill(fixed.UNIT_FILE, two_digits(n))
 
 
 def untitled(n: Column) -> Column:
-    return F.format_string(fixed.UNTITLED_UNIT, n)
+    return fill(fixed.UNTITLED_UNIT, two_digits(n))
 
 
 def original_key(user_id: Column, job_id: Column, filename: Column) -> Column:
     """Key of an uploaded file; the extension keeps its case."""
-    return F.concat(F.lit("originals/"), user_id, F.lit("/"), job_id, extension(filename))
+    return fill("originals/%s/%s%s", user_id, job_id, extension(filename))
 
 
 def bundle_key(user_id: Column, job_id: Column) -> Column:
-    return F.concat(F.lit("bundles/"), user_id, F.lit("/"), job_id, F.lit(".zip"))
+    return fill("bundles/%s/%s.zip", user_id, job_id)
 
 
 def download_name(job_id: Column) -> Column:
-    return F.concat(F.lit("bundle_"), F.left(job_id, F.lit(8)), F.lit(".zip"))
+    return fill("bundle_%s.zip", F.left(job_id, F.lit(8)))
 
 
 def log_row(created_at: Column, step: Column, status: Column, message: Column) -> Column:
     clock = F.date_format(created_at, fixed.LOG_TIME_FORMAT)
-    return F.concat(
-        F.lit("| "), clock, F.lit(" | "), step, F.lit(" | "), status, F.lit(" | "), message,
-        F.lit(" |"),
-    )
+    return fill("| %s | %s | %s | %s |", clock, step, status, message)
 
 
 def hashed_id(*parts: Column) -> Column:

@@ -25,6 +25,15 @@ _BLANK = r"[\t\n\f\r ]"
 _BLANK_INLINE = r"[\t\f\r ]"
 
 
+# Characters looked at by the right trim of a long text.
+_TAIL = 1024
+
+
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` evaluated once, however often it is used."""
+    return F.transform(F.array(value), body)[0]
+
+
 def trim_white(s: Column) -> Column:
     """Trim all Unicode white space from a short string."""
     return F.btrim(s, F.lit(fixed.WHITE))
@@ -35,15 +44,24 @@ def trim_white_left(s: Column) -> Column:
 
 
 def trim_white_right(s: Column) -> Column:
-    """Right trim for whole texts.
+    """Right trim for whole texts; ``s`` should be a stored column.
 
-    The built-in trim with a character set keeps two integers per byte; a text
-    that already ends well (a look at its last bytes) is passed through, any
-    other takes one linear regex pass.
+    The built-in trim with a character set keeps two integers per byte of its
+    input, so it gets the last characters only.  A text that ends well (a look
+    at its last bytes) is passed through; one whose last characters are all
+    white is left to a regex.
     """
     ends_white = reduce(or_, [s.endswith(c) for c in fixed.WHITE])
     pattern = rf"(?<![{_WHITE}])[{_WHITE}]++\z"
-    return F.when(ends_white, F.regexp_replace(s, pattern, "")).otherwise(s)
+
+    def cut(tail: Column) -> Column:
+        kept = F.rtrim(tail, F.lit(fixed.WHITE))
+        before = F.char_length(s) - F.char_length(tail)
+        return F.when(
+            (kept != "") | (before == 0), F.left(s, before + F.char_length(kept))
+        ).otherwise(F.regexp_replace(s, pattern, ""))
+
+    return F.when(ends_white, bind(F.right(s, F.lit(_TAIL)), cut)).otherwise(s)
 
 
 def extension(filename: Column) -> Column:
@@ -127,16 +145,19 @@ def heading_title(trimmed: Column) -> Column:
 
 # --- cleaning ---------------------------------------------------------------
 
-def readable_ratio(s: Column) -> Column:
-    """Share of readable characters in the trimmed string; 0 for a blank one."""
-    t = trim_white(s)
-    n = F.char_length(t)
-    good = F.char_length(F.regexp_replace(t, f"[^{fixed.READABLE_RUNES}]", ""))
-    return F.when(n > 0, good.cast("double") / n.cast("double")).otherwise(0.0)
+def readable_ratio(trimmed: Column) -> Column:
+    """Share of readable characters in a trimmed string; 0 for a blank one.
+
+    Counts what is left after deleting the readable ones: ``translate`` is a
+    table look-up per character, many times faster than a regex class.
+    """
+    n = F.char_length(trimmed)
+    rest = F.char_length(F.translate(trimmed, fixed.READABLE_RUNES, ""))
+    return F.when(n > 0, (n - rest).cast("double") / n.cast("double")).otherwise(0.0)
 
 
-def is_readable(s: Column, share: float = fixed.READABLE_SHARE) -> Column:
-    return (trim_white(s) != "") & (readable_ratio(s) >= share)
+def is_readable(trimmed: Column, share: float = fixed.READABLE_SHARE) -> Column:
+    return (trimmed != "") & (readable_ratio(trimmed) >= share)
 
 
 def clean_text(s: Column, share: float = fixed.READABLE_SHARE) -> Column:
@@ -146,10 +167,8 @@ def clean_text(s: Column, share: float = fixed.READABLE_SHARE) -> Column:
 
 
 def printable_only(s: Column) -> Column:
-    """Keep ASCII print, tab, newline and everything from U+00C0 on; trim."""
-    return trim_white(
-        F.regexp_replace(s, r"[^\x20-\x7E\n\t\x{C0}-\x{10FFFF}]", "")
-    )
+    """Drop the control characters of a string, then trim it."""
+    return trim_white(F.translate(s, fixed.DROPPED_RUNES, ""))
 
 
 # --- markup -----------------------------------------------------------------
@@ -206,11 +225,6 @@ def markup_text(xml: Column) -> Column:
     return trim_white(F.array_join(paragraphs, "\n\n"))
 
 
-def bind(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body(value)`` with ``value`` evaluated once, however often it is used."""
-    return F.transform(F.array(value), body)[0]
-
-
 def or_else(s: Column, other: Column) -> Column:
     """``other`` for a blank ``s``."""
     return bind(s, lambda x: F.when(x == "", other).otherwise(x))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from quirebind import fixed
 from quirebind.functions import names
-from quirebind.operators.ordered import GROUP_ROWS, number_within
+from quirebind.operators.ordered import GROUP_ROWS, in_parts
 
 HISTORY_ROWS = 10_000
 
@@ -27,12 +27,12 @@ def index_text(job_id: Column, filename: Column, units: Column, generated_at: Co
     )
     return F.concat(
         F.lit(fixed.INDEX_HEAD),
-        F.format_string(fixed.INDEX_JOB, job_id),
-        F.format_string(fixed.INDEX_SOURCE, filename),
-        F.format_string(
+        names.fill(fixed.INDEX_JOB, job_id),
+        names.fill(fixed.INDEX_SOURCE, filename),
+        names.fill(
             fixed.INDEX_TIME, F.date_format(generated_at, fixed.INDEX_TIME_FORMAT)
         ),
-        F.format_string(fixed.INDEX_COUNT, F.size(units)),
+        names.fill(fixed.INDEX_COUNT, F.size(units)),
         F.lit(fixed.INDEX_CONTENTS),
         F.array_join(links, ""),
     )
@@ -41,7 +41,7 @@ def index_text(job_id: Column, filename: Column, units: Column, generated_at: Co
 def log_head(job_id: Column, filename: Column) -> Column:
     return F.concat(
         F.lit(fixed.LOG_HEAD),
-        F.format_string(fixed.LOG_JOB, job_id, filename),
+        names.fill(fixed.LOG_JOB, job_id, filename),
         F.lit(fixed.LOG_HISTORY),
     )
 
@@ -49,7 +49,7 @@ def log_head(job_id: Column, filename: Column) -> Column:
 def log_tail(units: Column) -> Column:
     lines = F.transform(
         units,
-        lambda u: F.format_string(
+        lambda u: names.fill(
             fixed.LOG_UNIT, u["filename"], u["title"], F.octet_length(u["content"])
         ),
     )
@@ -70,15 +70,9 @@ def history_parts(
 
     A part holds at most ``history_rows`` lines.  Nearly every job has one.
     """
-    numbered = number_within(
-        log_rows(logs).select("job_id", "created_at", "log_id", "line"),
-        ["job_id"], ["created_at", "log_id"], "n", "rows", group_rows,
-    ).withColumn("part", F.floor((F.col("n") - 1) / history_rows).cast("int"))
-    parts = numbered.groupBy("job_id", "part").agg(
-        F.ceil(F.max("rows") / history_rows).cast("int").alias("parts"),
-        F.sort_array(F.collect_list(F.struct("n", "line"))).alias("lines"),
-    )
-    text = F.array_join(F.transform("lines", lambda x: F.concat(x["line"], F.lit("\n"))), "")
+    lines = log_rows(logs).select("job_id", "created_at", "log_id", "line")
+    parts = in_parts(lines, "job_id", ["created_at", "log_id"], history_rows, group_rows)
+    text = F.array_join(F.transform("rows", lambda x: F.concat(x["line"], F.lit("\n"))), "")
     return parts.select("job_id", "part", "parts", text.alias("history"))
 
 

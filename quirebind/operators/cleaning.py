@@ -14,9 +14,10 @@ def lines(docs: DataFrame, key: str = "doc_id", text_col: str = "text") -> DataF
 
 
 def readable_lines(df: DataFrame, share: float = fixed.READABLE_SHARE) -> DataFrame:
-    """Add the readability ratio of each line and whether it is kept."""
-    return df.withColumn("ratio", text.readable_ratio(F.col("line"))).withColumn(
-        "kept", (text.trim_white(F.col("line")) != "") & (F.col("ratio") >= share)
+    """Add the readability ratio of each line (trimmed) and whether it is kept."""
+    trimmed = df.withColumn("line", text.trim_white(F.col("line")))
+    return trimmed.withColumn("ratio", text.readable_ratio(F.col("line"))).withColumn(
+        "kept", text.is_readable(F.col("line"), share)
     )
 
 

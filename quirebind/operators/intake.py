@@ -21,7 +21,7 @@ def format_gate(uploads: DataFrame) -> DataFrame:
         "accepted", F.lower(ext).isin(fixed.ALLOWED_EXTENSIONS)
     ).withColumn(
         "reason",
-        F.when(F.col("accepted"), "").otherwise(F.format_string(fixed.REJECTED_FORMAT, ext)),
+        F.when(F.col("accepted"), "").otherwise(names.fill(fixed.REJECTED_FORMAT, ext)),
     )
 
 
@@ -65,7 +65,7 @@ def accept_jobs(uploads: DataFrame) -> dict[str, DataFrame]:
         "job_id",
         F.lit(step).alias("step"),
         F.lit(severity).alias("status"),
-        F.format_string(fixed.RECEIVED_MESSAGE, F.col("filename")).alias("message"),
+        names.fill(fixed.RECEIVED_MESSAGE, F.col("filename")).alias("message"),
         "created_at",
     )
     return {

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quirebind import fixed
 from quirebind.functions import names
-from quirebind.operators.ordered import GROUP_ROWS, number_within, previous_within
+from quirebind.operators.ordered import GROUP_ROWS, in_parts, previous_within
 
 JOB_COLUMNS = [
     "job_id", "user_id", "original_filename", "file_key", "bundle_key", "status",
@@ -119,20 +119,20 @@ def job_trace(
     One row per job, logs empty if it has none.  A job with more than
     ``page_rows`` audit rows gives several rows, numbered by ``trace_page``.
     """
-    numbered = number_within(logs, ["job_id"], ["created_at", "log_id"], "n", "rows", group_rows)
-    entry = F.struct("n", "log_id", "step", "status", "message", "created_at")
-    nested = (
-        numbered.withColumn("trace_page", F.floor((F.col("n") - 1) / page_rows).cast("int"))
-        .groupBy("job_id", "trace_page")
-        .agg(F.sort_array(F.collect_list(entry)).alias("logs"))
-        .withColumn("logs", F.transform("logs", lambda x: x.dropFields("n")))
+    rows = logs.select("job_id", "created_at", "log_id", "step", "status", "message")
+    nested = in_parts(rows, "job_id", ["created_at", "log_id"], page_rows, group_rows).select(
+        "job_id", F.col("part").alias("trace_page"), F.col("rows").alias("logs")
     )
     empty = F.array().cast(nested.schema["logs"].dataType)
     return (
         read_form(jobs)
         .join(nested, "job_id", "left")
-        .withColumn("trace_page", F.coalesce("trace_page", F.lit(0)))
-        .withColumn("logs", F.coalesce("logs", empty))
+        .withColumns(
+            {
+                "trace_page": F.coalesce("trace_page", F.lit(0)),
+                "logs": F.coalesce("logs", empty),
+            }
+        )
     )
 
 
@@ -150,7 +150,7 @@ def download_gate(requests: DataFrame, jobs: DataFrame) -> DataFrame:
     reason = (
         F.when(F.col("owner_id").isNull(), fixed.NOT_FOUND)
         .when(F.col("owner_id") != F.col("user_id"), fixed.NOT_OWNER)
-        .when(~ready, F.format_string(fixed.NOT_READY, F.col("status")))
+        .when(~ready, names.fill(fixed.NOT_READY, F.col("status")))
         .when(F.col("bundle_key") == "", fixed.NO_BUNDLE)
         .otherwise("")
     )

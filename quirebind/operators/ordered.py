@@ -91,3 +91,30 @@ def previous_within(
         .withColumn(out, F.when(F.col(_ROWS), F.col(_LAST)).otherwise(F.col(out)))
         .drop(_PART, _LAST, _ROWS)
     )
+
+
+def in_parts(
+    df: DataFrame,
+    key: str,
+    order: Sequence[str],
+    part_rows: int,
+    group_rows: int = GROUP_ROWS,
+) -> DataFrame:
+    """Rows of each group in order, as arrays of at most ``part_rows``.
+
+    Gives key, part (from 0), parts and rows.  When no group is larger than one
+    part, a fact the count has just shown, each is collected as it is; else the
+    rows are numbered first and every array takes its share of the numbers.
+    """
+    row = F.struct(*order, *[c for c in df.columns if c != key and c not in order])
+    if not has_large_group(df, [key], part_rows):
+        return df.groupBy(key).agg(
+            F.lit(0).alias("part"), F.lit(1).alias("parts"),
+            F.sort_array(F.collect_list(row)).alias("rows"),
+        )
+    numbered = number_within(df, [key], order, "_qb_n", "_qb_total", group_rows)
+    part = F.floor((F.col("_qb_n") - 1) / part_rows).cast("int")
+    return numbered.groupBy(key, part.alias("part")).agg(
+        F.ceil(F.max("_qb_total") / part_rows).cast("int").alias("parts"),
+        F.sort_array(F.collect_list(row)).alias("rows"),
+    )

@@ -50,7 +50,7 @@ def _heading_units(pieces: Column, title_bytes: int) -> Column:
         return F.struct(
             s["title"].alias("heading"),
             subtitle.alias("subtitle"),
-            F.when(s["title"].isNull(), F.lit(fixed.UNTITLED_UNIT % 1))
+            F.when(s["title"].isNull(), names.untitled(F.lit(1)))
             .when(absorbed, F.concat(s["title"], F.lit(" - "), subtitle))
             .otherwise(s["title"])
             .alias("title"),
@@ -210,8 +210,10 @@ def segment_headings(
 ) -> DataFrame:
     """Heading units alone, whatever their number; ``text`` is split as given
     after trimming.  Lines above the first heading form a unit of their own."""
-    trimmed = text.trim_white_right(text.trim_white_left(F.col("text")))
-    pieces = docs.select(key, F.split(trimmed, text.HEADING_BREAK, -1).alias(_PIECES))
+    trimmed = docs.select(key, text.trim_white_left(F.col("text")).alias(_BODY)).withColumn(
+        _BODY, text.trim_white_right(F.col(_BODY))
+    )
+    pieces = trimmed.select(key, F.split(_BODY, text.HEADING_BREAK, -1).alias(_PIECES))
     units = pieces.select(
         key,
         F.when(

@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quirebind import fixed
+from quirebind.functions import names
 from quirebind.functions.text import bind
 
 
@@ -65,7 +66,7 @@ def verdict_errors(has_index: Column, has_log: Column, dead: Column) -> Column:
     missing = F.array_compact(
         F.array(F.when(~has_index, fixed.NO_INDEX), F.when(~has_log, fixed.NO_LOG))
     )
-    broken = F.transform(dead, lambda x: F.format_string(fixed.BROKEN_LINK, x))
+    broken = F.transform(dead, lambda x: names.fill(fixed.BROKEN_LINK, x))
     # A bundle without its two files is not looked into any further.
     return F.when(has_index & has_log, broken).otherwise(missing)
 
@@ -85,10 +86,10 @@ def validate_bundles(entries: DataFrame) -> DataFrame:
         lambda x, i: F.struct(x.alias("name"), (i + 1).alias("pos")),
     )
     own = F.array(F.struct(F.col("path").alias("name"), F.lit(None).cast("int").alias("pos")))
-    names = entries.select(
+    given = entries.select(
         "bundle_id", F.inline_outer(F.when(is_index, F.concat(own, linked)).otherwise(own))
     )
-    met = names.groupBy("bundle_id", "name").agg(
+    met = given.groupBy("bundle_id", "name").agg(
         F.max(F.col("pos").isNull()).alias("exists"), F.collect_list("pos").alias("links")
     )
     name = F.col("name")

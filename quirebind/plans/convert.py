@@ -100,7 +100,7 @@ def _converted(found: DataFrame, generated_at: Column) -> DataFrame:
         F.when(good, fixed.COMPLETED).otherwise(fixed.INVALID).alias("status"),
         F.when(good, names.bundle_key(user, job)).otherwise("").alias("bundle_key"),
         F.when(good, "")
-        .otherwise(F.format_string(fixed.REFUSED_MESSAGE, F.array_join(errors, " ")))
+        .otherwise(names.fill(fixed.REFUSED_MESSAGE, F.array_join(errors, " ")))
         .alias("error_message"),
         F.size("units").alias("units_count"),
         F.when(F.size("targets") == 0, F.array(F.lit(fixed.NO_LINKS)))
@@ -157,7 +157,7 @@ def audit_rows(results: DataFrame, batch_id: Column, at: Column) -> DataFrame:
     refused = row(fixed.REFUSED_STEP, F.col("error_message"))
     published = row(
         fixed.PUBLISHED_STEP,
-        F.format_string(fixed.PUBLISHED_MESSAGE, F.col("units_count"), F.col("bundle_key")),
+        names.fill(fixed.PUBLISHED_MESSAGE, F.col("units_count"), F.col("bundle_key")),
     )
     rows = (
         F.when(F.col("status") == fixed.FAILED, F.array(started))

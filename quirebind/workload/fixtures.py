@@ -30,7 +30,10 @@ def generated_at() -> Column:
 
 def uid(n: Column) -> Column:
     """An id in UUID layout from a number."""
-    return F.format_string("%08d-0000-4000-8000-%012d", n % 100000000, n)
+    return F.concat(
+        F.lpad((n % 100000000).cast("string"), 8, "0"), F.lit("-0000-4000-8000-"),
+        F.lpad(n.cast("string"), 12, "0"),
+    )
 
 
 def _choose(values: list[str], n: Column) -> Column:
@@ -249,8 +252,9 @@ def registrations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sign-ups from events: some for taken addresses, many repeated."""
     n, user = F.col("event_id"), F.col("user_id")
     email = F.when(
-        n % 2 == 0, F.format_string("customer#%09d@example.com", user)
-    ).otherwise(F.format_string("new%d@example.com", n % 997))
+        n % 2 == 0, F.concat(
+            F.lit("customer#"), F.lpad(user.cast("string"), 9, "0"), F.lit("@example.com"))
+    ).otherwise(F.concat(F.lit("new"), (n % 997).cast("string"), F.lit("@example.com")))
     return table(spark, sf_dir, "events").select(
         email.alias("email"), uid(n).alias("user_id"), n.alias("arrival")
     )

@@ -71,8 +71,8 @@ def filename_parts(spark, sf):
 
 @query
 def go_trim(spark, sf):
-    trimmed = text.trim_white_right(text.trim_white_left(F.col("text")))
-    return fx.docs(spark, sf).select("doc_id", trimmed.alias("text"))
+    left = fx.docs(spark, sf).select("doc_id", text.trim_white_left(F.col("text")).alias("text"))
+    return left.select("doc_id", text.trim_white_right(F.col("text")).alias("text"))
 
 
 @query
