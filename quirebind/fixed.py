@@ -43,6 +43,7 @@ DROPPED_RUNES = "".join(
     c for c in map(chr, range(192)) if c not in "\t\n" and not " " <= c <= "~"
 )
 READABLE_SHARE = 0.70
+ENTITIES = {"lt": "<", "gt": ">", "quot": '"', "apos": "'", "amp": "&"}
 EMPTY_MARKUP = "Contenido de texto vacío en el documento Word."
 EMPTY_SCAN = (
     "*Nota: El archivo PDF procesado no contiene texto seleccionable o es una imagen escaneada.*"

@@ -177,33 +177,43 @@ _PARAGRAPH_START = r"<(?:\w+:)?p(?=[\s/>])"
 _TEXT_ELEMENT = r"(?s)<(?:\w+:)?t(?:\s(?:[^>]*[^/>])?)?>(.*?)</(?:\w+:)?t\s*>"
 
 
-def _code_point(ref: Column) -> Column:
+_REFERENCE = r"(?s)^#(x[0-9A-Fa-f]{1,6}|[0-9]{1,7});(.*)\z"
+
+
+def _code_point(digits: Column) -> Column:
     """Character for the digits of a numeric reference ('65' or 'x41')."""
-    digits = F.when(ref.startswith("x"), F.substr(ref, F.lit(2))).otherwise(
-        F.hex(ref.try_cast("bigint"))
+    code = F.when(digits.startswith("x"), F.substr(digits, F.lit(2))).otherwise(
+        F.hex(digits.try_cast("bigint"))
     )
-    return F.decode(F.unhex(F.lpad(digits, 8, "0")), "UTF-32BE")
-
-
-def _numeric_references(s: Column) -> Column:
-    head = F.substring_index(s, "&#", 1)
-    tails = F.slice(F.split(s, "&#", -1), 2, 2147483647)
-    ref = r"(?s)^(x[0-9A-Fa-f]{1,6}|[0-9]{1,7});(.*)\z"
-    decoded = F.transform(
-        tails,
-        lambda t: F.when(
-            t.rlike(ref),
-            F.concat(_code_point(F.regexp_extract(t, ref, 1)), F.regexp_extract(t, ref, 2)),
-        ).otherwise(F.concat(F.lit("&#"), t)),
-    )
-    return F.when(s.contains("&#"), F.concat(head, F.array_join(decoded, ""))).otherwise(s)
+    return F.decode(F.unhex(F.lpad(code, 8, "0")), "UTF-32")
 
 
 def _decode_entities(s: Column) -> Column:
-    s = _numeric_references(s)
-    for name, char in [("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "'"), ("amp", "&")]:
-        s = F.replace(s, F.lit(f"&{name};"), F.lit(char))
-    return s
+    """Named and numeric references, each decoded once."""
+
+    def decoded(tail: Column) -> Column:
+        found = F.when(
+            tail.rlike(_REFERENCE),
+            F.concat(
+                _code_point(F.regexp_extract(tail, _REFERENCE, 1)),
+                F.regexp_extract(tail, _REFERENCE, 2),
+            ),
+        )
+        for name, char in fixed.ENTITIES.items():
+            found = found.when(
+                tail.startswith(f"{name};"),
+                F.concat(F.lit(char), F.substr(tail, F.lit(len(name) + 2))),
+            )
+        return found.otherwise(F.concat(F.lit("&"), tail))
+
+    def whole(x: Column) -> Column:
+        pieces = F.split(x, "&", -1)
+        tails = F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), decoded)
+        return F.when(
+            x.contains("&"), F.concat(pieces[0], F.array_join(tails, ""))
+        ).otherwise(x)
+
+    return bind(s, whole)
 
 
 def markup_text(xml: Column) -> Column:

@@ -21,6 +21,7 @@ from quirebind.operators.bundle import (
 from quirebind.operators.segment import with_units
 from quirebind.operators.validate import dead_links, links, verdict_errors
 
+
 def _started_line(at: Column) -> Column:
     """History line of the attempt being made."""
     step, severity = fixed.STARTED_STEP
@@ -39,7 +40,8 @@ def convert_corpus(
     """Convert the document of every message.
 
     ``messages``: job_id, user_id, original_filename, file_key, one row per job
-    (see ``idempotent_intake``).  ``documents``: file_key, text, one row per key.
+    (see ``idempotent_intake``); they are read several times, so give a stored
+    table.  ``documents``: file_key, text, one row per key.
     ``logs``: audit rows so far.  ``keys`` may add the partition column of a
     stored document table, so that only the folders asked for are read.
 

@@ -305,7 +305,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_type").alias("ignored"),
     ))
     cut = F.substring(payload, 1, 60)
-    return table(spark, sf_dir, "events").select(
+    return spread(table(spark, sf_dir, "events")).select(
         F.when(n % 50 == 0, cut).otherwise(payload).alias("value"), n.alias("arrival")
     )
 

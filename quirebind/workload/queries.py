@@ -4,7 +4,7 @@ Results are projected to plain columns (text, integers, booleans, doubles) so
 that they compare with DuckDB.
 """
 
-import tempfile
+import uuid
 from collections.abc import Callable
 from datetime import datetime, timezone
 
@@ -15,7 +15,7 @@ from quirebind import fixed
 from quirebind.functions import names, text
 from quirebind.operators import bundle, cleaning, intake, ledger, segment, validate
 from quirebind.plans import convert
-from quirebind.session import shared_folder
+from quirebind.session import settle, shared_folder
 from quirebind.sources import documents
 from quirebind.sources import results as store
 from quirebind.streaming.intake import start_intake
@@ -400,8 +400,9 @@ def idempotent_intake(spark, sf):
 
 
 def _converted(spark: SparkSession, sf: str) -> DataFrame:
+    # The conversion reads its messages several times, so they are stored first.
     return convert.convert_corpus(
-        _intake(spark, sf), fx.stored_docs(spark, sf), fx.logs(spark, sf), fx.generated_at()
+        settle(_intake(spark, sf)), fx.stored_docs(spark, sf), fx.logs(spark, sf), fx.generated_at()
     )
 
 
@@ -425,8 +426,7 @@ def audit_rows(spark, sf):
 @query
 def stream_ingest(spark, sf):
     """All messages through the stream in several batches: the jobs' states."""
-    root = tempfile.mkdtemp(prefix="stream-", dir=shared_folder(spark)) \
-        if shared_folder(spark).startswith("/") else f"{shared_folder(spark)}/stream"
+    root = f"{shared_folder(spark)}/stream-{uuid.uuid4()}"
     fx.messages(spark, sf).select("value").repartition(4).write.mode("overwrite").text(
         f"{root}/messages"
     )
