@@ -26,7 +26,7 @@ def has_large_group(df: DataFrame, keys: Sequence[str], group_rows: int) -> bool
 def _placed(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Rows with the number of the sorted part they lie in.
 
-    The part number must be the same in every later use, hence the checkpoint.
+    The part number must be the same in every later use, so the rows are stored.
     A random last sort key splits rows that agree on all others.
     """
     tie = F.rand(7)

@@ -1,11 +1,12 @@
 """Messages and documents to validated bundles.
 
-Shuffles: the messages meet the job history on job id (small rows), then the
-documents on file key.  That join is an inner one, so Spark may broadcast the
-message side while it is below its size threshold, which leaves the texts where
-they are; beyond it the texts move once, by file key, and AQE splits a hot key.
-Messages without a document are found on keys alone.  Everything after the join
-stays inside the row.
+Shuffles: the messages meet the job history on job id; both are small rows, and
+the outcome is stored.  Then they meet the documents on file key.  That join is
+an inner one against a table of known size, so Spark broadcasts the messages
+while they are below its threshold, which leaves the texts where they are;
+beyond it the texts move once, by file key, and AQE splits a hot key.  Messages
+without a document are found on keys alone.  Everything after the join stays
+inside the row.
 """
 
 from collections.abc import Sequence
@@ -20,6 +21,7 @@ from quirebind.operators.bundle import (
 )
 from quirebind.operators.segment import with_units
 from quirebind.operators.validate import dead_links, links, verdict_errors
+from quirebind.session import settle
 
 
 def _started_line(at: Column) -> Column:
@@ -29,6 +31,32 @@ def _started_line(at: Column) -> Column:
     return F.concat(line, F.lit("\n"))
 
 
+def with_history(
+    messages: DataFrame,
+    logs: DataFrame,
+    history_rows: int = HISTORY_ROWS,
+    keys: Sequence[str] = ("file_key",),
+) -> DataFrame:
+    """Messages with the first part of their jobs' history: parts, history."""
+    wanted = logs.join(messages.select("job_id"), "job_id", "left_semi")
+    first = history_parts(wanted, history_rows).filter("part = 0").drop("part")
+    return messages.select("job_id", "user_id", "original_filename", *keys).join(
+        first, "job_id", "left"
+    )
+
+
+def convert_documents(
+    asked: DataFrame,
+    documents: DataFrame,
+    generated_at: Column,
+    keys: Sequence[str] = ("file_key",),
+) -> DataFrame:
+    """Convert the documents of ``with_history`` rows; see ``convert_corpus``."""
+    found = asked.join(documents.select(*keys, "text"), [*keys])
+    missing = asked.join(documents.select(*keys), [*keys], "left_anti")
+    return _converted(found, generated_at).unionByName(_failed(missing))
+
+
 def convert_corpus(
     messages: DataFrame,
     documents: DataFrame,
@@ -41,19 +69,15 @@ def convert_corpus(
 
     ``messages``: job_id, user_id, original_filename, file_key, one row per job
     (see ``idempotent_intake``); they are read several times, so give a stored
-    table.  ``documents``: file_key, text, one row per key.
-    ``logs``: audit rows so far.  ``keys`` may add the partition column of a
-    stored document table, so that only the folders asked for are read.
+    table.  ``documents``: file_key, text, one row per key.  ``logs``: audit
+    rows so far.  ``keys`` may add the partition column of a stored document
+    table, so that only the folders asked for are read.
 
     Gives one row per message with the final state; ``entries`` is null unless
     the bundle is valid.  A missing document is a FAILED row, never an exception.
     """
-    wanted = logs.join(messages.select("job_id"), "job_id", "left_semi")
-    first = history_parts(wanted, history_rows).filter("part = 0").drop("part")
-    asked = messages.select("job_id", "user_id", "original_filename", *keys)
-    found = asked.join(first, "job_id", "left").join(documents.select(*keys, "text"), [*keys])
-    missing = asked.join(documents.select(*keys), [*keys], "left_anti")
-    return _converted(found, generated_at).unionByName(_failed(missing))
+    asked = settle(with_history(messages, logs, history_rows, keys))
+    return convert_documents(asked, documents, generated_at, keys)
 
 
 def _failed(messages: DataFrame) -> DataFrame:

@@ -1,7 +1,7 @@
 """Session settings and the shared folder for written intermediate results."""
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,9 +38,12 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint, which survives lost executors."""
+    """Cut the lineage: write the rows to the shared folder and read them back.
+
+    The files outlive lost executors, and their size is known to the planner,
+    so a small result is broadcast and a large one is not.
+    """
     spark = df.sparkSession
-    folder = shared_folder(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(os.path.join(folder, "checkpoints"))
-    return df.checkpoint()
+    path = f"{shared_folder(spark)}/settled/{uuid.uuid4()}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

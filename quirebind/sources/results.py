@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from quirebind import fixed
 
-RESULTS, LETTERS, INTAKE, LOG_PARTS = "results", "dead_letters", "intake", "log_parts"
+RESULTS, LETTERS, INTAKE, ATTEMPTS, LOG_PARTS = (
+    "results", "dead_letters", "intake", "attempts", "log_parts",
+)
 SCHEMAS = {
     RESULTS: "job_id string, user_id string, original_filename string, status string, "
     "bundle_key string, error_message string, units_count int, warnings array<string>, "
@@ -19,6 +21,8 @@ SCHEMAS = {
     LETTERS: "value string, problem string, batch_id bigint",
     INTAKE: "job_id string, user_id string, original_filename string, file_key string, "
     "timestamp string, batch_id bigint",
+    ATTEMPTS: "job_id string, user_id string, original_filename string, file_key string, "
+    "parts int, history string, batch_id bigint",
     LOG_PARTS: "job_id string, part int, content string, batch_id bigint",
 }
 
@@ -39,6 +43,11 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{root}/{name}")
 
 
+def read_batch(spark: SparkSession, root: str, name: str, batch_id: int) -> DataFrame:
+    rows = read_table(spark, root, name).filter(F.col("batch_id") == batch_id)
+    return rows.drop("batch_id")
+
+
 def read_entries(spark: SparkSession, root: str) -> DataFrame:
     """Entries of the published bundles: bundle_id, path, part, content.
 

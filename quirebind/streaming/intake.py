@@ -15,7 +15,9 @@ from pyspark.sql.streaming import StreamingQuery
 from quirebind import fixed
 from quirebind.operators.bundle import HISTORY_ROWS
 from quirebind.operators.intake import dead_letters, idempotent_intake, parse_messages
-from quirebind.plans.convert import audit_rows, convert_corpus, further_log_parts
+from quirebind.plans.convert import (
+    audit_rows, convert_documents, further_log_parts, with_history,
+)
 from quirebind.sources import results as store
 
 
@@ -46,12 +48,14 @@ def process_batch(
     completed = earlier.filter(F.col("status") == fixed.COMPLETED)
     arrived = parsed.withColumn("arrival", F.col("timestamp"))
     store.write_batch(idempotent_intake(arrived, completed), root, store.INTAKE, batch_id)
-    messages = store.read_table(spark, root, store.INTAKE).filter(
-        F.col("batch_id") == batch_id
-    ).drop("batch_id")
+    messages = store.read_batch(spark, root, store.INTAKE, batch_id)
 
     history = ledger_logs(logs, earlier)
-    converted = convert_corpus(messages, documents, history, at, history_rows)
+    store.write_batch(
+        with_history(messages, history, history_rows), root, store.ATTEMPTS, batch_id
+    )
+    attempts = store.read_batch(spark, root, store.ATTEMPTS, batch_id)
+    converted = convert_documents(attempts, documents, at)
     store.write_batch(
         converted.withColumn("generated_at", at), root, store.RESULTS, batch_id
     )
