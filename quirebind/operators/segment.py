@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from quirebind import fixed
 from quirebind.functions import names, text
 
+# Paragraphs per inner fold of the chunking.
+_BLOCK = 512
 _BODY, _PIECES, _CHUNKS, _STEM = "_qb_body", "_qb_pieces", "_qb_chunks", "_qb_stem"
 
 
@@ -62,46 +64,75 @@ def _heading_units(pieces: Column, title_bytes: int) -> Column:
     return F.transform(_split_heads(pieces), unit)
 
 
-def _fold_chunks(body: Column, title_bytes: int, chunk_bytes: int) -> Column:
-    """Greedy chunks of a text: array<struct(title, body)>, '' for no title.
+def _chunk_ends(sizes: Column, chunk_bytes: int) -> Column:
+    """Positions (from 1) of the last paragraph of each greedy chunk.
 
-    One pass; the only thing that grows is the list of finished chunks, which
-    is extended once per chunk, not per paragraph.
+    Spark copies the state of ``aggregate`` at every step, so the state must
+    stay small: it holds numbers only, and an inner fold over a block of
+    paragraphs collects the ends of that block before the outer one adds them.
     """
+    none = F.expr("cast(array() as array<int>)")
+    count = F.size(sizes)
+    blocks = F.transform(
+        F.sequence(F.lit(0), F.floor((count - 1) / _BLOCK).cast("int")),
+        lambda i: F.slice(sizes, i * _BLOCK + 1, F.lit(_BLOCK)),
+    )
+
+    def state(size: Column, at: Column, ends: Column) -> Column:
+        return F.struct(
+            size.cast("bigint").alias("size"), at.cast("int").alias("at"), ends.alias("ends")
+        )
+
+    def paragraph(s: Column, x: Column) -> Column:
+        full = s["size"] + x >= chunk_bytes
+        return state(
+            F.when(full, 0).otherwise(s["size"] + x),
+            s["at"] + 1,
+            F.when(full, F.concat(s["ends"], F.array(s["at"] + 1))).otherwise(s["ends"]),
+        )
+
+    def block(a: Column, xs: Column) -> Column:
+        return F.aggregate(
+            xs, state(a["size"], a["at"], none), paragraph,
+            lambda s: state(s["size"], s["at"], F.concat(a["ends"], s["ends"])),
+        )
+
+    def finish(a: Column) -> Column:
+        rest = F.when(a["size"] > 0, F.array(a["at"])).otherwise(none)
+        return F.concat(a["ends"], rest)
+
+    zero = state(F.lit(0), F.lit(0), none)
+    return F.when(count > 0, F.aggregate(blocks, zero, block, finish)).otherwise(none)
+
+
+def _fold_chunks(body: Column, title_bytes: int, chunk_bytes: int) -> Column:
+    """Greedy chunks of a text: array<struct(title, body)>, '' for no title."""
     paragraphs = F.filter(
         F.transform(F.split(body, "\n\n", -1), text.trim_white), lambda p: p != ""
     )
-    nothing = F.lit("")
-    empty = F.struct(
-        nothing.alias("title"),
-        nothing.alias("body"),
-        F.lit(0).cast("bigint").alias("size"),
-        F.expr("cast(array() as array<struct<title: string, body: string>>)").alias("done"),
-    )
 
-    def add(a: Column, p: Column) -> Column:
+    def candidate(p: Column) -> Column:
         line = text.first_line(p)
-        title = (
-            F.when(a["title"] != "", a["title"])
-            .when(F.octet_length(line) < title_bytes, F.regexp_replace(line, "^# ", ""))
-            .otherwise("")
-        )
-        body = F.when(a["size"] == 0, p).otherwise(F.concat(a["body"], F.lit("\n\n"), p))
-        size = a["size"] + F.octet_length(p)
-        full = size >= chunk_bytes
-        chunk = F.array(F.struct(title.alias("title"), body.alias("body")))
+        short = F.octet_length(line) < title_bytes
+        return F.when(short, F.regexp_replace(line, "^# ", "")).otherwise("")
+
+    def chunk(ps: Column) -> Column:
+        titles = F.filter(F.transform(ps, candidate), lambda t: t != "")
         return F.struct(
-            F.when(full, "").otherwise(title).alias("title"),
-            F.when(full, "").otherwise(body).alias("body"),
-            F.when(full, F.lit(0).cast("bigint")).otherwise(size).alias("size"),
-            F.when(full, F.concat(a["done"], chunk)).otherwise(a["done"]).alias("done"),
+            F.coalesce(F.get(titles, F.lit(0)), F.lit("")).alias("title"),
+            F.array_join(ps, "\n\n").alias("body"),
         )
 
-    def finish(a: Column) -> Column:
-        rest = F.array(F.struct(a["title"], a["body"]))
-        return F.when(a["size"] > 0, F.concat(a["done"], rest)).otherwise(a["done"])
+    def chunks(ps: Column) -> Column:
+        def cut(ends: Column) -> Column:
+            start = lambda i: F.coalesce(F.get(ends, i - 1), F.lit(0))
+            pieces = F.transform(ends, lambda e, i: F.slice(ps, start(i) + 1, e - start(i)))
+            return F.transform(pieces, chunk)
+
+        sizes = F.transform(ps, F.octet_length)
+        return text.bind(text.bind(sizes, lambda x: _chunk_ends(x, chunk_bytes)), cut)
 
-    return F.aggregate(paragraphs, empty, add, finish)
+    return text.bind(paragraphs, chunks)
 
 
 def _chunk_units(chunks: Column) -> Column:

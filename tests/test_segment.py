@@ -171,3 +171,12 @@ def test_chunks_hold_every_paragraph_and_are_full(spark):
         paragraphs = u.content.split("\n\n", 1)[1]
         size = sum(len(p.encode()) for p in paragraphs.split("\n\n"))
         assert u.unit_no == last[u.doc_id] or size + 1 >= 300
+
+
+def test_chunks_across_fold_blocks_match_duckdb(spark):
+    """More paragraphs than one inner fold takes."""
+    rows = [("d", "a.txt", "\n\n".join(f"p{i} " + "x" * (i * 37 % 90) for i in range(1700)))]
+    ours = segment.segment_long(docs(spark, rows)).select("doc_id", "unit_no", "title", "content")
+    assert sorted(repr(tuple(r)) for r in ours.collect()) == duck(
+        rows, "SELECT doc_id, unit_no, title, content FROM l_units", ["l_units"], oracle.LONG
+    )
