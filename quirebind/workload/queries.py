@@ -11,7 +11,6 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quirebind import fixed
 from quirebind.functions import names, text
 from quirebind.operators import bundle, cleaning, intake, ledger, segment, validate
 from quirebind.plans import convert
