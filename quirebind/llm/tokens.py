@@ -1,13 +1,15 @@
-"""Token ids of whole texts, with a memory of the words seen before.
-
-The word tokenizer drops white space and never merges across it, so a text's
-ids are its words' ids in a row.  A task keeps the ids of the words it has met
-(at most ``REMEMBERED``, then it starts anew; that changes no result) and calls
-the tokenizer for new words only.
+"""Token ids of whole texts, with a memory of the pieces seen before.
+
+The word tokenizer drops white space and never merges across it, nor between a
+letter and what is none.  So a text's ids are those of its runs of letters and of
+other marks in a row.  A task keeps the ids of the pieces it has met (up to a
+fixed number, then it starts anew; that changes no result) and calls the
+tokenizer for new pieces only.  Words with an apostrophe or with characters
+beyond the Latin letters, where normalisation may move borders, stay whole.
 """
 
 import os
-import unicodedata
+import re
 import zlib
 from collections.abc import Iterator
 from typing import Any
@@ -16,12 +18,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from quirebind.llm.words import id_and_text, map_rows, words
+from quirebind.llm.words import id_and_text, lower_ascii, map_rows, words
 
-REMEMBERED = 200_000
-#: ASCII marks that the tokenizer never joins with a letter before them; the
-#: characters of its special tokens (<, |, >) and the apostrophe are not here.
-_TAIL = ".,!?;:*%$&#"
+REMEMBERED = 800_000
+_PIECE = re.compile(r"[a-zA-ZÀ-ÖØ-öø-ÿ]+|[^\x20\x09-\x0Da-zA-ZÀ-ÖØ-öø-ÿ]+")
+_HARD = re.compile(r"'|[^\x00-\x7FÀ-ÿ]")
 _ENCODERS: dict[str, "WordEncoder"] = {}
 
 
@@ -31,9 +32,15 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def _ends_in_letter(core: str) -> bool:
-    """Also after the tokenizer's own normalisation, which may split a letter."""
-    return unicodedata.normalize("NFC", core[-1].lower())[-1].isalpha()
+def pieces_of(text: str) -> list[str]:
+    """A text cut where the tokenizer cuts it anyway, A-Z in lower case as it
+    does itself.  Its special tokens, known in lower case only, stay whole."""
+    if "<|" in text:
+        return words(text)
+    text = lower_ascii(text)
+    if not _HARD.search(text):
+        return _PIECE.findall(text)
+    return [x for w in words(text) for x in ([w] if _HARD.search(w) else _PIECE.findall(w))]
 
 
 class WordEncoder:
@@ -51,44 +58,27 @@ class WordEncoder:
     def _bytes(self, ids: list[int]) -> bytes:
         return np.array(ids, self.kind).tobytes()
 
-    def _learn(self, unknown: set[str]) -> None:
-        if len(self.known) + 2 * len(unknown) > REMEMBERED:
+    def _learn(self, unknown: list[str]) -> None:
+        if len(self.known) + len(unknown) > REMEMBERED:
             self.known.clear()
-        parts: dict[str, tuple[str, str]] = {}
-        ask: set[str] = set()
-        for word in unknown:
-            core = word.rstrip(_TAIL)
-            if core and core != word and _ends_in_letter(core):
-                parts[word] = (core, word[len(core) :])
-                ask.update(x for x in parts[word] if x not in self.known)
-            else:
-                ask.add(word)
-        asked = list(ask)
-        for at in range(0, len(asked), 1000):
-            some = asked[at : at + 1000]
+        for at in range(0, len(unknown), 1000):
+            some = unknown[at : at + 1000]
             made = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
             self.known.update(zip(some, (self._bytes(e.ids) for e in made), strict=True))
-        for word, (core, tail) in parts.items():
-            self.known[word] = self.known[core] + self.known[tail]
 
     def texts(self, texts: list[str | None], end: int) -> list[bytes]:
         """The ids of each text, followed by the id ``end``."""
-        split = [words(t) for t in texts]
-        unknown = {w for ws in split for w in ws if w not in self.known}
-        last = self._bytes([end])
-        if unknown:
-            self._learn(unknown)
-            # After a new start, words known before are to be learned again.
-            if lost := {w for ws in split for w in ws if w not in self.known}:
-                self._learn_more(lost)
-        known = self.known
-        return [b"".join([known[w] for w in ws]) + last for ws in split]
-
-    def _learn_more(self, lost: set[str]) -> None:
-        kept = dict(self.known)
-        self.known.clear()
-        self._learn(lost)
-        self.known.update(kept)
+        out, last = [], self._bytes([end])
+        for text in texts:
+            pieces = pieces_of(text) if text else []
+            ids = list(map(self.known.get, pieces))
+            if None in ids:
+                self._learn(list({w for w, x in zip(pieces, ids, strict=True) if x is None}))
+                known = self.known
+                ids = [known[w] if x is None else x for w, x in zip(pieces, ids, strict=True)]
+            ids.append(last)
+            out.append(b"".join(ids))
+        return out
 
 
 def encoder(path: str) -> WordEncoder:

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
-_LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(ord("A"), ord("Z") + 1)})
 
 
 def words(text: str | None) -> list[str]:
@@ -18,9 +17,14 @@ def words(text: str | None) -> list[str]:
     return WORD.findall(text) if text else []
 
 
+def lower_ascii(text: str) -> str:
+    """A-Z in lower case; all other letters stay."""
+    return text.encode().lower().decode()
+
+
 def lower_words(text: str | None) -> list[str]:
-    """The same with A-Z in lower case; all other letters stay."""
-    return WORD.findall(text.translate(_LOWER)) if text else []
+    """Words of the text in lower case (A-Z only)."""
+    return WORD.findall(lower_ascii(text)) if text else []
 
 
 def map_rows(
