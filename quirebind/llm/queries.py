@@ -7,7 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quirebind.llm import packing, quality, token_files
+from quirebind.llm import packing, pii, quality, token_files
 from quirebind.session import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,3 +49,8 @@ def op3_token_files(spark, sf_dir):
     path = f"{shared_folder(spark)}/token-files-{uuid.uuid4()}"
     token_files.write_token_files(documents(spark, sf_dir), path)
     return token_files.read_token_files(spark, path)
+
+
+@query
+def op4_pii(spark, sf_dir):
+    return pii.pii_report(documents(spark, sf_dir))
