@@ -7,7 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quirebind.llm import packing, pii, quality, token_files
+from quirebind.llm import chat, decontaminate, packing, pii, quality, token_files
 from quirebind.session import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,3 +54,17 @@ def op3_token_files(spark, sf_dir):
 @query
 def op4_pii(spark, sf_dir):
     return pii.pii_report(documents(spark, sf_dir))
+
+
+@query
+def op5_chat(spark, sf_dir):
+    return chat.rotated(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+ORACLE["op5_chat"] = chat.ORACLE
+
+
+@query
+def op6_decontamination(spark, sf_dir):
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate.leak_report(documents(spark, sf_dir), benchmark)
