@@ -7,7 +7,9 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quirebind.llm import chat, decontaminate, packing, pii, quality, token_files
+from quirebind.llm import (
+    chat, decontaminate, language, licenses, packing, pii, quality, token_files,
+)
 from quirebind.session import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,3 +70,13 @@ ORACLE["op5_chat"] = chat.ORACLE
 def op6_decontamination(spark, sf_dir):
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontaminate.leak_report(documents(spark, sf_dir), benchmark)
+
+
+@query
+def op7_licenses(spark, sf_dir):
+    return licenses.license_report(documents(spark, sf_dir))
+
+
+@query
+def op8_language(spark, sf_dir):
+    return language.identified(documents(spark, sf_dir))
