@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 from quirebind.llm import (
-    chat, decontaminate, language, licenses, packing, pii, quality, token_files,
+    chat, decontaminate, language, licenses, near, packing, pii, quality, token_files,
 )
 from quirebind.session import shared_folder
 
@@ -80,3 +80,8 @@ def op7_licenses(spark, sf_dir):
 @query
 def op8_language(spark, sf_dir):
     return language.identified(documents(spark, sf_dir))
+
+
+@query
+def op10_near_duplicates(spark, sf_dir):
+    return near.near_report(documents(spark, sf_dir))
