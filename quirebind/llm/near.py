@@ -53,7 +53,7 @@ _A = _rng.integers(1, 1 << 63, COORDINATES, dtype=np.uint64) | np.uint64(1)
 _B = _rng.integers(1, 1 << 63, COORDINATES, dtype=np.uint64)
 
 
-def _word_hash(word: str) -> int:
+def word_hash(word: str) -> int:
     return int.from_bytes(hashlib.blake2b(word.encode(), digest_size=8).digest(), "little")
 
 
@@ -69,7 +69,7 @@ def shingles(text: str | None) -> np.ndarray:
         for i, h in enumerate(known):
             if h is None:
                 w = words[i]
-                known[i] = _WORDS[w] if w in _WORDS else _WORDS.setdefault(w, _word_hash(w))
+                known[i] = _WORDS[w] if w in _WORDS else _WORDS.setdefault(w, word_hash(w))
     h = np.array(known, np.uint64)
     n = max(1, len(h) - SHINGLE + 1)
     with np.errstate(over="ignore"):

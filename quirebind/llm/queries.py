@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 from quirebind.llm import (
-    chat, decontaminate, language, licenses, near, packing, pii, quality, token_files,
+    chat, decontaminate, language, licenses, lm, near, packing, pii, quality, token_files,
 )
 from quirebind.session import shared_folder
 
@@ -85,3 +85,8 @@ def op8_language(spark, sf_dir):
 @query
 def op10_near_duplicates(spark, sf_dir):
     return near.near_report(documents(spark, sf_dir))
+
+
+@query
+def op9_language_model(spark, sf_dir):
+    return lm.scored(documents(spark, sf_dir))
