@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quirebind.llm import packing, quality
+from quirebind.llm import decontaminate, near, packing, pii, quality
 from quirebind.session import shared_folder
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -16,6 +16,21 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays, that of the least id."""
+    return near.one_of_each(docs)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that leak a benchmark item go."""
+    return decontaminate.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data is replaced by its kind; every document stays."""
+    return pii.masked(docs)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of 4096 ids."""
     return packing.pieces(docs)
@@ -23,6 +38,9 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES: list[tuple[str, Stage]] = [
     ("quality rules", quality_rules),
+    ("MinHash near-dedup", near_dedup),
+    ("benchmark decontamination", benchmark_decontamination),
+    ("PII", personal_data),
     ("packing", pack),
 ]
 
