@@ -116,13 +116,18 @@ def _bitmap(items: DataFrame) -> Column:
 
 
 def item_windows(benchmark: DataFrame) -> DataFrame:
-    """item_id, ipos, hash, islots and the item's number of windows."""
+    """item_id, n_windows (places), ipos, hash, islots.
+
+    An item stands with its names as placeholders and, for documents that write all
+    in one case, with its names as words."""
     found = benchmark.select(
         F.col("item_id").cast("bigint").alias("item_id"),
-        _windows(F.col("text"), None).alias("windows"),
+        _windows(F.col("text"), None).alias("named"),
+        _windows(F.lower("text"), None).alias("plain"),
     )
     return found.select(
-        "item_id", F.size("windows").alias("n_windows"), F.inline("windows")
+        "item_id", F.greatest(F.size("named"), F.size("plain")).alias("n_windows"),
+        F.inline(F.array_distinct(F.concat("named", "plain"))),
     ).withColumnsRenamed({"pos": "ipos", "slots": "islots"})
 
 

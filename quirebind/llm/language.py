@@ -62,8 +62,9 @@ def ranked(numbers: np.ndarray, size: int = PROFILE) -> np.ndarray:
 
 
 def held_out(doc_id: Column, folds: int, which: int) -> Column:
-    number = F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))
-    return number % folds == which
+    """Whether a document is in fold ``which``; one without an id is in none."""
+    number = F.crc32(doc_id.cast("string").cast("binary"))
+    return F.coalesce(number % folds == which, F.lit(False))
 
 
 def learn(texts: DataFrame, size: int = PROFILE) -> dict[str, list[int]]:
