@@ -11,7 +11,7 @@ import re
 import sys
 import time
 
-from quirebind.session import local_session
+from quirebind.session import drop_settled, local_session
 from quirebind.workload.queries import QUERIES
 
 HEADLINES = [
@@ -37,6 +37,7 @@ def main() -> None:
     for name in sys.argv[1:] or HEADLINES:
         timed(name, folder, spark)
         times[name] = round(timed(name, folder, spark), 3)
+        drop_settled(spark)
     scale = re.search(r"sf([0-9.]+)", folder)
     print(json.dumps({
         "metric": "total seconds of the headline queries",

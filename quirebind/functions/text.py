@@ -177,27 +177,43 @@ _PARAGRAPH_START = r"<(?:\w+:)?p(?=[\s/>])"
 _TEXT_ELEMENT = r"(?s)<(?:\w+:)?t(?:\s(?:[^>]*[^/>])?)?>(.*?)</(?:\w+:)?t\s*>"
 
 
-_REFERENCE = r"(?s)^#(x[0-9A-Fa-f]{1,6}|[0-9]{1,7});(.*)\z"
-
-
-def _code_point(digits: Column) -> Column:
-    """Character for the digits of a numeric reference ('65' or 'x41')."""
-    code = F.when(digits.startswith("x"), F.substr(digits, F.lit(2))).otherwise(
-        F.hex(digits.try_cast("bigint"))
-    )
-    return F.decode(F.unhex(F.lpad(code, 8, "0")), "UTF-32")
+_REFERENCE = r"(?s)^#(x[0-9A-Fa-f]+|[0-9]+);(.*)\z"
+_LAST_CODE, _SURROGATES, _REPLACEMENT = 0x10FFFF, (0xD800, 0xDFFF), 0xFFFD
+_CDATA, _CDATA_END = "<![CDATA[", "]]>"
+
+
+def _code(digits: Column) -> Column:
+    """Number of the digits of a numeric reference ('65' or 'x41'); a surrogate is
+    the replacement character, null what is no character of a document."""
+    number = F.when(
+        digits.startswith("x"), F.conv(F.substr(digits, F.lit(2)), 16, 10)
+    ).otherwise(digits).try_cast("decimal(38,0)")
+    return bind(number, lambda n: F.when(
+        n.between(*_SURROGATES), F.lit(_REPLACEMENT)
+    ).when(
+        n.isin(9, 10, 13) | n.between(32, 0xFFFD) | n.between(0x10000, _LAST_CODE),
+        n.cast("bigint"),
+    ))
+
+
+def _is_reference(tail: Column) -> Column:
+    """Whether the text behind an ampersand goes on as a sound reference."""
+    named = F.lit(False)
+    for name in fixed.ENTITIES:
+        named = named | tail.startswith(f"{name};")
+    digits = F.regexp_extract(tail, _REFERENCE, 1)
+    return named | ((digits != "") & _code(digits).isNotNull())
 
 
 def _decode_entities(s: Column) -> Column:
     """Named and numeric references, each decoded once."""
 
     def decoded(tail: Column) -> Column:
+        code = _code(F.regexp_extract(tail, _REFERENCE, 1))
+        char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
         found = F.when(
-            tail.rlike(_REFERENCE),
-            F.concat(
-                _code_point(F.regexp_extract(tail, _REFERENCE, 1)),
-                F.regexp_extract(tail, _REFERENCE, 2),
-            ),
+            tail.rlike(_REFERENCE) & code.isNotNull(),
+            F.concat(char, F.regexp_extract(tail, _REFERENCE, 2)),
         )
         for name, char in fixed.ENTITIES.items():
             found = found.when(
@@ -216,16 +232,56 @@ def _decode_entities(s: Column) -> Column:
     return bind(s, whole)
 
 
+def _without_cdata(xml: Column) -> Column:
+    """CDATA sections as escaped text; one without an end is lost with what follows
+    up to the next."""
+
+    def plain(piece: Column) -> Column:
+        end = F.locate(_CDATA_END, piece)
+        text = F.substr(piece, F.lit(1), end - 1)
+        for char, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+            text = F.replace(text, F.lit(char), F.lit(name))
+        return F.when(end > 0, F.concat(text, F.substr(piece, end + 3))).otherwise("")
+
+    def whole(x: Column) -> Column:
+        pieces = F.split(x, r"<!\[CDATA\[", -1)
+        tails = F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), plain)
+        return F.when(
+            x.contains(_CDATA), F.concat(pieces[0], F.array_join(tails, ""))
+        ).otherwise(x)
+
+    return bind(xml, whole)
+
+
+def _until_broken(xml: Column) -> Column:
+    """What stands before the first reference that is none: readers stop there."""
+
+    def cut(pieces: Column) -> Column:
+        tails = F.slice(pieces, F.lit(2), F.size(pieces))
+        bad = F.array_position(F.transform(tails, _is_reference), False)
+        kept = F.when(bad > 0, F.slice(pieces, F.lit(1), bad.cast("int"))).otherwise(pieces)
+        return F.array_join(kept, "&")
+
+    return bind(xml, lambda x: F.when(
+        x.contains("&"), bind(F.split(x, "&", -1), cut)
+    ).otherwise(x))
+
+
 def markup_text(xml: Column) -> Column:
     """Text of word-processor markup: a blank line per ``p`` start, the
     character data of ``t`` elements, prefixes ignored.  Text in front of the
-    first ``p`` is kept."""
+    first ``p`` is kept.
+
+    A reference to no character ends the text, as it ends a reader's: what stands
+    before its element is kept.  Tags that do not match are not noticed.
+    """
     flat = F.regexp_replace(
         F.replace(F.replace(xml, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n")),
         r"(?s)<!--.*?-->", "",
     )
+    sound = _until_broken(_without_cdata(flat))
     paragraphs = F.transform(
-        F.split(flat, _PARAGRAPH_START, -1),
+        F.split(sound, _PARAGRAPH_START, -1),
         lambda p: _decode_entities(
             F.regexp_replace(
                 F.array_join(F.regexp_extract_all(p, F.lit(_TEXT_ELEMENT), 1), ""), "<[^>]*>", ""

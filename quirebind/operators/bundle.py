@@ -2,8 +2,8 @@
 
 A bundle's files are built from the ``units`` array of its document's row, so
 assembly needs no shuffle of its own.  Only the job history comes from another
-table; it is joined as text that is small for all but hot jobs, whose history
-is spread over several parts of the log instead of one cell.
+table.  A log is a row for its head, one per line of history, and one for its tail,
+at any length: reading them by (section, created_at, log_id) gives the file.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -11,9 +11,8 @@ from pyspark.sql import functions as F
 
 from quirebind import fixed
 from quirebind.functions import names
-from quirebind.operators.ordered import GROUP_ROWS, in_parts
 
-HISTORY_ROWS = 10_000
+HEAD, LINES, TAIL = range(3)
 
 
 def index_text(job_id: Column, filename: Column, units: Column, generated_at: Column) -> Column:
@@ -63,23 +62,12 @@ def log_rows(logs: DataFrame) -> DataFrame:
     )
 
 
-def history_parts(
-    logs: DataFrame, history_rows: int = HISTORY_ROWS, group_rows: int = GROUP_ROWS
-) -> DataFrame:
-    """Table lines of each job, oldest first: job_id, part (from 0), parts, history.
-
-    A part holds at most ``history_rows`` lines.  Nearly every job has one.
-    """
-    lines = log_rows(logs).select("job_id", "created_at", "log_id", "line")
-    parts = in_parts(lines, "job_id", ["created_at", "log_id"], history_rows, group_rows)
-    text = F.array_join(F.transform("rows", lambda x: F.concat(x["line"], F.lit("\n"))), "")
-    return parts.select("job_id", "part", "parts", text.alias("history"))
-
-
-def _with_history(docs: DataFrame, history: DataFrame) -> DataFrame:
-    """Documents with the first part of their history, if they have one."""
-    first = history.filter("part = 0").select("job_id", "parts", "history")
-    return docs.join(first, "job_id", "left")
+def history_lines(logs: DataFrame) -> DataFrame:
+    """Lines of the log of each job: job_id, section, created_at, log_id, content."""
+    return log_rows(logs).select(
+        "job_id", F.lit(LINES).alias("section"), "created_at", "log_id",
+        F.concat("line", F.lit("\n")).alias("content"),
+    )
 
 
 def bundle_index(docs: DataFrame) -> DataFrame:
@@ -92,71 +80,64 @@ def bundle_index(docs: DataFrame) -> DataFrame:
     )
 
 
-def log_parts(
-    job_id: Column,
-    filename: Column,
-    history: Column,
-    parts: Column,
-    units: Column,
-    last_lines: Column | None = None,
+def log_ends(
+    job_id: Column, filename: Column, units: Column, last_lines: Column | None = None
 ) -> Column:
-    """array<struct(part, content)>: the whole log, or its first and last part
-    when the parts between them come from the history.  ``last_lines`` go
+    """array<struct(section, content)>: head and tail of the log.  ``last_lines`` go
     behind the history."""
-    piece = lambda n, content: F.struct(n.alias("part"), content.alias("content"))
-    opening = F.concat(log_head(job_id, filename), F.coalesce(history, F.lit("")))
+    piece = lambda n, content: F.struct(
+        F.lit(n).alias("section"), content.alias("content"))
     tail = log_tail(units) if last_lines is None else F.concat(last_lines, log_tail(units))
-    return F.when(
-        parts > 1, F.array(piece(F.lit(0), opening), piece(parts, tail))
-    ).otherwise(F.array(piece(F.lit(0), F.concat(opening, tail))))
+    return F.array(piece(HEAD, log_head(job_id, filename)), piece(TAIL, tail))
 
 
-def middle_parts(docs: DataFrame, history: DataFrame) -> DataFrame:
-    """Further history parts of the bundles in ``docs``; reads only their ids."""
-    further = history.filter("part > 0")
-    return further.join(docs.select("job_id"), "job_id", "left_semi").select(
-        "job_id", "part", F.col("history").alias("content")
-    )
+def _placed(rows: DataFrame) -> DataFrame:
+    """With the columns that order history lines, null for all other rows."""
+    return rows.withColumns({
+        "created_at": F.lit(None).cast("timestamp"), "log_id": F.lit(None).cast("string"),
+    })
 
 
-def bundle_log(docs: DataFrame, history: DataFrame) -> DataFrame:
-    """log.md per bundle: job_id, part, content.
+def bundle_log(docs: DataFrame, logs: DataFrame) -> DataFrame:
+    """log.md per bundle, in rows: job_id, section, created_at, log_id, content.
 
-    Reading the parts of a bundle in order gives the file.  A job whose history
-    has one part gives one row.
-    """
-    cols = [F.col(c) for c in ("job_id", "filename", "history", "parts", "units")]
-    own = _with_history(docs, history).select("job_id", F.inline_outer(log_parts(*cols)))
-    return own.unionByName(middle_parts(docs, history))
+    ``docs`` has job_id, filename, units; ``logs`` are audit rows, of which those of
+    other jobs go before anything is done with them."""
+    ends = log_ends(F.col("job_id"), F.col("filename"), F.col("units"))
+    own = _placed(docs.select("job_id", F.inline(ends)))
+    wanted = logs.join(docs.select("job_id"), "job_id", "left_semi")
+    return own.unionByName(history_lines(wanted))
 
 
 def entries_column(index_md: Column, log: Column, units: Column) -> Column:
-    """array<struct(path, part, content)> in bundle order: index, log, units."""
+    """array<struct(path, section, content)>: index, log without history, units."""
 
-    def entry(path: Column, part: Column, content: Column) -> Column:
-        return F.struct(path.alias("path"), part.alias("part"), content.alias("content"))
+    def entry(path: Column, section: Column, content: Column) -> Column:
+        return F.struct(path.alias("path"), section.alias("section"), content.alias("content"))
 
-    zero = F.lit(0)
+    head = F.lit(HEAD)
     return F.concat(
-        F.array(entry(F.lit(fixed.INDEX_FILE), zero, index_md)),
-        F.transform(log, lambda x: entry(F.lit(fixed.LOG_FILE), x["part"], x["content"])),
-        F.transform(units, lambda u: entry(u["filename"], zero, u["content"])),
+        F.array(entry(F.lit(fixed.INDEX_FILE), head, index_md)),
+        F.transform(log, lambda x: entry(F.lit(fixed.LOG_FILE), x["section"], x["content"])),
+        F.transform(units, lambda u: entry(u["filename"], head, u["content"])),
     )
 
 
-def bundle_entries(docs: DataFrame, history: DataFrame) -> DataFrame:
-    """All entries of all bundles: bundle_id, path, part, content.
+def bundle_entries(docs: DataFrame, logs: DataFrame) -> DataFrame:
+    """All entries of all bundles: bundle_id, path, section, created_at, log_id, content.
 
-    ``docs`` has job_id, filename, generated_at, units.  One pass over the rows
-    gives everything but the further log parts of jobs with a long history.
+    ``docs`` has job_id, filename, generated_at, units.  One pass over the rows gives
+    everything but the lines of history.
     """
     job_id, filename, units = F.col("job_id"), F.col("filename"), F.col("units")
     index_md = index_text(job_id, filename, units, F.col("generated_at"))
-    log = log_parts(job_id, filename, F.col("history"), F.col("parts"), units)
-    own = _with_history(docs, history).select(
-        job_id.alias("bundle_id"), F.inline_outer(entries_column(index_md, log, units))
-    )
-    more = middle_parts(docs, history).select(
-        job_id.alias("bundle_id"), F.lit(fixed.LOG_FILE).alias("path"), "part", "content"
+    own = docs.select(
+        job_id.alias("bundle_id"),
+        F.inline_outer(entries_column(index_md, log_ends(job_id, filename, units), units)),
+    ).filter("path is not null")
+    wanted = logs.join(docs.select("job_id"), "job_id", "left_semi")
+    lines = history_lines(wanted).select(
+        job_id.alias("bundle_id"), F.lit(fixed.LOG_FILE).alias("path"), "section", "created_at",
+        "log_id", "content",
     )
-    return own.filter("path is not null").unionByName(more)
+    return _placed(own).unionByName(lines)

@@ -10,6 +10,7 @@ MESSAGE_SCHEMA = (
     "job_id string, user_id string, original_filename string, file_key string, "
     "timestamp string"
 )
+_STRUCT = MESSAGE_SCHEMA.replace(" string", ": string")
 _TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 _TIME_PATTERN = r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d([.,]\d+)?(Z|[+-]\d\d:\d\d)\z"
 
@@ -92,14 +93,46 @@ def _checked_id(value: Column) -> Column:
     return F.when(value.isNull(), F.lit(fixed.NIL_ID)).otherwise(names.canonical_id(value))
 
 
+_FIELDS = ["job_id", "user_id", "original_filename", "file_key", "timestamp"]
+
+
+def _field(value: Column, decoded: Column, name: str) -> Column:
+    """A field by its name, or else by the name in another case."""
+    keys = F.filter(F.json_object_keys(value), lambda k: F.lower(k) == name)
+    path = F.concat(F.lit("$['"), F.element_at(keys, -1), F.lit("']"))
+    other = F.call_function("get_json_object", value, path)
+    return F.coalesce(decoded[name], other)
+
+
+def _kinds_fit(value: Column) -> Column:
+    """Whether every field that is there is a string, or JSON's null."""
+    parsed = F.try_parse_json(value)
+    kinds = [
+        F.coalesce(F.schema_of_variant(F.try_variant_get(parsed, f"$.{c}", "variant")), F.lit("VOID"))
+        for c in _FIELDS
+    ]
+    fit = F.lit(True)
+    for kind in kinds:
+        fit = fit & kind.isin("STRING", "VOID")
+    return fit
+
+
 def parse_messages(messages: DataFrame) -> DataFrame:
     """Decode JSON messages in ``value`` and say what is wrong with each.
 
-    ``problem`` is null for a sound message.  Unknown fields are ignored,
-    absent ones take their blank value.
+    ``problem`` is null for a sound message: one JSON object and nothing else, all
+    fields strings, ids and time well-formed.  Unknown fields are ignored, absent
+    ones take their blank value, and names are taken without regard to case.
     """
-    decoded = F.from_json(
-        "value", MESSAGE_SCHEMA + ", broken string", {"columnNameOfCorruptRecord": "broken"}
+    # As the one element of an array: whatever follows the object breaks it.
+    listed = F.from_json(
+        F.concat(F.lit("["), "value", F.lit("]")), f"array<struct<{_STRUCT}>>"
+    )
+    one = F.when(F.size(listed) == 1, listed[0])
+    decoded = F.struct(
+        *[_field(F.col("value"), one, c).alias(c) for c in _FIELDS],
+        (one.isNull() | ~F.col("value").rlike(r"(?s)^\s*\{.*\}\s*\z") | ~_kinds_fit(F.col("value")))
+        .alias("broken"),
     )
     # The generator keeps later filters above the decoding; pushed below it
     # they would decode the message once per field they look at.
@@ -113,10 +146,12 @@ def parse_messages(messages: DataFrame) -> DataFrame:
         }
     )
     time = F.col("timestamp")
+    real = time.rlike(_TIME_PATTERN) & F.try_to_timestamp(
+        F.regexp_replace(time, ",", ".")).isNotNull()
     problem = (
-        F.when(F.col("value").isNull() | F.col("broken").isNotNull(), "json")
+        F.when(F.coalesce(F.col("broken"), F.lit(True)), "json")
         .when(F.col("job_id").isNull() | F.col("user_id").isNull(), "id")
-        .when(time.isNotNull() & ~time.rlike(_TIME_PATTERN), "timestamp")
+        .when(time.isNotNull() & ~real, "timestamp")
     )
     return fields.withColumn("problem", problem).drop("broken")
 

@@ -7,12 +7,8 @@ from pyspark.sql import functions as F
 
 from quirebind import fixed
 from quirebind.functions import names
-from quirebind.operators.ordered import GROUP_ROWS, in_parts, previous_within
+from quirebind.operators.ordered import previous_within
 
-JOB_COLUMNS = [
-    "job_id", "user_id", "original_filename", "file_key", "bundle_key", "status",
-    "error_message", "units_count", "created_at", "updated_at",
-]
 
 
 def read_form(jobs: DataFrame) -> DataFrame:
@@ -111,29 +107,14 @@ def jobs_report(jobs: DataFrame) -> DataFrame:
 
 # --- job with its audit rows ------------------------------------------------
 
-def job_trace(
-    jobs: DataFrame, logs: DataFrame, page_rows: int = 10_000, group_rows: int = GROUP_ROWS
-) -> DataFrame:
-    """Jobs with their audit rows nested, oldest first.
-
-    One row per job, logs empty if it has none.  A job with more than
-    ``page_rows`` audit rows gives several rows, numbered by ``trace_page``.
-    """
-    rows = logs.select("job_id", "created_at", "log_id", "step", "status", "message")
-    nested = in_parts(rows, "job_id", ["created_at", "log_id"], page_rows, group_rows).select(
-        "job_id", F.col("part").alias("trace_page"), F.col("rows").alias("logs")
-    )
-    empty = F.array().cast(nested.schema["logs"].dataType)
-    return (
-        read_form(jobs)
-        .join(nested, "job_id", "left")
-        .withColumns(
-            {
-                "trace_page": F.coalesce("trace_page", F.lit(0)),
-                "logs": F.coalesce("logs", empty),
-            }
-        )
+def job_trace(jobs: DataFrame, logs: DataFrame) -> DataFrame:
+    """Jobs with their audit rows: one row per audit row, ordered by (logged_at,
+    log_id); a job without any has one row with these columns null."""
+    rows = logs.select(
+        "job_id", "log_id", "step", F.col("status").alias("log_status"), "message",
+        F.col("created_at").alias("logged_at"),
     )
+    return read_form(jobs).join(rows, "job_id", "left")
 
 
 # --- access -----------------------------------------------------------------
@@ -231,10 +212,17 @@ def _legal(previous: Column, status: Column) -> Column:
     return F.coalesce(first | start | unsent | end, F.lit(False))
 
 
-def status_transitions(events: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
-    """Each event with the state before it and whether the step is legal."""
-    stepped = previous_within(
-        events.select("job_id", "seq", "status"), ["job_id"], ["seq"], "status", "previous",
-        group_rows,
-    )
+EVENTS_PER_BUCKET = 100_000
+
+
+def status_transitions(events: DataFrame) -> DataFrame:
+    """Each event with the state before it and whether the step is legal.
+
+    ``seq`` is a number, or (batch_id, step) as ``status_events`` gives it; events
+    of a job are looked at per ``EVENTS_PER_BUCKET`` numbers, or per batch.
+    """
+    plain = events.select("job_id", "seq", "status")
+    number = not plain.schema["seq"].dataType.typeName() == "struct"
+    bucket = F.floor(F.col("seq") / EVENTS_PER_BUCKET) if number else F.col("seq")["batch_id"]
+    stepped = previous_within(plain, ["job_id"], ["seq"], "status", "previous", bucket)
     return stepped.withColumn("legal", _legal(F.col("previous"), F.col("status")))

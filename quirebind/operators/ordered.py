@@ -1,11 +1,10 @@
-"""Numbering and look-back inside groups of any size.
+"""Look-back inside groups of any size, by one plan.
 
-A window puts a whole group into one task.  That is right for the usual small
-groups and wrong for a group with a third of all rows, so both operators count
-first (a partial aggregate, one small row per key).  Without a large group they
-are the plain window.  With one they range-partition by key *and* order, so a
-large group spans many tasks, store that placement, work inside each
-(group, task) part, and carry one row per part across the seams.
+A window over a key puts all of a group into one task.  Here the window runs inside
+(key, bucket), where ``bucket`` grows with the order, and one row per bucket is
+carried over the seams.  So a group with a third of all rows spans as many tasks as
+it has buckets, rows of a null key are a group like others, and nothing is counted
+or run while the plan is made.
 """
 
 from collections.abc import Sequence
@@ -13,57 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quirebind.session import settle
-
-GROUP_ROWS = 1_000_000
-_PART, _OFFSET, _LAST, _ROWS = "_qb_part", "_qb_offset", "_qb_last", "_qb_rows"
-
-
-def has_large_group(df: DataFrame, keys: Sequence[str], group_rows: int) -> bool:
-    return not df.groupBy(*keys).count().filter(F.col("count") > group_rows).isEmpty()
-
-
-def _placed(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Rows with the number of the sorted part they lie in.
-
-    The part number must be the same in every later use, so the rows are stored.
-    A random last sort key splits rows that agree on all others.
-    """
-    tie = F.rand(7)
-    ranged = df.withColumn("_qb_tie", tie).repartitionByRange(*keys, *order, "_qb_tie")
-    return settle(ranged.drop("_qb_tie").withColumn(_PART, F.spark_partition_id()))
-
-
-def number_within(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    out: str,
-    total: str,
-    group_rows: int = GROUP_ROWS,
-) -> DataFrame:
-    """Add the position of each row in its group, from 1, and the group's size;
-    exact for groups of any size."""
-    group = Window.partitionBy(*keys)
-    if not has_large_group(df, keys, group_rows):
-        return df.withColumns(
-            {out: F.row_number().over(group.orderBy(*order)), total: F.count("*").over(group)}
-        )
-    placed = _placed(df, keys, order)
-    before = group.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = placed.groupBy(*keys, _PART).agg(F.count("*").alias(_ROWS)).select(
-        *keys,
-        _PART,
-        F.coalesce(F.sum(_ROWS).over(before), F.lit(0)).alias(_OFFSET),
-        F.sum(_ROWS).over(group).alias(total),
-    )
-    local = F.row_number().over(Window.partitionBy(*keys, _PART).orderBy(*order))
-    return (
-        placed.withColumn(out, local)
-        .join(offsets, [*keys, _PART])
-        .withColumn(out, F.col(out) + F.col(_OFFSET))
-        .drop(_PART, _OFFSET)
-    )
+_BUCKET, _LAST, _FIRST = "_qb_bucket", "_qb_last", "_qb_first"
 
 
 def previous_within(
@@ -72,49 +21,28 @@ def previous_within(
     order: Sequence[str],
     value: str,
     out: str,
-    group_rows: int = GROUP_ROWS,
-) -> DataFrame:
-    """Add the value of the row before in its group, null for the first."""
-    if not has_large_group(df, keys, group_rows):
-        return df.withColumn(out, F.lag(value).over(Window.partitionBy(*keys).orderBy(*order)))
-    placed = _placed(df, keys, order)
-    last: Column = F.max_by(value, F.struct(*order))
-    lasts = placed.groupBy(*keys, _PART).agg(last.alias(_LAST)).withColumn(
-        _LAST, F.lag(_LAST).over(Window.partitionBy(*keys).orderBy(_PART))
-    )
-    inside = Window.partitionBy(*keys, _PART).orderBy(*order)
-    first = F.row_number().over(inside) == 1
-    return (
-        placed.withColumn(_ROWS, first)
-        .withColumn(out, F.lag(value).over(inside))
-        .join(lasts, [*keys, _PART])
-        .withColumn(out, F.when(F.col(_ROWS), F.col(_LAST)).otherwise(F.col(out)))
-        .drop(_PART, _LAST, _ROWS)
-    )
-
-
-def in_parts(
-    df: DataFrame,
-    key: str,
-    order: Sequence[str],
-    part_rows: int,
-    group_rows: int = GROUP_ROWS,
+    bucket: Column,
 ) -> DataFrame:
-    """Rows of each group in order, as arrays of at most ``part_rows``.
+    """Add the value of the row before in its group, null for the first.
 
-    Gives key, part (from 0), parts and rows.  When no group is larger than one
-    part, a fact the count has just shown, each is collected as it is; else the
-    rows are numbered first and every array takes its share of the numbers.
+    ``bucket`` must not fall as ``order`` grows.
     """
-    row = F.struct(*order, *[c for c in df.columns if c != key and c not in order])
-    if not has_large_group(df, [key], part_rows):
-        return df.groupBy(key).agg(
-            F.lit(0).alias("part"), F.lit(1).alias("parts"),
-            F.sort_array(F.collect_list(row)).alias("rows"),
-        )
-    numbered = number_within(df, [key], order, "_qb_n", "_qb_total", group_rows)
-    part = F.floor((F.col("_qb_n") - 1) / part_rows).cast("int")
-    return numbered.groupBy(key, part.alias("part")).agg(
-        F.ceil(F.max("_qb_total") / part_rows).cast("int").alias("parts"),
-        F.sort_array(F.collect_list(row)).alias("rows"),
+    placed = df.withColumn(_BUCKET, bucket)
+    by = [*keys, _BUCKET]
+    last = F.max_by(F.struct(value), F.struct(*order))
+    seams = placed.groupBy(*by).agg(last.alias(_LAST)).select(
+        *[F.col(c).alias(f"_qb_key_{c}") for c in by],
+        F.lag(_LAST).over(Window.partitionBy(*keys).orderBy(_BUCKET)).alias(_LAST),
+    )
+    inside = Window.partitionBy(*by).orderBy(*order)
+    local = placed.withColumns(
+        {_FIRST: F.row_number().over(inside) == 1, out: F.lag(value).over(inside)}
+    )
+    met = F.lit(True)
+    for c in by:
+        met = met & local[c].eqNullSafe(F.col(f"_qb_key_{c}"))
+    return (
+        local.join(seams, met)
+        .withColumn(out, F.when(F.col(_FIRST), F.col(_LAST)[value]).otherwise(F.col(out)))
+        .select(*df.columns, out)
     )

@@ -78,8 +78,11 @@ def validate_bundles(entries: DataFrame) -> DataFrame:
     too, and names and links meet by (bundle, name), so that a bundle with very
     many entries spreads over tasks.  The second grouping combines before its
     shuffle; the only list in it is that of broken links, all of which stood in
-    one index cell.
+    one index cell.  Where entries have an ``ordinal``, the last of a repeated name
+    counts.
     """
+    if "ordinal" in entries.columns:
+        entries = entry_dedup(entries, "last")
     is_index = F.col("path") == fixed.INDEX_FILE
     linked = F.transform(
         F.when(is_index, links(F.col("content"))),

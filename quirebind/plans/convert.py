@@ -1,9 +1,8 @@
 """Messages and documents to validated bundles.
 
-Shuffles: the messages meet the job history on job id; both are small rows, and
-the outcome is stored.  Then they meet the documents on file key.  That join is
-an inner one against a table of known size, so Spark broadcasts the messages
-while they are below its threshold, which leaves the texts where they are;
+Shuffles: the messages meet the documents on file key.  That join is an inner one
+against a table of known size, so Spark broadcasts the messages while they are
+below its threshold, which leaves the texts where they are;
 beyond it the texts move once, by file key, and AQE splits a hot key.  Messages
 without a document are found on keys alone.  Everything after the join stays
 inside the row.
@@ -16,12 +15,9 @@ from pyspark.sql import functions as F
 
 from quirebind import fixed
 from quirebind.functions import names
-from quirebind.operators.bundle import (
-    HISTORY_ROWS, entries_column, history_parts, index_text, log_parts,
-)
+from quirebind.operators.bundle import entries_column, history_lines, index_text, log_ends
 from quirebind.operators.segment import with_units
 from quirebind.operators.validate import dead_links, links, verdict_errors
-from quirebind.session import settle
 
 
 def _started_line(at: Column) -> Column:
@@ -31,66 +27,49 @@ def _started_line(at: Column) -> Column:
     return F.concat(line, F.lit("\n"))
 
 
-def with_history(
-    messages: DataFrame,
-    logs: DataFrame,
-    history_rows: int = HISTORY_ROWS,
-    keys: Sequence[str] = ("file_key",),
-) -> DataFrame:
-    """Messages with the first part of their jobs' history: parts, history."""
-    wanted = logs.join(messages.select("job_id"), "job_id", "left_semi")
-    first = history_parts(wanted, history_rows).filter("part = 0").drop("part")
-    return messages.select("job_id", "user_id", "original_filename", *keys).join(
-        first, "job_id", "left"
-    )
-
-
-def convert_documents(
-    asked: DataFrame,
-    documents: DataFrame,
-    generated_at: Column,
-    keys: Sequence[str] = ("file_key",),
-) -> DataFrame:
-    """Convert the documents of ``with_history`` rows; see ``convert_corpus``."""
-    found = asked.join(documents.select(*keys, "text"), [*keys])
-    missing = asked.join(documents.select(*keys), [*keys], "left_anti")
-    return _converted(found, generated_at).unionByName(_failed(missing))
+NO_TEXT = "Error descargando archivo original: objeto sin contenido"
 
 
 def convert_corpus(
     messages: DataFrame,
     documents: DataFrame,
-    logs: DataFrame,
     generated_at: Column,
-    history_rows: int = HISTORY_ROWS,
     keys: Sequence[str] = ("file_key",),
 ) -> DataFrame:
     """Convert the document of every message.
 
     ``messages``: job_id, user_id, original_filename, file_key, one row per job
     (see ``idempotent_intake``); they are read several times, so give a stored
-    table.  ``documents``: file_key, text, one row per key.  ``logs``: audit
-    rows so far.  ``keys`` may add the partition column of a stored document
-    table, so that only the folders asked for are read.
-
-    Gives one row per message with the final state; ``entries`` is null unless
-    the bundle is valid.  A missing document is a FAILED row, never an exception.
+    table.  ``documents``: file_key, text, one row per key.  ``keys`` may add the
+    partition column of a stored document table, so that only the folders asked for
+    are read.
+
+    Gives one row per message with the final state; ``entries`` is null unless the
+    bundle is valid, and holds its log without the history, whose lines are those of
+    ``history_of``.  A missing document, or one without a text, is a FAILED row,
+    never an exception.
     """
-    asked = settle(with_history(messages, logs, history_rows, keys))
-    return convert_documents(asked, documents, generated_at, keys)
+    asked = messages.select("job_id", "user_id", "original_filename", *keys)
+    found = asked.join(documents.select(*keys, "text"), [*keys])
+    missing = asked.join(documents.select(*keys), [*keys], "left_anti")
+    return (
+        _converted(found.filter("text is not null"), generated_at)
+        .unionByName(_failed(found.filter("text is null"), NO_TEXT))
+        .unionByName(_failed(missing, fixed.MISSING_DOCUMENT))
+    )
 
 
-def _failed(messages: DataFrame) -> DataFrame:
+def _failed(messages: DataFrame, message: str) -> DataFrame:
     return messages.select(
         "job_id",
         "user_id",
         "original_filename",
         F.lit(fixed.FAILED).alias("status"),
         F.lit("").alias("bundle_key"),
-        F.lit(fixed.MISSING_DOCUMENT).alias("error_message"),
+        F.lit(message).alias("error_message"),
         F.lit(0).alias("units_count"),
         F.expr("cast(array() as array<string>)").alias("warnings"),
-        F.expr("cast(null as array<struct<path: string, part: int, content: string>>)")
+        F.expr("cast(null as array<struct<path: string, section: int, content: string>>)")
         .alias("entries"),
     )
 
@@ -103,9 +82,8 @@ def _converted(found: DataFrame, generated_at: Column) -> DataFrame:
         .withColumns(
             {
                 "index_md": index_text(job, filename, F.col("units"), F.col("generated_at")),
-                "log": log_parts(
-                    job, filename, F.col("history"), F.col("parts"), F.col("units"),
-                    _started_line(F.col("generated_at")),
+                "log": log_ends(
+                    job, filename, F.col("units"), _started_line(F.col("generated_at"))
                 ),
             }
         )
@@ -137,14 +115,10 @@ def _converted(found: DataFrame, generated_at: Column) -> DataFrame:
     )
 
 
-def further_log_parts(
-    messages: DataFrame, logs: DataFrame, history_rows: int = HISTORY_ROWS
-) -> DataFrame:
-    """Log parts of jobs with a long history: job_id, part, content."""
-    wanted = logs.join(messages.select("job_id"), "job_id", "left_semi")
-    return history_parts(wanted, history_rows).filter("part > 0").select(
-        "job_id", "part", F.col("history").alias("content")
-    )
+def history_of(messages: DataFrame, logs: DataFrame) -> DataFrame:
+    """Lines of history of the jobs asked for, as they stand: job_id, section,
+    created_at, log_id, content."""
+    return history_lines(logs.join(messages.select("job_id"), "job_id", "left_semi"))
 
 
 def status_events(results: DataFrame, batch_id: Column) -> DataFrame:

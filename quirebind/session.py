@@ -1,5 +1,6 @@
 """Session settings and the shared folder for written intermediate results."""
 
+import re
 import tempfile
 import uuid
 
@@ -24,26 +25,39 @@ def local_session(cpus: int = 8, memory: str = "16g") -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``.
 
-    A temporary folder stands in only on a local master: on a cluster it would
-    be lost with the machine.
+    A temporary folder stands in only where driver and tasks are one process, as in
+    tests: on a cluster, also one of local machines, it would be lost with its
+    machine.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     folder = tempfile.mkdtemp(prefix="quirebind-")
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
+def _settled(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/settled/{spark.sparkContext.applicationId}"
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Cut the lineage: write the rows to the shared folder and read them back.
 
     The files outlive lost executors, and their size is known to the planner,
-    so a small result is broadcast and a large one is not.
+    so a small result is broadcast and a large one is not.  They stay until
+    ``drop_settled``, since results that are read later depend on them.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/settled/{uuid.uuid4()}"
+    path = f"{_settled(spark)}/{uuid.uuid4()}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_settled(spark: SparkSession) -> None:
+    """Remove what this application has settled, once its results are stored."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(_settled(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -10,20 +10,17 @@ from pyspark.sql import functions as F
 
 from quirebind import fixed
 
-RESULTS, LETTERS, INTAKE, ATTEMPTS, LOG_PARTS = (
-    "results", "dead_letters", "intake", "attempts", "log_parts",
-)
+RESULTS, LETTERS, INTAKE, LOG_LINES = "results", "dead_letters", "intake", "log_lines"
 SCHEMAS = {
     RESULTS: "job_id string, user_id string, original_filename string, status string, "
     "bundle_key string, error_message string, units_count int, warnings array<string>, "
-    "entries array<struct<path: string, part: int, content: string>>, "
+    "entries array<struct<path: string, section: int, content: string>>, "
     "generated_at timestamp, batch_id bigint",
     LETTERS: "value string, problem string, batch_id bigint",
     INTAKE: "job_id string, user_id string, original_filename string, file_key string, "
     "timestamp string, batch_id bigint",
-    ATTEMPTS: "job_id string, user_id string, original_filename string, file_key string, "
-    "parts int, history string, batch_id bigint",
-    LOG_PARTS: "job_id string, part int, content string, batch_id bigint",
+    LOG_LINES: "job_id string, section int, created_at timestamp, log_id string, "
+    "content string, batch_id bigint",
 }
 
 
@@ -49,18 +46,21 @@ def read_batch(spark: SparkSession, root: str, name: str, batch_id: int) -> Data
 
 
 def read_entries(spark: SparkSession, root: str) -> DataFrame:
-    """Entries of the published bundles: bundle_id, path, part, content.
+    """Entries of the published bundles: bundle_id, path, section, created_at, log_id,
+    content.
 
     A completed job is never converted again, so a bundle lies in one batch.
     """
     done = read_table(spark, root, RESULTS).filter(F.col("status") == fixed.COMPLETED)
-    own = done.select(F.col("job_id").alias("bundle_id"), F.inline_outer("entries"))
-    further = (
-        read_table(spark, root, LOG_PARTS)
-        .join(done.select("job_id", "batch_id"), ["job_id", "batch_id"], "left_semi")
-        .select(
-            F.col("job_id").alias("bundle_id"), F.lit(fixed.LOG_FILE).alias("path"),
-            "part", "content",
-        )
+    own = done.select(
+        F.col("job_id").alias("bundle_id"), F.inline_outer("entries")
+    ).filter("path is not null").withColumns({
+        "created_at": F.lit(None).cast("timestamp"), "log_id": F.lit(None).cast("string"),
+    })
+    lines = read_table(spark, root, LOG_LINES).join(
+        done.select("job_id", "batch_id"), ["job_id", "batch_id"], "left_semi"
     )
-    return own.filter("path is not null").unionByName(further)
+    return own.unionByName(lines.select(
+        F.col("job_id").alias("bundle_id"), F.lit(fixed.LOG_FILE).alias("path"), "section",
+        "created_at", "log_id", "content",
+    ))

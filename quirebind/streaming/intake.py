@@ -13,11 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quirebind import fixed
-from quirebind.operators.bundle import HISTORY_ROWS
 from quirebind.operators.intake import dead_letters, idempotent_intake, parse_messages
-from quirebind.plans.convert import (
-    audit_rows, convert_documents, further_log_parts, with_history,
-)
+from quirebind.plans.convert import audit_rows, convert_corpus, history_of
 from quirebind.sources import results as store
 
 
@@ -35,7 +32,6 @@ def process_batch(
     logs: DataFrame,
     root: str,
     now: Callable[[], datetime] = lambda: datetime.now(timezone.utc),
-    history_rows: int = HISTORY_ROWS,
 ) -> None:
     """Handle one micro-batch: dead letters, intake, conversion."""
     spark = batch.sparkSession
@@ -50,17 +46,12 @@ def process_batch(
     store.write_batch(idempotent_intake(arrived, completed), root, store.INTAKE, batch_id)
     messages = store.read_batch(spark, root, store.INTAKE, batch_id)
 
-    history = ledger_logs(logs, earlier)
-    store.write_batch(
-        with_history(messages, history, history_rows), root, store.ATTEMPTS, batch_id
-    )
-    attempts = store.read_batch(spark, root, store.ATTEMPTS, batch_id)
-    converted = convert_documents(attempts, documents, at)
+    converted = convert_corpus(messages, documents, at)
     store.write_batch(
         converted.withColumn("generated_at", at), root, store.RESULTS, batch_id
     )
-    long_logs = further_log_parts(messages, history, history_rows)
-    store.write_batch(long_logs, root, store.LOG_PARTS, batch_id)
+    history = history_of(messages, ledger_logs(logs, earlier))
+    store.write_batch(history, root, store.LOG_LINES, batch_id)
 
 
 def start_intake(
@@ -72,7 +63,6 @@ def start_intake(
     files_per_batch: int = 100,
     interval: str | None = None,
     now: Callable[[], datetime] = lambda: datetime.now(timezone.utc),
-    history_rows: int = HISTORY_ROWS,
 ) -> StreamingQuery:
     """Start reading message files (a JSON message per line).
 
@@ -89,7 +79,7 @@ def start_intake(
     return (
         source.writeStream.foreachBatch(
             lambda batch, batch_id: process_batch(
-                batch, batch_id, documents, logs, root, now, history_rows
+                batch, batch_id, documents, logs, root, now
             )
         )
         .option("checkpointLocation", f"{root}/progress")

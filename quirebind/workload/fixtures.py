@@ -8,8 +8,6 @@ the source tables; ``oracle.py`` states the same rules in DuckDB SQL.
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quirebind.sources.documents import spread
-
 EXTENSIONS = [".txt", ".TXT", ".md", ".markdown", ".html", ".txt", ".docx", ".pdf"]
 UPLOAD_EXTENSIONS = [".md", ".TXT", ".html", ".markdown", ".docx", ".pdf", ".exe", ""]
 STEPS = ["RECEPCION", "PROCESAMIENTO", "VALIDACION", "PUBLICACION"]
@@ -110,45 +108,39 @@ def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
         page.alias("doc_id"), F.concat(page, F.lit(".html")).alias("filename"),
         F.col("html").alias("text"),
     )
-    return spread(documents.unionByName(turns).unionByName(pages))
+    return documents.unionByName(turns).unionByName(pages)
 
 
 def job_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as jobs: job_id of the ledger fixture, filename, text."""
     number = F.col("doc_id")
-    return spread(
-        table(spark, sf_dir, "documents").select(
-            uid(number).alias("job_id"),
-            F.concat(F.lit("doc_"), number.cast("string"), _choose(EXTENSIONS, number))
-            .alias("filename"),
-            structured(number, F.col("text")).alias("text"),
-        )
+    return table(spark, sf_dir, "documents").select(
+        uid(number).alias("job_id"),
+        F.concat(F.lit("doc_"), number.cast("string"), _choose(EXTENSIONS, number))
+        .alias("filename"),
+        structured(number, F.col("text")).alias("text"),
     )
 
 
 def stored_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents under the keys that the messages ask for: file_key, text."""
     number = F.col("doc_id")
-    return spread(
-        table(spark, sf_dir, "documents").select(
-            F.concat(
-                F.lit("originals/"), uid(number % USERS), F.lit("/"), uid(number),
-                _choose(EXTENSIONS, number),
-            ).alias("file_key"),
-            structured(number, F.col("text")).alias("text"),
-        )
+    return table(spark, sf_dir, "documents").select(
+        F.concat(
+            F.lit("originals/"), uid(number % USERS), F.lit("/"), uid(number),
+            _choose(EXTENSIONS, number),
+        ).alias("file_key"),
+        structured(number, F.col("text")).alias("text"),
     )
 
 
 def raw_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents table as it is, under string ids."""
-    return spread(
-        table(spark, sf_dir, "documents").select(
-            F.concat(F.lit("doc_"), F.col("doc_id").cast("string")).alias("doc_id"),
-            F.concat(F.lit("doc_"), F.col("doc_id").cast("string"), F.lit(".docx"))
-            .alias("filename"),
-            "text",
-        )
+    return table(spark, sf_dir, "documents").select(
+        F.concat(F.lit("doc_"), F.col("doc_id").cast("string")).alias("doc_id"),
+        F.concat(F.lit("doc_"), F.col("doc_id").cast("string"), F.lit(".docx"))
+        .alias("filename"),
+        "text",
     )
 
 
@@ -292,7 +284,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Job messages from events, each job delivered several times: value,
     arrival.  Some are cut off, some carry an id that is none."""
     n = F.col("event_id")
-    job = F.floor(n / 8)
+    job = F.floor(n / 5)
     user = uid(job % USERS)
     ext = _choose(EXTENSIONS, job)
     job_id = F.when(n % 53 == 0, F.concat(F.lit("job-"), n.cast("string"))).otherwise(uid(job))
@@ -305,7 +297,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_type").alias("ignored"),
     ))
     cut = F.substring(payload, 1, 60)
-    return spread(table(spark, sf_dir, "events")).select(
+    return table(spark, sf_dir, "events").select(
         F.when(n % 50 == 0, cut).otherwise(payload).alias("value"), n.alias("arrival")
     )
 

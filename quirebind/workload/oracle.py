@@ -227,9 +227,9 @@ SELECT 'u' || o_orderkey AS upload_id, {uid("o_custkey")} AS user_id,
   'dir.v1/file_' || o_orderkey || {choose(fx.UPLOAD_EXTENSIONS, "o_orderkey")} AS filename,
   o_orderdate AS created_at FROM orders""")
 part("fx_messages_base", [], f"""
-SELECT event_id AS arrival, event_type, event_id // 8 AS job,
-  {uid("(event_id // 8) % 100")} AS user_id, {choose(fx.EXTENSIONS, "event_id // 8")} AS x,
-  CASE WHEN event_id % 53 = 0 THEN 'job-' || event_id ELSE {uid("event_id // 8")} END AS job_id,
+SELECT event_id AS arrival, event_type, event_id // 5 AS job,
+  {uid("(event_id // 5) % 100")} AS user_id, {choose(fx.EXTENSIONS, "event_id // 5")} AS x,
+  CASE WHEN event_id % 53 = 0 THEN 'job-' || event_id ELSE {uid("event_id // 5")} END AS job_id,
   strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS timestamp FROM events""")
 part("fx_messages", ["fx_messages_base"], f"""
 SELECT arrival, CASE WHEN arrival % 50 = 0 THEN left(payload, 60) ELSE payload END AS value FROM (
@@ -329,28 +329,31 @@ FROM units u JOIN src s USING (doc_id) GROUP BY doc_id""")
 part("log_line", ["audit"], """
 SELECT *, concat('| ', strftime(created_at, '%H:%M:%S'), ' | ', step, ' | ', status, ' | ', message,
   ' |') AS line FROM audit""")
-part("history", ["log_line"], f"""
-SELECT job_id AS doc_id, string_agg(line || {NL}, '' ORDER BY created_at, log_id) AS history
-FROM log_line GROUP BY 1""")
-part("log_md", ["units", "src", "history", "last_line"], f"""
-SELECT u.doc_id, concat('# Trazabilidad de Conversión - log.md', {NL}, {NL},
+part("log_ends", ["units", "src", "last_line"], f"""
+SELECT u.doc_id, 0 AS section, concat('# Trazabilidad de Conversión - log.md', {NL}, {NL},
   '**ID Trabajo:** `', u.doc_id, '` | **Origen:** `', any_value(s.filename), '`', {NL}, {NL},
   '## Historial de Operaciones', {NL}, {NL},
   '| Marca de Tiempo | Etapa | Estado | Detalle |', {NL},
-  '| :--- | :--- | :--- | :--- |', {NL}, coalesce(any_value(history), ''),
-  (SELECT line FROM last_line), {NL},
+  '| :--- | :--- | :--- | :--- |', {NL}) AS content
+FROM units u JOIN src s USING (doc_id) GROUP BY u.doc_id
+UNION ALL
+SELECT u.doc_id, 2, concat((SELECT line FROM last_line), {NL},
   '## Resumen de Unidades Detectadas', {NL}, {NL},
   string_agg(concat('- Archivo: `', u.filename, '` | Título: **', u.title, '** | Tamaño: ',
     strlen(u.content), ' bytes', {NL}), '' ORDER BY unit_no), {NL},
   '## Estado de Validaciones', {NL}, '- [x] Estructura mínima OKF verificada', {NL},
   '- [x] Presencia de index.md y log.md comprobada', {NL},
-  '- [x] Resolución de hipervínculos del índice validada correctamente', {NL}) AS content
-FROM units u JOIN src s USING (doc_id) LEFT JOIN history h ON h.doc_id = u.doc_id
-GROUP BY u.doc_id""")
+  '- [x] Resolución de hipervínculos del índice validada correctamente', {NL})
+FROM units u GROUP BY u.doc_id""")
+part("log_md", ["log_ends", "log_line"], f"""
+SELECT doc_id, section, CAST(NULL AS VARCHAR) AS created_at, CAST(NULL AS VARCHAR) AS log_id, content FROM log_ends
+UNION ALL SELECT job_id, 1, strftime(created_at, '%Y-%m-%d %H:%M:%S'), log_id, line || {NL}
+FROM log_line WHERE job_id IN (SELECT doc_id FROM log_ends)""")
 part("entries", ["index_md", "log_md", "units"], """
-SELECT doc_id AS bundle_id, 'index.md' AS path, 0 AS part, content, 0 AS ord FROM index_md
-UNION ALL SELECT doc_id, 'log.md', 0, content, 1 FROM log_md
-UNION ALL SELECT doc_id, filename, 0, content, unit_no + 1 FROM units""")
+SELECT doc_id AS bundle_id, 'index.md' AS path, 0 AS section, CAST(NULL AS VARCHAR) AS created_at, CAST(NULL AS VARCHAR) AS log_id,
+  content, 0 AS ord FROM index_md
+UNION ALL SELECT doc_id, 'log.md', section, created_at, log_id, content, 1 FROM log_md
+UNION ALL SELECT doc_id, filename, 0, NULL, NULL, content, unit_no + 1 FROM units""")
 part("damaged", ["entries"], """
 SELECT bundle_id, path, CASE WHEN path = 'index.md' AND v = 5 THEN replace(content, '](', '] (')
   ELSE content END AS content
@@ -393,8 +396,8 @@ SELECT a.job_id, a.user_id, a.original_filename,
   CASE WHEN v.is_valid THEN e.digests END AS digests
 FROM asked a LEFT JOIN verdicts v ON v.bundle_id = a.job_id
 LEFT JOIN (SELECT doc_id, count(*) AS n FROM units GROUP BY 1) u ON u.doc_id = a.job_id
-LEFT JOIN (SELECT bundle_id, string_agg(path || ' ' || md5(content), {NL} ORDER BY ord) AS digests
-  FROM entries GROUP BY 1) e ON e.bundle_id = a.job_id""")
+LEFT JOIN (SELECT bundle_id, string_agg(path || ' ' || md5(content), {NL} ORDER BY ord, section)
+  AS digests FROM entries WHERE section <> 1 GROUP BY 1) e ON e.bundle_id = a.job_id""")
 
 # What the open names above stand for, per kind of query.
 DOCS = {"src": (["fx_docs"], "SELECT * FROM fx_docs")}
@@ -513,9 +516,9 @@ SELECT doc_id, line_no, printf('capitulo-%02d.md', line_no) AS filename,
 oracle("bundle_index", ["index_md"], "SELECT doc_id AS job_id, content FROM index_md", BUNDLES)
 oracle("log_rows", ["log_line"], "SELECT log_id, job_id, line FROM log_line", BUNDLES)
 oracle("bundle_log", ["log_md"],
-       "SELECT doc_id AS job_id, 0 AS part, content FROM log_md", BUNDLES)
+       "SELECT doc_id AS job_id, section, created_at, log_id, content FROM log_md", BUNDLES)
 oracle("bundle_entries", ["entries"],
-       "SELECT bundle_id, path, part, content FROM entries", BUNDLES)
+       "SELECT bundle_id, path, section, created_at, log_id, content FROM entries", BUNDLES)
 oracle("index_links", ["found_links"], "SELECT bundle_id, pos, target FROM found_links", BUNDLES)
 oracle("broken_links", ["dead_links"], "SELECT bundle_id, pos, target FROM dead_links", BUNDLES)
 oracle("validate_bundles", ["verdicts"],
@@ -574,10 +577,10 @@ SELECT user_id, job_id, position, page, total_pages, total_jobs FROM (
       AS position, count(*) OVER (PARTITION BY user_id) AS total_jobs,
       CAST(ceil(count(*) OVER (PARTITION BY user_id) / 5.0) AS BIGINT) AS total_pages FROM fx_jobs))
 WHERE position > (page - 1) * 5 AND position <= page * 5""")
-oracle("job_trace", ["fx_jobs", "fx_logs"], f"""
-SELECT j.job_id, j.status, 0 AS trace_page, coalesce(l.n, 0) AS log_count, coalesce(logs, '') AS logs
-FROM fx_jobs j LEFT JOIN (SELECT job_id, count(*) AS n, string_agg(concat_ws('|', log_id, step,
-  status), {NL} ORDER BY created_at, log_id) AS logs FROM fx_logs GROUP BY 1) l USING (job_id)""")
+oracle("job_trace", ["fx_jobs", "fx_logs"], """
+SELECT j.job_id, j.status, log_id, step, l.status AS log_status, message,
+  strftime(l.created_at, '%Y-%m-%d %H:%M:%S') AS logged_at
+FROM fx_jobs j LEFT JOIN fx_logs l ON l.job_id = j.job_id""")
 oracle("register_unique", ["fx_registrations", "fx_users"], """
 SELECT user_id, email, arrival FROM (
   SELECT *, row_number() OVER (PARTITION BY email ORDER BY arrival, user_id) AS rn

@@ -170,8 +170,7 @@ def _unit_docs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _entries(spark: SparkSession, sf: str) -> DataFrame:
-    history = bundle.history_parts(fx.logs(spark, sf))
-    return bundle.bundle_entries(_unit_docs(spark, sf), history)
+    return bundle.bundle_entries(_unit_docs(spark, sf), fx.logs(spark, sf))
 
 
 def _mutated(spark: SparkSession, sf: str) -> DataFrame:
@@ -192,13 +191,15 @@ def log_rows(spark, sf):
 
 @query
 def bundle_log(spark, sf):
-    logs = bundle.bundle_log(_unit_docs(spark, sf), bundle.history_parts(fx.logs(spark, sf)))
-    return logs.select("job_id", _long("part"), "content")
+    logs = bundle.bundle_log(_unit_docs(spark, sf), fx.logs(spark, sf))
+    return logs.select("job_id", _long("section"), _time("created_at"), "log_id", "content")
 
 
 @query
 def bundle_entries(spark, sf):
-    return _entries(spark, sf).select("bundle_id", "path", _long("part"), "content")
+    return _entries(spark, sf).select(
+        "bundle_id", "path", _long("section"), _time("created_at"), "log_id", "content"
+    )
 
 
 @query
@@ -304,10 +305,8 @@ def jobs_page(spark, sf):
 @query
 def job_trace(spark, sf):
     trace = ledger.job_trace(fx.jobs(spark, sf), fx.logs(spark, sf))
-    line = lambda x: F.concat_ws("|", x["log_id"], x["step"], x["status"])
     return trace.select(
-        "job_id", "status", _long("trace_page"), F.size("logs").cast("bigint").alias("log_count"),
-        F.array_join(F.transform("logs", line), "\n").alias("logs"),
+        "job_id", "status", "log_id", "step", "log_status", "message", _time("logged_at")
     )
 
 
@@ -401,7 +400,7 @@ def idempotent_intake(spark, sf):
 def _converted(spark: SparkSession, sf: str) -> DataFrame:
     # The conversion reads its messages several times, so they are stored first.
     return convert.convert_corpus(
-        settle(_intake(spark, sf)), fx.stored_docs(spark, sf), fx.logs(spark, sf), fx.generated_at()
+        settle(_intake(spark, sf)), fx.stored_docs(spark, sf), fx.generated_at()
     )
 
 

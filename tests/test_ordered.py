@@ -1,93 +1,73 @@
-"""Groups larger than one task: the split way gives what the window gives."""
+"""Groups of any size: one plan, one shape."""
 
+import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quirebind.operators import bundle, ledger, ordered, segment
-from quirebind.session import shared_folder
 
 
 def events(spark):
-    """Two thirds of the rows in one group, with equal order values among them."""
+    """Two thirds of the rows in one group, some without a key."""
     n = F.col("id")
+    key = F.when(n % 3 < 2, "hot").when(n % 50 == 2, None).otherwise(
+        F.concat(F.lit("k"), (n % 50).cast("string")))
     return spark.range(3000).repartition(5).select(
-        F.when(n % 3 < 2, "hot").otherwise(F.concat(F.lit("k"), (n % 50).cast("string"))).alias("k"),
-        F.floor(n / 7).alias("t"), n.alias("i"), F.concat(F.lit("v"), n.cast("string")).alias("v"),
+        key.alias("k"), n.alias("i"), F.when(n % 7 > 0, F.concat(F.lit("v"), n.cast("string"))).alias("v"),
     )
 
 
-def collected(df, *columns):
-    return sorted(tuple(r) for r in df.select(*columns).collect())
-
-
-def test_numbers(spark):
-    df = events(spark)
-    plain = ordered.number_within(df, ["k"], ["t", "i"], "n", "total")
-    split = ordered.number_within(df, ["k"], ["t", "i"], "n", "total", group_rows=100)
-    assert collected(plain, "k", "i", "n", "total") == collected(split, "k", "i", "n", "total")
-    assert shared_folder(spark)
-
-
-def test_previous(spark):
-    df = events(spark)
-    plain = ordered.previous_within(df, ["k"], ["t", "i"], "v", "p")
-    split = ordered.previous_within(df, ["k"], ["t", "i"], "v", "p", group_rows=100)
-    assert [[x or "" for x in r] for r in collected(plain.na.fill(""), "k", "i", "p")] == [
-        [x or "" for x in r] for r in collected(split.na.fill(""), "k", "i", "p")
-    ]
-
-
-def test_identical_rows_are_numbered_once_each(spark):
-    df = spark.range(500).select(F.lit("hot").alias("k"), F.lit(1).alias("t"))
-    split = ordered.number_within(df, ["k"], ["t"], "n", "total", group_rows=10)
-    assert [r.n for r in split.orderBy("n").collect()] == list(range(1, 501))
-
-
-def test_parts_keep_all_rows_in_order(spark):
+def test_previous_is_what_the_window_gives(spark):
     df = events(spark)
-    for group_rows in (10_000, 100):
-        parts = ordered.in_parts(df, "k", ["t", "i"], 64, group_rows).collect()
-        hot = sorted((p for p in parts if p.k == "hot"), key=lambda p: p.part)
-        assert [len(p.rows) for p in hot] == [64] * 31 + [16]
-        assert {p.parts for p in hot} == {32}
-        ids = [r.i for p in hot for r in p.rows]
-        assert ids == sorted(ids) and len(set(ids)) == 2000
+    plain = df.withColumn("p", F.lag("v").over(Window.partitionBy("k").orderBy("i")))
+    split = ordered.previous_within(df, ["k"], ["i"], "v", "p", F.floor(F.col("i") / 100))
+    assert split.columns == plain.columns
+    rows = lambda d: sorted(map(repr, d.collect()))
+    assert rows(split) == rows(plain) and split.count() == 3000
 
 
-def test_long_history_spreads_over_log_parts(spark):
-    logs = spark.range(25).select(
-        F.lit("b").alias("job_id"), F.format_string("l%03d", "id").alias("log_id"),
+def audit(spark, n):
+    return spark.range(n).select(
+        F.lit("b").alias("job_id"), F.format_string("l%07d", "id").alias("log_id"),
         F.lit("S").alias("step"), F.lit("INFO").alias("status"),
         F.concat(F.lit("m"), F.col("id").cast("string")).alias("message"),
         F.timestamp_seconds(F.col("id")).alias("created_at"),
     )
+
+
+@pytest.mark.parametrize("n", [0, 1, 10_001, 1_000_001])
+def test_history_has_one_shape_at_every_length(spark, n):
     docs = spark.createDataFrame(
         [("b", "a.txt", "x"), ("c", "c.txt", "y")], "job_id string, filename string, text string"
     )
-    ready = segment.with_units(docs)
-
-    def files(history_rows):
-        rows = bundle.bundle_log(ready, bundle.history_parts(logs, history_rows, 10)).collect()
-        rows.sort(key=lambda r: r.part)
-        return {k: "".join(r.content for r in rows if r.job_id == k) for k in ("b", "c")}, len(rows)
-
-    whole, split = files(10_000), files(10)
-    assert whole[0] == split[0]
-    assert (whole[1], split[1]) == (2, 5)
-
-
-def test_trace_pages(spark):
+    log = bundle.bundle_log(segment.with_units(docs), audit(spark, n))
+    counts = {(r.job_id, r.section): r["count"] for r in log.groupBy("job_id", "section").count().collect()}
+    want = {("b", 0): 1, ("b", 1): n, ("b", 2): 1, ("c", 0): 1, ("c", 2): 1}
+    assert counts == {k: v for k, v in want.items() if v}
+    if n == 10_001:
+        rows = sorted(log.filter("job_id = 'b'").collect(), key=lambda r: (r.section, r.created_at or 0, r.log_id or ""))
+        text = "".join(r.content for r in rows)
+        assert text.count(" | S | INFO | m") == n
+        assert text.index("| m9999 |") < text.index("| m10000 |")
+
+
+@pytest.mark.parametrize("n", [1, 10_001])
+def test_trace_has_a_row_per_audit_row(spark, n):
     jobs = spark.createDataFrame(
         [("b", None, None), ("c", "x", None)],
         "job_id string, bundle_key string, error_message string",
     )
-    logs = spark.range(7).select(
-        F.lit("b").alias("job_id"), F.col("id").cast("string").alias("log_id"),
-        F.lit("S").alias("step"), F.lit("INFO").alias("status"), F.lit("m").alias("message"),
-        F.timestamp_seconds(F.col("id")).alias("created_at"),
-    )
-    one = ledger.job_trace(jobs, logs).collect()
-    assert sorted((r.job_id, len(r.logs)) for r in one) == [("b", 7), ("c", 0)]
-    pages = ledger.job_trace(jobs, logs, page_rows=3, group_rows=5).collect()
-    b = sorted((r for r in pages if r.job_id == "b"), key=lambda r: r.trace_page)
-    assert [x.log_id for r in b for x in r.logs] == [str(i) for i in range(7)]
-    assert [len(r.logs) for r in b] == [3, 3, 1]
+    trace = ledger.job_trace(jobs, audit(spark, n))
+    assert trace.filter("job_id = 'b' and log_id is not null").count() == n
+    assert trace.filter("job_id = 'c'").select("log_id", "step").collect() == [(None, None)]
+
+
+def test_transitions_keep_jobs_without_an_id_and_run_nothing_early(spark):
+    rows = [(None, 1, "PENDING"), (None, 250_000, "PROCESSING"), ("a", 2, "PENDING"), ("a", 3, "COMPLETED")]
+    df = spark.createDataFrame(rows, "job_id string, seq long, status string")
+    spark.sparkContext.setJobGroup("plan", "making a plan")
+    steps = ledger.status_transitions(df)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("plan")
+    got = {(r.job_id, r.seq): (r.previous, r.legal) for r in steps.collect()}
+    assert got == {(None, 1): (None, True), (None, 250_000): ("PENDING", True), ("a", 2): (None, True),
+                   ("a", 3): ("PENDING", False)}

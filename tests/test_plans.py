@@ -50,9 +50,8 @@ def test_small_message_side_leaves_the_texts_in_place(spark, docs):
     messages = settle(spark.createDataFrame(
         [("j", "u", "f.md", "1")], "job_id string, user_id string, original_filename string, "
         "file_key string"))
-    logs = fx.logs(spark, SF)
     stored = docs.select(F.col("doc_id").alias("file_key"), "text")
-    p = plan(convert_corpus(messages, stored, logs, fx.generated_at()))
+    p = plan(convert_corpus(messages, stored, fx.generated_at()))
     # The messages are the broadcast side; nothing is hashed by file key.
     assert re.search(r"BroadcastHashJoin \[file_key#\d+\], \[file_key#\d+\], Inner, BuildLeft", p)
     assert "hashpartitioning(file_key" not in p

@@ -16,7 +16,7 @@ def entries(spark, text=TEXT, filename="a.md"):
     logs = spark.createDataFrame(
         [], "job_id string, log_id string, step string, status string, message string, "
         "created_at timestamp")
-    return bundle.bundle_entries(ready, bundle.history_parts(logs))
+    return bundle.bundle_entries(ready, logs)
 
 
 def verdict(df):
@@ -50,6 +50,15 @@ def test_missing_unit_and_dead_links_keep_order_and_repeats(spark):
     assert [r.target for r in rows] == broken
 
 
+def test_the_last_of_a_repeated_name_counts(spark):
+    e = entries(spark).select("bundle_id", "path", "content").withColumn("ordinal", F.lit(2))
+    bad = e.filter("path = 'index.md'").withColumns(
+        {"content": F.lit("[f](fantasma.md)"), "ordinal": F.lit(1)})
+    assert verdict(e.unionByName(bad)).errors == []
+    worse = bad.withColumn("ordinal", F.lit(3))
+    assert verdict(e.unionByName(worse)).errors == [fixed.BROKEN_LINK % "fantasma.md"]
+
+
 def test_index_without_links_warns(spark):
     e = entries(spark).withColumn(
         "content", F.when(F.col("path") == "index.md", "nada").otherwise(F.col("content"))
