@@ -102,6 +102,7 @@ MISSING_DOCUMENT = "Error descargando archivo original: objeto no encontrado"
 
 # --- fixed values: access answers and reports -------------------------------
 NOT_FOUND = "trabajo no encontrado"
+PUBLISH_FAILED = "Error al publicar trabajo en la cola de mensajes"
 NOT_OWNER = "acceso denegado: no es propietario de este recurso"
 NOT_READY = "el bundle no está disponible para descarga (estado: %s)"
 NO_BUNDLE = "referencia de bundle no encontrada"

@@ -149,6 +149,34 @@ def download_gate(requests: DataFrame, jobs: DataFrame) -> DataFrame:
     )
 
 
+def access_gate(requests: DataFrame, jobs: DataFrame) -> DataFrame:
+    """Answer to each request to see or delete a job: allowed and reason."""
+    owner = jobs.select("job_id", F.col("user_id").alias("owner_id"))
+    reason = (
+        F.when(F.col("owner_id").isNull(), fixed.NOT_FOUND)
+        .when(F.col("owner_id") != F.col("user_id"), fixed.NOT_OWNER)
+        .otherwise("")
+    )
+    return (
+        requests.select("request_id", "job_id", "user_id")
+        .join(owner, "job_id", "left")
+        .withColumn("reason", reason)
+        .select(
+            "request_id", "job_id", "user_id", (F.col("reason") == "").alias("allowed"), "reason"
+        )
+    )
+
+
+def trace_gate(requests: DataFrame, jobs: DataFrame, logs: DataFrame) -> DataFrame:
+    """The answer to each request to see a job, with the job's audit rows where it is
+    allowed: a row per audit row, and one with nulls where there is none to show."""
+    answers = access_gate(requests, jobs)
+    rows = logs.select(
+        F.col("job_id").alias("of"), "log_id", "step", F.col("status").alias("log_status")
+    )
+    return answers.join(rows, F.col("allowed") & (F.col("job_id") == F.col("of")), "left").drop("of")
+
+
 # --- deletion and keys ------------------------------------------------------
 
 def deletable_jobs(jobs: DataFrame, requests: DataFrame) -> DataFrame:
@@ -173,6 +201,11 @@ def cascade_delete(
     )
 
 
+def without_deleted(rows: DataFrame, deleted: DataFrame, key: str = "job_id") -> DataFrame:
+    """Rows, such as published entries, of jobs that are not in ``deleted`` (job_id)."""
+    return rows.join(deleted.select(F.col("job_id").alias(key)), key, "left_anti")
+
+
 def orphans(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     """Rows of ``child`` whose parent does not exist."""
     return child.join(parent.select(key), key, "left_anti")
@@ -202,6 +235,31 @@ def latest_status(events: DataFrame) -> DataFrame:
     )
 
 
+def publish_failures(jobs: DataFrame, seq: Column, at: Column) -> DataFrame:
+    """State events of accepted jobs whose message could not be sent."""
+    return jobs.select(
+        "job_id", seq.alias("seq"), F.lit(fixed.FAILED).alias("status"),
+        F.lit("").alias("bundle_key"), F.lit(fixed.PUBLISH_FAILED).alias("error_message"),
+        F.lit(0).alias("units_count"), at.alias("at"),
+    )
+
+
+def current_jobs(accepted: DataFrame, events: DataFrame) -> DataFrame:
+    """The job table as it stands: accepted jobs with their last state event.
+
+    ``events`` has job_id, seq, status, bundle_key, error_message, units_count, at.
+    The last one is found by an aggregate that combines before its shuffle.
+    """
+    state = F.struct("status", "bundle_key", "error_message", "units_count", "at")
+    last = events.groupBy("job_id").agg(F.max_by(state, F.col("seq")).alias("last"))
+    now = lambda c: F.coalesce(F.col(f"last.{c}"), F.col(c)).alias(c)
+    return accepted.join(last, "job_id", "left").select(
+        "job_id", "user_id", "original_filename", "file_key", now("bundle_key"), now("status"),
+        now("error_message"), now("units_count"), "created_at",
+        F.coalesce("last.at", "updated_at").alias("updated_at"),
+    )
+
+
 def _legal(previous: Column, status: Column) -> Column:
     first = previous.isNull() & (status == fixed.PENDING)
     start = (status == fixed.PROCESSING) & (previous != fixed.COMPLETED)

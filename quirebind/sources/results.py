@@ -9,8 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quirebind import fixed
+from quirebind.operators.ledger import without_deleted
 
-RESULTS, LETTERS, INTAKE, LOG_LINES = "results", "dead_letters", "intake", "log_lines"
+RESULTS, LETTERS, INTAKE, LOG_LINES, DELETED = (
+    "results", "dead_letters", "intake", "log_lines", "deleted",
+)
 SCHEMAS = {
     RESULTS: "job_id string, user_id string, original_filename string, status string, "
     "bundle_key string, error_message string, units_count int, warnings array<string>, "
@@ -21,6 +24,7 @@ SCHEMAS = {
     "timestamp string, batch_id bigint",
     LOG_LINES: "job_id string, section int, created_at timestamp, log_id string, "
     "content string, batch_id bigint",
+    DELETED: "job_id string, batch_id bigint",
 }
 
 
@@ -47,11 +51,14 @@ def read_batch(spark: SparkSession, root: str, name: str, batch_id: int) -> Data
 
 def read_entries(spark: SparkSession, root: str) -> DataFrame:
     """Entries of the published bundles: bundle_id, path, section, created_at, log_id,
-    content.
+    content.  Jobs in the table of the deleted have none any more.
 
     A completed job is never converted again, so a bundle lies in one batch.
     """
-    done = read_table(spark, root, RESULTS).filter(F.col("status") == fixed.COMPLETED)
+    done = without_deleted(
+        read_table(spark, root, RESULTS).filter(F.col("status") == fixed.COMPLETED),
+        read_table(spark, root, DELETED),
+    )
     own = done.select(
         F.col("job_id").alias("bundle_id"), F.inline_outer("entries")
     ).filter("path is not null").withColumns({

@@ -191,6 +191,14 @@ def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def accepted_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The jobs as they were when accepted."""
+    return jobs(spark, sf_dir).withColumns({
+        "status": F.lit("PENDING"), "bundle_key": F.lit(""), "error_message": F.lit(""),
+        "units_count": F.lit(0),
+    })
+
+
 def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = F.col("l_linenumber")
     cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")

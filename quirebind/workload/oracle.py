@@ -593,6 +593,35 @@ UNION ALL SELECT 'removed object', bundle_key FROM gone WHERE bundle_key <> ''""
        {"gone": (["fx_jobs", "fx_deletes"],
                  "SELECT * FROM fx_jobs j WHERE EXISTS (SELECT 1 FROM fx_deletes d "
                  "WHERE d.job_id = j.job_id AND d.user_id = j.user_id)")})
+ANSWERS = """
+SELECT request_id, r.job_id, r.user_id, CASE WHEN j.job_id IS NULL THEN 'trabajo no encontrado'
+  WHEN j.user_id <> r.user_id THEN 'acceso denegado: no es propietario de este recurso'
+  ELSE '' END AS reason
+FROM fx_requests r LEFT JOIN fx_jobs j ON j.job_id = r.job_id"""
+oracle("delete_gate", ["fx_requests", "fx_jobs"], f"""
+SELECT request_id, job_id, user_id, reason = '' AS allowed, reason FROM ({ANSWERS})""")
+oracle("trace_gate", ["fx_requests", "fx_jobs", "fx_logs"], f"""
+SELECT request_id, a.job_id, user_id, reason = '' AS allowed, reason, log_id, step,
+  l.status AS log_status
+FROM ({ANSWERS}) a LEFT JOIN fx_logs l ON a.reason = '' AND l.job_id = a.job_id""")
+oracle("published_entries", ["entries", "fx_jobs", "fx_deletes"], """
+SELECT bundle_id, path, section, log_id, content FROM entries WHERE bundle_id NOT IN (
+  SELECT j.job_id FROM fx_jobs j JOIN fx_deletes d ON d.job_id = j.job_id
+  AND d.user_id = j.user_id)""", BUNDLES)
+oracle("current_jobs", ["fx_jobs", "fx_states"], f"""
+SELECT j.job_id, user_id, original_filename, file_key,
+  CASE WHEN s.status = 'COMPLETED' THEN 'bundles/' || event_id ELSE '' END AS bundle_key,
+  coalesce(s.status, CASE WHEN n % 17 = 0 THEN 'FAILED' ELSE 'PENDING' END) AS status,
+  CASE WHEN s.status = 'FAILED' THEN 'error ' || event_id
+    WHEN s.status IS NULL AND n % 17 = 0 THEN 'Error al publicar trabajo en la cola de mensajes'
+    ELSE '' END AS error_message,
+  coalesce(event_id % 9, 0) AS units_count,
+  strftime(created_at, '%Y-%m-%d %H:%M:%S') AS created_at,
+  strftime(coalesce({GENERATED} + to_seconds(event_id), created_at), '%Y-%m-%d %H:%M:%S')
+    AS updated_at
+FROM fx_jobs j LEFT JOIN (
+  SELECT *, row_number() OVER (PARTITION BY job_id ORDER BY seq DESC) AS rn FROM fx_states) s
+  ON s.job_id = j.job_id AND rn = 1""")
 oracle("fk_orphans", ["fx_jobs", "fx_logs", "fx_users"], """
 SELECT 'job' AS kind, job_id AS id FROM fx_jobs WHERE user_id NOT IN (
   SELECT user_id FROM fx_users WHERE CAST(right(user_id, 12) AS BIGINT) % 17 <> 0)

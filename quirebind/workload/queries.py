@@ -328,6 +328,36 @@ def cascade_delete(spark, sf):
     )
 
 
+@query
+def delete_gate(spark, sf):
+    return ledger.access_gate(fx.requests(spark, sf), fx.jobs(spark, sf))
+
+
+@query
+def trace_gate(spark, sf):
+    return ledger.trace_gate(fx.requests(spark, sf), fx.jobs(spark, sf), fx.logs(spark, sf))
+
+
+@query
+def published_entries(spark, sf):
+    """Entries of the bundles of jobs that no owner has deleted."""
+    gone = ledger.deletable_jobs(fx.jobs(spark, sf), fx.delete_requests(spark, sf))
+    entries = ledger.without_deleted(_entries(spark, sf), gone, "bundle_id")
+    return entries.select("bundle_id", "path", _long("section"), "log_id", "content")
+
+
+@query
+def current_jobs(spark, sf):
+    """Accepted jobs with events of their own and some messages that failed."""
+    accepted = fx.accepted_jobs(spark, sf)
+    failed = accepted.filter(F.right("job_id", F.lit(12)).cast("bigint") % 17 == 0)
+    lost = ledger.publish_failures(failed, F.lit(-1).cast("bigint"), F.col("created_at"))
+    events = fx.state_events(spark, sf).withColumn(
+        "at", F.timestamp_add("SECOND", F.col("seq").cast("int"), fx.generated_at())
+    )
+    return ledger.current_jobs(accepted, events.unionByName(lost)).select(*_job_columns())
+
+
 @query
 def fk_orphans(spark, sf):
     """Orphans after every 17th parent is gone."""

@@ -1,5 +1,7 @@
 import os
 
+from quirebind.sources.documents import scan_files
+
 from quirebind.session import drop_settled, settle, shared_folder
 
 
@@ -10,3 +12,12 @@ def test_settled_rows_go_when_they_are_dropped(spark):
     assert os.listdir(folder)
     drop_settled(spark)
     assert not os.path.exists(folder)
+
+
+def test_file_keys_below_any_spelling_of_the_root(spark, tmp_path):
+    (tmp_path / "s/u").mkdir(parents=True)
+    (tmp_path / "s/u/j.md").write_text("x")
+    plain = f"{tmp_path}/s"
+    for root in (plain, f"file://{plain}", f"{plain}/", f"{tmp_path}/./s/u/.."):
+        (row,) = scan_files(spark, root).collect()
+        assert (row.file_key, row.text) == ("u/j.md", "x")
