@@ -8,6 +8,7 @@ are put together into one WITH per query.
 from quirebind.workload import fixtures as fx
 
 NL = "chr(10)"
+# --- fixed values: patterns that results must equal; texts stand in the parts below ---
 WS = r"[\t\n\x0B\f\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 HASH = r"^(?i)#+\s+(.+)"
 CHAPTER = (
@@ -16,6 +17,7 @@ CHAPTER = (
 )
 NUMBERED = r"^(\d+)\.\s+([A-ZÁÉÍÓÚÑ].{2,60})$"
 LINK = r"\[.*?\]\((.*?\.md)\)"
+# --- end of fixed values ---
 GENERATED = f"TIMESTAMP '{fx.GENERATED_AT}'"
 JOB_COLUMNS = (
     "job_id, user_id, original_filename, file_key, coalesce(bundle_key, '') AS bundle_key, "

@@ -38,6 +38,11 @@ def test_segmentation_moves_nothing_and_folds_once(docs, operator):
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in p
 
 
+@pytest.mark.parametrize("name", ["segment_documents", "prepare_text", "bundle_index", "scan_documents"])
+def test_registered_texts_stay_where_they_are(spark, name):
+    assert "Exchange" not in plan(QUERIES[name](spark, SF))
+
+
 def test_verdicts_read_entries_once_without_join(spark):
     entries = spark.read.schema("bundle_id string, path string, content string").parquet(
         f"{SF}/documents.parquet"
