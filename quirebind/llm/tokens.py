@@ -22,6 +22,7 @@ from quirebind.llm.words import id_and_text, lower_ascii, map_rows, words
 
 REMEMBERED = 800_000
 _PIECE = re.compile(r"[a-zA-ZÀ-ÖØ-öø-ÿ]+|[^\x20\x09-\x0Da-zA-ZÀ-ÖØ-öø-ÿ]+")
+_RUN = re.compile(r"[a-zA-ZÀ-ÖØ-öø-ÿ]+")
 _HARD = re.compile(r"'|[^\x00-\x7FÀ-ÿ]")
 _ENCODERS: dict[str, "WordEncoder"] = {}
 
@@ -59,12 +60,23 @@ class WordEncoder:
         return np.array(ids, self.kind).tobytes()
 
     def _learn(self, unknown: list[str]) -> None:
+        """New pieces; runs of letters go to the tokenizer many at a time, each a word
+        of one text."""
         if len(self.known) + len(unknown) > REMEMBERED:
             self.known.clear()
-        for at in range(0, len(unknown), 1000):
-            some = unknown[at : at + 1000]
-            made = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
-            self.known.update(zip(some, (self._bytes(e.ids) for e in made), strict=True))
+        runs = [x for x in unknown if _RUN.fullmatch(x)]
+        for at in range(0, len(runs), 200):
+            some = runs[at : at + 200]
+            made = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
+            ends = np.searchsorted(np.array(made.word_ids), np.arange(len(some)), "right")
+            raw, before = self._bytes(made.ids), 0
+            for x, end in zip(some, (ends * self.kind.itemsize).tolist(), strict=True):
+                self.known[x] = raw[before:end]
+                before = end
+        for x in unknown:
+            if x not in self.known:
+                ids = self.tokenizer.encode(x, add_special_tokens=False).ids
+                self.known[x] = self._bytes(ids)
 
     def texts(self, texts: list[str | None], end: int) -> list[bytes]:
         """The ids of each text, followed by the id ``end``."""
