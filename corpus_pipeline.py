@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from quirebind.llm import decontaminate, near, packing, pii, quality
 from quirebind.session import shared_folder
 
+#: Percent of shingles from which documents of the corpus are near-duplicates.
+SIMILAR = 80
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -18,7 +21,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays, that of the least id."""
-    return near.one_of_each(docs)
+    return near.one_of_each(docs, percent=SIMILAR)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

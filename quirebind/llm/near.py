@@ -3,10 +3,10 @@
 1. Every document gets a MinHash signature of ``COORDINATES`` values and a digest
    of its whole set of shingles.  Equal sets are one representative from here on.
 2. Representatives are posted under each (coordinate, value).  A pair is of
-   interest if it agrees on at least ``MATCHES`` coordinates, so values that only
-   one has are dropped, and so is who has fewer than ``MATCHES`` shared ones.  Such
-   pairs also meet within the ``shared - MATCHES + 1`` rarest postings of each:
-   only this prefix is kept.  Postings that meet make clusters.
+   interest if it agrees on at least ``matches(percent)`` coordinates, so values that
+   only one has are dropped, and so is who has fewer shared ones than that.  Such
+   pairs also meet within the ``shared - matches + 1`` rarest postings of each: only
+   this prefix is kept.  Postings that meet make clusters.
 3. Inside a cluster, sets that differ too much in size cannot be linked: members
    meet those of their own and the next size class.  Large groups are cut into
    blocks, and blocks meet in pairs, so a task holds two blocks at most.  There,
@@ -15,8 +15,10 @@
    confirmed on full sets.  A task returns a spanning forest of its links.
 4. Components of the links are found by stars, and copies join their representative.
 
-A link of similarity ``s`` agrees on a coordinate with probability ``s``; at 0.85
-fewer than 41 of 64 agree in about five of a million links.
+A link of similarity ``s`` agrees on a coordinate with probability ``s``.  The
+agreements asked for follow from the threshold, so that at most ``MISSED`` of the links
+right at it have fewer: 41 of 64 at 0.85 (8.8 of a million links have fewer), 36 at
+0.80 (4.2 of a million).
 
 Defined cases: a null text, and one without words, has an empty set and is its own
 component; with fewer than five words the whole row of words is the one shingle;
@@ -27,6 +29,7 @@ and carried along by ``one_of_each``.
 """
 
 import hashlib
+import math
 from collections.abc import Iterator
 from typing import Any
 
@@ -42,7 +45,7 @@ from quirebind.session import settle
 
 SHINGLE = 5
 PERCENT = 85
-COORDINATES, MATCHES = 64, 41
+COORDINATES, MISSED = 64, 1e-5
 BLOCK_DOCS, BLOCK_SHINGLES = 1500, 1_500_000
 _WORDS: dict[str, int] = {}
 _REMEMBERED = 500_000
@@ -53,6 +56,18 @@ _A = _rng.integers(1, 1 << 63, COORDINATES, dtype=np.uint64) | np.uint64(1)
 _B = _rng.integers(1, 1 << 63, COORDINATES, dtype=np.uint64)
 
 
+def matches(percent: int) -> int:
+    """The most coordinates that all but ``MISSED`` of the links at the threshold share."""
+    share, below = percent / 100, 0.0
+    for k in range(COORDINATES + 1):
+        below += math.comb(COORDINATES, k) * share**k * (1 - share) ** (COORDINATES - k)
+        if below > MISSED:
+            break
+    if k == 0:
+        raise ValueError(f"{COORDINATES} coordinates are too few for links at {percent} percent")
+    return k
+
+
 def word_hash(word: str) -> int:
     return int.from_bytes(hashlib.blake2b(word.encode(), digest_size=8).digest(), "little")
 
@@ -117,7 +132,7 @@ def sketches(docs: DataFrame) -> DataFrame:
     )
 
 
-def _clusters(reps: DataFrame) -> DataFrame:
+def _clusters(reps: DataFrame, least: int) -> DataFrame:
     """(id, component) of representatives whose prefixes meet in a posting."""
     posted = reps.select(
         F.col("rep"), F.posexplode("coordinates").alias("place", "value")
@@ -126,9 +141,9 @@ def _clusters(reps: DataFrame) -> DataFrame:
     shared = posted.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")
     own = posted.join(shared, "token").groupBy("rep").agg(
         F.sort_array(F.collect_list(F.struct("df", "token"))).alias("own")  # 64 at most
-    ).filter(F.size("own") >= MATCHES)
+    ).filter(F.size("own") >= least)
     prefix = settle(own.select(
-        "rep", F.explode(F.slice("own", F.lit(1), F.size("own") - (MATCHES - 1))).alias("p")
+        "rep", F.explode(F.slice("own", F.lit(1), F.size("own") - (least - 1))).alias("p")
     ).select("rep", F.col("p.token").alias("token")))
     first = prefix.groupBy("token").agg(F.min("rep").alias("b"), F.count("*").alias("n"))
     edges = prefix.join(first.filter("n > 1"), "token").select(F.col("rep").alias("a"), "b")
@@ -160,7 +175,7 @@ def _forest(ids, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     Pairs with enough equal coordinates are confirmed by the size of their
     intersection, counted for one member against all others at a time.
     """
-    m = len(ids)
+    m, least = len(ids), matches(percent)
     root = np.arange(m)
     size = np.array([len(s) for s in sets], np.int64)
     signs = np.stack([signature(s) for s in sets])
@@ -176,7 +191,7 @@ def _forest(ids, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
         equal = np.zeros(m, np.int16)
         for k in range(COORDINATES):
             equal += signs[:, k] == signs[i, k]
-        maybe = (equal >= MATCHES) & (root != root[i])
+        maybe = (equal >= least) & (root != root[i])
         maybe[: i + 1] = False
         if not maybe.any():
             continue
@@ -234,7 +249,7 @@ def _component_of(docs: DataFrame, percent: int) -> DataFrame:
     reps = settle(named.groupBy("digest").agg(
         F.min("doc_id").alias("rep"), F.any_value("coordinates").alias("coordinates")
     ))
-    found = _clusters(reps.select("rep", "coordinates"))
+    found = _clusters(reps.select("rep", "coordinates"), matches(percent))
     clusters = settle(found.join(reps, found["id"] == reps["rep"]).select(
         "id", "digest", F.col("component").alias("cluster")
     ))

@@ -1,6 +1,9 @@
 import random
 import re
 
+import pytest
+
+import corpus_pipeline as pipeline
 from quirebind.llm import graph, near
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -92,3 +95,22 @@ def test_components_of_long_paths(spark):
     first, second = min(ids[:40]), min(ids[40:])
     assert got == {i: first if i in ids[:40] else second for i in ids}
     assert graph.components(df.limit(0)).collect() == []
+
+
+def test_matches_follow_the_threshold():
+    assert [near.matches(p) for p in (80, 85, 100)] == [36, 41, 64]
+    with pytest.raises(ValueError):
+        near.matches(10)
+
+
+def test_stage_links_from_four_fifths(spark):
+    rnd = random.Random(8)
+    rows = corpus()
+    for n in range(1000, 1400, 2):  # pairs around 0.8: one end of a row replaced
+        words = [f"v{rnd.randrange(10**6)}" for _ in range(104)]
+        k = rnd.choice([9, 10, 11, 12])
+        rows += [(n, " ".join(words)), (n + 1, " ".join(words[:-k] + [f"x{n}-{i}" for i in range(k)]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    want = set(brute(rows, 80).values())
+    assert want < set(brute(rows).values())
+    assert {r.doc_id for r in pipeline.near_dedup(spark, docs, "").collect()} == want
