@@ -15,6 +15,10 @@
    confirmed on full sets.  A task returns a spanning forest of its links.
 4. Components of the links are found by stars, and copies join their representative.
 
+A set's number is dealt out when sets are stored, so texts of one doc_id, and those of
+none, are sets of their own.  The row that stays of a component is that of the least
+doc_id (null after all others) and, within it, the least hash of the text.
+
 A link of similarity ``s`` agrees on a coordinate with probability ``s``.  The
 agreements asked for follow from the threshold, so that at most ``MISSED`` of the links
 right at it have fewer: 41 of 64 at 0.85 (8.8 of a million links have fewer), 36 at
@@ -22,10 +26,13 @@ right at it have fewer: 41 of 64 at 0.85 (8.8 of a million links have fewer), 36
 
 Defined cases: a null text, and one without words, has an empty set and is its own
 component; with fewer than five words the whole row of words is the one shingle;
-repeated rows are links to each other, and the component is the least doc_id; a row
-of null doc_id joins the component of its copies, if there are, and links nothing
-itself; an empty table gives an empty result; further columns are dropped by ``near_report``
-and carried along by ``one_of_each``.
+repeated rows are links to each other, and the component is the least doc_id; rows of
+null doc_id link like others, and a component that has no other doc_id is null.
+``near_report`` speaks of ids: ``kept`` holds for every row with the component's id, so
+for all of its repetitions.  ``one_of_each`` decides by (doc_id, hash of the text) and
+leaves one row of a component, of repeated rows too; rows of an empty set all stay.
+An empty table gives an empty result; further columns are dropped by ``near_report`` and
+carried along by ``one_of_each``.
 """
 
 import hashlib
@@ -36,7 +43,7 @@ from typing import Any
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quirebind.llm.graph import components
@@ -114,21 +121,32 @@ def _digest(own: np.ndarray) -> bytes:
     return hashlib.blake2b(own.tobytes(), digest_size=16).digest()
 
 
+def _key(text: Column) -> Column:
+    """16 bytes that tell texts apart; null for null."""
+    return F.unhex(F.md5(text))
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    return id_and_text(docs).withColumn("key", _key(F.col("text")))
+
+
 def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, digest (of the whole set), coordinates."""
+    """doc_id, key (of the text), n_shingles, digest (of the whole set), coordinates."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, Any]]:
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            doc, texts, key = batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()
+            for i, text in enumerate(texts):
                 own = shingles(text.as_py())
                 yield {
-                    "doc_id": doc, "n_shingles": len(own), "digest": _digest(own),
+                    "doc_id": doc[i], "key": key[i], "n_shingles": len(own), "digest": _digest(own),
                     "coordinates": signature(own).tolist() if len(own) else [],
                 }
 
     return map_rows(
-        id_and_text(docs), run,
-        "doc_id bigint, n_shingles bigint, digest binary, coordinates array<bigint>", rows=1000,
+        _keyed(docs), run,
+        "doc_id bigint, key binary, n_shingles bigint, digest binary, coordinates array<bigint>",
+        rows=1000,
     )
 
 
@@ -151,22 +169,23 @@ def _clusters(reps: DataFrame, least: int) -> DataFrame:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """doc_id, cluster, n, hashes (bytes) of the representatives in ``wanted``
-    (id, digest, cluster), read again."""
+    """id, cluster, n, hashes (bytes) of the representatives in ``wanted``
+    (id, head, cluster), read again from the row ``head``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, Any]]:
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            rep, cluster = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for i, text in enumerate(batch.column(2)):
                 own = shingles(text.as_py())
-                yield {"doc_id": doc, "n": len(own), "found": _digest(own), "hashes": own.tobytes()}
-
-    texts = id_and_text(docs).join(wanted, F.col("doc_id") == F.col("id"), "left_semi")
-    sets = map_rows(texts, run, "doc_id bigint, n bigint, found binary, hashes binary", rows=256)
-    # Another text of the same doc_id is another set; repeated rows are one.
-    same = (F.col("doc_id") == F.col("id")) & (F.col("found") == F.col("digest"))
-    return sets.join(wanted, same).select("doc_id", "cluster", "n", "hashes").dropDuplicates(
-        ["doc_id"]
-    )
+                yield {"id": rep[i], "cluster": cluster[i], "n": len(own), "hashes": own.tobytes()}
+
+    heads = wanted.select("id", "cluster", "head.doc", F.col("head.key").alias("text_key"))
+    same = F.col("doc_id").eqNullSafe(F.col("doc")) & (F.col("key") == F.col("text_key"))
+    texts = _keyed(docs).join(heads, same).select("id", "cluster", "text")
+    # Repeated rows are one set.
+    return map_rows(
+        texts, run, "id bigint, cluster bigint, n bigint, hashes binary", rows=256
+    ).dropDuplicates(["id"])
 
 
 def _forest(ids, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
@@ -208,7 +227,7 @@ def _forest(ids, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
 
 
 def _links(members: DataFrame, percent: int) -> DataFrame:
-    """Confirmed links (a, b) inside clusters: (doc_id, cluster, n, hashes)."""
+    """Confirmed links (a, b) inside clusters: (id, cluster, n, hashes)."""
     classes = F.floor(F.log(F.col("n")) / F.log(F.lit(100.0 / percent)) + 1e-9)
     # A member stands in its own class and in the next: partners are one class away
     # at most.
@@ -224,16 +243,16 @@ def _links(members: DataFrame, percent: int) -> DataFrame:
             F.ceil(F.col("docs") / BLOCK_DOCS), F.ceil(F.col("shingles") / BLOCK_SHINGLES)
         ).cast("int").alias("blocks"),
     )
-    block = F.pmod(F.xxhash64("doc_id"), "blocks").cast("int")
+    block = F.pmod(F.xxhash64("id"), "blocks").cast("int")
     others = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(
         F.least(o, F.col("block")).alias("left"), F.greatest(o, F.col("block")).alias("right")
     ))
     dealt = spread.join(sizes, ["cluster", "class"]).withColumn("block", block).select(
-        "cluster", "class", "doc_id", "hashes", F.inline(others)
+        "cluster", "class", "id", "hashes", F.inline(others)
     )
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        ids = group["doc_id"].tolist()
+        ids = group["id"].tolist()
         sets = [np.frombuffer(b, np.uint64) for b in group["hashes"]]
         return pd.DataFrame(_forest(ids, sets, percent), columns=["a", "b"], dtype="int64")
 
@@ -243,37 +262,52 @@ def _links(members: DataFrame, percent: int) -> DataFrame:
 
 
 def _component_of(docs: DataFrame, percent: int) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row."""
+    """doc_id, key, n_shingles of every row, and of its component ``head``, the row
+    (nameless, doc, key) that stands for it; null for an empty set."""
     known = settle(sketches(docs))
-    named = known.filter("n_shingles > 0 and doc_id is not null")
-    reps = settle(named.groupBy("digest").agg(
-        F.min("doc_id").alias("rep"), F.any_value("coordinates").alias("coordinates")
-    ))
+    row = F.struct(
+        F.col("doc_id").isNull().alias("nameless"), F.col("doc_id").alias("doc"), "key"
+    )
+    reps = settle(known.filter("n_shingles > 0").groupBy("digest").agg(
+        F.min(row).alias("head"), F.any_value("coordinates").alias("coordinates")
+    ).withColumn("rep", F.monotonically_increasing_id()))
     found = _clusters(reps.select("rep", "coordinates"), matches(percent))
     clusters = settle(found.join(reps, found["id"] == reps["rep"]).select(
-        "id", "digest", F.col("component").alias("cluster")
+        "id", "head", F.col("component").alias("cluster")
     ))
     linked = components(_links(settle(_sets(docs, clusters)), percent))
-    of_rep = reps.join(linked, reps["rep"] == linked["id"], "left").select(
-        "digest", F.coalesce("component", "rep").alias("component")
-    )
-    return known.join(of_rep, "digest", "left").select(
-        "doc_id", "n_shingles",
-        F.when(F.col("n_shingles") > 0, F.coalesce("component", "doc_id"))
-        .otherwise(F.col("doc_id")).alias("component_id"),
+    heads = linked.join(reps.select("rep", "head"), F.col("id") == F.col("rep"))
+    first = heads.groupBy("component").agg(F.min("head").alias("first"))
+    of_linked = linked.join(first, "component").select("id", "first")
+    of_rep = reps.join(of_linked, reps["rep"] == of_linked["id"], "left").select(
+        "digest", F.coalesce("first", "head").alias("head")
     )
+    return known.join(of_rep, "digest", "left").select("doc_id", "key", "n_shingles", "head")
 
 
 def near_report(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept."""
-    return _component_of(docs, percent).withColumn(
-        "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
-    )
+    return _component_of(docs, percent).select(
+        "doc_id", "n_shingles",
+        F.when(F.col("head").isNotNull(), F.col("head.doc")).otherwise(F.col("doc_id"))
+        .alias("component_id"),
+    ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The documents without those that a document of a lesser id stands for."""
-    gone = near_report(docs, percent).filter(~F.col("kept")).select(
-        F.col("doc_id").alias("_n_gone")
-    ).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_n_gone"], "left_anti")
+    """One row of each component: that of the least id, and of these the least hash."""
+    own = F.col("doc_id").eqNullSafe(F.col("head.doc")) & (F.col("key") == F.col("head.key"))
+    # Rows that go, and rows of which one stays: (doc_id, hash of the text) with their number.
+    decided = settle(_component_of(docs, percent).filter("n_shingles > 0").groupBy(
+        F.col("doc_id").alias("_n_doc"), F.col("key").alias("_n_key")
+    ).agg(
+        F.bool_and(own).alias("_n_stays"), F.count("*").alias("_n_rows")
+    ).filter("not _n_stays or _n_rows > 1"))
+    marked = docs.withColumn("_n_text", _key(F.col("text")))
+    same = (
+        F.col("doc_id").cast("bigint").eqNullSafe(F.col("_n_doc"))
+        & (F.col("_n_text") == F.col("_n_key"))
+    )
+    alone = marked.join(decided, same, "left_anti")
+    repeated = marked.join(decided.filter("_n_stays"), same, "left_semi")
+    return alone.unionByName(repeated.dropDuplicates(["doc_id", "_n_text"])).drop("_n_text")

@@ -114,3 +114,21 @@ def test_stage_links_from_four_fifths(spark):
     want = set(brute(rows, 80).values())
     assert want < set(brute(rows).values())
     assert {r.doc_id for r in pipeline.near_dedup(spark, docs, "").collect()} == want
+
+
+def test_one_row_of_each_stays(spark):
+    make = lambda w, n=60: " ".join(f"{w}{i}" for i in range(n))
+    rows = [
+        (5, make("a"), "x"), (5, make("a"), "x"), (None, make("a"), "x"), (7, make("a").upper(), "x"),
+        (None, make("b"), "x"), (None, make("b"), "y"), (None, make("b") + " more", "x"), (None, make("c"), "x"),
+        (7, make("d"), "x"), (7, make("e"), "x"), (8, make("e") + " more", "x"), (7, make("f"), "x"), (7, make("f") + " too", "x"),
+        (7, None, "x"), (7, None, "x"), (None, "", "x"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, hash string").repartition(3)
+    kept = near.one_of_each(docs)
+    assert kept.columns == docs.columns
+    got = [(r.doc_id, (r.text or "")[:1].lower()) for r in kept.collect()]
+    assert sorted(got, key=repr) == sorted([
+        (5, "a"), (None, "b"), (None, "c"), (7, "d"), (7, "e"), (7, "f"), (7, ""), (7, ""), (None, ""),
+    ], key=repr)
+    assert near.one_of_each(docs.limit(0)).collect() == []
