@@ -49,7 +49,7 @@ def rotated(conversations: DataFrame) -> DataFrame:
     order = ["turn", "author", "body"]
     tie = turns.withColumn("deal", F.rand(5))
     placed = settle(
-        tie.repartitionByRange("conv_id", "turn", "author", F.xxhash64("body"), "deal")
+        tie.repartitionByRange("conv_id", *order, "deal")
         .drop("deal").withColumn("part", F.spark_partition_id())
     )
     speakers = placed.filter(F.col("author") != SYSTEM).select(

@@ -49,3 +49,22 @@ def test_native_and_empty(spark):
     made = chat.rotated(spark.createDataFrame([], SCHEMA))
     assert made.collect() == []
     assert not re.search("Python|Pandas|Arrow", made._jdf.queryExecution().toString())
+
+
+def test_ties_over_many_parts(spark):
+    rows = [(None, k % 2, "anna", f"text {k * 7919 % 3000:04}" + "." * (k % 5)) for k in range(3000)]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    before = spark.conf.get("spark.sql.shuffle.partitions"), spark.conf.get("spark.sql.adaptive.enabled")
+    found = []
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")  # parts stay as many as asked for
+        for parts in ("7", "1"):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            found.append(sorted(map(tuple, chat.rotated(table).collect()), key=repr))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before[0])
+        spark.conf.set("spark.sql.adaptive.enabled", before[1])
+    assert found[0] == found[1]
+    con = duckdb.connect()
+    con.register("conversations", table.toPandas().astype({"conv_id": "Int64"}))
+    assert found[0] == sorted(con.execute(chat.ORACLE).fetchall(), key=repr)
