@@ -14,7 +14,8 @@ reach the driver only in that bitmap.
 
 Defined cases: null and empty texts match nothing; items of fewer than ``WINDOW``
 words, or whose windows have fewer than ``LITERALS`` plain words each, are too
-short to tell a leak from chance and match nothing; repeated rows are judged
+short to tell a leak from chance and match nothing; a document is a (doc_id, text), so
+rows of null or of one doc_id are judged by their own text each; repeated rows are judged
 alike; with an empty benchmark all documents are clean; further columns are
 dropped by ``leak_report`` and carried along by ``without_leaks``.
 """
@@ -131,31 +132,37 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
     ).withColumnsRenamed({"pos": "ipos", "slots": "islots"})
 
 
+def _key(text: Column) -> Column:
+    """16 bytes that tell texts apart; null for null."""
+    return F.unhex(F.md5(text))
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) -> DataFrame:
-    """doc_id, item_id, share of the item's windows found, and whether all slots
-    have the item's own values; one row per document and leaked item."""
+    """doc_id, key (of the text), item_id, share of the item's windows found, and whether
+    all slots have the item's own values; one row per document and leaked item."""
     items = item_windows(benchmark)
     hits = docs.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"),
-        F.explode(_windows(F.col("text"), _bitmap(items))).alias("w"),
-    ).select("doc_id", "w.*")
+        F.col("doc_id").cast("bigint").alias("doc_id"), _key(F.col("text")).alias("key"), "text"
+    ).select(
+        "doc_id", "key", F.explode(_windows(F.col("text"), _bitmap(items))).alias("w")
+    ).select("doc_id", "key", "w.*")
     pairs = F.filter(
         F.arrays_zip("islots", "slots"), lambda p: p["islots"].isNotNull()
     )
     met = hits.join(items, "hash").select(
-        "doc_id", "item_id", "n_windows", "ipos", (F.col("pos") - F.col("ipos")).alias("shift"),
+        "doc_id", "key", "item_id", "n_windows", "ipos", (F.col("pos") - F.col("ipos")).alias("shift"),
         F.transform(pairs, lambda p: F.struct(p["islots"].alias("own"), p["slots"].alias("other")))
         .alias("pairs"),
     )
     # An alignment has at most the item's windows, so its sets are bounded by it.
-    lined = met.groupBy("doc_id", "item_id", "shift").agg(
+    lined = met.groupBy("doc_id", "key", "item_id", "shift").agg(
         F.max("n_windows").alias("n_windows"), F.collect_set("ipos").alias("places"),
         F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"),
     )
     owners = F.size(F.array_distinct(F.transform("pairs", lambda p: p["own"])))
     sound = lined.filter(F.size("pairs") == owners)
     verbatim = F.forall("pairs", lambda p: p["own"] == p["other"])
-    found = sound.groupBy("doc_id", "item_id").agg(
+    found = sound.groupBy("doc_id", "key", "item_id").agg(
         (F.size(F.array_distinct(F.flatten(F.collect_list("places")))) / F.max("n_windows"))
         .alias("share"),
         F.bool_and(verbatim).alias("verbatim"),
@@ -165,13 +172,15 @@ def leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) -> DataFr
 
 def leak_report(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) -> DataFrame:
     """One row per document: doc_id, contaminated, item_ids, share, verbatim."""
-    per = leaks(docs, benchmark, share).groupBy("doc_id").agg(
+    per = leaks(docs, benchmark, share).groupBy("doc_id", "key").agg(
         F.sort_array(F.collect_set("item_id")).alias("item_ids"),
         F.max("share").alias("share"), F.bool_or("verbatim").alias("verbatim"),
     )
-    ids = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"))
-    key = ids["doc_id"].eqNullSafe(per["doc_id"])
-    return ids.join(per, key, "left").select(
+    ids = docs.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), _key(F.col("text")).alias("key")
+    )
+    same = ids["doc_id"].eqNullSafe(per["doc_id"]) & (ids["key"] == per["key"])
+    return ids.join(per, same, "left").select(
         ids["doc_id"], F.col("item_ids").isNotNull().alias("contaminated"),
         F.coalesce("item_ids", F.array().cast("array<bigint>")).alias("item_ids"),
         F.coalesce("share", F.lit(0.0)).alias("share"),
@@ -181,5 +190,12 @@ def leak_report(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) ->
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) -> DataFrame:
     """The documents that leak no item, with their own columns."""
-    leaked = leaks(docs, benchmark, share).select(F.col("doc_id").alias("_d_leaked")).distinct()
-    return docs.join(leaked, docs["doc_id"].eqNullSafe(leaked["_d_leaked"]), "left_anti")
+    leaked = leaks(docs, benchmark, share).select(
+        F.col("doc_id").alias("_d_leaked"), F.col("key").alias("_d_key")
+    ).distinct()
+    marked = docs.withColumn("_d_text", _key(F.col("text")))
+    same = (
+        F.col("doc_id").cast("bigint").eqNullSafe(F.col("_d_leaked"))
+        & (F.col("_d_text") == F.col("_d_key"))
+    )
+    return marked.join(leaked, same, "left_anti").drop("_d_text")

@@ -53,3 +53,17 @@ def test_like_brute_force(spark, sf_small):
             if sum(tuple(w[i : i + 8]) in grams for i in range(len(w) - 7)) > 3}
     got = {r.doc_id for r in dc.leak_report(docs, items).collect() if r.contaminated}
     assert got == want and want
+
+
+def test_rows_of_one_id_are_judged_each(spark, tables):
+    _, items = tables
+    words = ITEM.split()
+    parts = [" ".join(words[i : i + 10]) for i in (0, 4, 8)]  # three of the windows each
+    rows = [(i, t) for i in (None, 7) for t in [ITEM, "nothing of it", None, *parts]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = dc.leak_report(docs, items, share=0.5).collect()
+    assert sorted(((r.doc_id, r.contaminated) for r in found), key=repr) == sorted(
+        [(i, t == ITEM) for i, t in rows], key=repr)
+    kept = dc.without_leaks(docs, items, share=0.5)
+    assert kept.columns == docs.columns
+    assert sorted(map(tuple, kept.collect()), key=repr) == sorted([r for r in rows if r[1] != ITEM], key=repr)
