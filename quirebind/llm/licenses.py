@@ -6,18 +6,23 @@ are aligned the same way.  Where a gap has no anchor, its equal ends are matched
 Coverage is the share of the template's words that are aligned.
 
 A document may hold a license many times, and then no word is unique in it.  So
-the aligned passages are windows: the rare words of a template (``RARE`` of them,
-fewest occurrences in the document first) say where it may begin, and every
-occurrence opens a window of the template's length with room on both sides.  All
-windows are tried; those whose words cannot reach the coverage are passed over,
-which loses nothing.
+the aligned passages are windows: words of a template (fewest occurrences in the
+document first, common words last) say where it may begin.  They are so many that they
+fill more of the template's places than a passage of the asked coverage can lack, so
+one of them at least is aligned in it.  Every occurrence opens windows of the template's
+length, for every place of the word in the template: with room on both sides, on either
+and on none, so that repeated neighbours do not hide each other.  All windows are tried;
+those whose words cannot reach the coverage are passed over, which loses nothing.  Of
+passages that overlap, those of the largest sum of coverages are taken.  A passage with
+more words put in than the room, a quarter of the template, is not looked for.
 
 Defined cases: null and empty texts have no license; repeated rows are scanned
 alike; an empty table gives an empty result; further columns are dropped.
 """
 
+import math
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from typing import Any
@@ -28,7 +33,6 @@ from pyspark.sql import DataFrame
 from quirebind.llm.words import id_and_text, map_rows
 
 COVERAGE = 0.8
-RARE = 3
 _TOKEN = re.compile(r"[^\W_]+")
 
 # --- fixed values: license notices and texts --------------------------------------
@@ -72,7 +76,7 @@ TEMPLATES = {
     ),
     "Reserved": "All rights reserved.",
 }
-#: Words too common to say where a license may begin.
+#: Words that say where a license may begin only where others are too few.
 COMMON = frozenset(
     "a above all an and any as at be by do even for from in is it may not of on or other so "
     "that the this to under use with without you your".split()
@@ -138,8 +142,17 @@ class Scanner:
     def __init__(self, templates: dict[str, str], coverage: float):
         self.coverage = coverage
         self.templates = {k: tokens(v) for k, v in templates.items()}
-        self.rare = {k: set(v) - COMMON for k, v in self.templates.items()}
-        self.vocabulary = set().union(*self.rare.values()) if self.rare else set()
+        # Places of each word in the template, and how many places a passage may lack.
+        self.at: dict[str, dict[str, list[int]]] = {}
+        self.lack: dict[str, int] = {}
+        for k, v in self.templates.items():
+            self.lack[k] = len(v) - max(1, math.ceil(coverage * len(v) - 1e-9))
+            at: dict[str, list[int]] = {}
+            for i, w in enumerate(v):
+                at.setdefault(w, []).append(i)
+            rare = {w: p for w, p in at.items() if w not in COMMON}
+            self.at[k] = rare if sum(map(len, rare.values())) > self.lack[k] else at
+        self.vocabulary = set().union(*self.at.values())
 
     def scan(self, text: str | None) -> list[tuple[str, int, int, float]]:
         """(license, first word, end word, coverage), passages of one license apart."""
@@ -155,44 +168,51 @@ class Scanner:
         return sorted(found, key=lambda f: (f[1], f[0]))
 
     def _passages(self, name, words, places) -> list[tuple[str, int, int, float]]:
-        template, rare = self.templates[name], self.rare[name]
+        template, spots = self.templates[name], self.at[name]
         n = len(template)
-        have = sorted((len(places[w]), w) for w in rare if w in places)
-        if len(have) + n - len(rare) < self.coverage * n:
-            return []
         room = max(2, n // 4)
-        starts = set()
-        for _, w in have[:RARE]:
-            at = template.index(w)
-            starts.update(max(0, p - at - room) for p in places[w])
-        need, best = Counter(template), []
-        for start in sorted(starts):
-            window = words[start : start + n + 2 * room]
+        filled, begins = 0, set()
+        for w in sorted(spots, key=lambda w: (w in COMMON, len(places.get(w, ())), w)):
+            if filled > self.lack[name]:
+                break
+            filled += len(spots[w])
+            begins.update(p - at for p in places.get(w, ()) for at in spots[w])
+        windows = {
+            (max(0, b - before), b + n + after)
+            for b in begins for before in (0, room) for after in (0, room)
+        }
+        need, spans = Counter(template), set()
+        for start, stop in sorted(windows):
+            window = words[start : max(start, stop)]
             got = Counter(w for w in window if w in need)
             if sum(min(c, need[w]) for w, c in got.items()) < self.coverage * n:
                 continue
             pairs = align(template, window)
             share = len(pairs) / n
-            if share >= self.coverage:
-                best.append((share, start + pairs[0][1], start + pairs[-1][1] + 1))
-        taken: list[tuple[str, int, int, float]] = []
-        end = -1
-        # Windows of one passage give it several times: the best of those that overlap.
-        for share, first, last in _best_apart(best):
-            if first >= end:
-                taken.append((name, first, last, share))
-                end = last
-        return taken
-
-
-def _best_apart(spans: list[tuple[float, int, int]]) -> list[tuple[float, int, int]]:
-    out: list[tuple[float, int, int]] = []
-    for span in sorted(spans, key=lambda s: (s[1], s[2])):
-        if out and span[1] < out[-1][2]:
-            out[-1] = max(out[-1], span, key=lambda s: (s[0], s[1] - s[2], -s[1]))
+            if pairs and share >= self.coverage:
+                spans.add((start + pairs[0][1], start + pairs[-1][1] + 1, share))
+        return [(name, first, last, share) for first, last, share in _apart(spans)]
+
+
+def _apart(spans: set[tuple[int, int, float]]) -> list[tuple[int, int, float]]:
+    """Of overlapping spans those of the largest sum of shares, and of the fewest words."""
+    order = sorted(spans, key=lambda s: (s[1], s[0], s[2]))
+    ends = [last for _, last, _ in order]
+    best: list[tuple[float, int]] = [(0.0, 0)]
+    took: list[int] = []  # how many of the spans before remain with this one; -1 without it
+    for k, (first, last, share) in enumerate(order):
+        upto = bisect_right(ends, first, 0, k)
+        with_it = (round(best[upto][0] + share, 9), best[upto][1] - (last - first))
+        took.append(upto if with_it > best[k] else -1)
+        best.append(max(with_it, best[k]))
+    out, k = [], len(order)
+    while k:
+        if took[k - 1] < 0:
+            k -= 1
         else:
-            out.append(span)
-    return out
+            out.append(order[k - 1])
+            k = took[k - 1]
+    return out[::-1]
 
 
 def license_report(

@@ -64,3 +64,33 @@ def test_languages_of_held_out_documents(spark, sf_small):
     assert language.identified(docs.limit(0)).collect() == []
     unlabelled = docs.filter("doc_id < 20").selectExpr("doc_id", "text", "cast(null as string) lang")
     assert {r.lang_pred for r in language.identified(unlabelled).collect()} == {"und"}
+
+
+def test_every_passage_opens_a_window():
+    scanner = licenses.Scanner(licenses.TEMPLATES, licenses.COVERAGE)
+    found = lambda text: [f[0] for f in scanner.scan(text)]
+    words = sorted(set(licenses.tokens(MIT)) - licenses.COMMON, key=licenses.tokens(MIT).count)
+    changed = MIT
+    for w in words[:3]:  # the only words that the text as a whole has once
+        changed = changed.replace(w, "xyz")
+    assert changed.count("xyz") >= 3
+    assert found(f"{MIT} foo {changed}") == ["MIT"] * 2
+    assert found(f"{changed} foo {' '.join(words[:3])}") == ["MIT"]
+    for k in range(1, 9):
+        assert found("All rights reserved. " * k) == ["Reserved"] * k
+        assert found("all rights are reserved; " * k) == ["Reserved"] * k
+        assert found(f"{MIT} {changed} " * k) == ["MIT"] * (2 * k)
+
+
+def test_passages_apart_like_all_choices():
+    rnd = random.Random(2)
+    for _ in range(200):
+        spans = {(a := rnd.randrange(12), a + rnd.randrange(1, 6), rnd.choice([0.8, 0.9, 1.0])) for _ in range(7)}
+        best = 0.0
+        for mask in range(1 << len(spans)):
+            own = sorted(s for i, s in enumerate(spans) if mask >> i & 1)
+            if all(x[1] <= y[0] for x, y in zip(own, own[1:], strict=False)):
+                best = max(best, sum(s[2] for s in own))
+        got = licenses._apart(spans)
+        assert all(x[1] <= y[0] for x, y in zip(got, got[1:], strict=False))
+        assert abs(sum(s[2] for s in got) - best) < 1e-6
