@@ -7,14 +7,20 @@ checked for slot consistency: a number or name of the item must stand for one an
 the same value of the document wherever it occurs.  So a question asked with
 other numbers is found, and a chance match of placeholders is not.
 
+Windows with too many placeholders say little by their template, and a document in
+title case has none of an item's plain words.  So windows also meet by their exact
+words, without placeholders and without a least number of literals.  An item of fewer
+than ``WINDOW`` words is one such window of its own length; the lengths that occur, one
+to seven, reach the driver.
+
 Before the windows of the documents are spread into rows they pass a bitmap of
 ``2 ** 20`` bits of the benchmark's window hashes.  Its size is fixed; a larger
 benchmark lets more windows through, never fewer.  Window hashes of the benchmark
 reach the driver only in that bitmap.
 
-Defined cases: null and empty texts match nothing; items of fewer than ``WINDOW``
-words, or whose windows have fewer than ``LITERALS`` plain words each, are too
-short to tell a leak from chance and match nothing; a document is a (doc_id, text), so
+Defined cases: null and empty texts match nothing; items of numbers alone match nothing;
+items of fewer than ``WINDOW`` words, and windows with fewer than ``LITERALS`` plain
+words, match by their exact words only; a document is a (doc_id, text), so
 rows of null or of one doc_id are judged by their own text each; repeated rows are judged
 alike; with an empty benchmark all documents are clean; further columns are
 dropped by ``leak_report`` and carried along by ``without_leaks``.
@@ -99,6 +105,47 @@ def _windows(text: Column, keep: Column | None) -> Column:
     return let(both, of)
 
 
+def _exact(text: Column, keep: Column | None, lengths: Column) -> Column:
+    """Windows as in ``_windows`` by exact words, of each of ``lengths``; no slots."""
+    plain = F.translate(_marked(text), _NAME + _UNIT, "")
+    words = F.split(plain, " ")
+
+    def of(w: Column) -> Column:
+        def long(n: Column) -> Column:
+            last = F.size(w) - n
+            places = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(
+                F.array().cast("array<int>"))
+
+            def hashed(i: Column) -> Column:
+                return F.xxhash64(F.lit("exact"), F.slice(w, i + 1, n))
+
+            if keep is not None:
+                places = F.filter(places, lambda i: let(hashed(i), lambda h: F.call_function(
+                    "bit_get", F.get(keep, _word(h)), _bit(h)) == 1))
+            return F.transform(places, lambda i: F.struct(
+                i.alias("pos"), hashed(i).alias("hash"),
+                F.array().cast("array<string>").alias("slots"),
+            ))
+
+        return F.flatten(F.transform(lengths, long))
+
+    return let(words, of)
+
+
+def _n_words(text: Column) -> Column:
+    """Number of words of an item; 0 for one of numbers alone."""
+    plain = F.translate(_marked(text), _NAME + _UNIT, "")
+    return F.when(plain.rlike(r"(?<!\S)[^\s\p{Nd}]"), F.size(F.split(plain, " "))).otherwise(0)
+
+
+def _lengths(benchmark: DataFrame) -> Column:
+    """The lengths of exact windows: ``WINDOW``, and those of shorter items."""
+    short = benchmark.select(_n_words(F.col("text")).alias("n")).filter(
+        (F.col("n") > 0) & (F.col("n") < WINDOW)
+    ).distinct()
+    return F.array(*[F.lit(n) for n in sorted({WINDOW, *(r.n for r in short.collect())})])
+
+
 def _word(h: Column) -> Column:
     low = h.bitwiseAND(F.lit((1 << _BITS) - 1))
     return F.call_function("shiftright", low, F.lit(6)).cast("int")
@@ -119,16 +166,20 @@ def _bitmap(items: DataFrame) -> Column:
 def item_windows(benchmark: DataFrame) -> DataFrame:
     """item_id, n_windows (places), ipos, hash, islots.
 
-    An item stands with its names as placeholders and, for documents that write all
-    in one case, with its names as words."""
+    An item stands with its names as placeholders, for documents that write all in one
+    case with its names as words, and by its exact words."""
+    n = _n_words(F.col("text"))
     found = benchmark.select(
         F.col("item_id").cast("bigint").alias("item_id"),
         _windows(F.col("text"), None).alias("named"),
         _windows(F.lower("text"), None).alias("plain"),
+        F.when(n > 0, _exact(F.col("text"), None, F.array(F.least(n, F.lit(WINDOW)))))
+        .otherwise(F.array().cast("array<struct<pos:int,hash:bigint,slots:array<string>>>"))
+        .alias("exact"),
     )
     return found.select(
-        "item_id", F.greatest(F.size("named"), F.size("plain")).alias("n_windows"),
-        F.inline(F.array_distinct(F.concat("named", "plain"))),
+        "item_id", F.greatest(F.size("named"), F.size("plain"), F.size("exact")).alias("n_windows"),
+        F.inline(F.array_distinct(F.concat("named", "plain", "exact"))),
     ).withColumnsRenamed({"pos": "ipos", "slots": "islots"})
 
 
@@ -141,21 +192,25 @@ def leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) -> DataFr
     """doc_id, key (of the text), item_id, share of the item's windows found, and whether
     all slots have the item's own values; one row per document and leaked item."""
     items = item_windows(benchmark)
+    bits = _bitmap(items)
     hits = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), _key(F.col("text")).alias("key"), "text"
     ).select(
-        "doc_id", "key", F.explode(_windows(F.col("text"), _bitmap(items))).alias("w")
+        "doc_id", "key", F.explode(F.concat(
+            _windows(F.col("text"), bits), _exact(F.col("text"), bits, _lengths(benchmark))
+        )).alias("w")
     ).select("doc_id", "key", "w.*")
     pairs = F.filter(
         F.arrays_zip("islots", "slots"), lambda p: p["islots"].isNotNull()
     )
     met = hits.join(items, "hash").select(
         "doc_id", "key", "item_id", "n_windows", "ipos", (F.col("pos") - F.col("ipos")).alias("shift"),
+        (F.size("slots") == 0).alias("exact"),
         F.transform(pairs, lambda p: F.struct(p["islots"].alias("own"), p["slots"].alias("other")))
         .alias("pairs"),
     )
     # An alignment has at most the item's windows, so its sets are bounded by it.
-    lined = met.groupBy("doc_id", "key", "item_id", "shift").agg(
+    lined = met.groupBy("doc_id", "key", "item_id", "shift", "exact").agg(
         F.max("n_windows").alias("n_windows"), F.collect_set("ipos").alias("places"),
         F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"),
     )

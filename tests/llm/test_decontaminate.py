@@ -67,3 +67,14 @@ def test_rows_of_one_id_are_judged_each(spark, tables):
     kept = dc.without_leaks(docs, items, share=0.5)
     assert kept.columns == docs.columns
     assert sorted(map(tuple, kept.collect()), key=repr) == sorted([r for r in rows if r[1] != ITEM], key=repr)
+
+
+def test_short_numeric_and_title_case_items(spark):
+    texts = ["What is 7 times 8?", "Add 1 2 3 4 5 6 7 8 9 10 11 12 13",
+             "the quiet river ran past the old stone mill before dawn"]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    rows = [(0, f"He asked: {texts[0].upper()} Nobody knew."), (1, f"so {texts[1]} and stop"), (2, texts[2].title()),
+            (3, "What is 7 times 9?"), (4, "Add 1 3 5 7 9 11 13 2 4 6 8 10"), (5, "The Quiet Town Slept Before Dawn")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.item_ids, r.verbatim) for r in dc.leak_report(docs, items).collect()}
+    assert got == {i: ([i], True) if i < 3 else ([], False) for i, _ in rows}
