@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quirebind.llm import (
     chat, decontaminate, language, licenses, lm, near, packing, pii, quality, token_files,
+    whiten,
 )
 from quirebind.session import shared_folder
 
@@ -90,3 +91,8 @@ def op10_near_duplicates(spark, sf_dir):
 @query
 def op9_language_model(spark, sf_dir):
     return lm.scored(documents(spark, sf_dir))
+
+
+@query
+def op11_whitening(spark, sf_dir):
+    return whiten.whitened(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
