@@ -8,8 +8,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 from quirebind.llm import (
-    chat, decontaminate, language, licenses, lm, near, packing, pii, quality, token_files,
-    whiten,
+    chat, decontaminate, language, licenses, lm, near, ngram_join, packing, pii, quality,
+    token_files, whiten,
 )
 from quirebind.session import shared_folder
 
@@ -96,3 +96,8 @@ def op9_language_model(spark, sf_dir):
 @query
 def op11_whitening(spark, sf_dir):
     return whiten.whitened(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@query
+def op12_ngram_join(spark, sf_dir):
+    return ngram_join.joined(documents(spark, sf_dir))
