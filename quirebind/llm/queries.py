@@ -8,8 +8,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 from quirebind.llm import (
-    chat, decontaminate, language, licenses, lm, near, ngram_join, packing, pii, quality,
-    token_files, whiten,
+    chat, decontaminate, language, licenses, lm, near, ngram_join, packing, pii, prefix_trie,
+    quality, token_files, whiten,
 )
 from quirebind.session import shared_folder
 
@@ -101,3 +101,11 @@ def op11_whitening(spark, sf_dir):
 @query
 def op12_ngram_join(spark, sf_dir):
     return ngram_join.joined(documents(spark, sf_dir))
+
+
+@query
+def op13_prefix_trie(spark, sf_dir):
+    return prefix_trie.trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+ORACLE["op13_prefix_trie"] = prefix_trie.ORACLE
