@@ -1,16 +1,11 @@
 """Accepting documents and reading job messages."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quirebind import fixed
 from quirebind.functions import names, text
 
-MESSAGE_SCHEMA = (
-    "job_id string, user_id string, original_filename string, file_key string, "
-    "timestamp string"
-)
-_STRUCT = MESSAGE_SCHEMA.replace(" string", ": string")
 _TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 _TIME_PATTERN = r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d([.,]\d+)?(Z|[+-]\d\d:\d\d)\z"
 
@@ -88,72 +83,72 @@ def publish_messages(jobs: DataFrame) -> DataFrame:
     return jobs.select("job_id", F.to_json(payload).alias("value"))
 
 
-def _checked_id(value: Column) -> Column:
-    """Canonical id; an absent one is the nil id, a malformed one null."""
-    return F.when(value.isNull(), F.lit(fixed.NIL_ID)).otherwise(names.canonical_id(value))
-
-
 _FIELDS = ["job_id", "user_id", "original_filename", "file_key", "timestamp"]
+_STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+#: Letters outside ASCII that are other cases of ASCII letters.
+_FOLDED = ("\u017f\u212a", "sk")
 
 
-def _field(value: Column, decoded: Column, name: str) -> Column:
-    """A field by its name, or else by the name in another case."""
-    keys = F.filter(F.json_object_keys(value), lambda k: F.lower(k) == name)
-    path = F.concat(F.lit("$['"), F.element_at(keys, -1), F.lit("']"))
-    other = F.call_function("get_json_object", value, path)
-    return F.coalesce(decoded[name], other)
+def _entries(messages: DataFrame) -> DataFrame:
+    """Add ``_entries``: (field, kind, text) of the known fields of each message's object in
+    their order, null where the message is not one JSON object and nothing else.
 
-
-def _kinds_fit(value: Column) -> Column:
-    """Whether every field that is there is a string, or JSON's null."""
-    parsed = F.try_parse_json(value)
-    kinds = [
-        F.coalesce(F.schema_of_variant(F.try_variant_get(parsed, f"$.{c}", "variant")), F.lit("VOID"))
-        for c in _FIELDS
-    ]
-    fit = F.lit(True)
-    for kind in kinds:
-        fit = fit & kind.isin("STRING", "VOID")
-    return fit
+    The message is decoded once: the generator keeps what looks at the entries, filters
+    too, above the decoding.
+    """
+    # In an array in front of a null: whatever ends the object early or follows it shows.
+    listed = F.from_json(
+        F.concat(F.lit("["), "value", F.lit(",null]")), "array<map<string, variant>>", _STRICT
+    )
+    held = messages.select("*", F.explode_outer(F.array(listed)).alias("_listed"))
+    entries = F.transform(
+        F.map_entries(F.get("_listed", F.lit(0))),
+        lambda e: F.struct(
+            F.lower(F.translate(e["key"], *_FOLDED)).alias("field"),
+            F.schema_of_variant(e["value"]).alias("kind"),
+            F.try_variant_get(e["value"], "$", "string").alias("text"),
+        ),
+    )
+    known = F.when(
+        F.size("_listed") == 2, F.filter(entries, lambda e: e["field"].isin(_FIELDS))
+    )
+    return held.select("*", F.explode_outer(F.array(known)).alias("_entries")).drop("_listed")
 
 
 def parse_messages(messages: DataFrame) -> DataFrame:
     """Decode JSON messages in ``value`` and say what is wrong with each.
 
     ``problem`` is null for a sound message: one JSON object and nothing else, all
-    fields strings, ids and time well-formed.  Unknown fields are ignored, absent
-    ones take their blank value, and names are taken without regard to case.
+    fields strings, ids and time well-formed.  Unknown fields are ignored; absent ones and
+    JSON's null take their blank value (the nil id for ids).  Names are taken without
+    regard to case; of a field given several times the last counts, and all must be sound.
     """
-    # As the one element of an array: whatever follows the object breaks it.
-    listed = F.from_json(
-        F.concat(F.lit("["), "value", F.lit("]")), f"array<struct<{_STRUCT}>>"
-    )
-    one = F.when(F.size(listed) == 1, listed[0])
-    decoded = F.struct(
-        *[_field(F.col("value"), one, c).alias(c) for c in _FIELDS],
-        (one.isNull() | ~F.col("value").rlike(r"(?s)^\s*\{.*\}\s*\z") | ~_kinds_fit(F.col("value")))
-        .alias("broken"),
-    )
-    # The generator keeps later filters above the decoding; pushed below it
-    # they would decode the message once per field they look at.
-    fields = messages.select("*", F.inline_outer(F.array(decoded)))
-    fields = fields.withColumns(
-        {
-            "job_id": _checked_id(F.col("job_id")),
-            "user_id": _checked_id(F.col("user_id")),
-            "original_filename": F.coalesce("original_filename", F.lit("")),
-            "file_key": F.coalesce("file_key", F.lit("")),
-        }
-    )
-    time = F.col("timestamp")
-    real = time.rlike(_TIME_PATTERN) & F.try_to_timestamp(
-        F.regexp_replace(time, ",", ".")).isNotNull()
+    decoded = _entries(messages)
+    texts = decoded.withColumns({
+        f"_{c}": F.transform(
+            F.filter("_entries", lambda e: (e["field"] == c) & (e["kind"] == "STRING")),
+            lambda e: e["text"],
+        ) for c in _FIELDS
+    })
+    last = lambda c: F.try_element_at(f"_{c}", F.lit(-1))
+    no_id = lambda c: F.exists(f"_{c}", lambda x: names.canonical_id(x).isNull())
+    no_time = F.exists("_timestamp", lambda x: ~(x.rlike(_TIME_PATTERN) & F.try_to_timestamp(
+        F.regexp_replace(x, ",", ".")).isNotNull()))
+    other_kinds = F.exists("_entries", lambda e: ~e["kind"].isin("STRING", "VOID"))
     problem = (
-        F.when(F.coalesce(F.col("broken"), F.lit(True)), "json")
-        .when(F.col("job_id").isNull() | F.col("user_id").isNull(), "id")
-        .when(time.isNotNull() & ~real, "timestamp")
+        F.when(F.col("_entries").isNull() | other_kinds, "json")
+        .when(no_id("job_id") | no_id("user_id"), "id")
+        .when(no_time, "timestamp")
     )
-    return fields.withColumn("problem", problem).drop("broken")
+    nil, blank = F.lit(fixed.NIL_ID), F.lit("")
+    held = F.struct(
+        *[F.when(F.size(f"_{c}") > 0, names.canonical_id(last(c))).otherwise(nil).alias(c)
+          for c in ("job_id", "user_id")],
+        *[F.coalesce(last(c), blank).alias(c) for c in ("original_filename", "file_key")],
+        last("timestamp").alias("timestamp"),
+        problem.alias("problem"),
+    )
+    return texts.select(*messages.columns, F.inline_outer(F.array(held)))
 
 
 def dead_letters(parsed: DataFrame) -> DataFrame:
@@ -163,18 +158,29 @@ def dead_letters(parsed: DataFrame) -> DataFrame:
     )
 
 
-def idempotent_intake(parsed: DataFrame, completed: DataFrame) -> DataFrame:
-    """First delivery per job, without jobs already completed.
+def first_deliveries(parsed: DataFrame) -> DataFrame:
+    """The sound message of each job that came first: job_id, arrival and the fields.
 
-    ``completed`` must come from earlier batches only, so that replaying a
-    batch sees what its first run saw.  The first delivery is an aggregate:
-    a job delivered very often costs one row per task.
+    An aggregate: a job delivered very often costs one row per task.
     """
     fields = ["user_id", "original_filename", "file_key", "timestamp"]
-    first = (
+    return (
         parsed.filter("problem is null")
         .groupBy("job_id")
         .agg(F.min(F.struct("arrival", *fields)).alias("d"))
         .select("job_id", "d.*")
     )
-    return first.join(completed.select("job_id"), "job_id", "left_anti")
+
+
+def without_completed(deliveries: DataFrame, completed: DataFrame) -> DataFrame:
+    """Deliveries of jobs that are not in ``completed`` (job_id)."""
+    return deliveries.join(completed.select("job_id"), "job_id", "left_anti")
+
+
+def idempotent_intake(parsed: DataFrame, completed: DataFrame) -> DataFrame:
+    """First delivery per job, without jobs already completed.
+
+    ``completed`` must come from earlier batches only, so that replaying a
+    batch sees what its first run saw.
+    """
+    return without_completed(first_deliveries(parsed), completed)

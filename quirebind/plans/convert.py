@@ -3,9 +3,10 @@
 Shuffles: the messages meet the documents on file key.  That join is an inner one
 against a table of known size, so Spark broadcasts the messages while they are
 below its threshold, which leaves the texts where they are;
-beyond it the texts move once, by file key, and AQE splits a hot key.  Messages
-without a document are found on keys alone.  Everything after the join stays
-inside the row.
+beyond it the texts move once, by file key, and AQE splits a hot key.  Of documents
+stored by key only the buckets asked for are opened, and each text once.  Messages
+without a document are found on keys alone.  Everything after the join stays inside
+the row.
 """
 
 from collections.abc import Sequence
@@ -18,6 +19,7 @@ from quirebind.functions import names
 from quirebind.operators.bundle import entries_column, history_lines, index_text, log_ends
 from quirebind.operators.segment import with_units
 from quirebind.operators.validate import dead_links, links, verdict_errors
+from quirebind.sources.keyed import KeyedTable
 
 
 def _started_line(at: Column) -> Column:
@@ -32,7 +34,7 @@ NO_TEXT = "Error descargando archivo original: objeto sin contenido"
 
 def convert_corpus(
     messages: DataFrame,
-    documents: DataFrame,
+    documents: DataFrame | KeyedTable,
     generated_at: Column,
     keys: Sequence[str] = ("file_key",),
 ) -> DataFrame:
@@ -40,9 +42,9 @@ def convert_corpus(
 
     ``messages``: job_id, user_id, original_filename, file_key, one row per job
     (see ``idempotent_intake``); they are read several times, so give a stored
-    table.  ``documents``: file_key, text, one row per key.  ``keys`` may add the
-    partition column of a stored document table, so that only the folders asked for
-    are read.
+    table.  ``documents``: file_key, text, one row per key, as a table or stored by key.
+    ``keys`` may add the partition column of a document table, so that only the folders
+    asked for are read.
 
     Gives one row per message with the final state; ``entries`` is null unless the
     bundle is valid, and holds its log without the history, whose lines are those of
@@ -50,8 +52,11 @@ def convert_corpus(
     never an exception.
     """
     asked = messages.select("job_id", "user_id", "original_filename", *keys)
-    found = asked.join(documents.select(*keys, "text"), [*keys])
-    missing = asked.join(documents.select(*keys), [*keys], "left_anti")
+    stored = isinstance(documents, KeyedTable)
+    texts = documents.of(asked) if stored else documents
+    known = documents.known(asked) if stored else documents
+    found = asked.join(texts.select(*keys, "text"), [*keys])
+    missing = asked.join(known.select(*keys), [*keys], "left_anti")
     return (
         _converted(found.filter("text is not null"), generated_at)
         .unionByName(_failed(found.filter("text is null"), NO_TEXT))

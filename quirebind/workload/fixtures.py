@@ -289,25 +289,60 @@ def uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Job messages from events, each job delivered several times: value,
-    arrival.  Some are cut off, some carry an id that is none."""
+    """Job messages from events, each job delivered several times: value, arrival.
+
+    The sender's times run against the order of arrival.  Some are cut off, carry an id
+    that is none, lack a field or all, give one in another case, twice, or as a number.
+    """
     n = F.col("event_id")
     job = F.floor(n / 5)
     user = uid(job % USERS)
     ext = _choose(EXTENSIONS, job)
     job_id = F.when(n % 53 == 0, F.concat(F.lit("job-"), n.cast("string"))).otherwise(uid(job))
+    sent = F.timestamp_add("SECOND", (-n).cast("int"), generated_at())
     payload = F.to_json(F.struct(
         job_id.alias("job_id"),
         user.alias("user_id"),
         F.concat(F.lit("doc_"), job.cast("string"), ext).alias("original_filename"),
         F.concat(F.lit("originals/"), user, F.lit("/"), uid(job), ext).alias("file_key"),
-        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("timestamp"),
+        F.date_format(sent, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("timestamp"),
         F.col("event_type").alias("ignored"),
     ))
-    cut = F.substring(payload, 1, 60)
-    return table(spark, sf_dir, "events").select(
-        F.when(n % 50 == 0, cut).otherwise(payload).alias("value"), n.alias("arrival")
+    named = F.col("payload")
+    upper = named
+    for name in ("job_id", "user_id", "original_filename", "file_key", "timestamp"):
+        upper = F.replace(upper, F.lit(f'"{name}":'), F.lit(f'"{name.upper()}":'))
+    value = (
+        F.when(n % 50 == 0, F.substring(named, 1, 60))
+        .when(n % 61 == 0, "{}")
+        .when(n % 67 == 0, upper)
+        .when(n % 71 == 0, F.regexp_replace(
+            named, '"original_filename":"[^"]*"', '"original_filename":5'))
+        .when(n % 73 == 0, F.replace(
+            named, F.lit('"ignored":'), F.lit('"FILE_KEY":"originals/none","ignored":')))
+        .when(n % 59 == 0, F.regexp_replace(named, '"file_key":"[^"]*",', ""))
+        .when(n % 79 == 0, F.regexp_replace(named, '"timestamp":"[^"]*",', ""))
+        .otherwise(named)
     )
+    made = table(spark, sf_dir, "events").select("event_id", payload.alias("payload"))
+    return made.select(value.alias("value"), n.alias("arrival"))
+
+
+MESSAGES_A_FILE, FILES, FILES_A_BATCH = 50_000, 4, 2
+
+
+def message_files(spark: SparkSession, sf_dir: str, folder: str) -> int:
+    """The messages in files that come one after the other, at least ``FILES``, all
+    deliveries of a job in one; gives the number of jobs a file has."""
+    made = messages(spark, sf_dir)
+    size = made.agg(F.count("*").alias("n"), F.max("arrival").alias("last")).first()
+    files = max(FILES, -(-size["n"] // MESSAGES_A_FILE))
+    jobs = -(-(size["last"] // 5 + 1) // files)
+    for k in range(files):
+        own = made.filter(F.floor(F.col("arrival") / 5 / jobs) == k)
+        own.repartition(1).sortWithinPartitions("arrival").select("value").write.mode(
+            "append").text(folder)
+    return jobs
 
 
 def completed_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:

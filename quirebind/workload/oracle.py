@@ -5,6 +5,7 @@ line with windows, chunks by recursion, joins instead of arrays.  Named parts
 are put together into one WITH per query.
 """
 
+from quirebind import fixed
 from quirebind.workload import fixtures as fx
 
 NL = "chr(10)"
@@ -232,29 +233,48 @@ part("fx_messages_base", [], f"""
 SELECT event_id AS arrival, event_type, event_id // 5 AS job,
   {uid("(event_id // 5) % 100")} AS user_id, {choose(fx.EXTENSIONS, "event_id // 5")} AS x,
   CASE WHEN event_id % 53 = 0 THEN 'job-' || event_id ELSE {uid("event_id // 5")} END AS job_id,
-  strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS timestamp FROM events""")
+  strftime({GENERATED} - to_seconds(event_id), '%Y-%m-%dT%H:%M:%S.%fZ') AS timestamp FROM events""")
+FIELDS = ("job_id", "user_id", "original_filename", "file_key", "timestamp")
+UPPER = "payload"
+for field in FIELDS:
+    UPPER = f"""replace({UPPER}, '"{field}":', '"{field.upper()}":')"""
 part("fx_messages", ["fx_messages_base"], f"""
-SELECT arrival, CASE WHEN arrival % 50 = 0 THEN left(payload, 60) ELSE payload END AS value FROM (
+SELECT arrival, CASE WHEN arrival % 50 = 0 THEN left(payload, 60) WHEN arrival % 61 = 0 THEN '{{}}'
+  WHEN arrival % 67 = 0 THEN {UPPER}
+  WHEN arrival % 71 = 0 THEN
+    regexp_replace(payload, '"original_filename":"[^"]*"', '"original_filename":5')
+  WHEN arrival % 73 = 0 THEN
+    replace(payload, '"ignored":', '"FILE_KEY":"originals/none","ignored":')
+  WHEN arrival % 59 = 0 THEN regexp_replace(payload, '"file_key":"[^"]*",', '')
+  WHEN arrival % 79 = 0 THEN regexp_replace(payload, '"timestamp":"[^"]*",', '')
+  ELSE payload END AS value FROM (
   SELECT arrival, CAST(json_object('job_id', job_id, 'user_id', user_id,
     'original_filename', 'doc_' || job || x,
     'file_key', 'originals/' || user_id || '/' || {uid("job")} || x,
     'timestamp', timestamp, 'ignored', event_type) AS VARCHAR) AS payload FROM fx_messages_base)""")
-part("parsed", ["fx_messages"], """
-SELECT arrival, value, json_extract_string(j, '$.job_id') AS job_id,
-  json_extract_string(j, '$.user_id') AS user_id,
-  json_extract_string(j, '$.original_filename') AS original_filename,
-  json_extract_string(j, '$.file_key') AS file_key,
-  json_extract_string(j, '$.timestamp') AS timestamp,
-  CASE WHEN j IS NULL THEN 'json'
-    WHEN NOT regexp_matches(json_extract_string(j, '$.job_id'),
-      '^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$') THEN 'id' END AS problem
-FROM (SELECT arrival, value, CASE WHEN json_valid(value) THEN CAST(value AS JSON) END AS j
-  FROM fx_messages)""")
-part("intake", ["parsed"], f"""
+part("decoded", ["fx_messages"], """
+SELECT arrival, value, CASE WHEN json_valid(value) THEN CAST(value AS JSON) END AS j
+FROM fx_messages""")
+part("fields", ["decoded"], f"""
+SELECT arrival, {", ".join(
+    f"arg_max(text, place) FILTER (field = '{c}' AND kind = 'VARCHAR') AS {c}" for c in FIELDS)},
+  bool_or(kind NOT IN ('VARCHAR', 'NULL')) AS other,
+  bool_or(field IN ('job_id', 'user_id') AND kind = 'VARCHAR' AND NOT regexp_matches(text,
+    '^[0-9a-f]{{8}}(-[0-9a-f]{{4}}){{3}}-[0-9a-f]{{12}}$')) AS no_id
+FROM (SELECT d.arrival, lower(e.key) AS field, e.type AS kind, e.value ->> '$' AS text, e.id AS place
+  FROM decoded d, json_each(d.j) e WHERE lower(e.key) IN {FIELDS}) GROUP BY arrival""")
+part("parsed", ["decoded", "fields"], f"""
+SELECT arrival, value, coalesce(job_id, '{fixed.NIL_ID}') AS job_id,
+  coalesce(user_id, '{fixed.NIL_ID}') AS user_id,
+  coalesce(original_filename, '') AS original_filename, coalesce(file_key, '') AS file_key,
+  timestamp, CASE WHEN j IS NULL OR other THEN 'json' WHEN no_id THEN 'id' END AS problem
+FROM decoded LEFT JOIN fields USING (arrival)""")
+part("first_deliveries", ["parsed"], """
 SELECT * EXCLUDE (rn, value, problem) FROM (
   SELECT *, row_number() OVER (PARTITION BY job_id ORDER BY arrival) AS rn FROM parsed
-  WHERE problem IS NULL) m
-WHERE rn = 1 AND NOT EXISTS (
+  WHERE problem IS NULL) WHERE rn = 1""")
+part("intake", ["first_deliveries"], f"""
+SELECT * FROM first_deliveries m WHERE NOT EXISTS (
   SELECT 1 FROM orders WHERE o_orderstatus = 'F' AND {uid("o_orderkey")} = m.job_id)""")
 
 # Segmentation of src(doc_id, filename, text); every query names its source.
@@ -430,10 +450,7 @@ CONVERTED = {
 }
 STREAMED = {
     **CONVERTED,
-    "asked": (["parsed"],
-              "SELECT job_id, any_value(user_id) AS user_id, any_value(original_filename) "
-              "AS original_filename, any_value(file_key) AS file_key FROM parsed "
-              "WHERE problem IS NULL GROUP BY job_id"),
+    "asked": (["first_deliveries"], "SELECT * FROM first_deliveries"),
 }
 
 
@@ -685,3 +702,40 @@ UNION ALL SELECT job_id, 'PUBLICACION', 'SUCCESS', concat('Bundle OKF validado e
   units_count, ' unidades. Publicado en ', bundle_key) FROM results WHERE status = 'COMPLETED'""")})
 oracle("stream_ingest", ["results"], """
 SELECT job_id, status, bundle_key, error_message, units_count FROM results""", STREAMED)
+
+part("sliced", ["fx_messages"], f"""
+SELECT CAST(ceil((max(arrival) // 5 + 1) / greatest({fx.FILES},
+  ceil(count(*) / {fx.MESSAGES_A_FILE}.0))) AS BIGINT) AS jobs FROM fx_messages""")
+part("in_batches", ["parsed", "sliced"], f"""
+SELECT p.*, CAST(arrival // 5 // jobs // {fx.FILES_A_BATCH} AS BIGINT) AS batch_id
+FROM parsed p, sliced""")
+part("batch_counts", ["in_batches"], """
+SELECT batch_id, count(*) AS messages, count(problem) AS dead_letters,
+  count(DISTINCT CASE WHEN problem IS NULL THEN job_id END) AS deliveries
+FROM in_batches GROUP BY 1""")
+# Jobs lie in one batch each, but for the one without an id, whose document never exists.
+part("batch_states", ["in_batches", "results"], """
+SELECT batch_id, count_if(status = 'COMPLETED') AS completed, count_if(status = 'INVALID') AS invalid,
+  count_if(status = 'FAILED') AS failed
+FROM (SELECT DISTINCT batch_id, job_id FROM in_batches WHERE problem IS NULL)
+JOIN results USING (job_id) GROUP BY 1""")
+oracle("progress_rows", ["batch_counts", "batch_states"], """
+SELECT batch_id, messages, dead_letters, deliveries, CAST(0 AS BIGINT) AS skipped,
+  CAST(completed AS BIGINT) AS completed, CAST(invalid AS BIGINT) AS invalid,
+  CAST(failed AS BIGINT) AS failed
+FROM batch_counts JOIN batch_states USING (batch_id)""", STREAMED)
+oracle("stream_replay", ["batch_counts", "in_batches"], """
+SELECT batch_id, 'dead_letters' AS table_name, dead_letters AS rows FROM batch_counts
+UNION ALL SELECT batch_id, unnest(['deliveries', 'intake', 'results']), deliveries FROM batch_counts
+UNION ALL SELECT batch_id, 'batches', 1 FROM batch_counts
+UNION ALL SELECT batch_id, 'states', count(*) FROM (
+  SELECT job_id, max(batch_id) AS batch_id FROM in_batches WHERE problem IS NULL GROUP BY 1)
+GROUP BY 1""", STREAMED)
+oracle("bundle_store", ["results", "entries"], """
+SELECT bundle_id, path, section, md5(concat(content,
+  CASE WHEN CAST(right(bundle_id, 12) AS BIGINT) % 5 = 0 THEN 'again' ELSE '' END)) AS digest
+FROM entries JOIN results ON job_id = bundle_id WHERE status = 'COMPLETED' AND section <> 1""", CONVERTED)
+oracle("scan_files", ["fx_stored", "parsed"], f"""
+SELECT file_key, regexp_extract(file_key, '([^/]*)$', 1) AS filename, md5(text) AS digest,
+  strlen(text) AS bytes FROM fx_stored WHERE file_key IN (
+  SELECT file_key FROM parsed WHERE problem IS NULL)""")

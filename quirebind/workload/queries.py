@@ -8,6 +8,7 @@ import uuid
 from collections.abc import Callable
 from datetime import datetime, timezone
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +18,7 @@ from quirebind.plans import convert
 from quirebind.session import settle, shared_folder
 from quirebind.sources import documents
 from quirebind.sources import results as store
+from quirebind.sources.keyed import KeyedRuns, KeyedTable, buckets_for
 from quirebind.streaming.intake import start_intake
 from quirebind.workload import fixtures as fx
 
@@ -451,20 +453,100 @@ def audit_rows(spark, sf):
     return rows.select("log_id", "job_id", "step", "status", "message", _time("created_at"))
 
 
+def _stream(spark: SparkSession, sf: str, stop: tuple[str, int] | None = None) -> str:
+    """All messages through the stream in several batches; gives the ledger's folder.
+
+    Documents and audit rows are stored by key first.  With ``stop`` the first run ends
+    in an error behind that step of that batch, and a second one goes on.
+    """
+    root = f"{shared_folder(spark)}/stream-{uuid.uuid4()}"
+    fx.message_files(spark, sf, f"{root}/messages")
+    docs, logs = fx.stored_docs(spark, sf), fx.logs(spark, sf)
+    stored = KeyedTable(spark, f"{root}/documents", "file_key string, text string", ["file_key"])
+    audit = KeyedTable(
+        spark, f"{root}/logs", "log_id string, job_id string, step string, status string, "
+        "message string, created_at timestamp", ["job_id"])
+    stored.write(docs, buckets_for(docs.count(), 1000))
+    audit.write(logs, buckets_for(logs.count()))
+
+    def fail(step: str, batch_id: int) -> None:
+        if stop == (step, batch_id):
+            raise RuntimeError(f"stopped behind {step} of batch {batch_id}")
+
+    def run(done) -> None:
+        start_intake(
+            spark, f"{root}/messages", f"{root}/ledger", stored, audit,
+            files_per_batch=fx.FILES_A_BATCH, done=done,
+            now=lambda: datetime.fromisoformat(fx.GENERATED_AT).replace(tzinfo=timezone.utc),
+        ).awaitTermination()
+
+    if stop:
+        try:
+            run(fail)
+        except StreamingQueryException as e:
+            if "stopped behind" not in str(e):
+                raise
+    run(lambda step, batch_id: None)
+    return f"{root}/ledger"
+
+
 @query
 def stream_ingest(spark, sf):
     """All messages through the stream in several batches: the jobs' states."""
-    root = f"{shared_folder(spark)}/stream-{uuid.uuid4()}"
-    fx.messages(spark, sf).select("value").repartition(4).write.mode("overwrite").text(
-        f"{root}/messages"
-    )
-    start_intake(
-        spark, f"{root}/messages", f"{root}/ledger", fx.stored_docs(spark, sf),
-        fx.logs(spark, sf), files_per_batch=2,
-        now=lambda: datetime.fromisoformat(fx.GENERATED_AT).replace(tzinfo=timezone.utc),
-    ).awaitTermination()
-    results = store.read_table(spark, f"{root}/ledger", store.RESULTS)
-    events = convert.status_events(results, F.col("batch_id"))
-    return ledger.latest_status(events).select(
+    states = store.runs(spark, _stream(spark, sf)).states.current()
+    return states.select(
         "job_id", "status", "bundle_key", "error_message", _long("units_count")
     )
+
+
+@query
+def progress_rows(spark, sf):
+    """What each batch of the stream has done."""
+    rows = store.read_table(spark, _stream(spark, sf), store.PROGRESS)
+    return rows.drop("waited_seconds")
+
+
+@query
+def stream_replay(spark, sf):
+    """The stream, stopped between two writes of its second batch and started again:
+    rows of each batch in each table."""
+    root = _stream(spark, sf, stop=(store.RESULTS, 1))
+    counts = None
+    for name in (store.LETTERS, store.DELIVERIES, store.INTAKE, store.RESULTS, store.PROGRESS):
+        rows = store.read_table(spark, root, name).groupBy("batch_id").agg(
+            F.count("*").alias("rows")).withColumn("table_name", F.lit(name))
+        counts = rows if counts is None else counts.unionByName(rows)
+    states = store.runs(spark, root).states.current().groupBy("batch_id").agg(
+        F.count("*").alias("rows")).withColumn("table_name", F.lit("states"))
+    return counts.unionByName(states).withColumn("batch_id", _long("batch_id"))
+
+
+@query
+def bundle_store(spark, sf):
+    """Bundles published in three batches and some of them again in a fourth, merged on the
+    way: the entries as they stand."""
+    number = F.right("job_id", F.lit(12)).cast("bigint")
+    made = settle(_converted(spark, sf).select("job_id", "status", "entries"))
+    published = made.filter("status = 'COMPLETED'").select(
+        "job_id", number.alias("number"), "entries")
+    again = F.transform("entries", lambda e: e.withField(
+        "content", F.concat(e["content"], F.lit("again"))))
+    runs = KeyedRuns(
+        spark, f"{shared_folder(spark)}/bundles-{uuid.uuid4()}",
+        "job_id string, entries array<struct<path: string, section: int, content: string>>",
+        ["job_id"], fan=2, rows_per_bucket=200)
+    for k in range(3):
+        runs.write(published.filter(F.col("number") % 3 == k).drop("number"), k)
+    runs.write(published.filter("number % 5 = 0").select("job_id", again.alias("entries")), 3)
+    return store.entry_rows(runs.current()).select(
+        "bundle_id", "path", _long("section"), F.md5("content").alias("digest"))
+
+
+@query
+def scan_files(spark, sf):
+    """Originals stored as files, and of them those that messages ask for, whole."""
+    root = f"{shared_folder(spark)}/files-{uuid.uuid4()}"
+    documents.store_files(fx.stored_docs(spark, sf), root)
+    asked = intake.parse_messages(fx.messages(spark, sf)).filter("problem is null")
+    return documents.scan_asked(spark, root, asked).select(
+        "file_key", "filename", F.md5("text").alias("digest"), _long("bytes"))
