@@ -174,7 +174,12 @@ def printable_only(s: Column) -> Column:
 # --- markup -----------------------------------------------------------------
 
 _PARAGRAPH_START = r"<(?:\w+:)?p(?=[\s/>])"
-_TEXT_ELEMENT = r"(?s)<(?:\w+:)?t(?:\s(?:[^>]*[^/>])?)?>(.*?)</(?:\w+:)?t\s*>"
+_INSIDE = """(?:[^<>"']++|"[^"]*+"|'[^']*+')*+"""
+_TAG = f"<{_INSIDE}>"
+_EMPTY = r"""<(?![/!?])[^<>"']*+(?<=/)>"""
+_ELEMENT = r"""<([^\s<>/!?"']++)(?:\s[^<>"']*+(?:"[^"<>]*+"[^<>"']*+)*+)?(?<!/)>[^<>]*+</\1\s*+>"""
+_LAYERS = 6
+_TEXT_ELEMENT = rf"(?s)<(?:\w+:)?t(?:\s{_INSIDE}(?<!/))?>(.*?)</(?:\w+:)?t\s*>"
 
 
 _REFERENCE = r"(?s)^#(x[0-9A-Fa-f]+|[0-9]+);(.*)\z"
@@ -267,26 +272,111 @@ def _until_broken(xml: Column) -> Column:
     ).otherwise(x))
 
 
+_SUMMED = 32
+
+
+def _running_sums(numbers: Column, depth: int = 3) -> Column:
+    """Sums of an array's first entries, in blocks whose ends are summed in the same way.
+
+    No array grows by an entry at a time: an entry costs half a block, and only the ends of
+    the blocks of the last ``depth``, 32,768 entries each, are summed one by one.
+    """
+    zero, add = F.lit(0), lambda x, y: x + y
+    upto = lambda s, i: F.reduce(F.slice(s, F.lit(1), i + 1), zero, add)
+    if not depth:
+        return bind(numbers, lambda a: F.transform(a, lambda x, i: upto(a, i)))
+
+    def joined(blocks: Column, ends: Column) -> Column:
+        return F.flatten(F.transform(blocks, lambda s, k: F.transform(
+            s, lambda x, i: F.coalesce(F.get(ends, k - 1), zero) + upto(s, i))))
+
+    def summed(a: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.size(a), F.lit(_SUMMED))
+        blocks = F.transform(starts, lambda b: F.slice(a, b, F.lit(_SUMMED)))
+        return bind(blocks, lambda own: bind(
+            _running_sums(F.transform(own, lambda s: F.reduce(s, zero, add)), depth - 1),
+            lambda ends: joined(own, ends)))
+
+    return bind(numbers, lambda a: F.when(F.size(a) > 0, summed(a)).otherwise(a))
+
+
+def _first_mismatch(tags: Column) -> Column:
+    """Place (from 0) of the first closing tag that closes nothing, or another element;
+    null if there is none.
+
+    An opener stands one level above what is around it, and what closes it on the same
+    level.  As long as tags match, openers and closers of a level take turns: sorted by
+    level and place, a closer's opener stands right in front of it.
+    """
+    step = F.transform(tags, lambda t: F.when(t.startswith("</"), -1).when(
+        t.startswith("<?") | t.startswith("<!") | t.endswith("/>"), 0).otherwise(1))
+
+    def paired(steps: Column, levels: Column) -> Column:
+        placed = F.filter(F.transform(tags, lambda t, i: F.struct(
+            F.when(F.get(steps, i) < 0, F.get(levels, i) + 1).otherwise(F.get(levels, i)).alias("level"),
+            i.alias("place"), F.get(steps, i).alias("step"),
+            F.substring_index(F.ltrim(F.translate(t, "</>\t\n\r", "      ")), " ", 1).alias("name"),
+        )), lambda e: e["step"] != 0)
+        return bind(F.sort_array(placed), lambda own: F.array_min(F.transform(
+            own, lambda e, i: F.when((e["step"] < 0) & ~F.coalesce(
+                (F.get(own, i - 1)["step"] > 0) & (F.get(own, i - 1)["level"] == e["level"])
+                & (F.get(own, i - 1)["name"] == e["name"]), F.lit(False)), e["place"]))))
+
+    return bind(step, lambda steps: bind(
+        _running_sums(steps), lambda levels: paired(steps, levels)))
+
+
+def _until_mismatched(xml: Column) -> Column:
+    """What stands before the first closing tag that does not match: readers stop there,
+    with the character data that they have read.  A text that ends inside an element, or
+    inside a tag, is read up to there as well."""
+    end = F.lit("</t>")
+
+    def cut(x: Column, tags: Column, place: Column) -> Column:
+        # The tags in front of it, and the text in front of each and behind the last.
+        pieces = F.split(x, _TAG, -1)
+        return bind(pieces, lambda p: F.concat(p[0], F.array_join(F.transform(
+            F.slice(tags, F.lit(1), place), lambda t, i: F.concat(t, F.get(p, i + 1))), "")))
+
+    def whole(x: Column) -> Column:
+        exact = bind(F.regexp_extract_all(x, F.lit(_TAG), 0), lambda tags: bind(
+            _first_mismatch(tags),
+            lambda place: F.when(place.isNull(), x).otherwise(cut(x, tags, place))))
+        # Elements without others inside go, layer by layer; if no closing tag is left, all
+        # have matched, and there is nothing to find.
+        rest = F.regexp_replace(x, _EMPTY, "")
+        for _ in range(_LAYERS):
+            rest = F.regexp_replace(rest, _ELEMENT, "")
+        return F.when(rest.contains("</"), exact).otherwise(x)
+
+    return F.concat(bind(F.regexp_replace(xml, r"<[^<>]*\z", ""), whole), end)
+
+
 def markup_text(xml: Column) -> Column:
     """Text of word-processor markup: a blank line per ``p`` start, the
     character data of ``t`` elements, prefixes ignored.  Text in front of the
     first ``p`` is kept.
 
     A reference to no character ends the text, as it ends a reader's: what stands
-    before its element is kept.  Tags that do not match are not noticed.
+    before its element is kept.  So does a closing tag that matches no open element; what
+    stands before it is kept.
     """
-    flat = F.regexp_replace(
-        F.replace(F.replace(xml, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n")),
-        r"(?s)<!--.*?-->", "",
-    )
-    sound = _until_broken(_without_cdata(flat))
+
+    def flat(x: Column) -> Column:
+        lines = F.replace(F.replace(x, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
+        return F.when(x.contains("\r"), lines).otherwise(x)
+
+    def plain(x: Column) -> Column:
+        return F.when(x.contains("<!--"), F.regexp_replace(x, r"(?s)<!--.*?-->", "")).otherwise(x)
+
+    def runs(p: Column) -> Column:
+        text = F.array_join(F.regexp_extract_all(p, F.lit(_TEXT_ELEMENT), 1), "")
+        return bind(text, lambda t: F.when(
+            t.contains("<"), F.regexp_replace(t, _TAG, "")).otherwise(t))
+
+    sound = _until_broken(_until_mismatched(_without_cdata(bind(bind(xml, flat), plain))))
     paragraphs = F.transform(
-        F.split(sound, _PARAGRAPH_START, -1),
-        lambda p: _decode_entities(
-            F.regexp_replace(
-                F.array_join(F.regexp_extract_all(p, F.lit(_TEXT_ELEMENT), 1), ""), "<[^>]*>", ""
-            )
-        ),
+        F.split(sound, _PARAGRAPH_START, -1), lambda p: _decode_entities(runs(p))
     )
     return trim_white(F.array_join(paragraphs, "\n\n"))
 

@@ -32,43 +32,49 @@ def object_keys(jobs: DataFrame) -> DataFrame:
     )
 
 
-def accept_jobs(uploads: DataFrame) -> dict[str, DataFrame]:
-    """Uploads (upload_id, user_id, filename, created_at) to ledger rows.
+def accepted(uploads: DataFrame) -> DataFrame:
+    """Each upload (upload_id, user_id, filename, created_at) with what comes of it:
+    ``job``, ``log`` (its first audit row) and ``value`` (its message), or a ``reason``.
 
-    Gives ``jobs``, ``logs`` (first audit row), ``messages`` (JSON) and
-    ``rejected``.  Ids are hashed from the upload, so doing a batch again
-    writes the same rows.  All are narrow: they run in the tasks of the scan.
+    Ids are hashed from the upload, so doing a batch again writes the same rows.  It is
+    one narrow pass over the uploads.
     """
-    gated = format_gate(uploads)
+    step, severity = fixed.RECEIVED_STEP
     job_id = names.hashed_id(F.col("upload_id"), F.col("user_id"))
-    accepted = gated.filter("accepted").withColumn("job_id", job_id)
-    jobs = accepted.select(
-        "job_id",
-        "user_id",
-        F.col("filename").alias("original_filename"),
-        names.original_key(F.col("user_id"), F.col("job_id"), F.col("filename"))
-        .alias("file_key"),
-        F.lit(None).cast("string").alias("bundle_key"),
-        F.lit(fixed.PENDING).alias("status"),
-        F.lit(None).cast("string").alias("error_message"),
-        F.lit(0).alias("units_count"),
-        "created_at",
-        F.col("created_at").alias("updated_at"),
+    gated = format_gate(uploads).withColumn("job_id", job_id).withColumn(
+        "file_key", names.original_key(F.col("user_id"), F.col("job_id"), F.col("filename")))
+    job = F.struct(
+        "job_id", "user_id", F.col("filename").alias("original_filename"), "file_key",
+        F.lit(None).cast("string").alias("bundle_key"), F.lit(fixed.PENDING).alias("status"),
+        F.lit(None).cast("string").alias("error_message"), F.lit(0).alias("units_count"),
+        "created_at", F.col("created_at").alias("updated_at"),
     )
-    step, severity = fixed.RECEIVED_STEP
-    logs = accepted.select(
-        names.hashed_id(F.col("job_id"), F.lit(step)).alias("log_id"),
-        "job_id",
-        F.lit(step).alias("step"),
-        F.lit(severity).alias("status"),
-        names.fill(fixed.RECEIVED_MESSAGE, F.col("filename")).alias("message"),
-        "created_at",
+    log = F.struct(
+        names.hashed_id(F.col("job_id"), F.lit(step)).alias("log_id"), "job_id",
+        F.lit(step).alias("step"), F.lit(severity).alias("status"),
+        names.fill(fixed.RECEIVED_MESSAGE, F.col("filename")).alias("message"), "created_at",
     )
+    message = F.struct(
+        "job_id", "user_id", F.col("filename").alias("original_filename"), "file_key",
+        F.date_format("created_at", _TIME_FORMAT).alias("timestamp"),
+    )
+    taken = lambda c: F.when(F.col("accepted"), c)
+    return gated.select(
+        "upload_id", "user_id", "filename", "accepted", "reason", taken(job).alias("job"),
+        taken(log).alias("log"), taken(F.to_json(message)).alias("value"),
+    )
+
+
+def accept_jobs(uploads: DataFrame) -> dict[str, DataFrame]:
+    """``accepted`` as tables: ``jobs``, ``logs``, ``messages`` (job_id, value) and
+    ``rejected``.  Each reads the uploads; to read them once, store ``accepted``."""
+    made = accepted(uploads)
+    good = made.filter("accepted")
     return {
-        "jobs": jobs,
-        "logs": logs,
-        "messages": publish_messages(jobs),
-        "rejected": gated.filter("not accepted").select(
+        "jobs": good.select("job.*"),
+        "logs": good.select("log.*"),
+        "messages": good.select("job.job_id", "value"),
+        "rejected": made.filter("not accepted").select(
             "upload_id", "user_id", "filename", "reason"
         ),
     }
@@ -124,16 +130,17 @@ def parse_messages(messages: DataFrame) -> DataFrame:
     regard to case; of a field given several times the last counts, and all must be sound.
     """
     decoded = _entries(messages)
+    ids = ("job_id", "user_id")
     texts = decoded.withColumns({
         f"_{c}": F.transform(
             F.filter("_entries", lambda e: (e["field"] == c) & (e["kind"] == "STRING")),
-            lambda e: e["text"],
+            lambda e: names.canonical_id(e["text"]) if c in ids else e["text"],
         ) for c in _FIELDS
     })
     last = lambda c: F.try_element_at(f"_{c}", F.lit(-1))
-    no_id = lambda c: F.exists(f"_{c}", lambda x: names.canonical_id(x).isNull())
+    no_id = lambda c: F.exists(f"_{c}", lambda x: x.isNull())
     no_time = F.exists("_timestamp", lambda x: ~(x.rlike(_TIME_PATTERN) & F.try_to_timestamp(
-        F.regexp_replace(x, ",", ".")).isNotNull()))
+        F.replace(x, F.lit(","), F.lit("."))).isNotNull()))
     other_kinds = F.exists("_entries", lambda e: ~e["kind"].isin("STRING", "VOID"))
     problem = (
         F.when(F.col("_entries").isNull() | other_kinds, "json")
@@ -142,8 +149,7 @@ def parse_messages(messages: DataFrame) -> DataFrame:
     )
     nil, blank = F.lit(fixed.NIL_ID), F.lit("")
     held = F.struct(
-        *[F.when(F.size(f"_{c}") > 0, names.canonical_id(last(c))).otherwise(nil).alias(c)
-          for c in ("job_id", "user_id")],
+        *[F.when(F.size(f"_{c}") > 0, last(c)).otherwise(nil).alias(c) for c in ids],
         *[F.coalesce(last(c), blank).alias(c) for c in ("original_filename", "file_key")],
         last("timestamp").alias("timestamp"),
         problem.alias("problem"),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quirebind import fixed
 from quirebind.functions import names
 from quirebind.operators.ordered import previous_within
+from quirebind.session import settle
 
 
 
@@ -71,25 +72,39 @@ def jobs_page(
 ) -> DataFrame:
     """One page of every user's list, newest first.
 
-    The page is clamped to what the user has.  No row past ``page * size`` can
-    be on it, and with that bound Spark drops rows per task before it shuffles.
+    The page is clamped to what the user has.  Jobs are range-partitioned in the order of
+    the lists and stored; a user's totals per part say which parts hold the page, and only
+    their rows are numbered, part by part.  So a list of any length spreads over tasks, and
+    a deep page costs what the first one does.
     """
     page = max(page, 1)
     mine = jobs.join(users.select("user_id"), "user_id", "left_semi")
-    counts = mine.groupBy("user_id").agg(F.count("*").alias("total_jobs"))
-    newest = Window.partitionBy("user_id").orderBy(F.col("created_at").desc(), "job_id")
-    top = mine.withColumn("position", F.row_number().over(newest)).filter(
-        F.col("position") <= page * size
-    )
+    newest = [F.col("created_at").desc(), F.col("job_id")]
+    placed = settle(mine.repartitionByRange("user_id", *newest).withColumn(
+        "_part", F.spark_partition_id()))
+    user = Window.partitionBy("user_id")
+    before = user.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     pages = F.greatest(F.ceil(F.col("total_jobs") / size), F.lit(1)).cast("int")
-    return (
-        top.join(counts, "user_id")
+    first = (F.col("page") - 1) * size
+    parts = (
+        placed.groupBy("user_id", "_part").agg(F.count("*").alias("_rows"))
+        .withColumns({
+            "_before": F.coalesce(F.sum("_rows").over(before), F.lit(0)),
+            "total_jobs": F.sum("_rows").over(user),
+        })
         .withColumn("total_pages", pages)
         .withColumn("page", F.least(F.lit(page), F.col("total_pages")))
-        .filter(
-            (F.col("position") > (F.col("page") - 1) * size)
-            & (F.col("position") <= F.col("page") * size)
-        )
+        .filter((F.col("_before") < first + size) & (F.col("_before") + F.col("_rows") > first))
+    )
+    inside = Window.partitionBy("user_id", "_part").orderBy(*newest)
+    held = placed.join(parts, ["user_id", "_part"])
+    numbered = held.withColumn("_n", F.row_number().over(inside)).filter(
+        F.col("_n") <= page * size  # so rows that are on no page go before they move
+    )
+    return (
+        numbered.withColumn("position", (F.col("_before") + F.col("_n")).cast("int"))
+        .filter((F.col("position") > first) & (F.col("position") <= first + size))
+        .drop("_part", "_rows", "_before", "_n")
     )
 
 
@@ -201,6 +216,27 @@ def cascade_delete(
     )
 
 
+def cascade_rows(jobs: DataFrame, logs: DataFrame, requests: DataFrame) -> DataFrame:
+    """What ``cascade_delete`` gives, in one pass: kind ('job', 'log', 'removed object'), id.
+
+    The jobs that go are found first and stored.  Jobs and logs meet them together, and each
+    row says what becomes of it; many logs of one job are split over tasks.
+    """
+    gone = settle(deletable_jobs(jobs, requests).select("job_id"))
+    row = lambda kind, c: F.struct(F.lit(kind).alias("kind"), F.col(c).alias("id"))
+    keys = F.filter(F.array(
+        row("removed object", "file_key"), row("removed object", "bundle_key")
+    ), lambda k: k["id"] != "")
+    tagged = jobs.select(
+        "job_id", F.array(row("job", "job_id")).alias("stays"), keys.alias("goes")
+    ).unionByName(logs.select(
+        "job_id", F.array(row("log", "log_id")).alias("stays"),
+        F.expr("cast(array() as array<struct<kind: string, id: string>>)").alias("goes"),
+    ))
+    met = tagged.join(gone.withColumn("gone", F.lit(True)), "job_id", "left")
+    return met.select(F.inline(F.when(F.col("gone"), F.col("goes")).otherwise(F.col("stays"))))
+
+
 def without_deleted(rows: DataFrame, deleted: DataFrame, key: str = "job_id") -> DataFrame:
     """Rows, such as published entries, of jobs that are not in ``deleted`` (job_id)."""
     return rows.join(deleted.select(F.col("job_id").alias(key)), key, "left_anti")

@@ -52,12 +52,14 @@ def _escaped(text: Column) -> Column:
 
 
 def markup_of(text: Column) -> Column:
-    """Word-processor markup with one paragraph per line, in two runs."""
+    """Word-processor markup with one paragraph per line, in two runs; in some texts the
+    third one's last run is closed by another element's tag."""
+    broken = F.length(text) % 5 == 0
     paragraphs = F.transform(
         F.split(_escaped(text), "\n", -1),
-        lambda x: F.concat(
+        lambda x, i: F.concat(
             F.lit("<w:p><w:pPr/><w:r><w:t xml:space=\"preserve\">- </w:t></w:r><w:r><w:t>"), x,
-            F.lit("</w:t></w:r></w:p>"),
+            F.when(broken & (i == 2), "</w:x></w:r></w:p>").otherwise("</w:t></w:r></w:p>"),
         ),
     )
     return F.concat(

@@ -96,11 +96,12 @@ def markup(text: str) -> str:
     esc = f"replace(replace(replace({text}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
     par = (
         "'<w:p><w:pPr/><w:r><w:t xml:space=\"preserve\">- </w:t></w:r><w:r><w:t>' || x || "
-        "'</w:t></w:r></w:p>'"
+        f"CASE WHEN length({text}) % 5 = 0 AND i = 3 THEN '</w:x></w:r></w:p>' "
+        "ELSE '</w:t></w:r></w:p>' END"
     )
     return (
         "'<w:document><w:body>' || array_to_string(list_transform("
-        f"string_split({esc}, {NL}), lambda x: {par}), '') || '</w:body></w:document>'"
+        f"string_split({esc}, {NL}), lambda x, i: {par}), '') || '</w:body></w:document>'"
     )
 
 
@@ -119,7 +120,9 @@ def structured(n: str, t: str) -> str:
 
 
 def markup_text(x: str) -> str:
-    """Pieces at each paragraph start, text runs of each, entities decoded."""
+    """Pieces at each paragraph start, text runs of each, entities decoded; up to the one
+    tag that may not match."""
+    x = f"string_split({x}, '</w:x>')[1] || '</w:t>'"
     runs = (
         "array_to_string(regexp_extract_all(p, "
         r"'<(?:\w+:)?t(?:\s(?:[^>]*[^/>])?)?>([^<]*)</(?:\w+:)?t\s*>', 1), '')"
@@ -589,9 +592,10 @@ SELECT left(job_id, 8) || '...' AS short_id, original_filename,
     WHEN 'INVALID' THEN 'INVALID (Rechazado)' ELSE status END AS state,
   coalesce(units_count, 0) || ' u.' AS units, strftime(created_at, '%H:%M:%S') AS clock,
   status = 'COMPLETED' AS downloadable FROM fx_jobs""")
-oracle("jobs_page", ["fx_jobs"], """
+for name, page in (("jobs_page", 2), ("jobs_last_page", 1_000_000)):
+    oracle(name, ["fx_jobs"], f"""
 SELECT user_id, job_id, position, page, total_pages, total_jobs FROM (
-  SELECT *, least(2, total_pages) AS page FROM (
+  SELECT *, least({page}, total_pages) AS page FROM (
     SELECT user_id, job_id, row_number() OVER (PARTITION BY user_id ORDER BY created_at DESC, job_id)
       AS position, count(*) OVER (PARTITION BY user_id) AS total_jobs,
       CAST(ceil(count(*) OVER (PARTITION BY user_id) / 5.0) AS BIGINT) AS total_pages FROM fx_jobs))

@@ -295,15 +295,25 @@ def jobs_report(spark, sf):
     return ledger.jobs_report(fx.jobs(spark, sf))
 
 
-@query
-def jobs_page(spark, sf):
-    page = ledger.jobs_page(fx.jobs(spark, sf), fx.users(spark, sf), page=2, size=5)
-    return page.select(
+def _page(spark: SparkSession, sf: str, page: int) -> DataFrame:
+    rows = ledger.jobs_page(fx.jobs(spark, sf), fx.users(spark, sf), page=page, size=5)
+    return rows.select(
         "user_id", "job_id", _long("position"), _long("page"), _long("total_pages"),
         _long("total_jobs"),
     )
 
 
+@query
+def jobs_page(spark, sf):
+    return _page(spark, sf, 2)
+
+
+@query
+def jobs_last_page(spark, sf):
+    """A page beyond every list: its last one."""
+    return _page(spark, sf, 1_000_000)
+
+
 @query
 def job_trace(spark, sf):
     trace = ledger.job_trace(fx.jobs(spark, sf), fx.logs(spark, sf))
@@ -319,15 +329,9 @@ def register_unique(spark, sf):
 
 @query
 def cascade_delete(spark, sf):
-    jobs, logs, keys = ledger.cascade_delete(
+    return ledger.cascade_rows(
         fx.jobs(spark, sf), fx.logs(spark, sf), fx.delete_requests(spark, sf)
     )
-    row = lambda df, kind, c: df.select(F.lit(kind).alias("kind"), F.col(c).alias("id"))
-    return (
-        row(jobs, "job", "job_id")
-        .unionByName(row(logs, "log", "log_id"))
-        .unionByName(row(keys, "removed object", "object_key"))
-    )
 
 
 @query
@@ -388,19 +392,19 @@ def status_transitions(spark, sf):
 
 @query
 def accept_jobs(spark, sf):
-    made = intake.accept_jobs(fx.uploads(spark, sf))
-    rows = [
-        made["jobs"].select(
-            F.lit("job").alias("kind"), F.col("job_id").alias("id"),
-            F.concat_ws("|", "user_id", "original_filename", "file_key", "status").alias("detail"),
-        ),
-        made["logs"].select(
-            F.lit("log"), "log_id", F.concat_ws("|", "job_id", "step", "status", "message")
-        ),
-        made["messages"].select(F.lit("message"), "job_id", "value"),
-        made["rejected"].select(F.lit("rejected"), "upload_id", "reason"),
-    ]
-    return rows[0].union(rows[1]).union(rows[2]).union(rows[3])
+    row = lambda kind, i, detail: F.struct(
+        F.lit(kind).alias("kind"), i.alias("id"), detail.alias("detail"))
+    job, log = F.col("job"), F.col("log")
+    good = F.array(
+        row("job", job["job_id"], F.concat_ws(
+            "|", job["user_id"], job["original_filename"], job["file_key"], job["status"])),
+        row("log", log["log_id"], F.concat_ws(
+            "|", log["job_id"], log["step"], log["status"], log["message"])),
+        row("message", job["job_id"], F.col("value")),
+    )
+    bad = F.array(row("rejected", F.col("upload_id"), F.col("reason")))
+    made = intake.accepted(fx.uploads(spark, sf))
+    return made.select(F.inline(F.when(F.col("accepted"), good).otherwise(bad)))
 
 
 @query

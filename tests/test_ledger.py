@@ -162,3 +162,19 @@ def test_first_delivery_of_jobs_not_completed(spark):
     completed = spark.createDataFrame([("b",)], "job_id string")
     rows = intake.idempotent_intake(parsed, completed).collect()
     assert [(r.job_id, r.file_key) for r in rows] == [("a", "early")]
+
+
+def test_pages_of_a_long_list(spark):
+    """One user with most jobs, in many parts: first, middle, last and beyond."""
+    at = lambda n: datetime.fromordinal(730000 + n % 50)
+    rows = [(f"j{n:04}", "ana" if n % 10 else "bob", "f.md", "o", "k", "COMPLETED", None, 1, at(n), at(n)) for n in range(700)]
+    jobs = spark.createDataFrame(rows, JOB).repartition(6)
+    users = spark.createDataFrame([("ana",), ("bob",)], "user_id string")
+    for page in (1, 40, 90, 500):
+        got = {(r.user_id, r.position): (r.job_id, r.page) for r in ledger.jobs_page(jobs, users, page, 7).collect()}
+        want = {}
+        for user in ("ana", "bob"):
+            own = sorted((r for r in rows if r[1] == user), key=lambda r: (-r[8].toordinal(), r[0]))
+            shown = min(page, -(-len(own) // 7))
+            want |= {(user, i + 1): (own[i][0], shown) for i in range(len(own)) if (shown - 1) * 7 <= i < shown * 7}
+        assert got == want

@@ -77,3 +77,19 @@ def test_no_query_needs_python(spark):
     for name in ("segment_documents", "clean_lines", "download_gate", "json_roundtrip"):
         p = plan(QUERIES[name](spark, SF))
         assert "Python" not in p and "Arrow" not in p and "CartesianProduct" not in p
+
+
+def scans(df):
+    return plan(df).count("FileScan")
+
+
+def test_accepting_and_deleting_read_each_table_once(spark):
+    assert scans(QUERIES["accept_jobs"](spark, SF)) == 1
+    # Jobs, logs and the stored ids of what goes; jobs and requests were read to find these.
+    assert scans(QUERIES["cascade_delete"](spark, SF)) == 3
+
+
+def test_a_page_numbers_rows_per_part_only(spark):
+    p = plan(ledger.jobs_page(fx.jobs(spark, SF), fx.users(spark, SF), 7, 5))
+    numbering = [w for w in p.splitlines() if "row_number()" in w and "Window [" in w]
+    assert numbering and all("_part" in w for w in numbering)

@@ -1,6 +1,7 @@
 """Broken markup and messages: what readers reject is a row, never an exception."""
 
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -29,6 +30,34 @@ def test_references_and_cdata(spark, xml, want):
     assert df.select(text.markup_text(F.col("x")).alias("t")).first().t == want
 
 
+@pytest.mark.parametrize(("xml", "want"), [
+    (T % "a" + "<w:p><w:t>b</w:x>" + T % "c", "a\n\nb"),
+    (T % "a" + "</w:p>" + T % "c", "a"),
+    ("<a><p><t>x</t><b><c></b></c></p><p><t>y</t></p></a>", "x"),
+    ("<a><p><t>x<b>y</c>z</t></p></a>", "xy"),
+    ("<a><p><t>x</t></p><p><x:t>y</t></p><p><t>z</t></p></a>", "x\n\ny"),
+    ("<?xml version='1.0'?><!DOCTYPE a><a><p/><t  q='</x>'>x</t ><br/><t>y</t></a>", "xy"),
+    ("<p><t>one</t><t>two", "onetwo"),
+    ("<p><t>one</t><t>two <", "onetwo"),
+    ("<p><t>one</t></p></p><p><t>two</t></p>", "one"),
+    ("no tags", ""),
+])
+def test_tags_must_match(spark, xml, want):
+    df = spark.createDataFrame([(xml,)], "x string")
+    assert df.select(text.markup_text(F.col("x")).alias("t")).first().t == want
+
+
+def test_matching_is_not_quadratic(spark):
+    """A document of 200,000 tags, deep and wide, within seconds."""
+    deep = "<d>" * 20_000 + "</d>" * 20_000
+    xml = "<a>" + T % "x" * 20_000 + deep + T % "last" + "</b>" + T % "lost"
+    df = spark.createDataFrame([(xml,)], "x string")
+    start = time.time()
+    got = df.select(text.markup_text(F.col("x")).alias("t")).first().t
+    assert got.endswith("x\n\nlast") and got.count("x") == 20_000
+    assert time.time() - start < 60
+
+
 ID, USER = "00000000-0000-4000-8000-000000000001", "00000000-0000-4000-8000-000000000002"
 GOOD = {"job_id": ID, "user_id": USER, "original_filename": "a.md", "file_key": "k",
         "timestamp": "2024-01-05T09:09:09Z"}
