@@ -8,14 +8,14 @@ of ``PERCENT``; the result is the component of every document.
    its counter stands out above what chance puts on a counter.  Tokens are ordered rare
    ones first, by (counter, hash).  Counters only decide how much work there is: any order
    that all tasks share gives the same links.
-2. Keys.  Linked sets share at least ``o`` tokens, so the ``n - o + 1`` first tokens of
-   both have one in common.  If that one is rare, it is a key of its own.  If none is, the
-   sets share frequent tokens only, and prefixes are extended: among the first so many
-   frequent tokens of both stands a run of ``COMBINED`` shared ones that no other token
-   interrupts (see ``reach``), so runs of ``COMBINED`` neighbours are keys.  Their number is
-   linear in the text.
-3. Keys that only one set has go, by an aggregate that combines before its shuffle.  Sets
-   that share a key hang on the least of them, which gives clusters to look into.
+2. Keys.  Linked sets share at least ``o`` tokens, so the ``n - o + k`` first tokens of
+   both have ``k`` in common.  If these are rare, they are keys of their own.  If no shared
+   token is, prefixes are extended further: among the first so many frequent tokens of both
+   stands a run of ``COMBINED`` shared ones that no other token interrupts (see ``reach``),
+   so runs of ``COMBINED`` neighbours are keys.  Their number is linear in the text.
+3. Keys that only one set has go, by an aggregate that combines before its shuffle, and so
+   do sets whose prefix is of rare tokens and has fewer than ``k`` of them left.  The others
+   hang on the least set of each key, which gives clusters to look into.
 4. Verification.  The texts of clusters are read again where they lie (a bitmap of fixed
    size tells which) and only their sets move.  In a task, sets meet by the postings of
    their keys; a posting whose sets are all joined with the one at hand is skipped, so a
@@ -46,56 +46,102 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quirebind.llm.graph import components
-from quirebind.llm.words import id_and_text, lower_words
+from quirebind.llm.words import id_and_text
 from quirebind.session import settle
 
 SHINGLE, PERCENT = 4, 85
 COMBINED = 3
+#: Linked sets share one token in their prefixes per so many tokens of the smaller one.
+PER_MATCH = 20
 BUCKETS, SLICES = 1 << 21, 64
 #: A counter stands out if it is this far above the mean, and so many deviations more.
 FREQUENT, DEVIATIONS = 32, 6
 BITS = 1 << 23
 BLOCK_SETS, BLOCK_SHINGLES = 1500, 1_500_000
-_WORDS: dict[str, int] = {}
-_REMEMBERED = 500_000
+LONG, PIECE = 1024, 1 << 18
 _SEEN = 200_000
 
 _rng = np.random.default_rng(20250112)
 _TIMES = _rng.integers(1, 1 << 63, SHINGLE, dtype=np.uint64) | np.uint64(1)
 _JOIN = _rng.integers(1, 1 << 63, COMBINED, dtype=np.uint64) | np.uint64(1)
+_BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) << np.uint64(1) | np.uint64(1)
+_WHITE = np.zeros(256, bool)
+_WHITE[[0x20, *range(0x09, 0x0E)]] = True
+_BYTE[_WHITE] = 0
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[ord("A") : ord("Z") + 1] += 32
+_POWER = np.cumprod(np.full(LONG + 1, 0x9E6C63D0876A9A47, np.uint64))
 
 
 # --- sets -----------------------------------------------------------------------
 
-def _word_hash(word: str) -> int:
-    return int.from_bytes(hashlib.blake2b(word.encode(), digest_size=8).digest(), "little")
-
-
 def _mixed(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
     return h ^ (h >> np.uint64(29))
 
 
-def shingles(text: str | None) -> np.ndarray:
-    """The distinct shingles of a text as 64-bit hashes, ascending."""
-    words = lower_words(text)
-    if not words:
-        return np.array([], np.uint64)
-    known = list(map(_WORDS.get, words))
-    if None in known:
-        if len(_WORDS) > _REMEMBERED:
-            _WORDS.clear()
-        known = [
-            _WORDS.setdefault(w, _word_hash(w)) if h is None else h for w, h in zip(words, known)
-        ]
-    h = np.array(known, np.uint64)
-    with np.errstate(over="ignore"):
-        if len(h) < SHINGLE:  # of another length, so of another sum
-            total = [np.sum(h * _TIMES[: len(h)]) + np.uint64(len(h))]
-        else:
-            n = len(h) - SHINGLE + 1
-            total = sum(h[k : k + n] * _TIMES[k] for k in range(SHINGLE))
-        return np.unique(_mixed(np.asarray(total, np.uint64)))
+def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of some bytes in lower case start, and their 64-bit hashes.
+
+    A word of up to ``LONG`` bytes is a sum of random numbers of its bytes times powers of
+    their places, a longer one is hashed whole.  Worked out ``PIECE`` bytes at a time.
+    """
+    edges = np.flatnonzero(np.diff(np.concatenate(([False], ~_WHITE[data], [False])).view(np.int8)))
+    starts, ends = edges[::2], edges[1::2]
+    sizes = ends - starts
+    out = np.zeros(len(starts), np.uint64)
+    long = np.flatnonzero(sizes > LONG)
+    for i in long:
+        whole = hashlib.blake2b(data[starts[i] : ends[i]].tobytes(), digest_size=8).digest()
+        out[i] = int.from_bytes(whole, "little")
+    low = 0
+    for stop in (*long, len(starts)):
+        while low < stop:
+            high = min(stop, max(low + 1, int(np.searchsorted(ends, starts[low] + PIECE))))
+            first, own = starts[low], data[starts[low] : ends[high - 1]]
+            at = starts[low:high] - first
+            place = np.arange(len(own)) - np.repeat(at, np.diff(np.append(at, len(own))))
+            values = _BYTE[own] * _POWER[np.minimum(place, LONG)]  # white space counts nothing
+            out[low:high] = np.add.reduceat(values, at)
+            low = high
+        low = stop + 1
+    return starts, _mixed(out + sizes.astype(np.uint64) * _TIMES[0])
+
+
+def _shingles(words: np.ndarray, runs: np.ndarray) -> np.ndarray:
+    """The distinct shingles of a text, ascending, from its words' hashes and the hashes of
+    its runs of ``SHINGLE`` words (and more behind, if it has fewer)."""
+    if not len(words):
+        return words
+    if len(words) < SHINGLE:  # of another length, so of another sum
+        total = np.sum(words * _TIMES[: len(words)], keepdims=True)
+        return _mixed(total + np.array([len(words)], np.uint64))
+    total = np.sort(runs[: len(words) - SHINGLE + 1])
+    return total[np.concatenate(([True], total[1:] != total[:-1]))]
+
+
+def sets_of(texts: pa.Array) -> Iterator[np.ndarray]:
+    """The distinct shingles of each text as 64-bit hashes, ascending; none for null."""
+    texts = texts.cast(pa.large_binary()).fill_null(b"")
+    ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = texts.buffers()[2]
+    data = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
+    i = 0
+    while i < len(texts):
+        # Rows of up to PIECE bytes at once, or a longer one alone; a blank behind each.
+        j = min(len(texts), max(i + 1, int(np.searchsorted(ends, ends[i] + PIECE, "right")) - 1))
+        spread = np.full(ends[j] - ends[i] + (j - i), 0x20, np.uint8)
+        begins = ends[i:j] - ends[i] + np.arange(j - i)
+        for k in range(i, j):
+            at = begins[k - i]
+            spread[at : at + ends[k + 1] - ends[k]] = data[ends[k] : ends[k + 1]]
+        starts, hashes = word_hashes(_LOWER[spread])
+        cuts = [*np.searchsorted(starts, begins).tolist(), len(starts)]
+        n = max(0, len(hashes) - SHINGLE + 1)
+        runs = _mixed(sum(hashes[k : k + n] * _TIMES[k] for k in range(SHINGLE)))
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            yield _shingles(hashes[a:b], runs[a:])
+        i = j
 
 
 def _digest(own: np.ndarray) -> bytes:
@@ -110,7 +156,7 @@ def _rep(digest: bytes) -> int:
 # --- token classes --------------------------------------------------------------
 
 def _bucket(tokens: np.ndarray) -> np.ndarray:
-    return (tokens % np.uint64(BUCKETS)).astype(np.int64)
+    return (tokens & np.uint64(BUCKETS - 1)).astype(np.int64)
 
 
 def _added(group: pd.DataFrame) -> np.ndarray:
@@ -130,8 +176,8 @@ def token_counts(docs: DataFrame) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(BUCKETS, np.int64)
         for batch in batches:
-            for text in batch.column(0):
-                np.add.at(counts, _bucket(shingles(text.as_py())), 1)
+            for own in sets_of(batch.column(0)):
+                np.add.at(counts, _bucket(own), 1)
         if counts.any():
             slices = [zlib.compress(c.tobytes(), 1) for c in counts.reshape(SLICES, -1)]
             yield pa.RecordBatch.from_arrays(
@@ -166,36 +212,49 @@ class Classes:
         self.counts = (counts >> shift).astype(np.uint32)
 
     def ordered(self, tokens: np.ndarray) -> tuple[np.ndarray, int]:
-        """Tokens rare first, and how many are rare."""
+        """Ascending tokens rare first, and how many are rare."""
         of = self.counts[_bucket(tokens)]
-        return tokens[np.lexsort((tokens, of))], int((of <= self.cut).sum())
+        return tokens[np.argsort(of, kind="stable")], int((of <= self.cut).sum())
 
 
 # --- keys -----------------------------------------------------------------------
 
+def matches(n: int, percent: int = PERCENT) -> int:
+    """How many tokens of its prefix a set of ``n`` shares with any set linked to it.
+
+    Taken from the least size that is linked, so that the prefix of the smaller one of a
+    linked pair is long enough for the larger one.
+    """
+    return max(1, -(-percent * n // 100) // PER_MATCH)
+
+
 @lru_cache(100_000)
 def reach(n: int, percent: int = PERCENT) -> tuple[int, int, bool]:
     """For a set of ``n`` tokens: the length of its prefix, how many of its frequent tokens
     hold a run shared with any set linked to it, and whether runs may be missing.
 
-    Let a linked set have ``s`` tokens, ``o`` of them shared.  If all shared tokens are
-    frequent, at most ``n + s - 2 o`` others stand between them in either set, so the
-    first ``(n + s - 2 o + 1) * (COMBINED - 1) + 1`` shared ones hold a run of COMBINED,
-    and at most ``n - o`` of the set's own stand before its end.  Both fall as ``o``
-    grows.  Where fewer are shared than that, single tokens are keys too, in both sets.
+    Let a linked set have ``s`` tokens, ``o`` of them shared.  The k-th shared token stands
+    among the first ``n - o + k``.  If all shared tokens are frequent, at most ``n + s - 2 o``
+    others stand between them in either set, so the first ``(n + s - 2 o + 1) * (COMBINED -
+    1) + 1`` shared ones hold a run of COMBINED, and at most ``n - o`` of the set's own stand
+    before its end.  Both fall as ``o`` grows.  Where fewer are shared than that, single
+    tokens are keys too, in both sets.
     """
     share = -(-percent * n // 100)
     s = np.arange(share, 100 * n // percent + 1)
     o = np.maximum(-(-percent * (n + s) // (100 + percent)), 1)
     run = (n + s - 2 * o + 1) * (COMBINED - 1) + 1
-    return n - share + 1, int((run + n - o).max()), bool((run > o).any())
+    prefix = min(n, n - share + max(1, n // PER_MATCH))
+    return prefix, int((run + n - o).max()), bool((run > o).any())
 
 
-def keys_of(tokens: np.ndarray, classes: Classes, percent: int = PERCENT) -> np.ndarray:
-    """The keys of a set: any linked set has one of them."""
+def keys_of(
+    tokens: np.ndarray, classes: Classes, percent: int = PERCENT
+) -> tuple[np.ndarray, int]:
+    """The keys of a set, and how many of them any linked set has."""
     n = len(tokens)
     if not n:
-        return tokens
+        return tokens, 0
     prefix, runs, missing = reach(n, percent)
     ordered, rare = classes.ordered(tokens)
     keys = [ordered[: min(prefix, rare)]]
@@ -208,7 +267,7 @@ def keys_of(tokens: np.ndarray, classes: Classes, percent: int = PERCENT) -> np.
             m = len(common) - COMBINED + 1
             with np.errstate(over="ignore"):
                 keys.append(_mixed(sum(common[k : k + m] * _JOIN[k] for k in range(COMBINED))))
-    return np.concatenate(keys)
+    return np.concatenate(keys), 1 if rare < prefix else matches(n, percent)
 
 
 def _signed(a: np.ndarray) -> np.ndarray:
@@ -216,38 +275,54 @@ def _signed(a: np.ndarray) -> np.ndarray:
 
 
 def keyed(docs: DataFrame, classes, percent: int) -> DataFrame:
-    """doc_id, n, digest, rep and keys of every document."""
+    """doc_id, n, digest, rep, keys and need of every document.  Copies inside a task may
+    have no keys: one of them has."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
         for batch in batches:
             if not batch.num_rows:
                 continue
-            n, digests, keys = [], [], []
-            for text in batch.column(1):
-                own = shingles(text.as_py())
+            n, digests, keys, needs = [], [], [], []
+            for own in sets_of(batch.column(1)):
                 n.append(len(own))
-                digests.append(_digest(own))
-                keys.append(_signed(keys_of(own, classes.value, percent)))
+                digest = _digest(own)
+                digests.append(digest)
+                found, need = keys_of(own[:0] if digest in seen else own, classes.value, percent)
+                if len(seen) >= _SEEN:  # only spares work: copies meet again below
+                    seen.clear()
+                seen.add(digest)
+                keys.append(_signed(found))
+                needs.append(need)
             ends = np.concatenate(([0], np.cumsum([len(k) for k in keys])))
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array(n, pa.int64()), pa.array(digests, pa.binary()),
                 pa.array([_rep(d) for d in digests], pa.int64()),
                 pa.ListArray.from_arrays(
                     pa.array(ends, pa.int32()), pa.array(np.concatenate(keys), pa.int64())),
-            ], names=["doc_id", "n", "digest", "rep", "keys"])
+                pa.array(needs, pa.int32()),
+            ], names=["doc_id", "n", "digest", "rep", "keys", "need"])
 
     return id_and_text(docs).mapInArrow(
-        run, "doc_id bigint, n bigint, digest binary, rep bigint, keys array<bigint>"
+        run, "doc_id bigint, n bigint, digest binary, rep bigint, keys array<bigint>, need int"
     )
 
 
 def clusters(known: DataFrame) -> DataFrame:
-    """(id, component) of the sets, by number, that share a key with another."""
-    posted = known.select("rep", F.explode("keys").alias("key"))
-    shared = posted.groupBy("key").agg(
-        F.min("rep").alias("least"), F.max("rep").alias("most")
-    ).filter("least <> most").select("key", "least")
-    edges = posted.join(shared, "key").filter("rep <> least")
+    """(id, component) of the sets, by number, that may be linked with another."""
+
+    def shared(posted: DataFrame) -> DataFrame:
+        return posted.groupBy("key").agg(
+            F.min("rep").alias("least"), F.max("rep").alias("most")
+        ).filter("least <> most").select("key", "least")
+
+    posted = known.select("rep", "need", F.explode("keys").alias("key"))
+    left = posted.join(shared(posted).select("key"), "key").dropDuplicates(["key", "rep"])
+    enough = left.groupBy("rep").agg(  # no more than a set has keys
+        F.collect_list("key").alias("keys"), F.max("need").alias("need")
+    ).filter(F.size("keys") >= F.col("need"))
+    kept = settle(enough.select("rep", F.explode("keys").alias("key")))
+    edges = kept.join(shared(kept), "key").filter("rep <> least")
     return components(edges.select(F.col("rep").alias("a"), F.col("least").alias("b")))
 
 
@@ -275,8 +350,7 @@ def _sets(docs: DataFrame, found: DataFrame, classes, percent: int) -> DataFrame
         seen: set[bytes] = set()
         for batch in batches:
             rows = []
-            for text in batch.column(0):
-                own = shingles(text.as_py())
+            for own in sets_of(batch.column(0)):
                 if not len(own):
                     continue
                 digest = _digest(own)
@@ -289,7 +363,7 @@ def _sets(docs: DataFrame, found: DataFrame, classes, percent: int) -> DataFrame
             place = np.array([r & BITS - 1 for r, _, _ in rows], np.int64)
             asked = wanted.value[place // 64] >> (place % 64).astype(np.uint64) & np.uint64(1)
             rows = [r for r, a in zip(rows, asked) if a]
-            keys = [_signed(keys_of(own, classes.value, percent)).tolist() for _, _, own in rows]
+            keys = [_signed(keys_of(own, classes.value, percent)[0]).tolist() for _, _, own in rows]
             yield pa.RecordBatch.from_arrays([
                 pa.array([r for r, _, _ in rows], pa.int64()),
                 pa.array([d for _, d, _ in rows], pa.binary()),
@@ -305,14 +379,16 @@ def _sets(docs: DataFrame, found: DataFrame, classes, percent: int) -> DataFrame
         "num", F.monotonically_increasing_id()))
 
 
-def linked(nums: list[int], sets: list[np.ndarray], keys: list, parts: list[int],
-           percent: int = PERCENT) -> list[tuple[int, int]]:
-    """Links between sets that share a key, as many as join what is linked.
+def linked(
+    sets: list[np.ndarray], keys: list, parts: list[int], percent: int = PERCENT
+) -> list[tuple[int, int]]:
+    """Which parts are joined by links between sets that share a key: (part, the least
+    part joined with it).
 
     Sets of one of ``parts`` are joined already.  A posting keeps its sets by what they are
     joined to, and skips those that are joined with the set at hand as one.
     """
-    up = list(range(len(nums)))
+    up = list(range(len(sets)))
 
     def root(i: int) -> int:
         while up[i] != i:
@@ -323,7 +399,6 @@ def linked(nums: list[int], sets: list[np.ndarray], keys: list, parts: list[int]
     first: dict[int, int] = {}
     for i, p in enumerate(parts):
         up[i] = first.setdefault(p, i)
-    links: list[tuple[int, int]] = []
 
     def meet(i: int, mine: int, others: list[int], tried: set[int]) -> None:
         own = sets[i]
@@ -338,7 +413,6 @@ def linked(nums: list[int], sets: list[np.ndarray], keys: list, parts: list[int]
             at[at == len(other)] = 0
             both = int((other[at] == own).sum())
             if 100 * both >= percent * (len(own) + len(other) - both):
-                links.append((nums[j], nums[i]))
                 up[root(j)] = mine
                 return  # the others are joined with it
 
@@ -364,17 +438,21 @@ def linked(nums: list[int], sets: list[np.ndarray], keys: list, parts: list[int]
                     held.extend(others)
             now.setdefault(mine, []).append(i)
             posted[key] = now
-    return links
+    least: dict[int, int] = {}
+    for p, i in first.items():
+        least[root(i)] = min(p, least.get(root(i), p))
+    return [(p, least[root(i)]) for p, i in first.items() if p != least[root(i)]]
 
 
 def _compared(dealt: DataFrame, by: list[str], percent: int) -> DataFrame:
-    """Links (a, b) inside the groups of num, part, hashes, keys."""
+    """Parts (a) and the least part each is joined with (b), by the groups of part, hashes,
+    keys."""
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         sets = [np.frombuffer(b, np.uint64) for b in group["hashes"]]
         keys = [k.tolist() for k in group["keys"]]
-        links = linked(group["num"].tolist(), sets, keys, group["part"].tolist(), percent)
-        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+        joined = linked(sets, keys, group["part"].tolist(), percent)
+        return pd.DataFrame(joined, columns=["a", "b"], dtype="int64")
 
     return dealt.groupBy(*by).applyInPandas(run, "a bigint, b bigint")
 
@@ -392,27 +470,26 @@ def _block() -> F.Column:
     return F.pmod(F.xxhash64("num"), "blocks").cast("int")
 
 
-def _parted(members: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Members with the part that ``links`` join them to, and (num, part) of the joined."""
-    joined = settle(components(links).select(F.col("id").alias("at"), F.col("component").alias("to")))
-    return members.join(joined, members["num"] == joined["at"], "left").withColumn(
-        "part", F.coalesce("to", "num")
-    ).drop("at", "to"), joined
+def _parted(members: DataFrame, joined: DataFrame) -> DataFrame:
+    """Members with the part that theirs is joined to."""
+    to = joined.select(F.col("a").alias("part"), F.col("b").alias("to"))
+    return members.join(to, "part", "left").withColumn("part", F.coalesce("to", "part")).drop("to")
 
 
 def links_of(members: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) that join all linked sets of ``members``."""
-    sized = members.join(_blocks(members), "cluster").withColumn("block", _block())
-    within = settle(_compared(sized.withColumn("part", F.col("num")), ["cluster", "block"], percent))
-    large = settle(sized.filter("blocks > 1").drop("blocks", "block"))
+    """Pairs (a, b) that join all linked sets of ``members``."""
+    whole = members.withColumn("part", F.col("num"))
+    sized = whole.join(_blocks(members), "cluster").withColumn("block", _block())
+    within = settle(_compared(sized, ["cluster", "block"], percent))
     # One set per part of a large cluster meets the others of its kind, block by block.
-    parted, _ = _parted(large, within)
-    heads = parted.filter("num = part")
+    # Every part is in one block, so what it is joined to is known.
+    large = settle(_parted(sized.filter("blocks > 1").drop("blocks", "block"), within))
+    heads = large.filter("num = part")
     dealt = heads.join(_blocks(heads), "cluster").withColumn("block", _block())
     between = settle(_compared(dealt, ["cluster", "block"], percent))
     # What still shares a key across parts is compared with all of its kind.
     links = within.unionByName(between)
-    parted, _ = _parted(large, links)
+    parted = _parted(large, between)
     posted = parted.select("num", "cluster", "part", F.explode("keys").alias("key"))
     mixed = posted.groupBy("cluster", "key").agg(
         F.min("part").alias("least"), F.max("part").alias("most")
