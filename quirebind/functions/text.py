@@ -272,14 +272,14 @@ def _until_broken(xml: Column) -> Column:
     ).otherwise(x))
 
 
-_SUMMED = 32
+_SUMMED = 64
 
 
-def _running_sums(numbers: Column, depth: int = 3) -> Column:
+def _running_sums(numbers: Column, depth: int = 2) -> Column:
     """Sums of an array's first entries, in blocks whose ends are summed in the same way.
 
     No array grows by an entry at a time: an entry costs half a block, and only the ends of
-    the blocks of the last ``depth``, 32,768 entries each, are summed one by one.
+    the blocks of the last ``depth``, 4,096 entries each, are summed one by one.
     """
     zero, add = F.lit(0), lambda x, y: x + y
     upto = lambda s, i: F.reduce(F.slice(s, F.lit(1), i + 1), zero, add)

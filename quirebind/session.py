@@ -18,6 +18,8 @@ def local_session(cpus: int = 8, memory: str = "16g") -> SparkSession:
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        # Where in Python each Column was made: for debugging, a stack walk per call.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
 
