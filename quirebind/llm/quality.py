@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, IntegerType, LongType, StructField, StructType
 
-from quirebind.llm.words import words
+from quirebind.llm.words import named, own_prefix, words
 from quirebind.session import settle
 
 MIN_WORDS = 20
@@ -42,13 +42,13 @@ FUNCTION_WORDS = frozenset(
 )
 # --- end of fixed values --------------------------------------------------------
 
+PREFIX = "_q_"
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 #: One vote per rule: the measure, good if on its good side, bad if on its bad side.
 RULES = [
     "length", "repetition", "symbols", "lines", "word_length", "function_words", "capitals",
     "sentences", "letters",
 ]
-_PATTERN, _FAILED = "_q_pattern", "_q_base_failed"
 
 
 def repeated_words(tokens: list[str], window: int = WINDOW) -> int:
@@ -162,11 +162,14 @@ def votes_of(pattern: int) -> list[int]:
 
 
 def measured(docs: DataFrame, carry: list[str]) -> DataFrame:
-    """Base counts (``_q_`` names) and vote pattern next to the columns ``carry``."""
-    fields = [StructField(f"_q_{c}", LongType()) for c in BASE]
-    fields += [StructField(_FAILED, BooleanType()), StructField(_PATTERN, IntegerType())]
+    """Base counts (named with ``own_prefix``) and vote pattern next to the columns ``carry``."""
+    p = own_prefix(carry, PREFIX)
+    fields = [StructField(f"{p}{c}", LongType()) for c in BASE]
+    fields += [StructField(f"{p}base_failed", BooleanType()), StructField(f"{p}pattern", IntegerType())]
     schema = StructType([docs.schema[c] for c in carry] + fields)
-    rows = docs.select(*carry, F.col("text").alias("_q_text"))
+    # Tasks see columns by number: the map takes no names with dots.
+    numbered = [c.alias(f"c{i}") for i, c in enumerate([*named(carry), F.col("text")])]
+    rows = docs.select(*numbered)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -227,18 +230,20 @@ def _log_odds(good: np.ndarray, bad: np.ndarray, hit: np.ndarray, share: float)
 
 
 def rated(docs: DataFrame, least: float = 0.5, carry: list[str] | None = None) -> DataFrame:
-    """The columns ``carry`` (all of ``docs``) with ``_q_`` columns: base counts,
-    base_failed, quality (posterior) and kept.  They are written once, to the
-    shared folder; texts are not read again."""
-    known = settle(measured(docs, docs.columns if carry is None else carry))
-    counts = {r[0]: r[1] for r in known.groupBy(_PATTERN).count().collect()}  # 3^9 at most
+    """The columns ``carry`` (all of ``docs``) with base counts, base_failed, quality
+    (posterior) and kept, named with ``own_prefix(carry, PREFIX)``.  They are written
+    once, to the shared folder; texts are not read again."""
+    carry = docs.columns if carry is None else carry
+    p = own_prefix(carry, PREFIX)
+    known = settle(measured(docs, carry))
+    counts = {r[0]: r[1] for r in known.groupBy(f"{p}pattern").count().collect()}  # 3^9 at most
     table = fit(counts)
     quality = F.lit(0.0)
     if table:
-        pairs = [F.lit(x) for p in sorted(table.items()) for x in p]
-        quality = F.coalesce(F.create_map(*pairs)[F.col(_PATTERN)], F.lit(0.0))
-    return known.withColumn("_q_quality", quality).withColumn(
-        "_q_kept", ~F.col(_FAILED) & (F.col("_q_quality") >= least)
+        pairs = [F.lit(x) for row in sorted(table.items()) for x in row]
+        quality = F.coalesce(F.create_map(*pairs)[F.col(f"{p}pattern")], F.lit(0.0))
+    return known.withColumn(f"{p}quality", quality).withColumn(
+        f"{p}kept", ~F.col(f"{p}base_failed") & (F.col(f"{p}quality") >= least)
     )
 
 
@@ -246,13 +251,13 @@ def quality_report(docs: DataFrame, least: float = 0.5) -> DataFrame:
     """One row per document: base counts, verdict and posterior probability."""
     rows = rated(docs, least, ["doc_id"])
     return rows.select(
-        "doc_id", *[F.col(f"_q_{c}").alias(c) for c in BASE],
-        F.col(_FAILED).alias("base_failed"), F.col("_q_kept").alias("kept"),
-        F.col("_q_quality").alias("quality"),
+        "doc_id", *[
+            F.col(f"{PREFIX}{c}").alias(c) for c in [*BASE, "base_failed", "kept", "quality"]
+        ],
     )
 
 
 def keep_good(docs: DataFrame, least: float = 0.5) -> DataFrame:
     """The documents that are kept, with their own columns."""
-    good = rated(docs, least).filter("_q_kept")
-    return good.select(*docs.columns)
+    good = rated(docs, least).filter(F.col(f"{own_prefix(docs.columns, PREFIX)}kept"))
+    return good.select(*named(docs.columns))

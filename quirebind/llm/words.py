@@ -5,7 +5,7 @@ from collections.abc import Callable, Iterator
 from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -55,6 +55,18 @@ def map_rows(
     return df.mapInArrow(run, fields)
 
 
+def own_prefix(columns: list[str], prefix: str) -> str:
+    """``prefix``, with as many underscores in front as no column begins with."""
+    while any(c.lower().startswith(prefix) for c in columns):
+        prefix = f"_{prefix}"
+    return prefix
+
+
+def named(columns: list[str]) -> list[Column]:
+    """The columns of these very names, dots and backticks included."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in columns]
+
+
 def id_and_text(docs: DataFrame) -> DataFrame:
     """The two columns that most operators read; further columns go."""
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")

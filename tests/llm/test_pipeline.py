@@ -2,6 +2,8 @@ import ast
 import re
 from pathlib import Path
 
+from pyspark.sql import functions as F
+
 import __spark_entry__ as entry
 import corpus_pipeline as pipeline
 from quirebind.llm import near
@@ -50,3 +52,17 @@ def test_nothing_else_imports_the_subpackage():
             names = [a.name for a in node.names] if isinstance(node, ast.Import) else (
                 [node.module or ""] if isinstance(node, ast.ImportFrom) else [])
             assert not any(n.startswith("quirebind.llm") for n in names), file
+
+
+def test_columns_of_any_name_are_carried_along(spark, sf_small):
+    """Names that the stages use inside, and names with dots, come out as they went in."""
+    names = ["_q_text", "_q_pattern", "_p_found", "_p_all", "_d_text", "_d_leaked", "_d_key", "_n_text",
+             "_n_doc", "_n_stays", "a.b", "key", "rep", "id", "start"]
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet").limit(60)
+    docs = docs.select("*", *[F.concat(F.lit(f"{n} "), F.col("doc_id").cast("string")).alias(n) for n in names])
+    docs = spark.createDataFrame(docs.collect(), docs.schema)
+    for name, stage in pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, sf_small)
+        rows = docs.collect()
+        docs = spark.createDataFrame(rows, docs.schema)
+        assert rows and all(r[n] == f"{n} {r['doc_id']}" for r in rows for n in names), name
