@@ -9,12 +9,16 @@
    this prefix is kept.  Postings that meet make clusters.
 3. Inside a cluster, sets that differ too much in size cannot be linked: members
    meet those of their own and the next size class.  Large groups are cut into
-   blocks, and blocks meet in pairs, so a task holds two blocks at most.  There,
-   collisions per pair are counted over the postings, members whose partners are
-   all linked with them already are skipped, and pairs above the threshold are
-   confirmed on full sets.  A task returns a spanning forest of its links.
+   blocks, and blocks meet in pairs, so a task holds two blocks at most.  There, the
+   postings of a member's prefix are merged and members it is joined with already are
+   skipped; what is left has its collisions counted, and pairs above the threshold
+   are confirmed on full sets.  A task returns a spanning forest of its links.
 4. Components of the links are found by stars, and copies join their representative.
 
+Texts are read again for the representatives in clusters, and for the rows of which some
+go.  A bitmap of 2 ** 23 bits, the same at every size, holds what is asked for: rows that
+are not in it stay where they are, and only the rest meets by key.
+
 A set's number is dealt out when sets are stored, so texts of one doc_id, and those of
 none, are sets of their own.  The row that stays of a component is that of the least
 doc_id (null after all others) and, within it, the least hash of the text.
@@ -37,7 +41,7 @@ carried along by ``one_of_each``.
 
 import hashlib
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import Any
 
 import numpy as np
@@ -47,7 +51,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quirebind.llm.graph import components
-from quirebind.llm.words import id_and_text, lower_words, map_rows
+from quirebind.llm.ngram_join import BITS, bitmap
+from quirebind.llm.words import id_and_text, lower_words, map_rows, named, own_prefix
 from quirebind.session import settle
 
 SHINGLE = 5
@@ -114,7 +119,7 @@ def signature(own: np.ndarray) -> np.ndarray:
         for at in range(0, len(own), 4096):
             mixed = own[at : at + 4096, None] * _A + _B
             least = np.minimum(least, mixed.min(axis=0))
-    return (least >> np.uint64(32)).astype(np.int64)
+    return (least >> np.uint64(32)).astype("<u4")
 
 
 def _digest(own: np.ndarray) -> bytes:
@@ -130,8 +135,25 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return id_and_text(docs).withColumn("key", _key(F.col("text")))
 
 
+def _place(doc: Column, key: Column) -> Column:
+    return F.xxhash64(doc.cast("bigint"), key)
+
+
+def _among(rows: DataFrame) -> Callable[[Column], Column]:
+    """A test of ``_place`` values: true for those in ``rows`` (id), false for most others."""
+    bits = rows.sparkSession.sparkContext.broadcast(bitmap(rows))
+
+    @F.pandas_udf("boolean")
+    def test(place: pd.Series) -> pd.Series:
+        at = place.to_numpy() & BITS - 1
+        return pd.Series(bits.value[at // 64] >> (at % 64).astype(np.uint64) & np.uint64(1) == 1)
+
+    return test
+
+
 def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, key (of the text), n_shingles, digest (of the whole set), coordinates."""
+    """doc_id, key (of the text), n_shingles, digest (of the whole set), coordinates
+    (four bytes each; none for an empty set)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, Any]]:
         for batch in batches:
@@ -140,21 +162,22 @@ def sketches(docs: DataFrame) -> DataFrame:
                 own = shingles(text.as_py())
                 yield {
                     "doc_id": doc[i], "key": key[i], "n_shingles": len(own), "digest": _digest(own),
-                    "coordinates": signature(own).tolist() if len(own) else [],
+                    "coordinates": signature(own).tobytes() if len(own) else b"",
                 }
 
     return map_rows(
         _keyed(docs), run,
-        "doc_id bigint, key binary, n_shingles bigint, digest binary, coordinates array<bigint>",
+        "doc_id bigint, key binary, n_shingles bigint, digest binary, coordinates binary",
         rows=1000,
     )
 
 
 def _clusters(reps: DataFrame, least: int) -> DataFrame:
     """(id, component) of representatives whose prefixes meet in a posting."""
-    posted = reps.select(
-        F.col("rep"), F.posexplode("coordinates").alias("place", "value")
-    ).select("rep", F.xxhash64("place", "value").alias("token"))
+    tokens = F.transform(F.sequence(F.lit(0), F.lit(COORDINATES - 1)), lambda k: F.xxhash64(
+        k, F.substr(F.col("coordinates"), 4 * k + 1, F.lit(4))
+    ))
+    posted = reps.select("rep", F.explode(tokens).alias("token"))
     # Only the counts of values are wanted first: one row per value and partition.
     shared = posted.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")
     own = posted.join(shared, "token").groupBy("rep").agg(
@@ -181,23 +204,48 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     heads = wanted.select("id", "cluster", "head.doc", F.col("head.key").alias("text_key"))
     same = F.col("doc_id").eqNullSafe(F.col("doc")) & (F.col("key") == F.col("text_key"))
-    texts = _keyed(docs).join(heads, same).select("id", "cluster", "text")
+    asked = _among(heads.select(_place(F.col("doc"), F.col("text_key")).alias("id")))
+    rows = _keyed(docs).filter(asked(_place(F.col("doc_id"), F.col("key"))))
+    texts = rows.join(heads, same).select("id", "cluster", "text")
     # Repeated rows are one set.
     return map_rows(
         texts, run, "id bigint, cluster bigint, n bigint, hashes binary", rows=256
     ).dropDuplicates(["id"])
 
 
+def _postings(signs: np.ndarray, prefix: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The postings one after the other, where each ends, and each member's prefix.
+
+    A posting has the members, ascending, that hold its (coordinate, value) in their prefix:
+    their ``prefix`` rarest ones, in one order for all."""
+    numbers, offset = np.empty(signs.shape, np.int64), 0
+    for k in range(COORDINATES):
+        values, numbers[:, k] = np.unique(signs[:, k], return_inverse=True)
+        numbers[:, k] += offset
+        offset += len(values)
+    held = np.bincount(numbers.ravel(), minlength=offset)
+    rank = np.empty(offset, np.int64)
+    rank[np.argsort(held, kind="stable")] = np.arange(offset)
+    first = np.sort(rank[numbers], axis=1)[:, :prefix]
+    order = np.argsort(first, axis=None, kind="stable")
+    ends = np.cumsum(np.bincount(first.ravel(), minlength=offset))
+    return order // prefix, ends, first
+
+
 def _forest(ids, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     """Links between the given sets, as many as join what is linked.
 
-    Pairs with enough equal coordinates are confirmed by the size of their
+    Coordinates are posted rare ones first.  A pair that agrees on enough of them meets
+    in a posting of both prefixes; there, members that are joined with the one at hand
+    are skipped.  Pairs with enough equal coordinates are confirmed by the size of their
     intersection, counted for one member against all others at a time.
     """
     m, least = len(ids), matches(percent)
     root = np.arange(m)
     size = np.array([len(s) for s in sets], np.int64)
     signs = np.stack([signature(s) for s in sets])
+    listed, until, first = _postings(signs, COORDINATES - least + 1)
+    since = np.concatenate(([0], until[:-1]))
     flat = np.concatenate(sets)
     values, place = np.unique(flat, return_inverse=True)
     owner = np.repeat(np.arange(m), size)
@@ -207,13 +255,14 @@ def _forest(ids, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     begin = np.concatenate(([0], np.cumsum(size)))
     links: list[tuple[int, int]] = []
     for i in range(m):
-        equal = np.zeros(m, np.int16)
-        for k in range(COORDINATES):
-            equal += signs[:, k] == signs[i, k]
-        maybe = (equal >= least) & (root != root[i])
-        maybe[: i + 1] = False
-        if not maybe.any():
+        met = np.concatenate([listed[since[t] : until[t]] for t in first[i]])
+        met = met[(met > i) & (root[met] != root[i])]
+        met = np.flatnonzero(np.bincount(met, minlength=m))
+        met = met[(signs[met] == signs[i]).sum(axis=1) >= least]
+        if not len(met):
             continue
+        maybe = np.zeros(m, bool)
+        maybe[met] = True
         mine = place[begin[i] : begin[i + 1]]
         both = np.bincount(
             np.concatenate([posted[starts[p] : ends[p]] for p in mine]), minlength=m
@@ -295,19 +344,28 @@ def near_report(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """One row of each component: that of the least id, and of these the least hash."""
+    """One row of each component: that of the least id, and of these the least hash.
+
+    Columns of the documents may have any names but that of ``doc_id`` or ``text`` twice.
+    """
+    p = own_prefix(docs.columns, "_n_")
+    doc, text, stays = f"{p}doc", f"{p}text", f"{p}stays"
     own = F.col("doc_id").eqNullSafe(F.col("head.doc")) & (F.col("key") == F.col("head.key"))
     # Rows that go, and rows of which one stays: (doc_id, hash of the text) with their number.
     decided = settle(_component_of(docs, percent).filter("n_shingles > 0").groupBy(
-        F.col("doc_id").alias("_n_doc"), F.col("key").alias("_n_key")
+        F.col("doc_id").alias(doc), F.col("key").alias(f"{p}key")
     ).agg(
-        F.bool_and(own).alias("_n_stays"), F.count("*").alias("_n_rows")
-    ).filter("not _n_stays or _n_rows > 1"))
-    marked = docs.withColumn("_n_text", _key(F.col("text")))
+        F.bool_and(own).alias(stays), F.count("*").alias(f"{p}rows")
+    ).filter(~F.col(stays) | (F.col(f"{p}rows") > 1)))
+    asked = _among(decided.select(_place(F.col(doc), F.col(f"{p}key")).alias("id")))
+    marked = docs.withColumn(text, _key(F.col("text")))
+    marked = marked.withColumn(f"{p}asked", asked(_place(F.col("doc_id"), F.col(text))))
+    others, some = marked.filter(~F.col(f"{p}asked")), marked.filter(F.col(f"{p}asked"))
     same = (
-        F.col("doc_id").cast("bigint").eqNullSafe(F.col("_n_doc"))
-        & (F.col("_n_text") == F.col("_n_key"))
+        F.col("doc_id").cast("bigint").eqNullSafe(F.col(doc))
+        & (F.col(text) == F.col(f"{p}key"))
     )
-    alone = marked.join(decided, same, "left_anti")
-    repeated = marked.join(decided.filter("_n_stays"), same, "left_semi")
-    return alone.unionByName(repeated.dropDuplicates(["doc_id", "_n_text"])).drop("_n_text")
+    alone = some.join(decided, same, "left_anti")
+    repeated = some.join(decided.filter(F.col(stays)), same, "left_semi")
+    rows = others.unionByName(alone).unionByName(repeated.dropDuplicates(["doc_id", text]))
+    return rows.select(*named(docs.columns))
