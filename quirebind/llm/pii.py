@@ -29,13 +29,16 @@ from functools import partial
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
+from quirebind.llm.words import named, own_prefix
 from quirebind.session import settle
 
 EMAIL, IP, CARD, PHONE, SECRET, NAME = range(6)
 KINDS = ["email", "ip", "card", "phone", "secret", "name"]
 BASE_KINDS = KINDS[:4]
+PREFIX = "_p_"
 LABELERS = ["shape", "checksum", "gazetteer", "context", "border"]
-_BLOCK = 256
+_BLOCK, _PIECE = 256, 64
+_FAR = 1 << 40
 
 # --- fixed values: patterns ----------------------------------------------------
 _LOCAL = "[A-Za-z0-9._%+-]"
@@ -77,17 +80,28 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
-def _before(lengths: Column) -> Column:
-    """Sums of what lies before each element, in blocks so that long arrays cost
-    little more than their length."""
-    total = lambda a: F.aggregate(a, F.lit(0).cast("bigint"), lambda s, x: s + x)
-    blocks = F.sequence(F.lit(0), F.floor(F.size(lengths) / _BLOCK).cast("int"))
-    heads = F.transform(blocks, lambda j: total(F.slice(lengths, F.lit(1), j * _BLOCK)))
+def _total(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0).cast("bigint"), lambda s, x: s + x)
+
+
+def _highest(values: Column) -> Column:
+    return F.coalesce(F.array_max(values), F.lit(0).cast("bigint"))
+
+
+def _before(values: Column, of: Callable[[Column], Column]) -> Column:
+    """``of`` (sum or maximum) of the numbers from 0 on that lie before each element.
+
+    Every block is summed up once and the blocks before it are looked at as one, so that
+    long arrays cost little more than their length."""
+    blocks = F.sequence(F.lit(0), F.floor(F.size(values) / _BLOCK).cast("int"))
+    each = F.transform(blocks, lambda j: of(F.slice(values, j * _BLOCK + 1, F.lit(_BLOCK))))
+    heads = let(each, lambda e: F.transform(e, lambda _, j: of(F.slice(e, F.lit(1), j))))
     return let(heads, lambda h: F.transform(
-        lengths,
-        lambda x, i: F.get(h, F.floor(i / _BLOCK).cast("int")) + total(
-            F.slice(lengths, F.floor(i / _BLOCK).cast("int") * _BLOCK + 1, i % _BLOCK)
-        ),
+        values,
+        lambda _, i: of(F.array(
+            F.get(h, F.floor(i / _BLOCK).cast("int")),
+            of(F.slice(values, F.floor(i / _BLOCK).cast("int") * _BLOCK + 1, i % _BLOCK)),
+        )),
     ))
 
 
@@ -100,7 +114,7 @@ def matches(text: Column, pattern: str) -> Column:
     size = lambda a, i: F.length(F.get(a, i)).cast("bigint")
     return let(parts, lambda p: let(
         F.transform(p["hits"], lambda h, i: F.length(h) + size(p["gaps"], i)),
-        lambda lengths: let(_before(lengths), lambda b: F.transform(
+        lambda lengths: let(_before(lengths, _total), lambda b: F.transform(
             p["hits"],
             lambda h, i: F.struct(
                 h.alias("value"), (F.get(b, i) + size(p["gaps"], i)).alias("start")
@@ -182,15 +196,42 @@ def _side(c: Column) -> Column:
     return F.when((c == "") | c.rlike(r"\s"), 0).when(c.rlike(r"[\p{L}\p{N}]"), 1).otherwise(2)
 
 
-def _candidate(kind: int, text: Column, hit: Column) -> Column:
+def _part(text: Column, start: Column, end: Column) -> Column:
+    """The characters from ``start``, or the first, to before ``end``."""
+    start = F.greatest(start, F.lit(0).cast("bigint"))
+    return F.substr(text, (start + 1).cast("int"), (end - start).cast("int"))
+
+
+def _in_pieces(
+    text: Column, spans: Column, since: Callable[[Column], Column],
+    until: Callable[[Column], Column], use: Callable[[Column, Column, Column], Column],
+) -> Column:
+    """``use(span, piece of the text, place of the piece)`` of each span, in their order.
+
+    To find a place in a text takes time with the place, so ``_PIECE`` spans at a time share
+    a piece: from ``since`` of the first to ``until`` of the last."""
+    blocks = F.when(F.size(spans) > 0, F.sequence(
+        F.lit(0), F.floor((F.size(spans) - 1) / _PIECE).cast("int")
+    )).otherwise(F.array().cast("array<int>"))
+    cut = lambda s: F.struct(
+        F.greatest(since(F.get(s, F.lit(0))), F.lit(0).cast("bigint")).alias("at"),
+        _part(text, since(F.get(s, F.lit(0))), until(F.element_at(s, -1))).alias("piece"),
+    )
+    return F.flatten(F.transform(blocks, lambda j: let(
+        F.slice(spans, j * _PIECE + 1, F.lit(_PIECE)), lambda s: let(
+            cut(s), lambda c: F.transform(s, lambda x: use(x, c["piece"], c["at"]))
+        ),
+    )))
+
+
+def _candidate(kind: int, hit: Column, piece: Column, at: Column) -> Column:
     value = hit["value"]
     length = F.length(value)
     end = hit["start"] + length
     around = F.struct(
         _digits(value).alias("digits"),
-        F.substr(text, F.greatest(hit["start"] - 23, F.lit(1).cast("bigint")).cast("int"),
-                 F.least(hit["start"], F.lit(24).cast("bigint")).cast("int")).alias("left"),
-        F.substr(text, (end + 1).cast("int"), F.lit(1)).alias("right"),
+        _part(piece, hit["start"] - at - 24, hit["start"] - at).alias("left"),
+        _part(piece, end - at, end - at + 1).alias("right"),
     )
 
     def row(a: Column) -> Column:
@@ -215,6 +256,12 @@ def _candidate(kind: int, text: Column, hit: Column) -> Column:
     return let(around, row)
 
 
+def _located(text: Column, use: Callable[[Column, Column, Column], Column], hits: Column) -> Column:
+    return _in_pieces(
+        text, hits, lambda h: h["start"] - 24, lambda h: h["start"] + F.length(h["value"]) + 1, use
+    )
+
+
 FEATURES = {"f_length": 36, "f_check": 18, "f_digits": 24, "f_sides": 9, "f_context": 18}
 
 
@@ -237,7 +284,7 @@ def candidates(text: Column) -> Column:
     for kind, pattern, gate, keep in found:
         hits = F.when(gate, matches(text, pattern)).otherwise(nothing)
         hits = hits if keep is None else F.filter(hits, keep)
-        arrays.append(F.transform(hits, partial(_candidate, kind, text)))
+        arrays.append(let(hits, partial(_located, text, partial(_candidate, kind))))
     return F.flatten(F.array(*arrays))
 
 
@@ -282,9 +329,9 @@ def fit(rows: list[Row], rounds: int = 50) -> dict[str, list[float]]:
     return weights
 
 
-def _model(known: DataFrame) -> dict[str, list[float]]:
+def _model(known: DataFrame, found: str) -> dict[str, list[float]]:
     keys = [*LABELERS, *FEATURES]
-    each = known.select(F.explode("_p_found").alias("c")).select(*[F.col(f"c.{k}") for k in keys])
+    each = known.select(F.explode(found).alias("c")).select(*[F.col(f"c.{k}") for k in keys])
     return fit(each.groupBy(*keys).agg(F.count("*").alias("n")).collect())
 
 
@@ -296,22 +343,43 @@ def _accepted(c: Column, weights: dict[str, list[float]]) -> Column:
     return (score > 0) & (c["checksum"] >= 0) & (c["border"] >= 0)
 
 
-def spans(docs: DataFrame, carry: list[str]) -> DataFrame:
-    """The columns ``carry`` with ``_p_base`` and ``_p_all``: arrays of
-    (start, kind, end) by start, then kind."""
-    known = settle(docs.select(*carry, candidates(F.col("text")).alias("_p_found")))
-    weights = _model(known)
-    place = lambda c: F.struct(c["start"], c["kind"], c["end"])
-    base = F.array_sort(F.transform(F.filter("_p_found", lambda c: c["base"]), place))
-    more = lambda b: F.transform(
-        F.filter("_p_found", lambda c: ~c["base"] & _accepted(c, weights) & ~F.exists(
-            b, lambda x: (x["start"] < c["end"]) & (c["start"] < x["end"])
-        )), place,
-    )
-    return known.select(
-        *carry, base.alias("_p_base"),
-        let(base, lambda b: F.array_sort(F.array_distinct(F.concat(b, more(b))))).alias("_p_all"),
+def _place(c: Column) -> Column:
+    return F.struct(c["start"].alias("start"), c["kind"].alias("kind"), c["end"].alias("end"))
+
+
+def _united(places: Column) -> Column:
+    """Of (start, kind, end, own) by start: all own ones, and those that overlap none of
+    them, once each.
+
+    An own one that begins earlier overlaps if the highest end before reaches that far, one
+    that begins later if the next own start does; both are running maxima."""
+    ends = F.transform(places, lambda s: F.when(s["own"], s["end"]).otherwise(0))
+    starts = F.reverse(F.transform(places, lambda s: F.when(s["own"], _FAR - s["start"]).otherwise(0)))
+    sides = F.struct(
+        let(ends, lambda e: _before(e, _highest)).alias("before"),
+        F.reverse(let(starts, lambda s: _before(s, _highest))).alias("after"),
     )
+    free = let(sides, lambda b: F.filter(places, lambda s, i: s["own"] | (
+        (F.get(b["before"], i) <= s["start"]) & (_FAR - F.get(b["after"], i) >= s["end"])
+    )))
+    return let(F.transform(free, _place), lambda all_: F.filter(
+        all_, lambda s, i: (i == 0) | ~s.eqNullSafe(F.get(all_, i - 1))
+    ))
+
+
+def spans(docs: DataFrame, carry: list[str]) -> DataFrame:
+    """The columns ``carry`` with ``base`` and ``all``, named with ``own_prefix(carry,
+    PREFIX)``: arrays of (start, kind, end) by start, then kind."""
+    p = own_prefix(carry, PREFIX)
+    found, columns = f"{p}found", named(carry)
+    known = settle(docs.select(*columns, candidates(F.col("text")).alias(found)))
+    weights = _model(known, found)
+    base = F.array_sort(F.transform(F.filter(found, lambda c: c["base"]), _place))
+    both = F.array_sort(F.transform(
+        F.filter(found, lambda c: c["base"] | _accepted(c, weights)),
+        lambda c: F.struct(*[c[k].alias(k) for k in ("start", "kind", "end")], c["base"].alias("own")),
+    ))
+    return known.select(*columns, base.alias(f"{p}base"), let(both, _united).alias(f"{p}all"))
 
 
 def _listed(places: Column) -> Column:
@@ -332,38 +400,42 @@ def pii_report(docs: DataFrame) -> DataFrame:
 
 
 def _merged(places: Column) -> Column:
-    """Spans that touch or overlap made one, named after the first."""
-    zero = F.array().cast("array<struct<start: bigint, kind: int, end: bigint>>")
-    return F.aggregate(places, zero, lambda out, s: F.when(
-        (F.size(out) > 0) & (s["start"] < F.element_at(out, -1)["end"]),
-        F.concat(
-            F.slice(out, F.lit(1), F.size(out) - 1),
-            F.array(F.struct(
-                F.element_at(out, -1)["start"].alias("start"),
-                F.element_at(out, -1)["kind"].alias("kind"),
-                F.greatest(F.element_at(out, -1)["end"], s["end"]).alias("end"),
-            )),
-        ),
-    ).otherwise(F.concat(out, F.array(s))))
+    """Spans that overlap made one, named after the first, with the ``last`` end before."""
+
+    def of(ends: Column, before: Column) -> Column:
+        heads = F.filter(
+            F.transform(places, lambda s, i: F.struct(
+                s["start"].alias("start"), s["kind"].alias("kind"), F.get(before, i).alias("last")
+            )), lambda h: h["start"] >= h["last"],
+        )
+        return let(heads, lambda all_: F.transform(all_, lambda h, i: h.withField(
+            "end", F.coalesce(F.get(all_, i + 1)["last"], F.array_max(ends))
+        )))
+
+    return let(F.transform(places, lambda s: s["end"]), lambda ends: let(
+        _before(ends, _highest), lambda before: of(ends, before)
+    ))
 
 
 def masked(docs: DataFrame) -> DataFrame:
     """The documents with every span replaced by its kind in brackets, and
     ``n_chars``, where there is one, made to fit."""
     rows = spans(docs, docs.columns)
+    places = F.col(f"{own_prefix(docs.columns, PREFIX)}all")
     text = F.col("text")
     tags = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
-    cut = let(_merged(F.col("_p_all")), lambda m: F.concat(
-        F.array_join(F.transform(m, lambda s, i: F.concat(
-            let(F.coalesce(F.get(m, i - 1)["end"], F.lit(0).cast("bigint")), lambda b: F.substr(
-                text, (b + 1).cast("int"), (s["start"] - b).cast("int"))),
-            F.get(tags, s["kind"]),
-        )), ""),
+    cut = let(_merged(places), lambda m: F.concat(
+        F.array_join(_in_pieces(
+            text, m, lambda s: s["last"], lambda s: s["start"],
+            lambda s, piece, at: F.concat(
+                _part(piece, s["last"] - at, s["start"] - at), F.get(tags, s["kind"])
+            ),
+        ), ""),
         F.substr(text, (F.element_at(m, -1)["end"] + 1).cast("int")),
     ))
-    clean = F.when(F.size("_p_all") > 0, cut).otherwise(text)
+    clean = F.when(F.size(places) > 0, cut).otherwise(text)
     out = rows.withColumn("text", clean)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         out = out.withColumn("n_chars", F.length("text").cast(kind))
-    return out.select(*docs.columns)
+    return out.select(*named(docs.columns))

@@ -76,3 +76,23 @@ def test_labelers_are_weighed():
     score = lambda r: w["bias"][0] + sum(w[f][r[f]] for f in pii.FEATURES)
     assert score(good) > 0 > score(bad)
     assert pii.fit([])["bias"][0] <= 0
+
+
+def test_many_spans_in_one_document(spark):
+    """More spans than a block and a piece have, of which some overlap."""
+    parts = [f"écrire {i}: u{i}@mail.org, call 555 123 {1000 + i} or 4111 1111 1111 1111" for i in range(700)]
+    text = "\n".join(parts)
+    docs = spark.createDataFrame([(1, text), (2, "x" + text)], "doc_id long, text string")
+    for r in pii.pii_report(docs).collect():
+        want = brute(("x" if r.doc_id == 2 else "") + text)
+        got = r.spans.split(",")
+        assert r.base_sha256 == hashlib.sha256(",".join(want).encode()).hexdigest()
+        assert set(want) <= set(got) and len(got) == len(set(got))
+        places = [tuple(map(int, g.split(":")[1:])) for g in got]
+        assert places == sorted(places, key=lambda p: p[0])
+        own = {tuple(map(int, w.split(":")[1:])) for w in want}
+        for a, b in set(places) - own:
+            assert not any(x < b and a < y for x, y in own)
+    out = {r.doc_id: r.text for r in pii.masked(docs).collect()}
+    assert out[2] == "x" + out[1] and out[1].count("[EMAIL]") == 700 and out[1].count("écrire ") == 700
+    assert "@" not in out[1] and "4111" not in out[1]
