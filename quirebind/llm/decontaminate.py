@@ -11,7 +11,8 @@ Windows with too many placeholders say little by their template, and a document
 title case has none of an item's plain words.  So windows also meet by their exact
 words, without placeholders and without a least number of literals.  An item of fewer
 than ``WINDOW`` words is one such window of its own length; the lengths that occur, one
-to seven, reach the driver.
+to seven, reach the driver.  One of fewer than ``LITERALS`` words ("yes") is found in any
+text, so it is a leak only where it is all a document says.
 
 Before the windows of the documents are spread into rows they pass a bitmap of
 ``2 ** 20`` bits of the benchmark's window hashes.  Its size is fixed; a larger
@@ -26,10 +27,13 @@ alike; with an empty benchmark all documents are clean; further columns are
 dropped by ``leak_report`` and carried along by ``without_leaks``.
 """
 
+from functools import partial
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quirebind.llm.pii import let
+from quirebind.llm.words import named, own_prefix
 
 WINDOW = 8
 LITERALS = 4
@@ -75,75 +79,123 @@ def _is_slot(word: Column) -> Column:
     return word.isin(_NUMBER, _NAME, _UNIT)
 
 
-def _hash(template: Column, at: Column) -> Column:
-    return F.xxhash64(F.slice(template, at + 1, WINDOW))
+def _plain(marked: Column) -> Column:
+    return F.translate(marked, _NAME + _UNIT, "")
+
+
+def _forms(text: Column) -> Column:
+    """The words of a text, cleaned once: as marked (raw), as template (form), as they are
+    (plain); ``bare`` if template and words are the same."""
+    return let(_marked(text), lambda m: let(
+        F.struct(_template(m).alias("form"), _plain(m).alias("plain")), lambda s: F.struct(
+            F.split(m, " ").alias("raw"), F.split(s["form"], " ").alias("form"),
+            F.split(s["plain"], " ").alias("plain"), (s["form"] == s["plain"]).alias("bare"),
+        )
+    ))
+
+
+def _hash(words: Column, at: Column, n: Column | int = WINDOW) -> Column:
+    """Of ``WINDOW`` words one by one, which is the faster way; of fewer as a slice."""
+    if isinstance(n, int) and n == WINDOW:
+        return F.xxhash64(*[F.get(words, at + k) for k in range(n)])
+    return F.xxhash64(F.slice(words, at + 1, n))
+
 
+def _no_places() -> Column:
+    return F.array().cast("array<int>")
 
-def _windows(text: Column, keep: Column | None) -> Column:
-    """Array of (pos, hash, slots) of the windows that pass ``keep``, the bitmap.
+
+def _places(words: Column, n: Column | int) -> Column:
+    last = F.size(words) - n
+    return F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(_no_places())
+
+
+def _held(hashes: Column, keep: Column) -> Column:
+    return F.call_function("bit_get", F.get(keep, _word(hashes)), _bit(hashes)) == 1
+
+
+def _templates(b: Column, places: Column) -> Column:
+    """Array of (pos, hash, slots) of the windows at ``places`` with enough plain words.
 
     ``slots`` has the word behind each placeholder of the window, null for plain
     words."""
-    both = let(_marked(text), lambda m: F.struct(
-        F.split(m, " ").alias("raw"), F.split(_template(m), " ").alias("form")
+    rows = F.transform(places, lambda i: F.struct(
+        i.alias("pos"), _hash(b["form"], i).alias("hash"),
+        F.transform(F.sequence(F.lit(0), F.lit(WINDOW - 1)), lambda k: F.when(
+            _is_slot(F.get(b["form"], i + k)), F.get(b["raw"], i + k)
+        )).alias("slots"),
     ))
+    return F.filter(rows, lambda r: F.size(F.array_compact(r["slots"])) <= WINDOW - LITERALS)
 
-    def of(b: Column) -> Column:
-        last = F.size(b["form"]) - WINDOW
-        places = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
-        if keep is not None:
-            places = F.filter(places, lambda i: let(_hash(b["form"], i), lambda h: F.call_function(
-                "bit_get", F.get(keep, _word(h)), _bit(h)) == 1))
-        rows = F.transform(places, lambda i: F.struct(
-            i.alias("pos"), _hash(b["form"], i).alias("hash"),
-            F.transform(F.sequence(F.lit(0), F.lit(WINDOW - 1)), lambda k: F.when(
-                _is_slot(F.get(b["form"], i + k)), F.get(b["raw"], i + k)
-            )).alias("slots"),
-        ))
-        return F.filter(rows, lambda r: F.size(F.array_compact(r["slots"])) <= WINDOW - LITERALS)
 
-    return let(both, of)
+def _exact(b: Column, places: Column, n: Column | int) -> Column:
+    """Windows of ``n`` words as in ``_templates`` by exact words; no slots."""
+    return F.transform(places, lambda i: F.struct(
+        i.alias("pos"), _hash(b["plain"], i, n).alias("hash"),
+        F.array().cast("array<string>").alias("slots"),
+    ))
+
+
+def _changed(b: Column) -> Column:
+    """Places of the windows whose template has other words than the text, ascending.
+
+    Each changed word adds the windows that hold it and not the one before."""
+    at = F.filter(
+        F.sequence(F.lit(0), F.size(b["form"]) - 1),
+        lambda i: F.get(b["form"], i) != F.get(b["plain"], i),
+    )
+    near = lambda all_: F.transform(all_, lambda i, k: let(
+        F.struct(
+            F.greatest(i - (WINDOW - 1), F.get(all_, k - 1) + 1, F.lit(0)).alias("from"),
+            F.least(i, F.size(b["form"]) - WINDOW).alias("to"),
+        ),
+        lambda r: F.when(r["from"] <= r["to"], F.sequence(r["from"], r["to"])).otherwise(_no_places()),
+    ))
+    return F.when(b["bare"], _no_places()).otherwise(F.flatten(let(at, near)))
+
 
+def _windows(text: Column, keep: Column, lengths: list[int]) -> Column:
+    """The windows of a document that pass ``keep``, the bitmap.
 
-def _exact(text: Column, keep: Column | None, lengths: Column) -> Column:
-    """Windows as in ``_windows`` by exact words, of each of ``lengths``; no slots."""
-    plain = F.translate(_marked(text), _NAME + _UNIT, "")
-    words = F.split(plain, " ")
+    A window whose template is its words is hashed once for both.  Of the ``lengths`` under
+    ``LITERALS`` only a whole document is a window."""
 
-    def of(w: Column) -> Column:
-        def long(n: Column) -> Column:
-            last = F.size(w) - n
-            places = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(
-                F.array().cast("array<int>"))
+    def of(b: Column) -> Column:
+        def both(places: Column) -> Column:
+            same = F.filter(places, lambda i: F.slice(b["form"], i + 1, WINDOW) == F.slice(
+                b["plain"], i + 1, WINDOW))
+            return F.concat(_templates(b, places), _exact(b, same, WINDOW))
 
-            def hashed(i: Column) -> Column:
-                return F.xxhash64(F.lit("exact"), F.slice(w, i + 1, n))
+        found = [
+            let(F.filter(_places(b["form"], WINDOW), lambda i: _held(_hash(b["form"], i), keep)), both),
+            _exact(b, F.filter(_changed(b), lambda i: _held(_hash(b["plain"], i), keep)), WINDOW),
+        ]
+        for n in lengths:
+            at = _places(b["plain"], n)
+            if n < LITERALS:
+                at = F.when(F.size(b["plain"]) == n, at).otherwise(_no_places())
+            found.append(_exact(b, F.filter(at, partial(_has, b, n, keep)), n))
+        return F.concat(*found)
 
-            if keep is not None:
-                places = F.filter(places, lambda i: let(hashed(i), lambda h: F.call_function(
-                    "bit_get", F.get(keep, _word(h)), _bit(h)) == 1))
-            return F.transform(places, lambda i: F.struct(
-                i.alias("pos"), hashed(i).alias("hash"),
-                F.array().cast("array<string>").alias("slots"),
-            ))
+    return let(_forms(text), of)
 
-        return F.flatten(F.transform(lengths, long))
 
-    return let(words, of)
+def _has(b: Column, n: int, keep: Column, at: Column) -> Column:
+    return _held(_hash(b["plain"], at, n), keep)
 
 
 def _n_words(text: Column) -> Column:
     """Number of words of an item; 0 for one of numbers alone."""
-    plain = F.translate(_marked(text), _NAME + _UNIT, "")
+    plain = _plain(_marked(text))
     return F.when(plain.rlike(r"(?<!\S)[^\s\p{Nd}]"), F.size(F.split(plain, " "))).otherwise(0)
 
 
-def _lengths(benchmark: DataFrame) -> Column:
-    """The lengths of exact windows: ``WINDOW``, and those of shorter items."""
+def _lengths(benchmark: DataFrame) -> list[int]:
+    """The lengths of items of fewer than ``WINDOW`` words."""
     short = benchmark.select(_n_words(F.col("text")).alias("n")).filter(
         (F.col("n") > 0) & (F.col("n") < WINDOW)
     ).distinct()
-    return F.array(*[F.lit(n) for n in sorted({WINDOW, *(r.n for r in short.collect())})])
+    return sorted(r.n for r in short.collect())
 
 
 def _word(h: Column) -> Column:
@@ -168,14 +220,18 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
 
     An item stands with its names as placeholders, for documents that write all in one
     case with its names as words, and by its exact words."""
-    n = _n_words(F.col("text"))
+    every = lambda b: _templates(b, _places(b["form"], WINDOW))
+    exact = let(_n_words(F.col("text")), lambda n: let(
+        _forms(F.col("text")), lambda b: F.when(
+            n >= WINDOW, _exact(b, _places(b["plain"], WINDOW), WINDOW)
+        ).when(n > 0, _exact(b, _places(b["plain"], n), n))
+        .otherwise(F.array().cast("array<struct<pos:int,hash:bigint,slots:array<string>>>"))
+    ))
     found = benchmark.select(
         F.col("item_id").cast("bigint").alias("item_id"),
-        _windows(F.col("text"), None).alias("named"),
-        _windows(F.lower("text"), None).alias("plain"),
-        F.when(n > 0, _exact(F.col("text"), None, F.array(F.least(n, F.lit(WINDOW)))))
-        .otherwise(F.array().cast("array<struct<pos:int,hash:bigint,slots:array<string>>>"))
-        .alias("exact"),
+        let(_forms(F.col("text")), every).alias("named"),
+        let(_forms(F.lower("text")), every).alias("plain"),
+        exact.alias("exact"),
     )
     return found.select(
         "item_id", F.greatest(F.size("named"), F.size("plain"), F.size("exact")).alias("n_windows"),
@@ -196,9 +252,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) -> DataFr
     hits = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), _key(F.col("text")).alias("key"), "text"
     ).select(
-        "doc_id", "key", F.explode(F.concat(
-            _windows(F.col("text"), bits), _exact(F.col("text"), bits, _lengths(benchmark))
-        )).alias("w")
+        "doc_id", "key", F.explode(_windows(F.col("text"), bits, _lengths(benchmark))).alias("w")
     ).select("doc_id", "key", "w.*")
     pairs = F.filter(
         F.arrays_zip("islots", "slots"), lambda p: p["islots"].isNotNull()
@@ -245,12 +299,13 @@ def leak_report(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) ->
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) -> DataFrame:
     """The documents that leak no item, with their own columns."""
+    p = own_prefix(docs.columns, "_d_")
     leaked = leaks(docs, benchmark, share).select(
-        F.col("doc_id").alias("_d_leaked"), F.col("key").alias("_d_key")
+        F.col("doc_id").alias(f"{p}leaked"), F.col("key").alias(f"{p}key")
     ).distinct()
-    marked = docs.withColumn("_d_text", _key(F.col("text")))
+    marked = docs.withColumn(f"{p}text", _key(F.col("text")))
     same = (
-        F.col("doc_id").cast("bigint").eqNullSafe(F.col("_d_leaked"))
-        & (F.col("_d_text") == F.col("_d_key"))
+        F.col("doc_id").cast("bigint").eqNullSafe(F.col(f"{p}leaked"))
+        & (F.col(f"{p}text") == F.col(f"{p}key"))
     )
-    return marked.join(leaked, same, "left_anti").drop("_d_text")
+    return marked.join(leaked, same, "left_anti").select(*named(docs.columns))

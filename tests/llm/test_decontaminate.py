@@ -78,3 +78,11 @@ def test_short_numeric_and_title_case_items(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: (r.item_ids, r.verbatim) for r in dc.leak_report(docs, items).collect()}
     assert got == {i: ([i], True) if i < 3 else ([], False) for i, _ in rows}
+
+
+def test_items_of_a_word_or_two_are_leaks_only_alone(spark):
+    items = spark.createDataFrame([(1, "Yes"), (2, "so be it")], "item_id long, text string")
+    rows = [(1, "Yes."), (2, "Yes, they said."), (3, "so be it!"), (4, "may so be it"), (5, ""), (6, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.item_ids for r in dc.leak_report(docs, items).collect()}
+    assert got == {1: [1], 2: [], 3: [2], 4: [], 5: [], 6: []}
