@@ -64,8 +64,10 @@ def encode_blocks(ids: np.ndarray, block: int = BLOCK, share: float = SHARE) ->
         for w in np.unique(width):
             mine = np.flatnonzero(width == w)
             part = over[mine]
-            planes = (part[:, :, None] >> np.arange(w)) & 1
-            packed = np.packbits(planes.astype(np.uint8).reshape(len(mine), -1), axis=1)
+            planes = np.unpackbits(
+                part.astype("<u4").view(np.uint8).reshape(len(mine), n, 4), axis=2,
+                count=int(w), bitorder="little")
+            packed = np.packbits(planes.reshape(len(mine), -1), axis=1)
             for k, i in enumerate(mine):
                 far = np.flatnonzero(part[k] >> w)
                 made[i] = (
