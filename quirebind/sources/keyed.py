@@ -76,9 +76,24 @@ def buckets_for(rows: int, per_bucket: int = ROWS_PER_BUCKET) -> int:
 
 def write_keyed(rows: DataFrame, path: str, keys: Sequence[str], buckets: int) -> None:
     """Replace the keyed folder ``path``."""
-    rows.withColumn(BUCKET, bucket_of(keys, buckets)).repartition(BUCKET).write.mode(
-        "overwrite"
-    ).partitionBy(BUCKET).parquet(f"{path}/buckets={buckets}")
+    _store(_dealt(rows, keys, buckets), path, buckets)
+
+
+def _dealt(rows: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
+    return rows.withColumn(BUCKET, bucket_of(keys, buckets)).repartition(BUCKET)
+
+
+def _store(dealt: DataFrame, path: str, buckets: int) -> None:
+    dealt.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{path}/buckets={buckets}")
+
+
+def newest_of(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The row of each key's last batch.  Where rows are dealt to buckets, which hold all
+    rows of a key, they stay there."""
+    own = [*keys, BUCKET] if BUCKET in rows.columns else list(keys)
+    columns = [c for c in rows.columns if c not in own]
+    last = F.max_by(F.struct(*columns), "batch_id").alias("_last")
+    return rows.groupBy(*own).agg(last).select(*own, "_last.*")
 
 
 def _buckets_of(asked: DataFrame, keys: Sequence[str], buckets: int) -> set[int]:
@@ -175,11 +190,7 @@ class KeyedRuns:
         return f"{self.root}/power={run[0]}/upto={run[1]}"
 
     def _reduced(self, rows: DataFrame) -> DataFrame:
-        if not self.newest:
-            return rows
-        columns = [c for c in rows.columns if c not in self.keys]
-        last = F.max_by(F.struct(*columns), "batch_id").alias("_last")
-        return rows.groupBy(*self.keys).agg(last).select(*self.keys, "_last.*")
+        return newest_of(rows, self.keys) if self.newest else rows
 
     def _rows(self, runs: list[tuple[int, int]], asked: DataFrame | None) -> DataFrame:
         counts = {run: _count_of(self._folders, self._path(run)) for run in runs}
@@ -223,14 +234,14 @@ class KeyedRuns:
             return  # done before, with the same rows
         self._drop_unread(batch_id)
         numbered = rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        self._write_run(self._reduced(numbered), (0, batch_id), rows.count())
+        self._write_run(numbered, (0, batch_id), rows.count())
         power, size = 1, self.fan
         while (batch_id + 1) % size == 0:
             parts = [
                 (power - 1, batch_id - k * (size // self.fan)) for k in reversed(range(self.fan))
             ]
             merged = self._rows(parts, None)
-            self._write_run(self._reduced(merged), (power, batch_id), merged.count())
+            self._write_run(merged, (power, batch_id), merged.count())
             power, size = power + 1, size * self.fan
         self._folders.touch(mark)
 
@@ -239,7 +250,9 @@ class KeyedRuns:
         self._folders.drop(path)  # what a run that failed has left, in as many buckets as it had
         columns = [f.strip().split(" ")[0] for f in _fields(self.schema)]
         buckets = buckets_for(count, self.rows_per_bucket)
-        write_keyed(rows.select(*columns), path, self.keys, buckets)
+        # Dealt to buckets first, so that rows move once, not for their keys and then again.
+        dealt = _dealt(rows.select(*columns), self.keys, buckets)
+        _store(self._reduced(dealt).select(*columns, BUCKET), path, buckets)
 
     def _drop_unread(self, batch_id: int) -> None:
         """Runs that neither this batch nor readers of the last two marks need."""
