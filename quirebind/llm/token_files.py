@@ -88,7 +88,9 @@ def decode_block(raw: memoryview, n: int) -> np.ndarray:
     values = np.frombuffer(raw, "<u4", far, at + 2 * far)
     at += 6 * far
     bits = np.unpackbits(np.frombuffer(raw, np.uint8, (n * width + 7) // 8, at), count=n * width)
-    ids = bits.reshape(n, width).astype(np.int64) @ (1 << np.arange(width, dtype=np.int64))
+    planes = np.zeros((n, 32), np.uint8)
+    planes[:, :width] = bits.reshape(n, width)
+    ids = np.packbits(planes, axis=1, bitorder="little").view("<u4")[:, 0].astype(np.int64)
     ids += least
     ids[places] = values
     return ids

@@ -6,6 +6,8 @@ other marks in a row.  A task keeps the ids of the pieces it has met (up to a
 fixed number, then it starts anew; that changes no result) and calls the
 tokenizer for new pieces only.  Words with an apostrophe or with characters
 beyond the Latin letters, where normalisation may move borders, stay whole.
+A run of Latin letters is normalised and split letter by letter, so how the
+tokenizer spells each letter is asked once and its model gets the spelled run.
 """
 
 import os
@@ -24,6 +26,7 @@ REMEMBERED = 800_000
 _PIECE = re.compile(r"[a-zA-ZÀ-ÖØ-öø-ÿ]+|[^\x20\x09-\x0Da-zA-ZÀ-ÖØ-öø-ÿ]+")
 _RUN = re.compile(r"[a-zA-ZÀ-ÖØ-öø-ÿ]+")
 _HARD = re.compile(r"'|[^\x00-\x7FÀ-ÿ]")
+_LETTERS = [chr(c) for c in range(256) if _RUN.fullmatch(chr(c))]
 _ENCODERS: dict[str, "WordEncoder"] = {}
 
 
@@ -39,7 +42,7 @@ def pieces_of(text: str) -> list[str]:
     if "<|" in text:
         return words(text)
     text = lower_ascii(text)
-    if not _HARD.search(text):
+    if "'" not in text and (text.isascii() or not _HARD.search(text)):
         return _PIECE.findall(text)
     return [x for w in words(text) for x in ([w] if _HARD.search(w) else _PIECE.findall(w))]
 
@@ -55,21 +58,42 @@ class WordEncoder:
         small = self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16
         self.kind = np.dtype("<u2" if small else "<u4")
         self.known: dict[str, bytes] = {}
+        self.spelled = self._spelling()
+
+    def _spelling(self) -> dict[int, str] | None:
+        """What the model gets for each Latin letter; none where the tokenizer does not
+        take a run of letters as one word, spelled letter by letter."""
+        normal, cut = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
+        if normal is None or cut is None:
+            return None
+        shown = lambda x: [w for w, _ in cut.pre_tokenize_str(normal.normalize_str(x))]
+        made = {ord(c): "".join(shown(c)) for c in _LETTERS}
+        run = "".join(_LETTERS)
+        return made if shown(run) == [run.translate(made)] else None
 
     def _bytes(self, ids: list[int]) -> bytes:
         return np.array(ids, self.kind).tobytes()
 
     def _learn(self, unknown: list[str]) -> None:
-        """New pieces; runs of letters go to the tokenizer many at a time, each a word
-        of one text."""
+        """New pieces; runs of letters go to the tokenizer's model as they are spelled,
+        or else to the tokenizer many at a time, each a word of one text."""
         if len(self.known) + len(unknown) > REMEMBERED:
             self.known.clear()
         runs = [x for x in unknown if _RUN.fullmatch(x)]
+        if self.spelled:
+            cut, letters = self.tokenizer.model.tokenize, self.spelled
+            made = [[t.id for t in cut(x.translate(letters))] for x in runs]
+            raw, before = self._bytes([i for ids in made for i in ids]), 0
+            for x, ids in zip(runs, made, strict=True):
+                end = before + len(ids) * self.kind.itemsize
+                self.known[x] = raw[before:end]
+                before = end
+            runs = []
         for at in range(0, len(runs), 200):
             some = runs[at : at + 200]
-            made = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
-            ends = np.searchsorted(np.array(made.word_ids), np.arange(len(some)), "right")
-            raw, before = self._bytes(made.ids), 0
+            whole = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
+            ends = np.searchsorted(np.array(whole.word_ids), np.arange(len(some)), "right")
+            raw, before = self._bytes(whole.ids), 0
             for x, end in zip(some, (ends * self.kind.itemsize).tolist(), strict=True):
                 self.known[x] = raw[before:end]
                 before = end
