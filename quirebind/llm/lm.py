@@ -1,9 +1,10 @@
 """Language-model scores from a hierarchical Pitman-Yor model of word pairs.
 
-Every word that makes up at least ``SHARE`` of the training tokens is a context
-with a restaurant of its own; all of them share the parent restaurant of single
-words, whose base is uniform.  Behind a rarer word the parent alone predicts.
-``SHARE`` bounds the contexts (at most ``1 / SHARE``) at any size of the corpus.
+Every word seen in training is a context with a restaurant of its own; all of them
+share the parent restaurant of single words, whose base is uniform.  Words with at
+least ``SHARE`` of the training tokens are hot: their totals are vectors that every
+task gets (at most ``1 / SHARE`` long at any size), and their pairs are dealt out.
+The totals of all other contexts lie in the bucket of that word.
 
 Seating is sampled by Gibbs.  What counts of a dish in a restaurant is its number
 of tables; given its customers, the parent's probability and the restaurant's other
@@ -16,18 +17,23 @@ How it is spread:
 
 * Texts are read once and stored as chunks: a vocabulary of word hashes and the row
   of places in it.  A chunk sends what it has seen, one entry per distinct word and
-  pair, to buckets by word; a frequent word's pairs are dealt out by context too, so
-  no bucket depends on one word.  A bucket has a bounded share of the entries.
-* Buckets merge counts and keep which entry of which chunk is which.  Sweeps read the
-  counts only, and return sums per context.  The driver holds vectors as long as
-  the list of contexts.
-* Last, buckets answer the chunks, and chunks add up their documents.
+  pair, to buckets: a word to its home, a pair to the home of its context, or behind a
+  hot context to that of its word; two hot words' pairs are dealt out by both, so no
+  bucket depends on one word.  A bucket has a bounded share of the entries.
+* Buckets merge counts and keep which entry of which chunk is which.  Pairs seen once
+  have one table for ever and are counted only; the others are swept.
+* A word behind a context that is not hot may have its home elsewhere.  After a sweep
+  a bucket writes the tables of such words to their homes, and homes write back how
+  probable the parent finds them; both are read in the sweep that follows.
+* Last, buckets answer the chunks with counts, the parent's probabilities, tables per
+  context and customers seated per pair, and chunks add up their documents.
 
 Defined cases: a null or empty text is the end token alone; a null doc_id is not
 held out; repeated rows count each; without training tokens every probability is
 uniform; an empty table gives an empty result; further columns are dropped.
 """
 
+import pickle
 from collections.abc import Iterator
 from typing import Any
 
@@ -45,11 +51,13 @@ from quirebind.session import settle
 FOLDS, HELD_OUT = 10, 0
 SHARE = 1e-4
 CHUNK = 1_000_000
-BUCKET = 2_000_000
+BUCKET = 1_000_000
 SWEEPS, SAMPLES = 3, 3
 EXACT = 40
 STRENGTH = 1.0
 END = " end"  # no word holds a blank
+STATE, WHOLE, TABLES, PARENT, SUMS = range(5)  # kinds of rows between buckets
+_MAIL = "bucket int, kind int, src int, body binary, more binary"
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -63,6 +71,34 @@ def unpacked(raw: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<i4")[:, 0]
 
 
+def squeezed(values: np.ndarray) -> bytes:
+    """Numbers as compressed planes of bytes."""
+    raw = values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def loosened(raw: bytes, kind: Any) -> np.ndarray:
+    size = int.from_bytes(raw[:8], "little")
+    planes = np.frombuffer(
+        pa.decompress(raw[8:], decompressed_size=size, codec="zstd", asbytes=True), np.uint8
+    )
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(planes.reshape(size, -1).T).reshape(-1).view(kind)
+
+
+def frozen(arrays: dict[str, np.ndarray]) -> bytes:
+    """Named arrays in one row of bytes."""
+    return pickle.dumps({k: (a.dtype.str, squeezed(a)) for k, a in arrays.items()})
+
+
+def thawed(raw: bytes) -> dict[str, np.ndarray]:
+    return {k: loosened(body, kind) for k, (kind, body) in pickle.loads(raw).items()}
+
+
+def home_of(words: np.ndarray, buckets: int) -> np.ndarray:
+    return ((words * _SPREAD >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
+
+
 def chunked(docs: DataFrame, size: int = CHUNK) -> DataFrame:
     """chunk, doc_ids, held, lengths, words (hashes), train (counts), tokens."""
     rows = docs.select(
@@ -136,27 +172,19 @@ class Requests:
         end = int(np.flatnonzero(self.words == np.uint64(word_hash(END)))[0])
         before = np.roll(self.tokens, 1)
         before[self.starts] = end
-        if len(contexts):
-            at = np.searchsorted(contexts, self.words).clip(max=len(contexts) - 1)
-            self.number = np.where(contexts[at] == self.words, at, -1)
-        else:
-            self.number = np.full(len(self.words), -1)
-        self.context = self.number[before]
-        wide = max(1, len(contexts))
-        paired = self.context >= 0
-        keys, inverse = np.unique(
-            self.tokens[paired] * wide + self.context[paired], return_inverse=True
-        )
-        self.paired, self.inverse = paired, inverse
+        self.number = _numbers(contexts, self.words)
+        wide = len(self.words)
+        keys, self.inverse = np.unique(self.tokens * wide + before, return_inverse=True)
         self.pair_word, self.pair_context = keys // wide, keys % wide
-        self.pair_train = np.bincount(inverse[~self.held[paired]], minlength=len(keys))
-        home = self.words * _SPREAD >> np.uint64(20)
-        self.word_bucket = (home % np.uint64(buckets)).astype(np.int64)
-        hot = self.number[self.pair_word] >= 0
-        salt = np.where(hot, self.pair_context, 0).astype(np.uint64)
-        self.pair_bucket = (
-            (home[self.pair_word] + salt * np.uint64(7919)) % np.uint64(buckets)
-        ).astype(np.int64)
+        self.pair_train = np.bincount(self.inverse[~self.held], minlength=len(keys))
+        self.word_bucket = home_of(self.words, buckets)
+        hot_word = self.number[self.pair_word] >= 0
+        hot_context = self.number[self.pair_context] >= 0
+        dealt = self.word_bucket[self.pair_word] + self.number[self.pair_context] * 7919
+        self.pair_bucket = np.where(
+            ~hot_context, self.word_bucket[self.pair_context],
+            np.where(hot_word, dealt % buckets, self.word_bucket[self.pair_word]),
+        )
 
         self.word_order = np.argsort(self.word_bucket, kind="stable")
         self.pair_order = np.argsort(self.pair_bucket, kind="stable")
@@ -174,23 +202,35 @@ class Requests:
 
 
 def _asked(chunks: DataFrame, contexts: np.ndarray, buckets: int) -> DataFrame:
+    """What chunks ask of buckets.  Places of a pair: below ``wide`` a hot word's number,
+    then the words sent along, then ``far``, words whose home is elsewhere."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, Any]]:
+        wide = len(contexts)
         for batch in batches:
             for row in batch.to_pylist():
                 r = Requests(row, contexts, buckets)
+                place = np.zeros(len(r.words), np.int64)
+                home = home_of(r.words, buckets)
                 for b in r.buckets():
                     ws, ps = r.bucket(b)
+                    dish = r.pair_word[ps]
+                    far = np.unique(dish[(r.number[dish] < 0) & (home[dish] != b)])
+                    place[ws] = wide + np.arange(len(ws))
+                    place[far] = wide + len(ws) + np.arange(len(far))
+                    at = np.where(r.number >= 0, r.number, place)
                     yield {
                         "bucket": b, "chunk": row["chunk"],
-                        "words": r.words[ws].tobytes(), "train": r.train[ws].tobytes(),
-                        "pair_word": r.words[r.pair_word[ps]].tobytes(),
-                        "pair_context": packed(r.pair_context[ps]),
-                        "pair_train": packed(r.pair_train[ps]),
+                        "words": r.words[ws].tobytes(), "train": squeezed(r.train[ws]),
+                        "far": r.words[far].tobytes(),
+                        "pair_word": squeezed(at[dish].astype(np.int32)),
+                        "pair_context": squeezed(at[r.pair_context[ps]].astype(np.int32)),
+                        "pair_train": squeezed(r.pair_train[ps].astype(np.int32)),
                     }
 
     return map_rows(
         chunks, run,
-        "bucket int, chunk bigint, words binary, train binary, pair_word binary, "
+        "bucket int, chunk bigint, words binary, train binary, far binary, pair_word binary, "
         "pair_context binary, pair_train binary", rows=16,
     )
 
@@ -199,38 +239,95 @@ def _joined(group: pd.DataFrame, column: str, kind) -> np.ndarray:
     return np.frombuffer(b"".join(group[column]), kind)
 
 
-def _merged(asked: DataFrame, wide: int) -> DataFrame:
-    """One row per bucket: counts of its words and pairs, and for every chunk which
-    of them it asked for."""
+def _added(at: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
+    return np.bincount(at, values, minlength=size).astype(np.int64)
+
+
+def _numbers(known: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    """The place of each word among the sorted ``known`` ones, or -1."""
+    if not len(known):
+        return np.full(len(asked), -1)
+    at = np.searchsorted(known, asked).clip(max=len(known) - 1)
+    return np.where(known[at] == asked, at, -1)
+
+
+def _mailed(kind: int, to: np.ndarray, sizes: np.ndarray, src: int, values: np.ndarray,
+            more: np.ndarray | None = None) -> Iterator[tuple]:
+    """A row for each bucket in ``to``, with its part of the values."""
+    ends = np.cumsum(sizes)
+    for b, start, end in zip(to.tolist(), (ends - sizes).tolist(), ends.tolist(), strict=True):
+        own = b"" if more is None else more[start:end].tobytes()
+        yield b, kind, src, squeezed(values[start:end]), own
+
+
+def _sums(bucket: int, wide: int, totals, sent, *rest: float) -> tuple:
+    """Tables by hot context and of hot words, then customers and tables of the other
+    words in the parent, pairs seen once and pairs seen twice."""
+    values = np.concatenate([totals[:wide], sent[:wide], rest]).astype(np.float64)
+    return bucket, SUMS, bucket, squeezed(values), b""
+
+
+def _merged(asked: DataFrame, contexts: np.ndarray, buckets: int) -> DataFrame:
+    """Per bucket its state, which entries of which chunk are which, and the first mail:
+    one table for each pair that was seen."""
+    wide = len(contexts)
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
+        bucket = int(group["bucket"].iloc[0])
         words, at = np.unique(_joined(group, "words", np.uint64), return_inverse=True)
-        count = np.zeros(len(words), np.int64)
-        np.add.at(count, at, _joined(group, "train", np.int64))
-        pw = _joined(group, "pair_word", np.uint64)
-        pc = np.concatenate([unpacked(x) for x in group["pair_context"]])
-        known, number = np.unique(pw, return_inverse=True)
-        keys, pair_at = np.unique(number.astype(np.int64) * wide + pc, return_inverse=True)
-        pair_count = np.zeros(len(keys), np.int64)
-        np.add.at(pair_count, pair_at, np.concatenate([unpacked(x) for x in group["pair_train"]]))
-        return pd.DataFrame([{
-            "bucket": group["bucket"].iloc[0], "words": words.tobytes(),
-            "count": count.tobytes(), "pair_word": known[keys // wide].tobytes(),
-            "pair_context": packed(keys % wide),
-            "pair_count": packed(pair_count),
-            "chunks": group["chunk"].to_numpy(np.int64).tobytes(),
-            "word_sizes": (group["words"].map(len).to_numpy(np.int64) // 8).tobytes(),
-            "pair_sizes": (group["pair_context"].map(len).to_numpy(np.int64) // 4).tobytes(),
-            "word_at": packed(at),
-            "pair_at": packed(pair_at),
-        }])
-
-    return asked.groupBy("bucket").applyInPandas(
-        run,
-        "bucket int, words binary, count binary, pair_word binary, pair_context binary, "
-        "pair_count binary, chunks binary, word_sizes binary, pair_sizes binary, "
-        "word_at binary, pair_at binary",
-    )
+        far, far_at = np.unique(_joined(group, "far", np.uint64), return_inverse=True)
+        home = home_of(far, buckets)
+        order = np.argsort(home, kind="stable")
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        far, home, far_at = far[order], home[order], place[far_at]
+        count = _added(
+            at, np.concatenate([loosened(x, np.int64) for x in group["train"]]), len(words))
+        size = wide + len(words) + len(far)
+        word_sizes = group["words"].map(len).to_numpy(np.int64) // 8
+        far_sizes = group["far"].map(len).to_numpy(np.int64) // 8
+        keys, pair_sizes, w, f = [], [], 0, 0
+        for pc, pw, nw, nf in zip(group["pair_context"], group["pair_word"], word_sizes, far_sizes,
+                                  strict=True):
+            real = np.concatenate([
+                np.arange(wide), wide + at[w : w + nw], wide + len(words) + far_at[f : f + nf]])
+            keys.append(real[loosened(pc, np.int32)] * size + real[loosened(pw, np.int32)])
+            pair_sizes.append(len(keys[-1]))
+            w, f = w + nw, f + nf
+        known, pair_at = np.unique(np.concatenate(keys), return_inverse=True)
+        seen = _added(
+            pair_at, np.concatenate([loosened(x, np.int32) for x in group["pair_train"]]), len(known))
+        context, dish = known // size, known % size
+        one, many = seen == 1, seen > 1
+        state = {
+            "words": words, "hot": _numbers(contexts, words).astype(np.int32),
+            "context": context[many].astype(np.int32), "dish": dish[many].astype(np.int32),
+            "customers": seen[many], "tables": np.ones(int(many.sum()), np.int64),
+            "once_tables": np.bincount(context[one], minlength=wide + len(words)),
+            "once_sent": np.bincount(dish[one], minlength=size),
+            "far_to": np.unique(home), "far_sizes": np.unique(home, return_counts=True)[1],
+        }
+        totals = np.bincount(context[seen > 0], minlength=wide + len(words))
+        sent = np.bincount(dish[seen > 0], minlength=size)
+        state["totals"] = totals[wide:]
+        whole = {
+            "count": count, "seen": np.minimum(seen, 2).astype(np.uint8),
+            "chunks": group["chunk"].to_numpy(np.int64), "word_sizes": word_sizes,
+            "pair_sizes": np.array(pair_sizes, np.int64), "word_at": at.astype(np.int32),
+            "pair_at": pair_at.astype(np.int32),
+        }
+        rows = [
+            (bucket, STATE, bucket, frozen(state), b""),
+            (bucket, WHOLE, bucket, frozen(whole), b""),
+            _sums(bucket, wide, totals, sent, float(sent[wide:].sum()),
+                  float(((count > 0) & (state["hot"] < 0)).sum()),
+                  float(one.sum()), float((seen == 2).sum())),
+            *_mailed(TABLES, state["far_to"], state["far_sizes"], bucket,
+                     sent[wide + len(words) :], far),
+        ]
+        return pd.DataFrame(rows, columns=_COLUMNS)
+
+    return asked.groupBy("bucket").applyInPandas(run, _MAIL)
 
 
 def log_stirling(discount: float, most: int = EXACT) -> np.ndarray:
@@ -294,14 +391,12 @@ def mean_tables(customers: np.ndarray, weight: np.ndarray, discount: float) -> n
 
 
 class Globals:
-    """What all buckets share: totals per context, and the frequent words."""
+    """What all buckets share: totals per hot context, and the hot words."""
 
     def __init__(self, contexts: np.ndarray, counts: np.ndarray, n: int, v: int, d0: float):
-        self.contexts, self.hot_count = contexts, counts
-        self.n, self.v, self.d0, self.d1 = n, v, d0, 0.8
-        zero = np.zeros(len(contexts))
-        self.customers, self.tables = zero.copy(), zero.copy()  # per context
-        self.hot_paired, self.hot_tables = zero.copy(), zero.copy()  # of words in contexts
+        self.contexts, self.n, self.v, self.d0, self.d1 = contexts, n, v, d0, 0.8
+        self.customers = counts  # each token is followed by one, an end by a text's first
+        self.tables = np.zeros(len(contexts))
         self.parent_customers = self.parent_tables = 1.0
         self.hot_p = np.full(len(contexts), 1.0 / (v + 1))
 
@@ -315,156 +410,142 @@ class Globals:
         w = (STRENGTH + self.d0 * self.parent_tables) / (self.v + 1)
         return sample_tables(customers, np.full(len(customers), w), self.d0, rng)
 
-    def take(self, sums: dict[tuple[str, int], float], rng: np.random.Generator) -> None:
-        """The totals of a sweep; seat the frequent words in the parent."""
-        for i in range(len(self.contexts)):
-            self.tables[i] = sums.get(("tables", i), 0.0)
-            self.hot_tables[i] = sums.get(("hot", i), 0.0)
-        own = np.maximum(
-            np.round(self.hot_tables + self.hot_count - self.hot_paired), 0
-        ).astype(np.int64)
-        self.parent_customers = sums.get(("customers", 0), 0.0) + float(own.sum())
+    def take(self, sums: np.ndarray, rng: np.random.Generator) -> None:
+        """The totals of a sweep; seat the hot words in the parent."""
+        wide = len(self.contexts)
+        self.tables = sums[:wide]
+        own = np.round(sums[wide : 2 * wide]).astype(np.int64)
+        self.parent_customers = sums[2 * wide] + float(own.sum())
         seated = self.seat_parent(own, rng)
-        self.parent_tables = sums.get(("parent", 0), 0.0) + float(seated.sum())
+        self.parent_tables = sums[2 * wide + 1] + float(seated.sum())
         self.hot_p = self.parent(own, seated)
 
 
 class Bucket:
-    """The restaurants' dishes of one bucket."""
-
-    def __init__(self, row: dict[str, Any], g: Globals, seed: int):
-        self.g = g
-        self.rng = np.random.default_rng([seed, row["bucket"]])
-        self.words = np.frombuffer(row["words"], np.uint64)
-        self.count = np.frombuffer(row["count"], np.int64)
-        self.pair_context = unpacked(row["pair_context"])
-        self.pair_count = unpacked(row["pair_count"]).astype(np.int64)
-        pair_word = np.frombuffer(row["pair_word"], np.uint64)
-        self.hot = self._number(g.contexts, self.words)
-        self.pair_hot = self._number(g.contexts, pair_word)
-        self.here = self._number(self.words, pair_word)  # of no use for frequent words
-        self.local = self.pair_hot < 0
-        paired = np.bincount(
-            self.here[self.local], self.pair_count[self.local], minlength=len(self.words)
-        ).astype(np.int64)
-        self.direct = np.where(self.hot < 0, self.count - paired, 0)
-        self.tables = np.minimum(self.pair_count, 1)
+    """The restaurants' dishes of one bucket: its state, and the mail it has got."""
+
+    def __init__(self, group: pd.DataFrame, g: Globals, seed: int):
+        of = lambda kind: group[group["kind"] == kind].sort_values("src")
+        self.bucket, self.g = int(group["bucket"].iloc[0]), g
+        self.rng = np.random.default_rng([seed, self.bucket])
+        s = self.state = thawed(of(STATE)["body"].iloc[0])
+        mail, answers = of(TABLES), of(PARENT)
+        got = [loosened(x, np.int64) for x in mail["body"]]
+        if "words" in s:
+            s["guest_at"] = np.searchsorted(
+                s.pop("words"), _joined(mail, "more", np.uint64)).astype(np.int32)
+            s["guest_from"] = mail["src"].to_numpy(np.int32)
+            s["guest_sizes"] = np.array([len(x) for x in got], np.int64)
+        self.known = len(answers) == len(s["far_to"])  # not so before the first answers
+        self.far_p = np.concatenate([[], *(loosened(x, np.float32) for x in answers["body"])])
+        self.wide, self.size = len(g.contexts), len(s["hot"])
+        self.guests = _added(s["guest_at"], np.concatenate([[], *got]), self.size)
+        self.totals = np.concatenate([g.tables, s["totals"]])
+        self.tables = s["tables"]
         self._seat()
 
-    @staticmethod
-    def _number(known: np.ndarray, asked: np.ndarray) -> np.ndarray:
-        if not len(known):
-            return np.full(len(asked), -1)
-        at = np.searchsorted(known, asked).clip(max=len(known) - 1)
-        return np.where(known[at] == asked, at, -1)
-
     def _seat(self) -> None:
-        """Customers and tables in the parent of the words that are not frequent."""
-        sent = np.bincount(
-            self.here[self.local], self.tables[self.local], minlength=len(self.words)
-        )
-        self.own = self.direct + sent.astype(np.int64)
-        self.parent_tables = self.g.seat_parent(self.own, self.rng)
-        p = self.g.parent(self.own, self.parent_tables)
-        self.p = np.where(self.hot >= 0, self._of_hot(self.hot), p)
-
-    def _of_hot(self, number: np.ndarray) -> np.ndarray:
-        if not len(self.g.hot_p):
-            return np.full(len(number), 1.0)
-        return self.g.hot_p[np.maximum(number, 0)]
-
-    def pair_parent(self) -> np.ndarray:
-        local = self.p[np.maximum(self.here, 0)] if len(self.p) else np.ones(len(self.here))
-        return np.where(self.local, local, self._of_hot(self.pair_hot))
+        """Customers and tables in the parent of the words that are not hot."""
+        s, g = self.state, self.g
+        self.sent = s["once_sent"] + _added(s["dish"], self.tables, len(s["once_sent"]))
+        here = self.sent[self.wide : self.wide + self.size]
+        self.own = np.where(s["hot"] < 0, here + self.guests, 0)
+        self.parent_tables = g.seat_parent(self.own, self.rng)
+        self.p = g.parent(self.own, self.parent_tables)
+        hot = s["hot"] >= 0
+        self.p[hot] = g.hot_p[s["hot"][hot]]
 
     def sweep(self) -> None:
-        g, c = self.g, self.pair_context
-        new = (STRENGTH + g.d1 * g.tables[c]) * self.pair_parent() if len(c) else np.array([])
-        self.tables = sample_tables(self.pair_count, np.maximum(new, 1e-300), g.d1, self.rng)
+        s, g = self.state, self.g
+        base = np.concatenate([g.hot_p, self.p, self.far_p])
+        new = (STRENGTH + g.d1 * self.totals[s["context"]]) * base[s["dish"]]
+        self.tables = sample_tables(s["customers"], np.maximum(new, 1e-300), g.d1, self.rng)
         self._seat()
 
-    def predictive(self) -> np.ndarray:
-        g, c = self.g, self.pair_context
-        if not len(c):
-            return np.array([])
-        seated = np.maximum(self.pair_count - g.d1 * self.tables, 0)
-        back = (STRENGTH + g.d1 * g.tables[c]) * self.pair_parent()
-        return (seated + back) / (STRENGTH + g.customers[c])
-
-    def sums(self) -> Iterator[tuple[str, int, float]]:
-        wide = len(self.g.contexts)
-        hot = ~self.local
-        per = {
-            "tables": np.bincount(self.pair_context, self.tables, minlength=wide),
-            "served": np.bincount(self.pair_context, self.pair_count, minlength=wide),
-            "hot": np.bincount(self.pair_hot[hot], self.tables[hot], minlength=wide),
-            "paired": np.bincount(self.pair_hot[hot], self.pair_count[hot], minlength=wide),
-        }
-        for kind, values in per.items():
-            for i in np.flatnonzero(values):
-                yield kind, int(i), float(values[i])
-        yield "customers", 0, float(self.own.sum())
-        yield "parent", 0, float(self.parent_tables.sum())
-        yield "once", 0, float((self.pair_count == 1).sum())
-        yield "twice", 0, float((self.pair_count == 2).sum())
+    def all_tables(self) -> np.ndarray:
+        """Tables of each context, the hot ones' first."""
+        s = self.state
+        return s["once_tables"] + _added(s["context"], self.tables, len(s["once_tables"]))
+
+    def seated(self) -> np.ndarray:
+        return np.maximum(self.state["customers"] - self.g.d1 * self.tables, 0)
 
+    def rows(self) -> Iterator[tuple]:
+        """The state after a sweep, and its mail."""
+        s, b, totals = self.state, self.bucket, self.all_tables()
+        s |= {"tables": self.tables, "totals": totals[self.wide :]}
+        yield b, STATE, b, frozen(s), b""
+        yield _sums(b, self.wide, totals, self.sent, float(self.own.sum()),
+                    float(self.parent_tables.sum()), 0.0, 0.0)
+        yield from _mailed(TABLES, s["far_to"], s["far_sizes"], b, self.sent[self.wide + self.size :])
+        yield from _mailed(PARENT, s["guest_from"], s["guest_sizes"], b,
+                           self.p[s["guest_at"]].astype(np.float32))
 
-_MODEL = ["bucket", "words", "count", "pair_word", "pair_context", "pair_count"]
 
+_COLUMNS = ["bucket", "kind", "src", "body", "more"]
 
-def _swept(merged: DataFrame, g: Globals, seed: int, rounds: int) -> dict[tuple[str, int], float]:
-    """Sums of all buckets after ``rounds`` sweeps: four numbers per context."""
+
+def _summed(rows: DataFrame, wide: int) -> np.ndarray:
+    """The buckets' sums added up: two numbers per hot context and four more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, Any]]:
+        added = np.zeros(2 * wide + 4)
         for batch in batches:
-            for i in range(batch.num_rows):
-                bucket = Bucket(batch.slice(i, 1).to_pylist()[0], g, seed)
-                for _ in range(rounds):
-                    bucket.sweep()
-                for kind, number, value in bucket.sums():
-                    yield {"kind": kind, "id": number, "value": value}
+            for body in batch.column(0):
+                added += loosened(body.as_py(), np.float64)
+        for i in np.flatnonzero(added).tolist():
+            yield {"id": i, "value": float(added[i])}
 
-    rows = map_rows(merged.select(*_MODEL), run, "kind string, id int, value double")
-    added = rows.groupBy("kind", "id").agg(F.sum("value")).collect()
-    return {(r[0], r[1]): r[2] for r in added}
+    parts = map_rows(rows.filter(F.col("kind") == SUMS).select("body"), run, "id int, value double")
+    out = np.zeros(2 * wide + 4)
+    for i, value in parts.groupBy("id").agg(F.sum("value")).collect():
+        out[i] = value
+    return out
 
 
-def _answers(merged: DataFrame, g: Globals, samples: int) -> DataFrame:
-    """chunk, bucket, and per asked word its count and log10 probability, per asked
-    pair its log10 probability, in the order they were asked in."""
+def _swept(rows: DataFrame, g: Globals, seed: int, rounds: int) -> DataFrame:
+    """All buckets read their mail, sweep and write again."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, Any]]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = batch.slice(i, 1).to_pylist()[0]
-                bucket = Bucket(row, g, 1000)
-                single = np.zeros(len(bucket.words))
-                pair = np.zeros(len(bucket.pair_count))
-                for _ in range(samples):
-                    bucket.sweep()
-                    single += bucket.p
-                    pair += bucket.predictive()
-                single, pair = np.log10(single / samples), np.log10(pair / samples)
-                word_at = unpacked(row["word_at"])
-                pair_at = unpacked(row["pair_at"])
-                w = p = 0
-                for chunk, nw, np_ in zip(
-                    np.frombuffer(row["chunks"], np.int64).tolist(),
-                    np.frombuffer(row["word_sizes"], np.int64).tolist(),
-                    np.frombuffer(row["pair_sizes"], np.int64).tolist(), strict=True,
-                ):
-                    ws, ps = word_at[w : w + nw], pair_at[p : p + np_]
-                    w, p = w + nw, p + np_
-                    yield {
-                        "chunk": chunk, "bucket": row["bucket"],
-                        "count": bucket.count[ws].tobytes(),
-                        "single": single[ws].astype(np.float32).tobytes(),
-                        "pair": pair[ps].astype(np.float32).tobytes(),
-                    }
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        bucket = Bucket(group, g, seed)
+        for _ in range(rounds if bucket.known else 0):
+            bucket.sweep()
+        return pd.DataFrame(list(bucket.rows()), columns=_COLUMNS)
 
-    return map_rows(
-        merged, run,
-        "chunk bigint, bucket int, count binary, single binary, pair binary", rows=16,
+    mail = rows.filter(F.col("kind").isin(STATE, TABLES, PARENT))
+    return mail.groupBy("bucket").applyInPandas(run, _MAIL)
+
+
+def _answers(merged: DataFrame, swept: DataFrame, g: Globals, samples: int) -> DataFrame:
+    """chunk, bucket, and per asked word its count, the parent's probability and its
+    tables as a context, per asked pair the customers that are seated, in the order
+    they were asked in."""
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        whole = thawed(group[group["kind"] == WHOLE]["body"].iloc[0])
+        bucket = Bucket(group[group["kind"] != WHOLE], g, 1000)
+        single, tables = np.zeros(bucket.size), np.zeros(bucket.size)
+        seated = np.zeros(len(bucket.tables))
+        for _ in range(samples):
+            bucket.sweep()
+            single += bucket.p / samples
+            tables += bucket.all_tables()[bucket.wide :] / samples
+            seated += bucket.seated() / samples
+        pair = np.where(whole["seen"] == 1, 1 - g.d1, 0.0)
+        pair[whole["seen"] > 1] = seated
+        single, tables, pair = (x.astype(np.float32) for x in (single, tables, pair))
+        out, w, p = [], 0, 0
+        for chunk, nw, np_ in zip(whole["chunks"].tolist(), whole["word_sizes"].tolist(),
+                                  whole["pair_sizes"].tolist(), strict=True):
+            ws, ps = whole["word_at"][w : w + nw], whole["pair_at"][p : p + np_]
+            w, p = w + nw, p + np_
+            out.append((chunk, bucket.bucket, squeezed(whole["count"][ws]), squeezed(single[ws]),
+                        squeezed(tables[ws]), squeezed(pair[ps])))
+        return pd.DataFrame(out, columns=["chunk", "bucket", "count", "single", "tables", "pair"])
+
+    mail = swept.filter(F.col("kind").isin(STATE, TABLES, PARENT))
+    return merged.filter(F.col("kind") == WHOLE).union(mail).groupBy("bucket").applyInPandas(
+        run, "chunk bigint, bucket int, count binary, single binary, tables binary, pair binary"
     )
 
 
@@ -502,33 +583,36 @@ def scored(
     least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(least, -(-entries // BUCKET))
 
-    merged = settle(_merged(_asked(chunks, contexts, buckets), max(1, len(contexts))))
-    first = _swept(merged, g, 0, 0)
-    for i in range(len(contexts)):
-        g.customers[i] = first.get(("served", i), 0.0)
-        g.hot_paired[i] = first.get(("paired", i), 0.0)
-    once, twice = first.get(("once", 0), 0.0), first.get(("twice", 0), 0.0)
+    merged = settle(_merged(_asked(chunks, contexts, buckets), contexts, buckets))
+    first = _summed(merged, len(contexts))
+    once, twice = first[-2:].tolist()
     g.d1 = min(0.95, max(0.05, once / max(1.0, once + 2 * twice)))
     rng = np.random.default_rng(11)
     g.take(first, rng)
-    for k in range(sweeps):
-        g.take(_swept(merged, g, k + 1, 2), rng)
+    swept = merged
+    for k in range(sweeps + 1):  # in the first, words' homes only learn who asks for them
+        swept = settle(_swept(swept, g, k + 1, 2))
+        g.take(_summed(swept, len(contexts)), rng)
 
     def add_up(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left):
             return pd.DataFrame([], columns=_RESULT)
         row = left.iloc[0]
         r = Requests(row, contexts, buckets)
-        single, pair = np.zeros(len(r.words)), np.zeros(len(r.pair_word))
+        single, tables = np.zeros(len(r.words)), np.zeros(len(r.words))
+        seated = np.zeros(len(r.pair_word))
         count = np.zeros(len(r.words), np.int64)
-        for b, c, s, p in zip(right["bucket"], right["count"], right["single"], right["pair"],
-                              strict=True):
+        for b, c, s, t, p in zip(*(right[x] for x in ("bucket", "count", "single", "tables", "pair")),
+                                 strict=True):
             ws, ps = r.bucket(b)
-            count[ws] = np.frombuffer(c, np.int64)
-            single[ws] = np.frombuffer(s, np.float32)
-            pair[ps] = np.frombuffer(p, np.float32)
-        score = single[r.tokens]
-        score[r.paired] = pair[r.inverse]
+            count[ws], single[ws] = loosened(c, np.int64), loosened(s, np.float32)
+            tables[ws], seated[ps] = loosened(t, np.float32), loosened(p, np.float32)
+        hot = r.number >= 0
+        tables[hot] = g.tables[r.number[hot]]
+        all_seated = STRENGTH + count
+        back = (STRENGTH + g.d1 * tables) / all_seated
+        pair = seated / all_seated[r.pair_context] + back[r.pair_context] * single[r.pair_word]
+        score = np.log10(pair)[r.inverse]
         base = np.log10((count + 0.1) / (n + 0.1 * (v + 1)))[r.tokens]
         return pd.DataFrame({
             "doc_id": pd.array(list(row["doc_ids"]), "Int64"), "held_out": list(row["held"]),
@@ -538,7 +622,7 @@ def scored(
             "score": np.add.reduceat(score, r.starts),
         })
 
-    answers = _answers(merged, g, samples)
+    answers = _answers(merged, swept, g, samples)
     return chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(
         add_up,
         "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "

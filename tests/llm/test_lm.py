@@ -1,3 +1,4 @@
+import itertools
 import math
 import re
 import zlib
@@ -95,3 +96,29 @@ def test_many_customers_join_the_exact_sampler():
             drawn = lm.sample_tables(np.full(20_000, lm.EXACT + 1), np.full(20_000, w), d, rng)
             assert drawn.mean() == pytest.approx(exact, rel=0.15)
     assert (lm.sample_tables(np.array([0, 1]), np.array([0.1, 0.1]), 0.5, rng) == [0, 1]).all()
+
+
+def ids(held):
+    return (i for i in range(1_000_000) if (zlib.crc32(str(i).encode()) % 10 == 0) == held)
+
+
+def test_rare_words_are_contexts(spark):
+    """Behind a word below the share, what was seen there is likelier than what was not."""
+    rows = [(i, f"w{i} zeta omega u{i}") for i, _ in zip(ids(False), range(40), strict=False)]
+    out = ids(True)
+    a, b = next(out), next(out)
+    rows += [(a, "w zeta omega u"), (b, "w omega zeta u")]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    for share in (0.9, 0.15, 1e-4):  # no, some and all contexts are hot
+        score = {r.doc_id: r.score for r in lm.scored(table, share=share, chunk=50).collect()}
+        assert score[a] > score[b] + 0.5  # both were alike where the parent alone predicted
+
+
+def test_probabilities_of_all_texts_add_up_to_one(spark):
+    train = ["a", "b", "a b", "", "a a", "b"] * 100
+    probes = [" ".join(t) for k in range(7) for t in itertools.product(["a", "b", "new"], repeat=k)]
+    rows = [*zip(ids(False), train), *zip(ids(True), probes)]  # noqa: B905
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    for share in (1.1, 0.3, 1e-4):
+        scored = lm.scored(table, share=share).collect()
+        assert 0.97 < sum(10**r.score for r in scored if r.held_out) < 1.01
