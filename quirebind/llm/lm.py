@@ -50,27 +50,17 @@ from quirebind.session import settle
 
 FOLDS, HELD_OUT = 10, 0
 SHARE = 1e-4
-CHUNK = 1_000_000
+CHUNK = 2_000_000
 BUCKET = 1_000_000
 SWEEPS, SAMPLES = 3, 3
 EXACT = 40
 STRENGTH = 1.0
 END = " end"  # no word holds a blank
-STATE, WHOLE, TABLES, PARENT, SUMS = range(5)  # kinds of rows between buckets
+STATE, WHOLE, TABLES, SETTLED, PARENT, SUMS = range(6)  # kinds of rows between buckets
 _MAIL = "bucket int, kind int, src int, body binary, more binary"
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def packed(values: np.ndarray) -> bytes:
-    """Small whole numbers as 32 bits each, all first bytes first: the later ones are
-    nearly all zero, which the store and the shuffle compress away."""
-    return values.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()
-
-
-def unpacked(raw: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<i4")[:, 0]
-
-
 def squeezed(values: np.ndarray) -> bytes:
     """Numbers as compressed planes of bytes."""
     raw = values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
@@ -86,6 +76,15 @@ def loosened(raw: bytes, kind: Any) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(size, -1).T).reshape(-1).view(kind)
 
 
+def steps(values: np.ndarray) -> bytes:
+    """Whole numbers that mostly rise, by their differences."""
+    return squeezed(np.diff(values.astype(np.int32), prepend=np.int32(0)))
+
+
+def climbed(raw: bytes) -> np.ndarray:
+    return np.cumsum(loosened(raw, np.int32), dtype=np.int64)
+
+
 def frozen(arrays: dict[str, np.ndarray]) -> bytes:
     """Named arrays in one row of bytes."""
     return pickle.dumps({k: (a.dtype.str, squeezed(a)) for k, a in arrays.items()})
@@ -138,7 +137,7 @@ def chunked(docs: DataFrame, size: int = CHUNK) -> DataFrame:
     return map_rows(
         rows, run,
         "chunk bigint, doc_ids array<bigint>, held array<boolean>, lengths array<bigint>, "
-        "words binary, train binary, tokens binary", rows=1,
+        "words binary, train binary, tokens binary, n_tokens bigint", rows=1,
     )
 
 
@@ -154,8 +153,8 @@ def _chunk(part, seq, ids, held, rows, places) -> dict[str, Any]:
     words = np.fromiter(map(word_hash, places), np.uint64, len(places))
     return {
         "chunk": part << 24 | seq, "doc_ids": ids, "held": held, "lengths": lengths,
-        "words": words[order].tobytes(), "train": train[order].astype(np.int64).tobytes(),
-        "tokens": packed(rank[tokens]),
+        "words": words[order].tobytes(), "train": squeezed(train[order].astype(np.int64)),
+        "tokens": squeezed(rank[tokens]), "n_tokens": len(tokens),
     }
 
 
@@ -163,19 +162,23 @@ class Requests:
     """What a chunk asks of the buckets, the same whenever it is made anew."""
 
     def __init__(self, row: dict[str, Any], contexts: np.ndarray, buckets: int):
-        self.words = np.frombuffer(row["words"], np.uint64)
-        self.train = np.frombuffer(row["train"], np.int64)
-        self.tokens = unpacked(row["tokens"]).astype(np.int64)
+        words = np.frombuffer(row["words"], np.uint64)
+        number = _numbers(contexts, words)
+        order = np.lexsort((words, number < 0))  # as buckets have them, so places mostly rise
+        label = np.empty(len(order), np.int64)
+        label[order] = np.arange(len(order))
+        self.words, self.number = words[order], number[order]
+        self.train = loosened(row["train"], np.int64)[order]
+        self.tokens = label[loosened(row["tokens"], np.int32)]
         self.lengths = np.array(row["lengths"], np.int64)
         self.held = np.repeat(np.array(row["held"], bool), self.lengths)
         self.starts = np.concatenate(([0], np.cumsum(self.lengths)[:-1]))
         end = int(np.flatnonzero(self.words == np.uint64(word_hash(END)))[0])
         before = np.roll(self.tokens, 1)
         before[self.starts] = end
-        self.number = _numbers(contexts, self.words)
         wide = len(self.words)
-        keys, self.inverse = np.unique(self.tokens * wide + before, return_inverse=True)
-        self.pair_word, self.pair_context = keys // wide, keys % wide
+        keys, self.inverse = np.unique(before * wide + self.tokens, return_inverse=True)
+        self.pair_context, self.pair_word = keys // wide, keys % wide
         self.pair_train = np.bincount(self.inverse[~self.held], minlength=len(keys))
         self.word_bucket = home_of(self.words, buckets)
         hot_word = self.number[self.pair_word] >= 0
@@ -224,7 +227,7 @@ def _asked(chunks: DataFrame, contexts: np.ndarray, buckets: int) -> DataFrame:
                         "words": r.words[ws].tobytes(), "train": squeezed(r.train[ws]),
                         "far": r.words[far].tobytes(),
                         "pair_word": squeezed(at[dish].astype(np.int32)),
-                        "pair_context": squeezed(at[r.pair_context[ps]].astype(np.int32)),
+                        "pair_context": steps(at[r.pair_context[ps]]),
                         "pair_train": squeezed(r.pair_train[ps].astype(np.int32)),
                     }
 
@@ -276,11 +279,6 @@ def _merged(asked: DataFrame, contexts: np.ndarray, buckets: int) -> DataFrame:
         bucket = int(group["bucket"].iloc[0])
         words, at = np.unique(_joined(group, "words", np.uint64), return_inverse=True)
         far, far_at = np.unique(_joined(group, "far", np.uint64), return_inverse=True)
-        home = home_of(far, buckets)
-        order = np.argsort(home, kind="stable")
-        place = np.empty(len(order), np.int64)
-        place[order] = np.arange(len(order))
-        far, home, far_at = far[order], home[order], place[far_at]
         count = _added(
             at, np.concatenate([loosened(x, np.int64) for x in group["train"]]), len(words))
         size = wide + len(words) + len(far)
@@ -291,30 +289,44 @@ def _merged(asked: DataFrame, contexts: np.ndarray, buckets: int) -> DataFrame:
                                   strict=True):
             real = np.concatenate([
                 np.arange(wide), wide + at[w : w + nw], wide + len(words) + far_at[f : f + nf]])
-            keys.append(real[loosened(pc, np.int32)] * size + real[loosened(pw, np.int32)])
+            keys.append(real[climbed(pc)] * size + real[loosened(pw, np.int32)])
             pair_sizes.append(len(keys[-1]))
             w, f = w + nw, f + nf
         known, pair_at = np.unique(np.concatenate(keys), return_inverse=True)
         seen = _added(
             pair_at, np.concatenate([loosened(x, np.int32) for x in group["pair_train"]]), len(known))
         context, dish = known // size, known % size
-        one, many = seen == 1, seen > 1
+        one, many, base = seen == 1, seen > 1, wide + len(words)
+        sent = np.bincount(dish[seen > 0], minlength=size)
+        # Far words of swept pairs, by their homes; what the others get is settled now.
+        swept = np.unique(dish[many & (dish >= base)]) - base
+        swept = swept[np.argsort(home_of(far[swept], buckets), kind="stable")]
+        live = np.zeros(len(far), bool)
+        live[swept] = True
+        settled = np.flatnonzero(~live & (sent[base:] > 0))
+        settled = settled[np.argsort(home_of(far[settled], buckets), kind="stable")]
+        place = np.arange(size)
+        place[base + swept] = base + np.arange(len(swept))
+        once_sent = np.bincount(dish[one], minlength=size)
+        live_at = np.concatenate([np.arange(base), base + swept])
+        homes = lambda x: np.unique(home_of(far[x], buckets), return_counts=True)
+        far_to, far_sizes = homes(swept)
         state = {
             "words": words, "hot": _numbers(contexts, words).astype(np.int32),
-            "context": context[many].astype(np.int32), "dish": dish[many].astype(np.int32),
-            "customers": seen[many], "tables": np.ones(int(many.sum()), np.int64),
-            "once_tables": np.bincount(context[one], minlength=wide + len(words)),
-            "once_sent": np.bincount(dish[one], minlength=size),
-            "far_to": np.unique(home), "far_sizes": np.unique(home, return_counts=True)[1],
+            "context": context[many].astype(np.int32),
+            "dish": place[dish[many]].astype(np.int32), "customers": seen[many],
+            "tables": np.ones(int(many.sum()), np.int64),
+            "once_tables": np.bincount(context[one], minlength=base),
+            "once_sent": once_sent[live_at], "far_to": far_to, "far_sizes": far_sizes,
         }
-        totals = np.bincount(context[seen > 0], minlength=wide + len(words))
-        sent = np.bincount(dish[seen > 0], minlength=size)
+        totals = np.bincount(context[seen > 0], minlength=base)
         state["totals"] = totals[wide:]
         whole = {
             "count": count, "seen": np.minimum(seen, 2).astype(np.uint8),
             "chunks": group["chunk"].to_numpy(np.int64), "word_sizes": word_sizes,
-            "pair_sizes": np.array(pair_sizes, np.int64), "word_at": at.astype(np.int32),
-            "pair_at": pair_at.astype(np.int32),
+            "pair_sizes": np.array(pair_sizes, np.int64),
+            "word_steps": np.diff(at.astype(np.int32), prepend=np.int32(0)),
+            "pair_steps": np.diff(pair_at.astype(np.int32), prepend=np.int32(0)),
         }
         rows = [
             (bucket, STATE, bucket, frozen(state), b""),
@@ -322,8 +334,8 @@ def _merged(asked: DataFrame, contexts: np.ndarray, buckets: int) -> DataFrame:
             _sums(bucket, wide, totals, sent, float(sent[wide:].sum()),
                   float(((count > 0) & (state["hot"] < 0)).sum()),
                   float(one.sum()), float((seen == 2).sum())),
-            *_mailed(TABLES, state["far_to"], state["far_sizes"], bucket,
-                     sent[wide + len(words) :], far),
+            *_mailed(TABLES, far_to, far_sizes, bucket, sent[base + swept], far[swept]),
+            *_mailed(SETTLED, *homes(settled), bucket, sent[base + settled], far[settled]),
         ]
         return pd.DataFrame(rows, columns=_COLUMNS)
 
@@ -432,14 +444,19 @@ class Bucket:
         mail, answers = of(TABLES), of(PARENT)
         got = [loosened(x, np.int64) for x in mail["body"]]
         if "words" in s:
+            words, once = s.pop("words"), of(SETTLED)
             s["guest_at"] = np.searchsorted(
-                s.pop("words"), _joined(mail, "more", np.uint64)).astype(np.int32)
+                words, _joined(mail, "more", np.uint64)).astype(np.int32)
+            s["guests_once"] = _added(
+                np.searchsorted(words, _joined(once, "more", np.uint64)),
+                np.concatenate([[], *(loosened(x, np.int64) for x in once["body"])]), len(words))
             s["guest_from"] = mail["src"].to_numpy(np.int32)
             s["guest_sizes"] = np.array([len(x) for x in got], np.int64)
         self.known = len(answers) == len(s["far_to"])  # not so before the first answers
         self.far_p = np.concatenate([[], *(loosened(x, np.float32) for x in answers["body"])])
         self.wide, self.size = len(g.contexts), len(s["hot"])
-        self.guests = _added(s["guest_at"], np.concatenate([[], *got]), self.size)
+        self.guests = s["guests_once"] + _added(
+            s["guest_at"], np.concatenate([[], *got]), self.size)
         self.totals = np.concatenate([g.tables, s["totals"]])
         self.tables = s["tables"]
         self._seat()
@@ -512,7 +529,7 @@ def _swept(rows: DataFrame, g: Globals, seed: int, rounds: int) -> DataFrame:
             bucket.sweep()
         return pd.DataFrame(list(bucket.rows()), columns=_COLUMNS)
 
-    mail = rows.filter(F.col("kind").isin(STATE, TABLES, PARENT))
+    mail = rows.filter(F.col("kind").isin(STATE, TABLES, SETTLED, PARENT))
     return mail.groupBy("bucket").applyInPandas(run, _MAIL)
 
 
@@ -534,10 +551,11 @@ def _answers(merged: DataFrame, swept: DataFrame, g: Globals, samples: int) -> D
         pair = np.where(whole["seen"] == 1, 1 - g.d1, 0.0)
         pair[whole["seen"] > 1] = seated
         single, tables, pair = (x.astype(np.float32) for x in (single, tables, pair))
+        word_at, pair_at = np.cumsum(whole["word_steps"]), np.cumsum(whole["pair_steps"])
         out, w, p = [], 0, 0
         for chunk, nw, np_ in zip(whole["chunks"].tolist(), whole["word_sizes"].tolist(),
                                   whole["pair_sizes"].tolist(), strict=True):
-            ws, ps = whole["word_at"][w : w + nw], whole["pair_at"][p : p + np_]
+            ws, ps = word_at[w : w + nw], pair_at[p : p + np_]
             w, p = w + nw, p + np_
             out.append((chunk, bucket.bucket, squeezed(whole["count"][ws]), squeezed(single[ws]),
                         squeezed(tables[ws]), squeezed(pair[ps])))
@@ -561,7 +579,7 @@ def scored(
             for words, train in zip(batch.column(0), batch.column(1), strict=True):
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.frombuffer(words.as_py(), np.int64)),
-                    pa.array(np.frombuffer(train.as_py(), np.int64)),
+                    pa.array(loosened(train.as_py(), np.int64)),
                 ], names=["word", "n"])
 
     counts = settle(
@@ -578,8 +596,7 @@ def scored(
     contexts = np.array([w for w, _ in order], np.uint64)
     d0 = min(0.95, max(0.05, n1 / max(1, n1 + 2 * n2)))
     g = Globals(contexts, np.array([c for _, c in order], float), n, v, d0)
-    sized = chunks.select(F.length("tokens").alias("b")).agg(F.coalesce(F.sum("b"), F.lit(0)))
-    entries = sized.first()[0] // 4
+    entries = chunks.agg(F.coalesce(F.sum("n_tokens"), F.lit(0))).first()[0]
     least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(least, -(-entries // BUCKET))
 
