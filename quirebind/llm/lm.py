@@ -50,7 +50,7 @@ from quirebind.session import settle
 
 FOLDS, HELD_OUT = 10, 0
 SHARE = 1e-4
-CHUNK = 2_000_000
+CHUNK = 1_000_000
 BUCKET = 1_000_000
 SWEEPS, SAMPLES = 3, 3
 EXACT = 40
