@@ -23,8 +23,11 @@ How it is spread:
 * Buckets merge counts and keep which entry of which chunk is which.  Pairs seen once
   have one table for ever and are counted only; the others are swept.
 * A word behind a context that is not hot may have its home elsewhere.  After a sweep
-  a bucket writes the tables of such words to their homes, and homes write back how
-  probable the parent finds them; both are read in the sweep that follows.
+  the tables of such words are written to their homes, and homes write back how
+  probable the parent finds them; both are read in the sweep that follows.  Buckets
+  are dealt to shards, whose buckets are swept one after the other: a row goes from
+  shard to shard, not from bucket to bucket, so rows do not grow with the square of
+  the buckets (``SHARDS`` shards, and more once a shard would have over ``SHARD``).
 * Last, buckets answer the chunks with counts, the parent's probabilities, tables per
   context and customers seated per pair, and chunks add up their documents.
 
@@ -46,18 +49,19 @@ from pyspark.sql import functions as F
 from quirebind.llm.language import held_out
 from quirebind.llm.near import word_hash
 from quirebind.llm.words import lower_words, map_rows
-from quirebind.session import settle
+from quirebind.session import drop_one, settle
 
 FOLDS, HELD_OUT = 10, 0
 SHARE = 1e-4
 CHUNK = 1_000_000
 BUCKET = 1_000_000
+SHARDS, SHARD = 64, 64  # so many shards, until they have so many buckets each
 SWEEPS, SAMPLES = 3, 3
 EXACT = 40
 STRENGTH = 1.0
 END = " end"  # no word holds a blank
-STATE, WHOLE, TABLES, SETTLED, PARENT, SUMS = range(6)  # kinds of rows between buckets
-_MAIL = "bucket int, kind int, src int, body binary, more binary"
+STATE, WHOLE, TABLES, SETTLED, PARENT, SUMS, DESK = range(7)  # kinds of rows between shards
+_MAIL = "shard int, kind int, src int, body binary, more binary"
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -254,23 +258,23 @@ def _numbers(known: np.ndarray, asked: np.ndarray) -> np.ndarray:
     return np.where(known[at] == asked, at, -1)
 
 
-def _mailed(kind: int, to: np.ndarray, sizes: np.ndarray, src: int, values: np.ndarray,
+def _mailed(kind: int, sizes: np.ndarray, src: int, values: np.ndarray,
             more: np.ndarray | None = None) -> Iterator[tuple]:
-    """A row for each bucket in ``to``, with its part of the values."""
+    """A row for each shard that gets some of the values: ``sizes`` has how many."""
     ends = np.cumsum(sizes)
-    for b, start, end in zip(to.tolist(), (ends - sizes).tolist(), ends.tolist(), strict=True):
+    for to in np.flatnonzero(sizes).tolist():
+        start, end = int(ends[to] - sizes[to]), int(ends[to])
         own = b"" if more is None else more[start:end].tobytes()
-        yield b, kind, src, squeezed(values[start:end]), own
+        yield to, kind, src, squeezed(values[start:end]), own
 
 
-def _sums(bucket: int, wide: int, totals, sent, *rest: float) -> tuple:
+def _sums(wide: int, totals, sent, *rest: float) -> np.ndarray:
     """Tables by hot context and of hot words, then customers and tables of the other
     words in the parent, pairs seen once and pairs seen twice."""
-    values = np.concatenate([totals[:wide], sent[:wide], rest]).astype(np.float64)
-    return bucket, SUMS, bucket, squeezed(values), b""
+    return np.concatenate([totals[:wide], sent[:wide], rest]).astype(np.float64)
 
 
-def _merged(asked: DataFrame, contexts: np.ndarray, buckets: int) -> DataFrame:
+def _merged(asked: DataFrame, contexts: np.ndarray, buckets: int, shards: int) -> DataFrame:
     """Per bucket its state, which entries of which chunk are which, and the first mail:
     one table for each pair that was seen."""
     wide = len(contexts)
@@ -299,25 +303,26 @@ def _merged(asked: DataFrame, contexts: np.ndarray, buckets: int) -> DataFrame:
         one, many, base = seen == 1, seen > 1, wide + len(words)
         sent = np.bincount(dish[seen > 0], minlength=size)
         # Far words of swept pairs, by their homes; what the others get is settled now.
+        to = home_of(far, buckets) % shards
         swept = np.unique(dish[many & (dish >= base)]) - base
-        swept = swept[np.argsort(home_of(far[swept], buckets), kind="stable")]
+        swept = swept[np.argsort(to[swept], kind="stable")]
         live = np.zeros(len(far), bool)
         live[swept] = True
         settled = np.flatnonzero(~live & (sent[base:] > 0))
-        settled = settled[np.argsort(home_of(far[settled], buckets), kind="stable")]
+        settled = settled[np.argsort(to[settled], kind="stable")]
         place = np.arange(size)
         place[base + swept] = base + np.arange(len(swept))
         once_sent = np.bincount(dish[one], minlength=size)
         live_at = np.concatenate([np.arange(base), base + swept])
-        homes = lambda x: np.unique(home_of(far[x], buckets), return_counts=True)
-        far_to, far_sizes = homes(swept)
+        homes = lambda x: np.bincount(to[x], minlength=shards)
+        far_sizes = homes(swept)
         state = {
-            "words": words, "hot": _numbers(contexts, words).astype(np.int32),
+            "hot": _numbers(contexts, words).astype(np.int32),
             "context": context[many].astype(np.int32),
             "dish": place[dish[many]].astype(np.int32), "customers": seen[many],
             "tables": np.ones(int(many.sum()), np.int64),
             "once_tables": np.bincount(context[one], minlength=base),
-            "once_sent": once_sent[live_at], "far_to": far_to, "far_sizes": far_sizes,
+            "once_sent": once_sent[live_at],
         }
         totals = np.bincount(context[seen > 0], minlength=base)
         state["totals"] = totals[wide:]
@@ -328,14 +333,17 @@ def _merged(asked: DataFrame, contexts: np.ndarray, buckets: int) -> DataFrame:
             "word_steps": np.diff(at.astype(np.int32), prepend=np.int32(0)),
             "pair_steps": np.diff(pair_at.astype(np.int32), prepend=np.int32(0)),
         }
+        shard, desk = bucket % shards, {"words": words, "far_sizes": far_sizes}
+        sums = _sums(wide, totals, sent, float(sent[wide:].sum()),
+                     float(((count > 0) & (state["hot"] < 0)).sum()),
+                     float(one.sum()), float((seen == 2).sum()))
         rows = [
-            (bucket, STATE, bucket, frozen(state), b""),
-            (bucket, WHOLE, bucket, frozen(whole), b""),
-            _sums(bucket, wide, totals, sent, float(sent[wide:].sum()),
-                  float(((count > 0) & (state["hot"] < 0)).sum()),
-                  float(one.sum()), float((seen == 2).sum())),
-            *_mailed(TABLES, far_to, far_sizes, bucket, sent[base + swept], far[swept]),
-            *_mailed(SETTLED, *homes(settled), bucket, sent[base + settled], far[settled]),
+            (shard, STATE, bucket, frozen(state), b""),
+            (shard, WHOLE, bucket, frozen(whole), b""),
+            (shard, DESK, bucket, frozen(desk), b""),
+            (shard, SUMS, bucket, squeezed(sums), b""),
+            *_mailed(TABLES, far_sizes, bucket, sent[base + swept], far[swept]),
+            *_mailed(SETTLED, homes(settled), bucket, sent[base + settled], far[settled]),
         ]
         return pd.DataFrame(rows, columns=_COLUMNS)
 
@@ -434,29 +442,15 @@ class Globals:
 
 
 class Bucket:
-    """The restaurants' dishes of one bucket: its state, and the mail it has got."""
+    """The restaurants' dishes of one bucket: its state, what the homes of its far words
+    have answered, and how many tables of its own words are elsewhere."""
 
-    def __init__(self, group: pd.DataFrame, g: Globals, seed: int):
-        of = lambda kind: group[group["kind"] == kind].sort_values("src")
-        self.bucket, self.g = int(group["bucket"].iloc[0]), g
-        self.rng = np.random.default_rng([seed, self.bucket])
-        s = self.state = thawed(of(STATE)["body"].iloc[0])
-        mail, answers = of(TABLES), of(PARENT)
-        got = [loosened(x, np.int64) for x in mail["body"]]
-        if "words" in s:
-            words, once = s.pop("words"), of(SETTLED)
-            s["guest_at"] = np.searchsorted(
-                words, _joined(mail, "more", np.uint64)).astype(np.int32)
-            s["guests_once"] = _added(
-                np.searchsorted(words, _joined(once, "more", np.uint64)),
-                np.concatenate([[], *(loosened(x, np.int64) for x in once["body"])]), len(words))
-            s["guest_from"] = mail["src"].to_numpy(np.int32)
-            s["guest_sizes"] = np.array([len(x) for x in got], np.int64)
-        self.known = len(answers) == len(s["far_to"])  # not so before the first answers
-        self.far_p = np.concatenate([[], *(loosened(x, np.float32) for x in answers["body"])])
+    def __init__(self, state: bytes, guests: np.ndarray, far_p: np.ndarray, g: Globals,
+                 rng: np.random.Generator):
+        s = self.state = thawed(state)
+        self.g, self.rng, self.guests, self.far_p = g, rng, guests, far_p
         self.wide, self.size = len(g.contexts), len(s["hot"])
-        self.guests = s["guests_once"] + _added(
-            s["guest_at"], np.concatenate([[], *got]), self.size)
+        self.known = self.wide + self.size + len(far_p) == len(s["once_sent"])  # not so at first
         self.totals = np.concatenate([g.tables, s["totals"]])
         self.tables = s["tables"]
         self._seat()
@@ -487,19 +481,93 @@ class Bucket:
     def seated(self) -> np.ndarray:
         return np.maximum(self.state["customers"] - self.g.d1 * self.tables, 0)
 
-    def rows(self) -> Iterator[tuple]:
-        """The state after a sweep, and its mail."""
-        s, b, totals = self.state, self.bucket, self.all_tables()
-        s |= {"tables": self.tables, "totals": totals[self.wide :]}
-        yield b, STATE, b, frozen(s), b""
-        yield _sums(b, self.wide, totals, self.sent, float(self.own.sum()),
-                    float(self.parent_tables.sum()), 0.0, 0.0)
-        yield from _mailed(TABLES, s["far_to"], s["far_sizes"], b, self.sent[self.wide + self.size :])
-        yield from _mailed(PARENT, s["guest_from"], s["guest_sizes"], b,
-                           self.p[s["guest_at"]].astype(np.float32))
+    def frozen(self) -> bytes:
+        """The state after a sweep."""
+        totals = self.all_tables()[self.wide :]
+        return frozen(self.state | {"tables": self.tables, "totals": totals})
+
+    def sums(self) -> np.ndarray:
+        return _sums(self.wide, self.all_tables(), self.sent, float(self.own.sum()),
+                     float(self.parent_tables.sum()), 0.0, 0.0)
+
+
+class Shard:
+    """The buckets of one shard, their mail, and the desk that deals it out.
+
+    Mail between two shards has its values by the sender's bucket, then as that bucket
+    has them; the desk keeps how many of each bucket go to which shard, how many come
+    from which, and whose word each one is."""
+
+    def __init__(self, batches: Iterator[pd.DataFrame], g: Globals, shards: int, seed: int):
+        group = pd.concat(list(batches), ignore_index=True)
+        of = lambda kind: group[group["kind"] == kind].sort_values("src")
+        self.shard, self.g, self.seed = int(group["shard"].iloc[0]), g, seed
+        self.states = dict(zip(of(STATE)["src"].tolist(), of(STATE)["body"], strict=True))
+        self.whole = dict(zip(of(WHOLE)["src"].tolist(), of(WHOLE)["body"], strict=True))
+        desks, mail = [thawed(x) for x in of(DESK)["body"]], of(TABLES)
+        if "words" in desks[0]:  # the first mail comes from buckets
+            mail = mail.iloc[np.lexsort((mail["src"], mail["src"] % shards))]
+            desks = [self._opened(desks, mail, of(SETTLED), shards)]
+        d = self.desk = desks[0]
+        self.far_sizes = d["far_sizes"].reshape(-1, shards)
+        got = [loosened(x, np.int64) for x in mail["body"]]
+        guests = d["once"] + _added(d["guest_at"], np.concatenate([[], *got]), len(d["once"]))
+        self.guests = np.split(guests, np.cumsum(d["sizes"])[:-1])
+        self.far_p: list[list[np.ndarray]] = [[np.zeros(0)] for _ in self.states]
+        answers = of(PARENT)
+        for src, body in zip(answers["src"].tolist(), answers["body"], strict=True):
+            ends = np.cumsum(self.far_sizes[:, src])
+            for own, part in zip(
+                self.far_p, np.split(loosened(body, np.float32), ends[:-1]), strict=True
+            ):
+                own.append(part)
+
+    @staticmethod
+    def _opened(desks: list[dict], mail: pd.DataFrame, once: pd.DataFrame, shards: int) -> dict:
+        words = np.concatenate([x["words"] for x in desks])
+        order = np.argsort(words)
+        at = lambda x: order[np.searchsorted(words, x, sorter=order)]
+        sizes = mail["more"].map(len).to_numpy(np.int64) // 8
+        settled = np.concatenate([[], *(loosened(x, np.int64) for x in once["body"])])
+        return {
+            "far_sizes": np.concatenate([x["far_sizes"] for x in desks]),
+            "sizes": np.array([len(x["words"]) for x in desks], np.int64),
+            "once": _added(at(_joined(once, "more", np.uint64)), settled, len(words)),
+            "guest_at": at(_joined(mail, "more", np.uint64)).astype(np.int32),
+            "guest_sizes": _added(mail["src"].to_numpy(np.int64) % shards, sizes, shards),
+        }
+
+    def buckets(self) -> Iterator[tuple[int, Bucket]]:
+        for (b, state), guests, far_p in zip(
+            self.states.items(), self.guests, self.far_p, strict=True
+        ):
+            rng = np.random.default_rng([self.seed, b])
+            yield b, Bucket(state, guests, np.concatenate(far_p), self.g, rng)
+
+    def swept(self, rounds: int) -> Iterator[pd.DataFrame]:
+        """The states after the sweeps, and the shard's mail."""
+        me, wide, desk = self.shard, len(self.g.contexts), self.desk
+        sums, single, far = np.zeros(2 * wide + 4), [], []
+        for b, bucket in self.buckets():
+            for _ in range(rounds if bucket.known else 0):
+                bucket.sweep()
+            yield pd.DataFrame([(me, STATE, b, bucket.frozen(), b"")], columns=_COLUMNS)
+            sums += bucket.sums()
+            single.append(bucket.p)
+            far.append(bucket.sent[wide + bucket.size :])
+        # From by bucket, then shard to by shard, then bucket.
+        to = np.tile(np.arange(self.far_sizes.shape[1]), len(far)).repeat(self.far_sizes.ravel())
+        far = np.concatenate(far)[np.argsort(to, kind="stable")]
+        answers = np.concatenate(single)[desk["guest_at"]].astype(np.float32)
+        rows = [
+            (me, DESK, me, frozen(desk), b""), (me, SUMS, me, squeezed(sums), b""),
+            *_mailed(TABLES, self.far_sizes.sum(axis=0), me, far),
+            *_mailed(PARENT, desk["guest_sizes"], me, answers),
+        ]
+        yield pd.DataFrame(rows, columns=_COLUMNS)
 
 
-_COLUMNS = ["bucket", "kind", "src", "body", "more"]
+_COLUMNS = ["shard", "kind", "src", "body", "more"]
 
 
 def _summed(rows: DataFrame, wide: int) -> np.ndarray:
@@ -520,27 +588,24 @@ def _summed(rows: DataFrame, wide: int) -> np.ndarray:
     return out
 
 
-def _swept(rows: DataFrame, g: Globals, seed: int, rounds: int) -> DataFrame:
-    """All buckets read their mail, sweep and write again."""
+def _swept(rows: DataFrame, g: Globals, seed: int, rounds: int, shards: int) -> DataFrame:
+    """All shards read their mail, sweep and write again."""
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        bucket = Bucket(group, g, seed)
-        for _ in range(rounds if bucket.known else 0):
-            bucket.sweep()
-        return pd.DataFrame(list(bucket.rows()), columns=_COLUMNS)
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield from Shard(batches, g, shards, seed).swept(rounds)
 
-    mail = rows.filter(F.col("kind").isin(STATE, TABLES, SETTLED, PARENT))
-    return mail.groupBy("bucket").applyInPandas(run, _MAIL)
+    mail = rows.filter(~F.col("kind").isin(WHOLE, SUMS))
+    return mail.groupBy("shard").applyInPandas(run, _MAIL)
 
 
-def _answers(merged: DataFrame, swept: DataFrame, g: Globals, samples: int) -> DataFrame:
+def _answers(
+    merged: DataFrame, swept: DataFrame, g: Globals, samples: int, shards: int
+) -> DataFrame:
     """chunk, bucket, and per asked word its count, the parent's probability and its
     tables as a context, per asked pair the customers that are seated, in the order
     they were asked in."""
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        whole = thawed(group[group["kind"] == WHOLE]["body"].iloc[0])
-        bucket = Bucket(group[group["kind"] != WHOLE], g, 1000)
+    def answered(b: int, bucket: Bucket, whole: dict[str, np.ndarray]) -> pd.DataFrame:
         single, tables = np.zeros(bucket.size), np.zeros(bucket.size)
         seated = np.zeros(len(bucket.tables))
         for _ in range(samples):
@@ -557,12 +622,17 @@ def _answers(merged: DataFrame, swept: DataFrame, g: Globals, samples: int) -> D
                                   whole["pair_sizes"].tolist(), strict=True):
             ws, ps = word_at[w : w + nw], pair_at[p : p + np_]
             w, p = w + nw, p + np_
-            out.append((chunk, bucket.bucket, squeezed(whole["count"][ws]), squeezed(single[ws]),
+            out.append((chunk, b, squeezed(whole["count"][ws]), squeezed(single[ws]),
                         squeezed(tables[ws]), squeezed(pair[ps])))
         return pd.DataFrame(out, columns=["chunk", "bucket", "count", "single", "tables", "pair"])
 
-    mail = swept.filter(F.col("kind").isin(STATE, TABLES, PARENT))
-    return merged.filter(F.col("kind") == WHOLE).union(mail).groupBy("bucket").applyInPandas(
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        shard = Shard(batches, g, shards, 1000)
+        for b, bucket in shard.buckets():
+            yield answered(b, bucket, thawed(shard.whole[b]))
+
+    mail = swept.filter(F.col("kind") != SUMS)
+    return merged.filter(F.col("kind") == WHOLE).union(mail).groupBy("shard").applyInPandas(
         run, "chunk bigint, bucket int, count binary, single binary, tables binary, pair binary"
     )
 
@@ -600,7 +670,9 @@ def scored(
     least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(least, -(-entries // BUCKET))
 
-    merged = settle(_merged(_asked(chunks, contexts, buckets), contexts, buckets))
+    shards = min(buckets, max(SHARDS, -(-buckets // SHARD)))
+
+    merged = settle(_merged(_asked(chunks, contexts, buckets), contexts, buckets, shards))
     first = _summed(merged, len(contexts))
     once, twice = first[-2:].tolist()
     g.d1 = min(0.95, max(0.05, once / max(1.0, once + 2 * twice)))
@@ -608,8 +680,10 @@ def scored(
     g.take(first, rng)
     swept = merged
     for k in range(sweeps + 1):  # in the first, words' homes only learn who asks for them
-        swept = settle(_swept(swept, g, k + 1, 2))
+        last, swept = swept, settle(_swept(swept, g, k + 1, 2, shards))
         g.take(_summed(swept, len(contexts)), rng)
+        if last is not merged:
+            drop_one(last)  # nothing reads it any more
 
     def add_up(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left):
@@ -639,7 +713,7 @@ def scored(
             "score": np.add.reduceat(score, r.starts),
         })
 
-    answers = _answers(merged, swept, g, samples)
+    answers = _answers(merged, swept, g, samples, shards)
     return chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(
         add_up,
         "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "

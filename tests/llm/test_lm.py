@@ -3,6 +3,9 @@ import math
 import re
 import zlib
 from collections import Counter
+from pathlib import Path
+from urllib.parse import urlparse
+from urllib.request import url2pathname
 
 import numpy as np
 import pytest
@@ -122,3 +125,36 @@ def test_probabilities_of_all_texts_add_up_to_one(spark):
     for share in (1.1, 0.3, 1e-4):
         scored = lm.scored(table, share=share).collect()
         assert 0.97 < sum(10**r.score for r in scored if r.held_out) < 1.01
+
+
+def test_mail_grows_with_shards_not_with_the_square_of_buckets(spark, docs, monkeypatch):
+    """Rows between buckets stay few, no matter how they are dealt to shards the result is
+    the same, and superseded rows do not stay on disk."""
+    buckets, real, seen = 40, lm.settle, []
+
+    def watched(df):
+        out = real(df)
+        if "kind" in out.columns:
+            seen.append((out.inputFiles()[0], out.count()))
+        return out
+
+    monkeypatch.setattr(lm, "settle", watched)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", buckets)
+    try:
+        scores = []
+        for shards, most in ((4, 64), (4, 5), (1, 64)):
+            seen.clear()
+            monkeypatch.setattr(lm, "SHARDS", shards, raising=False)
+            monkeypatch.setattr(lm, "SHARD", most, raising=False)
+            rows = lm.scored(docs, share=1e-2, chunk=3000).collect()
+            scores.append(sorted((repr(r.doc_id), r.n_tokens, r.score) for r in rows))
+            dealt = max(shards, -(-buckets // most))
+            first, *swept = [n for _, n in seen]
+            assert first <= buckets * (2 * dealt + 4)
+            assert swept and max(swept) <= buckets + dealt * (2 * dealt + 2)
+            there = [Path(url2pathname(urlparse(file).path)).exists() for file, _ in seen]
+            assert there == [True, *[False] * (len(swept) - 1), True]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert scores[0] == scores[1] == scores[2]
