@@ -662,6 +662,7 @@ def scored(
         one(1), one(2),
     ).first()
     frequent = counts.filter((F.col("n") > 0) & (F.col("n") >= share * n)).collect()  # 1 / share
+    drop_one(counts)
     order = sorted((np.uint64(r[0] & (1 << 64) - 1), r[1]) for r in frequent)
     contexts = np.array([w for w, _ in order], np.uint64)
     d0 = min(0.95, max(0.05, n1 / max(1, n1 + 2 * n2)))
@@ -672,7 +673,7 @@ def scored(
 
     shards = min(buckets, max(SHARDS, -(-buckets // SHARD)))
 
-    merged = settle(_merged(_asked(chunks, contexts, buckets), contexts, buckets, shards))
+    merged = settle(_merged(_asked(chunks, contexts, buckets), contexts, buckets, shards), "kind")
     first = _summed(merged, len(contexts))
     once, twice = first[-2:].tolist()
     g.d1 = min(0.95, max(0.05, once / max(1.0, once + 2 * twice)))
@@ -682,8 +683,7 @@ def scored(
     for k in range(sweeps + 1):  # in the first, words' homes only learn who asks for them
         last, swept = swept, settle(_swept(swept, g, k + 1, 2, shards))
         g.take(_summed(swept, len(contexts)), rng)
-        if last is not merged:
-            drop_one(last)  # nothing reads it any more
+        drop_one(last, f"kind={WHOLE}")  # all but that is superseded
 
     def add_up(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left):
