@@ -53,14 +53,14 @@ from pyspark.sql import functions as F
 from quirebind.llm.graph import components
 from quirebind.llm.ngram_join import BITS, bitmap
 from quirebind.llm.words import id_and_text, lower_words, map_rows, named, own_prefix
-from quirebind.session import settle
+from quirebind.session import settle, small_batches
 
 SHINGLE = 5
 PERCENT = 85
 COORDINATES, MISSED = 64, 1e-5
 BLOCK_DOCS, BLOCK_SHINGLES = 1500, 1_500_000
 _WORDS: dict[str, int] = {}
-_REMEMBERED = 500_000
+_REMEMBERED = 200_000
 
 _rng = np.random.default_rng(20240601)
 _TIMES = _rng.integers(1, 1 << 63, SHINGLE, dtype=np.uint64) | np.uint64(1)
@@ -206,7 +206,9 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     same = F.col("doc_id").eqNullSafe(F.col("doc")) & (F.col("key") == F.col("text_key"))
     asked = _among(heads.select(_place(F.col("doc"), F.col("text_key")).alias("id")))
     rows = _keyed(docs).filter(asked(_place(F.col("doc_id"), F.col("key"))))
-    texts = rows.join(heads, same).select("id", "cluster", "text")
+    # Rows move by key, few as they are: the test and the shingles, each in Python, then
+    # run in tasks of their own, and a core has one worker.
+    texts = rows.join(heads.hint("merge"), same).select("id", "cluster", "text")
     # Repeated rows are one set.
     return map_rows(
         texts, run, "id bigint, cluster bigint, n bigint, hashes binary", rows=256
@@ -313,7 +315,8 @@ def _links(members: DataFrame, percent: int) -> DataFrame:
 def _component_of(docs: DataFrame, percent: int) -> DataFrame:
     """doc_id, key, n_shingles of every row, and of its component ``head``, the row
     (nameless, doc, key) that stands for it; null for an empty set."""
-    known = settle(sketches(docs))
+    with small_batches(docs.sparkSession):
+        known = settle(sketches(docs))
     row = F.struct(
         F.col("doc_id").isNull().alias("nameless"), F.col("doc_id").alias("doc"), "key"
     )
@@ -324,7 +327,9 @@ def _component_of(docs: DataFrame, percent: int) -> DataFrame:
     clusters = settle(found.join(reps, found["id"] == reps["rep"]).select(
         "id", "head", F.col("component").alias("cluster")
     ))
-    linked = components(_links(settle(_sets(docs, clusters)), percent))
+    with small_batches(docs.sparkSession):
+        sets = settle(_sets(docs, clusters))
+    linked = components(_links(sets, percent))
     heads = linked.join(reps.select("rep", "head"), F.col("id") == F.col("rep"))
     first = heads.groupBy("component").agg(F.min("head").alias("first"))
     of_linked = linked.join(first, "component").select("id", "first")

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from quirebind.llm import tokens
 from quirebind.llm.words import map_rows
-from quirebind.session import settle
+from quirebind.session import settle, small_batches
 
 LENGTH = 4096
 END = 2
@@ -40,7 +40,8 @@ def pieces(
     with_ids: bool = False,
 ) -> DataFrame:
     """One row per piece; ``with_ids`` adds its ids (``tokens.id_kind``)."""
-    stored = settle(tokens.tokenised(docs, end, tokenizer))
+    with small_batches(docs.sparkSession):
+        stored = settle(tokens.tokenised(docs, end, tokenizer))
     totals = stored.groupBy("part").agg(F.sum("n_tokens")).collect()  # one row per partition
     before = tokens.part_offsets([(r[0], r[1]) for r in totals])
     kind = tokens.id_kind(tokenizer)

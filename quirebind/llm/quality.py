@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, IntegerType, LongType, StructField, StructType
 
 from quirebind.llm.words import named, own_prefix, words
-from quirebind.session import settle
+from quirebind.session import settle, small_batches
 
 MIN_WORDS = 20
 WINDOW = 8
@@ -168,14 +168,15 @@ def measured(docs: DataFrame, carry: list[str]) -> DataFrame:
     fields += [StructField(f"{p}base_failed", BooleanType()), StructField(f"{p}pattern", IntegerType())]
     schema = StructType([docs.schema[c] for c in carry] + fields)
     # Tasks see columns by number: the map takes no names with dots.
-    numbered = [c.alias(f"c{i}") for i, c in enumerate([*named(carry), F.col("text")])]
-    rows = docs.select(*numbered)
+    sent = carry if "text" in carry else [*carry, "text"]  # a carried text goes there once
+    at = sent.index("text")
+    rows = docs.select(*[c.alias(f"c{i}") for i, c in enumerate(named(sent))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts: list[list[int]] = []
             patterns, failed = [], []
-            for text in batch.column(len(carry)):
+            for text in batch.column(at):
                 base, m = measures(text.as_py())
                 counts.append(base)
                 patterns.append(pattern_of(votes(m)))
@@ -184,7 +185,7 @@ def measured(docs: DataFrame, carry: list[str]) -> DataFrame:
                 pa.array([], pa.int64()) for _ in BASE
             ]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], *columns, pa.array(failed, pa.bool_()),
+                [*batch.columns[: len(carry)], *columns, pa.array(failed, pa.bool_()),
                  pa.array(patterns, pa.int32())],
                 names=schema.names,
             )
@@ -235,7 +236,8 @@ def rated(docs: DataFrame, least: float = 0.5, carry: list[str] | None = None) -
     once, to the shared folder; texts are not read again."""
     carry = docs.columns if carry is None else carry
     p = own_prefix(carry, PREFIX)
-    known = settle(measured(docs, carry))
+    with small_batches(docs.sparkSession):
+        known = settle(measured(docs, carry))
     counts = {r[0]: r[1] for r in known.groupBy(f"{p}pattern").count().collect()}  # 3^9 at most
     table = fit(counts)
     quality = F.lit(0.0)
