@@ -15,15 +15,18 @@ of ``PERCENT``; the result is the component of every document.
    so runs of ``COMBINED`` neighbours are keys.  Their number is linear in the text.
 3. Keys that only one set has go, by an aggregate that combines before its shuffle, and so
    do sets whose prefix is of rare tokens and has fewer than ``k`` of them left.  The others
-   hang on the least set of each key, which gives clusters to look into.
+   hang on the least set of each key and size class, and these on that of the class next
+   to theirs: linked sets are of one class or of two next to each other, and sets of other
+   sizes that share a key are no reason for a cluster.
 4. Verification.  The texts of clusters are read again where they lie (a bitmap of fixed
    size tells which) and only their sets move.  In a task, sets meet by the postings of
    their keys; a posting whose sets are all joined with the one at hand is skipped, so a
    group of copies costs one comparison a set.  Links are confirmed on full sets.
 5. A cluster beyond a block is cut into blocks.  Then one set per part of a cluster meets
    the others of its kind, and after that only sets that still share a key across parts
-   are left: these meet in pairs of blocks.  Whatever the sizes, every pair that shares a
-   key is either joined already or compared.
+   with a set of such a size are left: these meet in pairs of blocks of their size class or
+   of one next to it, so a set is copied for these alone.  Whatever the sizes, every pair
+   that shares a key and may be linked is either joined already or compared.
 
 Links join their sets, so only the links that join something are written; copies of one
 set are one set from the start.  Result: doc_id, n_shingles, component_id.
@@ -35,6 +38,7 @@ other doc_id is null; an empty table gives an empty result; further columns are
 """
 
 import hashlib
+import math
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -42,7 +46,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quirebind.llm.graph import components
@@ -308,7 +312,25 @@ def keyed(docs: DataFrame, classes, percent: int) -> DataFrame:
     )
 
 
-def clusters(known: DataFrame) -> DataFrame:
+def size_class(percent: int) -> Column:
+    """The class of a set of ``n`` tokens: linked sets are of one, or of two neighbours.
+
+    Classes are wider than the sizes of linked sets are apart, by more than a logarithm
+    may be wrong.
+    """
+    width = max(math.log(100 / percent) * (1 + 1e-9), 1e-3)
+    return F.floor(F.log("n") / width).cast("int")
+
+
+def _neighbours(own: DataFrame, by: list[str], least: str, most: str) -> DataFrame:
+    """(by, band, least, most) of the rows of each class and the one above it, where
+    these differ."""
+    both = own.withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"))))
+    return both.groupBy(*by, "band").agg(
+        F.min(least).alias("least"), F.max(most).alias("most")).filter("least <> most")
+
+
+def clusters(known: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(id, component) of the sets, by number, that may be linked with another."""
 
     def shared(posted: DataFrame) -> DataFrame:
@@ -316,14 +338,21 @@ def clusters(known: DataFrame) -> DataFrame:
             F.min("rep").alias("least"), F.max("rep").alias("most")
         ).filter("least <> most").select("key", "least")
 
-    posted = known.select("rep", "need", F.explode("keys").alias("key"))
+    # One number for both, so that rows that move are no wider.
+    need = F.shiftleft(F.col("need").cast("bigint"), 16) + size_class(percent)
+    posted = known.select("rep", need.alias("need"), F.explode("keys").alias("key"))
     left = posted.join(shared(posted).select("key"), "key").dropDuplicates(["key", "rep"])
     enough = left.groupBy("rep").agg(  # no more than a set has keys
         F.collect_list("key").alias("keys"), F.max("need").alias("need")
-    ).filter(F.size("keys") >= F.col("need"))
-    kept = settle(enough.select("rep", F.explode("keys").alias("key")))
-    edges = kept.join(shared(kept), "key").filter("rep <> least")
-    return components(edges.select(F.col("rep").alias("a"), F.col("least").alias("b")))
+    ).filter(F.size("keys") >= F.shiftright("need", 16))
+    band = F.col("need").bitwiseAND(0xFFFF).cast("int")
+    kept = settle(enough.select("rep", band.alias("band"), F.explode("keys").alias("key")))
+    heads = kept.groupBy("key", "band").agg(F.min("rep").alias("least"))
+    inside = kept.join(heads, ["key", "band"]).filter("rep <> least").select(
+        F.col("rep").alias("a"), F.col("least").alias("b"))
+    across = _neighbours(heads, ["key"], "least", "least").select(
+        F.col("most").alias("a"), F.col("least").alias("b"))
+    return components(inside.unionByName(across))
 
 
 # --- verification ---------------------------------------------------------------
@@ -457,12 +486,16 @@ def _compared(dealt: DataFrame, by: list[str], percent: int) -> DataFrame:
     return dealt.groupBy(*by).applyInPandas(run, "a bigint, b bigint")
 
 
+def _blocks_needed() -> Column:
+    return F.greatest(
+        F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_SHINGLES)
+    ).cast("int").alias("blocks")
+
+
 def _blocks(members: DataFrame) -> DataFrame:
     """cluster and the number of blocks it needs."""
     return members.groupBy("cluster").agg(
-        F.greatest(
-            F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_SHINGLES)
-        ).cast("int").alias("blocks"), F.count("*").alias("sets"),
+        _blocks_needed(), F.count("*").alias("sets"),
     ).filter("sets > 1").drop("sets")
 
 
@@ -476,6 +509,32 @@ def _parted(members: DataFrame, joined: DataFrame) -> DataFrame:
     return members.join(to, "part", "left").withColumn("part", F.coalesce("to", "part")).drop("to")
 
 
+def _paired(rest: DataFrame) -> DataFrame:
+    """Sets (with ``band``) once per pair of blocks they are in: two of a class (step 0), or
+    one of a class and one of the class above it (step 1)."""
+    own = rest.groupBy("cluster", "band").agg(_blocks_needed())
+    told = own.select("cluster", "blocks", F.inline(F.array(*[
+        F.struct((F.col("band") + d).alias("band"), F.lit(d).alias("d")) for d in (-1, 0, 1)])))
+    around = told.groupBy("cluster", "band").agg(*[
+        F.max(F.when(F.col("d") == d, F.col("blocks"))).alias(name)
+        for d, name in ((-1, "above"), (0, "blocks"), (1, "below"))
+    ])
+    dealt = rest.join(around, ["cluster", "band"]).withColumn("block", _block())
+
+    def met(blocks: str, low: int, step: int, left, right) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.col(blocks) - 1), lambda o: F.struct(
+            (F.col("band") + low).alias("low"), F.lit(step).alias("step"),
+            left(o).alias("left"), right(o).alias("right")))
+
+    block, other = (lambda o: F.col("block")), (lambda o: o)
+    pairs = F.flatten(F.array_compact(F.array(
+        met("blocks", 0, 0, lambda o: F.least(o, "block"), lambda o: F.greatest(o, "block")),
+        met("above", 0, 1, block, other),
+        met("below", -1, 1, other, block),
+    )))
+    return dealt.select(*rest.columns, F.inline(pairs))
+
+
 def links_of(members: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) that join all linked sets of ``members``."""
     whole = members.withColumn("part", F.col("num"))
@@ -490,19 +549,15 @@ def links_of(members: DataFrame, percent: int) -> DataFrame:
     # What still shares a key across parts is compared with all of its kind.
     links = within.unionByName(between)
     parted = _parted(large, between)
-    posted = parted.select("num", "cluster", "part", F.explode("keys").alias("key"))
-    mixed = posted.groupBy("cluster", "key").agg(
-        F.min("part").alias("least"), F.max("part").alias("most")
-    ).filter("least <> most").select("cluster", "key")
-    nums = posted.join(mixed, ["cluster", "key"]).select("num").distinct()
-    rest = settle(parted.join(nums, "num"))
-    others = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(
-        F.least(o, F.col("block")).alias("left"), F.greatest(o, F.col("block")).alias("right")
-    ))
-    pairs = rest.join(_blocks(rest), "cluster").withColumn("block", _block()).select(
-        *rest.columns, F.inline(others)
-    )
-    across = _compared(pairs, ["cluster", "left", "right"], percent)
+    sized = parted.withColumn("band", size_class(percent))
+    posted = sized.select("num", "cluster", "part", "band", F.explode("keys").alias("key"))
+    by = ["cluster", "key"]
+    parts = posted.groupBy(*by, "band").agg(F.min("part").alias("low"), F.max("part").alias("high"))
+    mixed = _neighbours(parts, by, "low", "high").select(
+        *by, F.explode(F.array("band", F.col("band") + 1)).alias("band"))
+    nums = posted.join(mixed, [*by, "band"], "left_semi").select("num").distinct()
+    rest = settle(sized.join(nums, "num"))
+    across = _compared(_paired(rest), ["cluster", "low", "step", "left", "right"], percent)
     return settle(links.unionByName(across))
 
 
@@ -511,7 +566,7 @@ def joined(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     spark = docs.sparkSession
     classes = spark.sparkContext.broadcast(Classes(token_counts(docs)))
     known = settle(keyed(docs, classes, percent))
-    found = settle(clusters(known.filter("n > 0")))
+    found = settle(clusters(known.filter("n > 0"), percent))
     members = _sets(docs, found, classes, percent)
     parts = components(links_of(members, percent))
     of_set = members.select("num", "digest").join(parts, F.col("num") == F.col("id")).select(

@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from quirebind.llm import ngram_join as join
 
@@ -143,3 +144,35 @@ def test_given_data(spark, sf_small):
     want = brute([(r.doc_id, r.text) for r in docs.collect()])
     got = {r.doc_id: r.component_id for r in join.joined(docs).collect()}
     assert got == want and any(i != c for i, c in want.items())
+
+
+def test_linked_sizes_are_of_classes_next_to_each_other(spark):
+    sizes = spark.range(1, 60000).withColumnRenamed("id", "n")
+    for percent in (50, 80, 85, 99, 100):
+        most = F.expr(f"100 * n div {percent}")
+        two = sizes.withColumn("low", join.size_class(percent)).withColumn("n", most).withColumn(
+            "high", join.size_class(percent))
+        assert two.filter("high - low not between 0 and 1").count() == 0
+
+
+def test_sets_of_unlike_sizes_are_no_cluster(spark):
+    """A key that sets of all sizes have joins those only that may be linked."""
+    sizes = {1: 10, 2: 100, 3: 11, 4: 1000, 5: 95, 6: 3, 7: 7000}
+    known = spark.createDataFrame(
+        [(i, n, 1, [77]) for i, n in sizes.items()], "rep long, n long, need int, keys array<bigint>")
+    assert sorted(tuple(r) for r in join.clusters(known).collect()) == [(1, 1), (2, 2), (3, 1), (5, 2)]
+
+
+def test_sets_meet_blocks_of_their_size_only(spark, monkeypatch):
+    """Once in one group at least if they may be linked; a set is not copied to all blocks."""
+    monkeypatch.setattr(join, "BLOCK_SETS", 5)
+    rnd = random.Random(8)
+    n = {i: rnd.randrange(5, 4000) for i in range(150)}
+    rest = spark.createDataFrame([(i, 1, k) for i, k in n.items()], "num long, cluster long, n long")
+    rows = join._paired(rest.withColumn("band", join.size_class(85))).collect()
+    met = {}
+    for r in rows:
+        met.setdefault((r.low, r.step, r.left, r.right), set()).add(r.num)
+    together = {(a, b) for g in met.values() for a in g for b in g}
+    assert {(a, b) for a in n for b in n if 100 * min(n[a], n[b]) >= 85 * max(n[a], n[b])} <= together
+    assert len(rows) < len(n) * (len(n) // 5) / 2
