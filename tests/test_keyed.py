@@ -158,3 +158,47 @@ def test_messages_count_in_the_order_they_arrive(spark, tmp_path):
     (batch,) = store.read_table(spark, root, store.PROGRESS).collect()
     assert (batch.messages, batch.deliveries, batch.completed, batch.skipped) == (6, 3, 3, 0)
     assert batch.waited_seconds == pytest.approx(NOW.timestamp() - 1_700_000_000)
+
+
+def test_many_batches_list_a_stored_table_once(spark, tmp_path, monkeypatch):
+    """Batches of many keys, of nearly all buckets: one listing, until it is written again."""
+    schema = "k long, v string"
+    rows = lambda v: spark.range(2000).select(F.col("id").alias("k"), F.lit(v).alias("v"))
+    table = keyed.KeyedTable(spark, str(tmp_path / "t"), schema, ["k"]).write(rows("a"), 64)
+    listed = []
+    for name in ("exists", "names"):
+        found = getattr(keyed.Folders, name)
+        monkeypatch.setattr(
+            keyed.Folders, name, lambda self, path, f=found: listed.append(path) or f(self, path))
+    indexes = set()
+    for n in range(3):
+        asked = spark.range(n * 300, n * 300 + 150).select(F.col("id").alias("k"))
+        got = table.only(asked)
+        assert sorted(map(tuple, got.collect())) == [(k, "a") for k in range(n * 300, n * 300 + 150)]
+        index = got._jdf.queryExecution().analyzed().collectLeaves().apply(0).relation().location()
+        indexes.add(spark._jvm.java.lang.System.identityHashCode(index))
+    assert len(indexes) == 1 and not [p for p in listed if f"{keyed.BUCKET}=" in p]
+    table.write(rows("b"), 64)
+    assert {r.v for r in table.only(spark.range(500).select(F.col("id").alias("k"))).collect()} == {"b"}
+
+
+def test_buckets_of_a_listed_table_are_pruned(spark, tmp_path):
+    table = keyed.KeyedTable(spark, str(tmp_path / "t"), "k long", ["k"])
+    table.write(spark.range(3000).select(F.col("id").alias("k")), 64)
+    for n in (12, 100):
+        asked = spark.range(n).select(F.col("id").alias("k"))
+        buckets = len(keyed._buckets_of(asked, ["k"], 64))
+        assert 8 <= buckets < 64
+        got = table.of(asked)
+        assert {r.k for r in got.collect()} >= set(range(n)) and got.count() < 3000
+        assert max(files_read(got)) == buckets
+
+
+def test_keys_that_are_null_or_come_twice_are_looked_up_like_others(spark, tmp_path):
+    schema = "k long, v string"
+    table = keyed.KeyedTable(spark, str(tmp_path / "t"), schema, ["k"])
+    table.write(spark.createDataFrame([(1, "a"), (1, "a"), (2, "b"), (None, "c")], schema), 1)
+    asked = spark.createDataFrame([(1,), (1,), (None,)], "k long")
+    got = table.only(asked)
+    assert sorted(map(tuple, got.join(asked, "k", "left_semi").collect())) == [(1, "a"), (1, "a")]
+    assert {r.k for r in got.collect()} == {1, None}
