@@ -294,11 +294,13 @@ def uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def messages(spark: SparkSession, sf_dir: str, tasks: int | None = None) -> DataFrame:
     """Job messages from events, each job delivered several times: value, arrival.
 
     The sender's times run against the order of arrival.  Some are cut off, carry an id
-    that is none, lack a field or all, give one in another case, twice, or as a number.
+    that is none, lack a field or all, give one in another case, twice, or as a number.  With ``tasks``
+    the events, which are short, are dealt to so many first: messages take much longer to
+    make and read than events, and a file of them may be in one piece.
     """
     n = F.col("event_id")
     job = F.floor(n / 5)
@@ -330,7 +332,10 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(n % 79 == 0, F.regexp_replace(named, '"timestamp":"[^"]*",', ""))
         .otherwise(named)
     )
-    made = table(spark, sf_dir, "events").select("event_id", payload.alias("payload"))
+    events = table(spark, sf_dir, "events").select("event_id", "event_type")
+    if tasks:
+        events = events.repartition(tasks)
+    made = events.select("event_id", payload.alias("payload"))
     return made.select(value.alias("value"), n.alias("arrival"))
 
 

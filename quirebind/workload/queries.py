@@ -551,6 +551,7 @@ def scan_files(spark, sf):
     """Originals stored as files, and of them those that messages ask for, whole."""
     root = f"{shared_folder(spark)}/files-{uuid.uuid4()}"
     documents.store_files(fx.stored_docs(spark, sf), root)
-    asked = intake.parse_messages(fx.messages(spark, sf)).filter("problem is null")
+    sent = fx.messages(spark, sf, tasks=4 * spark.sparkContext.defaultParallelism)
+    asked = intake.parse_messages(sent).filter("problem is null")
     return documents.scan_asked(spark, root, asked).select(
         "file_key", "filename", F.md5("text").alias("digest"), _long("bytes"))
