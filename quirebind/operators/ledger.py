@@ -219,21 +219,25 @@ def cascade_delete(
 def cascade_rows(jobs: DataFrame, logs: DataFrame, requests: DataFrame) -> DataFrame:
     """What ``cascade_delete`` gives as rows: kind ('job', 'log', 'removed object'), id.
 
-    The jobs that go are found first and stored.  Jobs and logs meet them with nothing but
-    their ids (jobs with their keys), and the many rows are not sorted for it, so they move
-    once and nothing spills; many logs of one job are split over tasks.
+    The jobs that go are found first and stored.  Jobs and logs meet them together, with
+    nothing but their ids (jobs with their keys), and the many rows are not sorted for it,
+    so they move once and nothing spills; many logs of one job are split over tasks.
     """
     gone = settle(deletable_jobs(jobs, requests).select("job_id"))
     row = lambda kind, c: F.struct(F.lit(kind).alias("kind"), F.col(c).alias("id"))
     keys = F.filter(F.array(
         row("removed object", "file_key"), row("removed object", "bundle_key")
     ), lambda k: k["id"] != "")
-    met = jobs.select("job_id", "file_key", "bundle_key").join(
-        gone.withColumn("gone", F.lit(True)).hint("shuffle_hash"), "job_id", "left")
-    said = F.when(F.col("gone"), keys).otherwise(F.array(row("job", "job_id")))
-    stay = logs.select("job_id", "log_id").join(gone.hint("shuffle_hash"), "job_id", "left_anti")
-    return met.select(F.inline(said)).unionByName(
-        stay.select(F.lit("log").alias("kind"), F.col("log_id").alias("id")))
+    nothing = F.lit(None).cast("string")
+    both = jobs.select(
+        "job_id", "file_key", "bundle_key", nothing.alias("log_id"), F.lit(True).alias("is_job")
+    ).unionByName(logs.select(
+        "job_id", nothing.alias("file_key"), nothing.alias("bundle_key"), "log_id",
+        F.lit(False).alias("is_job")))
+    met = both.join(gone.withColumn("gone", F.lit(True)).hint("shuffle_hash"), "job_id", "left")
+    stays = F.array(
+        F.when(F.col("is_job"), row("job", "job_id")).otherwise(row("log", "log_id")))
+    return met.select(F.inline(F.when(F.col("gone"), keys).otherwise(stays)))
 
 
 def without_deleted(rows: DataFrame, deleted: DataFrame, key: str = "job_id") -> DataFrame:
